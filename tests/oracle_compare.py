@@ -1,0 +1,111 @@
+"""Run registered queries in Spark and their SQL in DuckDB, and compare.
+
+Row count, sorted column names, and an order-insensitive multiset of rows
+(floats rounded) must all match. Usable from pytest and as a script:
+
+    python tests/oracle_compare.py [sf_dir] [query ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import os
+import sys
+import time
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
+          "lineitem", "events", "documents", "embeddings", "pages",
+          "benchmark", "labels", "conversations")
+
+
+def duck(sf_dir: str):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        p = os.path.join(sf_dir, f"{t}.parquet")
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return round(v, 6)
+    if isinstance(v, decimal.Decimal):
+        return round(float(v), 6)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat()
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    if isinstance(v, dict):
+        return tuple(sorted((str(k), _norm(x)) for k, x in v.items()))
+    return v
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    out = [tuple(_norm(r[i]) for i in order) for r in rows]
+    return sorted(out, key=repr)
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    df = fn(spark, sf_dir)
+    s_names = df.columns
+    s_rows = [tuple(r) for r in df.collect()]
+    t1 = time.time()
+    res = con.execute(sql)
+    d_names = [d[0] for d in res.description]
+    d_rows = res.fetchall()
+    t2 = time.time()
+    info = {"query": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
+            "spark_sec": round(t1 - t0, 2), "oracle_sec": round(t2 - t1, 2)}
+    info["schema_match"] = sorted(s_names) == sorted(d_names)
+    if not info["schema_match"]:
+        info["spark_cols"], info["oracle_cols"] = s_names, d_names
+        info["match"] = False
+        return info
+    a, b = _rows(s_names, s_rows), _rows(d_names, d_rows)
+    info["match"] = a == b
+    if not info["match"]:
+        sa, sb = set(a), set(b)
+        info["only_spark"] = [x for x in a if x not in sb][:3]
+        info["only_oracle"] = [x for x in b if x not in sa][:3]
+    return info
+
+
+def main(argv):
+    import __spark_entry__ as E
+    from tallyflow.session import get_session
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    wanted = argv[2:]
+    spark = get_session("local[8]", shuffle_partitions=8)
+    con = duck(sf_dir)
+    qs, sqls = E.queries(), E.oracle_sql()
+    bad = 0
+    for name, fn in qs.items():
+        if wanted and name not in wanted:
+            continue
+        if name not in sqls:
+            df = fn(spark, sf_dir)
+            print({"query": name, "rows_only": df.count()})
+            continue
+        info = compare(spark, con, name, fn, sqls[name], sf_dir)
+        bad += not info["match"]
+        print(info, flush=True)
+    print("MISMATCHES", bad)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv) else 0)
