@@ -18,8 +18,13 @@ def _c(col):
 
 
 def key_path(key: str) -> str:
-    """Variant path for a top-level key, safe for any key text."""
-    return "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+    """Variant path for a top-level key: ``$['key']``, or ``$["key"]`` when
+    the key holds a single quote (paths have no escape for quotes)."""
+    if "'" not in key:
+        return "$['" + key + "']"
+    if '"' not in key:
+        return '$["' + key + '"]'
+    raise ValueError(f"key {key!r} holds both quote characters")
 
 
 def parse_struct(col, schema: str) -> Column:

@@ -16,6 +16,7 @@ from tallyflow import schemas
 from tallyflow.functions.jsonfields import (
     CORRUPT, key_path, parse_struct, parse_variant, sql_str, variant_field,
     variant_field_string, variant_type)
+from tallyflow.functions.once import compute_once
 from tallyflow.functions.timecols import to_event_time
 from tallyflow.functions.tokens import last_token
 
@@ -24,8 +25,8 @@ PARSED_COLS = ("msg_id", "project_name", "class_name", "method_name", "ts_ms",
 
 
 def _parse(messages: DataFrame, value_col: str) -> DataFrame:
-    return messages.select(F.col(value_col).alias("_value"),
-                           parse_struct(value_col, schemas.CALL_LOG_FIELDS).alias("_p"))
+    staged = messages.select(F.col(value_col).alias("_value"))
+    return compute_once(staged, parse_struct("_value", schemas.CALL_LOG_FIELDS).alias("_p"))
 
 
 def parse_call_log(messages: DataFrame, value_col: str = "value",
@@ -71,9 +72,10 @@ def status_route(parsed: DataFrame) -> DataFrame:
     Rows with missing or unparsable fields are not routed.
     """
     info = F.from_json("output_info", schemas.OUTPUT_INFO_FIELDS)
-    meta = F.from_json(info["meta"], schemas.META_FIELDS)
-    staged = parsed.select(*PARSED_COLS, info["returnCode"].alias("return_code"),
-                           meta["code"].alias("status_code"))
+    staged = compute_once(parsed.select(*PARSED_COLS), info.alias("_info"))
+    meta = F.from_json(F.col("_info.meta"), schemas.META_FIELDS)
+    staged = compute_once(staged, F.col("_info.returnCode").alias("return_code"),
+                          meta["code"].alias("status_code"), keep=PARSED_COLS)
     return (staged.where(F.col("status_code").try_cast("int") == 0)
             .select("return_code", "status_code", "project_name", "class_name",
                     "method_name", "ts_ms", "event_time", "msg_id"))
@@ -109,8 +111,8 @@ def json_key_filter(messages: DataFrame, key: str, value_col: str = "value",
     of another type).
     """
     out_col = out_col or key
-    staged = messages.select(*keep, F.col(value_col).alias("_value"),
-                             parse_variant(value_col).alias("_v"))
+    staged = messages.select(*keep, F.col(value_col).alias("_value"))
+    staged = compute_once(staged, parse_variant("_value").alias("_v"))
     staged = staged.select(*keep, "_value", "_v", variant_field("_v", key).alias("_x"))
     present = F.col("_x").isNotNull()
     if mode == STRICT:
@@ -133,8 +135,8 @@ def json_key_rejects(messages: DataFrame, key: str, value_col: str = "value",
     Objects without ``key`` are dropped silently, as in the reference, and
     are not rejects.
     """
-    v = parse_variant(value_col)
-    staged = messages.select(F.col(value_col).alias("_value"), v.alias("_v"))
+    staged = compute_once(messages.select(F.col(value_col).alias("_value")),
+                          parse_variant("_value").alias("_v"))
     x = variant_field("_v", key)
     not_object = ~variant_type("_v").startswith("OBJECT")
     bad = F.col("_value").isNotNull() & (F.col("_v").isNull() | not_object)

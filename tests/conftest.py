@@ -1,0 +1,69 @@
+import json
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+from tallyflow.session import get_session, checkpoint_dir  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = get_session("local[4]", app_name="tallyflow-tests", shuffle_partitions=4)
+    checkpoint_dir(s)  # unset in tests: a scratch folder is set
+    yield s
+
+
+@pytest.fixture()
+def scratch():
+    return tempfile.mkdtemp(prefix="tallyflow-test-")
+
+
+# FIXTURES.md D: call-log messages; date = 2024-01-01T00:00:00Z + offset ms
+BASE_MS = 1704067200000
+
+
+def call_log_json(i, off, p, c, m, rc=None, code=None):
+    msg = {"id": i, "date": BASE_MS + off, "projectName": p, "clazz": c, "method": m}
+    info = {}
+    if rc is not None:
+        info["returnCode"] = rc
+    if code is not None:
+        info["meta"] = json.dumps({"code": code})
+    if info:
+        msg["outputInfo"] = json.dumps(info)
+    return json.dumps(msg)
+
+
+CALL_LOG_D = [
+    call_log_json("L1", 0, "p1", "class a.B", "m1", "10000", "0"),
+    call_log_json("L2", 1000, "p1", "class a.B", "m1", "10002", "0"),
+    call_log_json("L3", 2000, "p1", "class a.B", "m2", "10000", "1"),
+    call_log_json("L4", 3000, "p2", "interface c.D", "m1"),
+    call_log_json("L5", 9999, "p1", "a.B", "m1", None, "x"),
+    call_log_json("L6", 10000, "p1", "class a.B", "m1", "99999", "0"),
+]
+
+# FIXTURES.md A: the five sentences
+SENTENCES = [
+    "the cow jumped over the moon",
+    "an apple a day keeps the doctor away",
+    "four score and seven years ago",
+    "snow white and the seven dwarfs",
+    "i am at two with nature",
+]
+
+
+@pytest.fixture()
+def call_log(spark):
+    return spark.createDataFrame([(v,) for v in CALL_LOG_D], "value string")
+
+
+@pytest.fixture()
+def sentences(spark):
+    return spark.createDataFrame([(s,) for s in SENTENCES], "line string")

@@ -1,0 +1,101 @@
+"""A4, T6, K2, J1-J4, C8, C14 on FIXTURES.md A, D and G."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tallyflow.operators import lookup as lk
+from tallyflow.operators import state as st
+from tallyflow.operators import wordcount as wc
+from tallyflow.plans import jobs
+from tallyflow.sinks.snapshot import KeyedSnapshot
+from tallyflow.sources.literal import request_strings
+
+
+def test_latest_per_key_from_windows(call_log):
+    state = jobs.rolling_state_batch(call_log, length="10 seconds", ttl_seconds=None)
+    got = {r.projectName: (r["count"], r.updated_at) for r in state.collect()}
+    assert got == {"p1": (1, dt.datetime(2024, 1, 1, 0, 0, 20)),
+                   "p2": (1, dt.datetime(2024, 1, 1, 0, 0, 10))}
+
+
+def test_ttl_key_and_table_scope(spark):
+    rows = [("p1", 7, dt.datetime(2024, 1, 1, 0, 5, 1)), ("p2", 3, dt.datetime(2024, 1, 1, 0, 5, 0))]
+    df = spark.createDataFrame(rows, "key string, n long, updated_at timestamp")
+    as_of = F.lit(dt.datetime(2024, 1, 1, 0, 10, 0)).cast("timestamp")
+    assert [r.key for r in st.live_state(df, ttl_seconds=300, as_of=as_of).collect()] == ["p1"]
+    both = st.live_state(df, ttl_seconds=300, as_of=as_of, scope=st.TABLE).count()
+    assert both == 2
+    late = F.lit(dt.datetime(2024, 1, 1, 1, 0, 0)).cast("timestamp")
+    assert st.live_state(df, ttl_seconds=300, as_of=late, scope=st.TABLE).count() == 0
+
+
+def _word_state(sentences):
+    return wc.word_count(sentences, "line", wc.SPACE)
+
+
+def _answers(df):
+    return sorted((r.request_id, r.word, r["count"]) for r in df.collect())
+
+
+def test_word_lookup_modes(spark, sentences):
+    req = request_strings(spark, ["the and apple snow jumped", "kafka", "the  the zebra"])
+    state = _word_state(sentences)
+    drop = _answers(jobs.word_lookup(req, state, lk.DROP))
+    assert drop == sorted([(0, "the", 4), (0, "and", 2), (0, "apple", 1), (0, "snow", 1),
+                           (0, "jumped", 1), (2, "the", 4), (2, "the", 4)])
+    zero = _answers(jobs.word_lookup(req, state, lk.ZERO))
+    assert (1, "kafka", 0) in zero and (2, "zebra", 0) in zero and len(zero) == 9
+    null = _answers(jobs.word_lookup(req, state, lk.NULL))
+    assert (1, "kafka", None) in null and (0, "the", "4") in null
+
+
+def test_lookup_without_reduce_is_equal(spark, sentences):
+    req = lk.request_tokens(request_strings(spark, ["the the and x"]), key_col="word")
+    state = _word_state(sentences)
+    for mode in (lk.DROP, lk.ZERO, lk.NULL):
+        a = lk.lookup(req, state, key_col="word", on_miss=mode, reduce=True)
+        b = lk.lookup(req, state, key_col="word", on_miss=mode, reduce=False)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_project_lookup_modes(spark, call_log):
+    state = jobs.rolling_state_batch(call_log, length="10 seconds", ttl_seconds=None)
+    req = request_strings(spark, ["p1 zz p2"])
+    def got(mode):
+        return sorted((r.pos, r.projectName, r["count"]) for r in
+                      jobs.rolling_lookup(req, state, mode).collect())
+    assert got(lk.DROP) == [(0, "p1", 1), (2, "p2", 1)]
+    assert got(lk.ZERO) == [(0, "p1", 1), (1, "zz", 0), (2, "p2", 1)]
+    assert got(lk.NULL) == [(0, "p1", "1"), (1, "zz", None), (2, "p2", "1")]
+
+
+def test_lookup_identity_and_exclaim(spark):
+    req = request_strings(spark, ["a b", "hello"])
+    toks = lk.request_tokens(req, key_col="word")
+    ident = sorted((r.word, tuple(r.result)) for r in lk.lookup_identity(toks, "word").collect())
+    assert ident == [("a", ("a",)), ("b", ("b",)), ("hello", ("hello",))]
+    ex = {r.request_id: r.result for r in lk.exclaim_reply(req, times=10).collect()}
+    assert ex[1] == "hello!!!!!!!!!!"
+
+
+def test_snapshot_upsert_idempotent(spark, scratch):
+    snap = KeyedSnapshot(spark, scratch + "/snap", ("k",), ("n",), "updated_at")
+    t = lambda s: dt.datetime(2024, 1, 1, 0, 0, s)
+    b0 = spark.createDataFrame([("a", 1, t(1)), ("b", 2, t(1))], "k string, n long, updated_at timestamp")
+    b1 = spark.createDataFrame([("a", 5, t(5)), ("a", 4, t(4)), ("b", 9, t(0))],
+                               "k string, n long, updated_at timestamp")
+    snap.upsert(b0, 0)
+    snap.upsert(b1, 1)
+    first = sorted((r.k, r.n) for r in snap.read().collect())
+    assert first == [("a", 5), ("b", 2)]
+    snap.upsert(b1, 1)  # replay of batch 1
+    assert sorted((r.k, r.n) for r in snap.read().collect()) == first
+    assert snap.versions() == [0, 1]
+
+
+def test_snapshot_ttl(spark, scratch):
+    snap = KeyedSnapshot(spark, scratch + "/snap", ("k",), ("n",), "updated_at", ttl_seconds=300)
+    rows = [("p1", 7, dt.datetime(2024, 1, 1, 0, 5, 1)), ("p2", 3, dt.datetime(2024, 1, 1, 0, 0, 0))]
+    snap.upsert(spark.createDataFrame(rows, "k string, n long, updated_at timestamp"), 0)
+    assert [r.k for r in snap.read().collect()] == ["p1"]

@@ -1,0 +1,68 @@
+"""C1-C3, C12-C13, P4-P5, A1/A2 on FIXTURES.md A and C."""
+
+from pyspark.sql import functions as F
+
+from tallyflow.functions import exclaim, last_token, split_spaces, split_whitespace
+from tallyflow.operators import wordcount as wc
+
+SPLIT_CASES = [  # line, whitespace split (C1), space split (C2)
+    ("", [""], []),
+    ("   ", [], []),
+    (" a ", ["", "a"], ["a"]),
+    ("a  b\tc ", ["a", "b", "c"], ["a", "b\tc"]),
+    ("a", ["a"], ["a"]),
+]
+
+
+def test_split_edge_cases(spark):
+    df = spark.createDataFrame([(c[0],) for c in SPLIT_CASES], "line string")
+    got = {r.line: (r.ws, r.sp) for r in df.select(
+        "line", split_whitespace("line").alias("ws"), split_spaces("line").alias("sp")).collect()}
+    for line, ws, sp in SPLIT_CASES:
+        assert got[line] == (ws, sp), line
+
+
+def test_split_null(spark):
+    df = spark.createDataFrame([(None,)], "line string")
+    r = df.select(split_whitespace("line").alias("a"), split_spaces("line").alias("b")).first()
+    assert r.a is None and r.b is None
+
+
+def test_last_token(spark):
+    cases = [("class com.a.B", "com.a.B"), ("com.a.B", "com.a.B"),
+             ("interface x.Y  ", "x.Y"), ("", ""), ("   ", ""), (None, None)]
+    df = spark.createDataFrame(cases, "c string, want string")
+    for r in df.select(last_token("c").alias("got"), "want").collect():
+        assert r.got == r.want
+
+
+def test_exclaim(spark):
+    df = spark.createDataFrame([("hello",)], "s string")
+    r = df.select(exclaim("s").alias("one"), exclaim("s", 10).alias("ten")).first()
+    assert r.one == "hello!" and r.ten == "hello" + "!" * 10
+
+
+def test_sentence_word_count(spark, sentences):
+    for mode in (wc.SPACE, wc.WHITESPACE):
+        counts = {r.word: r["count"] for r in wc.word_count(sentences, "line", mode).collect()}
+        assert sum(counts.values()) == 32 and len(counts) == 27
+        assert counts["the"] == 4 and counts["and"] == 2 and counts["seven"] == 2
+
+
+def test_word_weights_running_sum(spark, sentences):
+    w = wc.word_weights(sentences, "line", wc.WHITESPACE)
+    assert set(w.columns) == {"word", "count"}
+    s = {r.word: r["count"] for r in wc.running_sum(w).collect()}
+    assert s["the"] == 4
+
+
+def test_whitespace_count_keeps_empty_token(spark):
+    df = spark.createDataFrame([(" a",), ("",), ("   ",), ("b  ",)], "line string")
+    got = {r.word: r["count"] for r in wc.word_count(df, "line", wc.WHITESPACE).collect()}
+    assert got == {"": 2, "a": 1, "b": 1}
+
+
+def test_tokens_positions(spark):
+    df = spark.createDataFrame([(1, "the  the zebra")], "id long, line string")
+    rows = wc.tokens(df, "line", wc.SPACE, keep=("id",), with_position=True).orderBy("pos").collect()
+    assert [(r.pos, r.word) for r in rows] == [(0, "the"), (2, "the"), (3, "zebra")]
