@@ -46,12 +46,15 @@ def word_count_batch(lines: DataFrame, text_col: str = "line") -> DataFrame:
 
 def word_count_stream(spark: SparkSession, spec: StreamSpec, checkpoint: str | None = None,
                       output_mode: str = "update", query_name: str = "word_count",
-                      trigger: dict | None = None) -> StreamingQuery:
-    """Running word count to a memory table ``query_name``; ``update`` logs
-    each changed count (K8), ``complete`` the whole listing (K7)."""
+                      trigger: dict | None = None, foreach_batch=None) -> StreamingQuery:
+    """Running word count; ``update`` emits each changed count (K8),
+    ``complete`` the whole listing (K7). Output goes to ``foreach_batch``
+    (restartable from the checkpoint) or, when None, to a memory table
+    ``query_name`` (for interactive use; not restartable in update mode)."""
     counts = forms.running_word_count(read_stream(spark, spec), "value", wc.WHITESPACE)
-    w = (counts.writeStream.outputMode(output_mode).format("memory").queryName(query_name)
+    w = (counts.writeStream.outputMode(output_mode)
          .option("checkpointLocation", checkpoint or sub_dir(spark, f"ckpt/{query_name}")))
+    w = w.foreachBatch(foreach_batch) if foreach_batch else w.format("memory").queryName(query_name)
     return (w.trigger(**trigger) if trigger else w).start()
 
 

@@ -63,23 +63,22 @@ def hierarchical_stream(parsed: DataFrame, length: str = "10 seconds",
                          F.inline("_rows"), "timestamp")
 
 
-def top_n_stream(counts: DataFrame, n: int, key_col: str, count_col: str = "n",
-                 length: str = "10 seconds", rank_col: str = "rank") -> DataFrame:
+def top_n_stream(rows: DataFrame, n: int, key_col: str, time_col: str = "event_time",
+                 length: str = "10 seconds", count_col: str = "n",
+                 rank_col: str = "rank") -> DataFrame:
     """O1 on a stream: the ``n`` largest keys per window, ties by key.
 
-    ``counts`` is the output of a windowed count with ``window_start`` /
-    ``window_end`` columns. A chained aggregate keeps, per window, the sorted
-    list of (-count, key) and slices the first ``n``; one entry per key of
-    the window is held, so use it for bounded key sets. For free-text keys
-    run ``tallyflow.operators.topn.top_n_per_group`` inside ``foreachBatch``
-    on complete windows instead.
+    Aggregate 1 counts rows per (window, key); aggregate 2 (chained on the
+    same window) keeps the sorted list of (-count, key) and slices the first
+    ``n``. It holds one entry per key of a window, so use it for bounded key
+    sets; for free-text keys run ``tallyflow.operators.topn.top_n_per_group``
+    inside ``foreachBatch`` on complete windows instead.
     """
-    staged = counts.select(F.struct(F.col("window_start").alias("start"),
-                                    F.col("window_end").alias("end")).alias("_w"),
-                           F.struct((-F.col(count_col)).alias("neg"),
-                                    F.col(key_col).alias("key")).alias("_e"))
-    top = (staged.groupBy(F.window(F.window_time("_w"), length).alias("_w2"))
-           .agg(F.slice(F.sort_array(F.collect_list("_e")), 1, n).alias("_top")))
+    g = (rows.groupBy(F.window(time_col, length).alias("_w"), key_col)
+         .agg(F.count(F.lit(1)).alias("_n")))
+    entry = F.struct((-F.col("_n")).alias("neg"), F.col(key_col).alias("key"))
+    top = (g.groupBy(F.window(F.window_time("_w"), length).alias("_w2"))
+           .agg(F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("_top")))
     return top.select(F.col("_w2.start").alias("window_start"), F.col("_w2.end").alias("window_end"),
                       F.posexplode("_top").alias("_pos", "_e")).select(
         "window_start", "window_end", F.col("_e.key").alias(key_col),

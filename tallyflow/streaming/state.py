@@ -11,14 +11,17 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tallyflow.operators.state import DEFAULT_TTL_SECONDS
+# Fixed value (as in tallyflow.operators.state): hash-store expiry, seconds.
+DEFAULT_TTL_SECONDS = 300
 
 LATEST_STATE = T.StructType([
     T.StructField("n", T.LongType()),
@@ -78,6 +81,11 @@ def latest_with_ttl_stream(df: DataFrame, key: str, value_col: str = "n",
         outputMode="Update", timeMode="ProcessingTime")
 
 
+# Ship the processor to Python workers by value, so workers need not have
+# this package installed (it is still shipped with --py-files on clusters).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def read_state(spark: SparkSession, checkpoint: str, operator_id: int | None = None,
                store_name: str | None = None) -> DataFrame:
     """The state of a streaming query as a batch DataFrame."""
