@@ -32,8 +32,11 @@ def spread(df: DataFrame, *key_cols: str) -> DataFrame:
     cluster reading many files the scan already has enough partitions and
     this returns ``df`` unchanged (no extra shuffle).
     """
-    sc = df.sparkSession.sparkContext
-    want = sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()   # plans the scan; runs no job
+    except Exception:                      # no RDD access (e.g. Spark Connect)
+        return df
+    if have >= want:
         return df
     return df.repartition(want, *key_cols)
