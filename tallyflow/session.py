@@ -13,13 +13,18 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings that matter at scale. AQE re-plans joins from runtime sizes
-# (broadcast only when the measured side is small), splits skewed join
-# partitions and coalesces small shuffle partitions.
+# Settings that matter at scale. AQE re-plans joins from runtime sizes,
+# splits skewed join partitions and coalesces small shuffle partitions.
+# Static broadcast is off: its size comes from file-size estimates, which do
+# not bound exploded rows (a 10 MB text file is many times that as tokens).
+# A side is broadcast only when its measured shuffle output is under the
+# adaptive threshold.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
