@@ -189,3 +189,34 @@ def test_latest_with_ttl_expires(spark, scratch):
     run(2)
     # the first value had expired, so the older second row becomes the latest
     assert [(k, n) for k, n, _ in out] == [("a", 5), ("a", 3)]
+
+
+def test_stream_equals_batch_on_driver_events(spark, scratch):
+    """SURVEY 5 item 3 on the sf0.001 events: the messages in 4 files (time
+    order), plus a far-future sentinel; the stream roll-up equals the batch
+    roll-up for every window."""
+    from tallyflow.sources import adapters
+    from tallyflow.sources.tables import table
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        import pytest
+        pytest.skip("driver tables not present")
+    ev = table(spark, sf, "events")
+    msgs = adapters.call_log_messages(ev.orderBy("ts")).collect()
+    src = os.path.join(scratch, "in")
+    q4 = (len(msgs) + 3) // 4
+    for i in range(4):
+        _stage(src, f"b{i}.txt", [m.value for m in msgs[i * q4:(i + 1) * q4]])
+    _stage(src, "b9.txt", [call_log_json("S", 10 ** 11, "px", "class z.Z", "mz")])
+    parsed = forms.parsed_with_watermark(read_stream(spark, StreamSpec(path=src, max_files_per_trigger=1)))
+    rows = forms.hierarchical_stream(parsed, "1 hour")
+    _run(rows.writeStream.outputMode("append").format("memory").queryName("hier_ev")
+         .option("checkpointLocation", os.path.join(scratch, "ck")))
+    stream = {tuple(r) for r in spark.table("hier_ev").where("project_name <> 'px'")
+              .select("window_start", "project_name", "class_name", "method_name",
+                      "total_count", "timestamp").collect()}
+    batch = win.hierarchical_count(cl.parse_call_log(adapters.call_log_messages(ev), time_type="timestamp"),
+                                   length="1 hour")
+    expect = {tuple(r) for r in batch.select("window_start", "project_name", "class_name",
+                                             "method_name", "total_count", "timestamp").collect()}
+    assert stream == expect and len(expect) > 500
