@@ -52,7 +52,11 @@ def live_state(state: DataFrame, updated_col: str = "updated_at",
     subquery (one partial/final aggregate, no driver round trip).
     """
     if as_of is None:
-        as_of = state.select(F.max(updated_col)).scalar()
+        # max over a struct led by updated_col equals max(updated_col); keeping
+        # every column stops pruning from reshaping the subquery, so its
+        # shuffles match the main plan's and are reused, not recomputed
+        as_of = state.select(F.max(F.struct(updated_col, *[c for c in state.columns
+                                                          if c != updated_col]))[updated_col]).scalar()
     cutoff = as_of - F.expr(f"INTERVAL '{int(ttl_seconds)}' SECOND")
     if scope == KEY:
         return state.where(F.col(updated_col) > cutoff)

@@ -205,13 +205,15 @@ def pack_map(counts: DataFrame, key_col: str = "key", count_col: str = "n",
 
 def unpack_map(packed: DataFrame, group_cols: tuple[str, ...] = ("window_start", "window_end"),
                count_col: str = "n") -> DataFrame:
-    """P6 for maps: back to one row per key (null-key count included)."""
-    entries = packed.select(*group_cols, "name",
-                            F.explode("sum_map").alias("key", count_col))
-    nulls = packed.where(F.col("null_key_count").isNotNull()).select(
-        *group_cols, "name", F.lit(None).cast("string").alias("key"),
-        F.col("null_key_count").cast("long").alias(count_col))
-    return entries.unionByName(nulls)
+    """P6 for maps: back to one row per key, the null-key count included, in
+    one pass over ``packed``."""
+    entry_t = "struct<key:string,value:bigint>"
+    null_entry = F.when(F.col("null_key_count").isNotNull(), F.array(F.struct(
+        F.lit(None).cast("string").alias("key"),
+        F.col("null_key_count").cast("long").alias("value")))).otherwise(F.array().cast(f"array<{entry_t}>"))
+    entries = F.concat(F.map_entries("sum_map").cast(f"array<{entry_t}>"), null_entry)
+    return packed.select(*group_cols, "name", F.inline(entries)).select(
+        *group_cols, "name", "key", F.col("value").alias(count_col))
 
 
 SUM_COUNT_FIELDS = ("project_name", "class_name", "method_name", "total_count", "timestamp")
