@@ -4,14 +4,26 @@ F8, C8, C12-C14).
 A request is an argument string; it is split on single spaces (empty tokens
 dropped) and every token, duplicates included, yields one result row.
 
-Plan (``reduce=True``, batch): the distinct requested keys are joined to the
-state first (both sides unique per key: no skew), then the request tokens
-are joined to that answer table, which is no larger than the set of distinct
-requested keys. AQE sees the measured sizes at runtime: a small side is
-broadcast (a state of billions of keys is then scanned without a shuffle), a
-large one goes through a sort-merge join, and a request key holding a third
-of all tokens is split by the skew-join handling. Nothing is broadcast on a
-static guess. Streams (stream-static join) use ``reduce=False``.
+Plan (``reduce=True``, batch):
+
+1. ``freq``: request tokens per requested key (partial aggregate: a hot key
+   costs one row per task before the shuffle).
+2. ``answers``: the requested keys joined to the state. Both sides are unique
+   per key, so there is no skew; AQE broadcasts a side only when its measured
+   shuffle output is small, so a state of billions of keys is scanned without
+   a shuffle when the requests are few.
+3. Hot keys: the ``hot_keys`` most requested keys with more than
+   ``rows_per_salt`` tokens, at most ``hot_keys`` rows by construction, so
+   broadcasting them is safe. Each hot key gets ``ceil(tokens /
+   rows_per_salt)`` salts; its answer row is copied once per salt and its
+   tokens are spread over the salts by a hash of the token row. Every other
+   key has one salt.
+4. The tokens join the answers on ``(key, salt)``. A key holding a third of
+   all tokens is split over many tasks; nothing is dropped or capped, and
+   keys outside the hot set take the same join unsalted.
+
+Streams (stream-static join) use ``reduce=False``: a plain join to the
+static state.
 """
 
 from __future__ import annotations
@@ -36,10 +48,17 @@ def request_tokens(requests: DataFrame, args_col: str = "args",
                   with_position=True)
 
 
+# Defaults of the hot-key salting (tunable per call).
+HOT_KEYS = 1000             # at most this many keys are salted (broadcast bound)
+ROWS_PER_SALT = 1_000_000   # target request tokens per salt of a hot key
+MAX_SALTS = 4096
+
+
 def lookup(req_tokens: DataFrame, state: DataFrame, key_col: str = "key",
            state_key: str | None = None, value_col: str = "count",
            on_miss: str = DROP, out_col: str | None = None,
-           reduce: bool = True) -> DataFrame:
+           reduce: bool = True, hot_keys: int = HOT_KEYS,
+           rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Answer each request token from ``state``.
 
     ``state`` has one row per ``state_key`` (default ``key_col``). Output:
@@ -48,23 +67,39 @@ def lookup(req_tokens: DataFrame, state: DataFrame, key_col: str = "key",
     """
     state_key = state_key or key_col
     out_col = out_col or value_col
+    how = {DROP: "inner", ZERO: "left", NULL: "left"}.get(on_miss)
+    if how is None:
+        raise ValueError(f"on_miss must be {DROP!r}, {ZERO!r} or {NULL!r}")
     st = state.select(F.col(state_key).alias(key_col), F.col(value_col).alias("_val"))
-    if reduce:
-        wanted = req_tokens.select(key_col).where(F.col(key_col).isNotNull()).distinct()
-        st = wanted.join(st, key_col, "inner")
     req_cols = req_tokens.columns
-    if on_miss == DROP:
-        joined = req_tokens.join(st, key_col, "inner").where(F.col("_val").isNotNull())   # F1
-        val = F.col("_val")
-    elif on_miss == ZERO:
-        joined = req_tokens.join(st, key_col, "left")
-        val = null_to_zero("_val")                                                          # C8
-    elif on_miss == NULL:
-        joined = req_tokens.join(st, key_col, "left")
-        val = as_text("_val")                                                               # C14
+    if reduce:
+        joined = _salted_join(req_tokens, st, key_col, how, hot_keys, rows_per_salt)
     else:
-        raise ValueError(f"on_miss must be {DROP!r}, {ZERO!r} or {NULL!r}")
-    return joined.select(*req_cols, val.alias(out_col))
+        joined = req_tokens.join(st, key_col, how)
+    if on_miss == DROP:
+        return joined.where(F.col("_val").isNotNull()).select(*req_cols, F.col("_val").alias(out_col))  # F1
+    if on_miss == ZERO:
+        return joined.select(*req_cols, null_to_zero("_val").alias(out_col))                        # C8
+    return joined.select(*req_cols, as_text("_val").alias(out_col))                                 # C14
+
+
+def _salted_join(req_tokens: DataFrame, st: DataFrame, key_col: str, how: str,
+                 hot_keys: int, rows_per_salt: int) -> DataFrame:
+    req_cols = req_tokens.columns
+    freq = (req_tokens.where(F.col(key_col).isNotNull())
+            .groupBy(key_col).agg(F.count(F.lit(1)).alias("_cnt")))
+    answers = freq.select(key_col).join(st, key_col, "inner")
+    hot = (freq.where(F.col("_cnt") > rows_per_salt)
+           .orderBy(F.desc("_cnt"), F.asc(key_col)).limit(hot_keys)
+           .select(key_col, F.least(F.ceil(F.col("_cnt") / rows_per_salt),
+                                    F.lit(MAX_SALTS)).cast("int").alias("_salts")))
+    hot = F.broadcast(hot)  # at most hot_keys rows
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    toks = (req_tokens.join(hot, key_col, "left")
+            .select(*req_cols, F.pmod(F.xxhash64(*req_cols), salts).cast("int").alias("_salt")))
+    ans = (answers.join(hot, key_col, "left")
+           .select(key_col, "_val", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")))
+    return toks.join(ans, [key_col, "_salt"], how)
 
 
 def lookup_identity(req_tokens: DataFrame, key_col: str = "key",

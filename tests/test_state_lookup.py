@@ -99,3 +99,16 @@ def test_snapshot_ttl(spark, scratch):
     rows = [("p1", 7, dt.datetime(2024, 1, 1, 0, 5, 1)), ("p2", 3, dt.datetime(2024, 1, 1, 0, 0, 0))]
     snap.upsert(spark.createDataFrame(rows, "k string, n long, updated_at timestamp"), 0)
     assert [r.k for r in snap.read().collect()] == ["p1"]
+
+
+def test_hot_key_salting_keeps_results_whole(spark, sentences):
+    # "the" is requested 40 times: with 5 tokens per salt it is split 8 ways
+    req = request_strings(spark, ["the " * 40 + "and kafka", "the cow"])
+    toks = lk.request_tokens(req, key_col="word")
+    state = _word_state(sentences)
+    for mode in (lk.DROP, lk.ZERO, lk.NULL):
+        plain = lk.lookup(toks, state, key_col="word", on_miss=mode, reduce=False)
+        salted = lk.lookup(toks, state, key_col="word", on_miss=mode, rows_per_salt=5)
+        assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+    salted = lk.lookup(toks, state, key_col="word", rows_per_salt=5)
+    assert salted.where("word = 'the'").count() == 41
