@@ -44,22 +44,30 @@ def interval(length: str) -> Column:
     return F.expr(f"INTERVAL '{m.group(1)}' {m.group(2).upper()}")
 
 
-def window_col(time_col: str, length: str, slide: str | None = None,
-               rows: str = ALL) -> Column:
-    """The window struct ``(start, end)`` a row is counted in.
-
-    For ``rows="new"`` each row falls in exactly one window: the one whose
-    last ``slide`` it lies in.
-    """
-    if rows == ALL or slide is None or slide == length:
-        return F.window(time_col, length, slide) if slide else F.window(time_col, length)
-    if rows != NEW:
+def _new_rows(length: str, slide: str | None, rows: str) -> bool:
+    if rows not in (ALL, NEW):
         raise ValueError(f"rows must be {ALL!r} or {NEW!r}")
-    b = F.window(time_col, slide)
-    return F.struct((b["end"] - interval(length)).alias("start"), b["end"].alias("end"))
+    return rows == NEW and slide is not None and slide != length
 
 
-def _bounds(w: str = "_w") -> list[Column]:
+def window_col(time_col: str, length: str, slide: str | None = None,
+               rows: str = ALL) -> Column:
+    """The window a row is grouped by: the (sliding) window itself, or for
+    ``rows="new"`` the tumbling ``slide`` bucket holding the window's last
+    ``slide`` (each row falls in exactly one). Both are real window columns,
+    so streams can aggregate them in append mode; ``window_bounds`` turns the
+    group into the output window."""
+    if _new_rows(length, slide, rows):
+        return F.window(time_col, slide)
+    return F.window(time_col, length, slide) if slide else F.window(time_col, length)
+
+
+def window_bounds(length: str, slide: str | None = None, rows: str = ALL,
+                  w: str = "_w") -> list[Column]:
+    """``window_start, window_end`` of a group made by ``window_col``."""
+    if _new_rows(length, slide, rows):
+        return [(F.col(f"{w}.end") - interval(length)).alias("window_start"),
+                F.col(f"{w}.end").alias("window_end")]
     return [F.col(f"{w}.start").alias("window_start"), F.col(f"{w}.end").alias("window_end")]
 
 
@@ -74,7 +82,7 @@ def window_count(df: DataFrame, keys: list[str] | tuple[str, ...] = (),
     """
     staged = df.select(window_col(time_col, length, slide, rows).alias("_w"), *keys)
     return (staged.groupBy("_w", *keys).agg(F.count(F.lit(1)).alias(count_col))
-            .select(*_bounds(), *keys, count_col))
+            .select(*window_bounds(length, slide, rows), *keys, count_col))
 
 
 def window_total(df: DataFrame, time_col: str = "event_time",
@@ -108,7 +116,8 @@ def counts_by_name(df: DataFrame, names: dict[str, str] | None = None,
     for i in reversed(range(len(ks))):
         name = F.when(F.col(f"_g{i}") == 0, F.lit(labels[i])).otherwise(name)
         key = F.when(F.col(f"_g{i}") == 0, F.col(ks[i]).cast("string")).otherwise(key)
-    return agg.select(*_bounds(), name.alias("name"), key.alias("key"), count_col)
+    return agg.select(*window_bounds(length, slide, rows), name.alias("name"), key.alias("key"),
+                      count_col)
 
 
 def hierarchical_count(df: DataFrame, time_col: str = "event_time",
@@ -126,12 +135,12 @@ def hierarchical_count(df: DataFrame, time_col: str = "event_time",
                        F.col(time_col).alias("_t"))
     agg = staged.groupBy("_w", *keys).agg(F.count(F.lit(1)).alias("total_count"),
                                           F.min("_t").alias("_first"))
-    out = agg.select(*_bounds(), *keys, "total_count", "_first")
-    if rows == NEW and slide and slide != length:
+    out = agg.select(*window_bounds(length, slide, rows), *keys, "total_count", "_first")
+    if _new_rows(length, slide, rows):
         # the first time of a sliding window spans rows older than its "new" rows
         first = (df.select(F.window(time_col, length, slide).alias("_w"), F.col(time_col).alias("_t"))
                  .groupBy("_w").agg(F.min("_t").alias("timestamp"))
-                 .select(*_bounds(), "timestamp"))
+                 .select(*window_bounds(length, slide), "timestamp"))
         return (out.join(first, ["window_start", "window_end"], "left")
                 .select("window_start", "window_end", *keys, "total_count", "timestamp"))
     w = Window.partitionBy("window_start", "window_end")
@@ -156,7 +165,7 @@ def conditional_counts(df: DataFrame, code_col: str = "return_code",
     agg = staged.groupBy("_w").agg(
         *[F.count_if(F.col("_code") == F.lit(v)).alias(m) for m, v in metrics.items()],
         F.min("_t").alias("timestamp"))
-    wide = agg.select(*_bounds(), "timestamp", *metrics)
+    wide = agg.select(*window_bounds(length, slide, rows), "timestamp", *metrics)
     tall = wide.unpivot(["window_start", "window_end", "timestamp"], list(metrics), "metric", "n")
     return (tall.where(F.col("n") != 0)
             .select("window_start", "window_end", "metric", "n", "timestamp"))
@@ -174,7 +183,7 @@ def window_last_key(df: DataFrame, key: str, order_cols: tuple[str, ...] = ("ts_
                        F.struct(*order_cols).alias("_o"))
     agg = staged.groupBy("_w").agg(F.max_by(key, "_o").alias(key),
                                    F.count(F.lit(1)).alias(count_col))
-    return agg.select(*_bounds(), key, count_col)
+    return agg.select(*window_bounds(length, slide), key, count_col)
 
 
 def pack_map(counts: DataFrame, key_col: str = "key", count_col: str = "n",

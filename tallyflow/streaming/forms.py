@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.operators import calllog as cl
 from tallyflow.operators import wordcount as wc
-from tallyflow.operators.windows import ALL, window_col
+from tallyflow.operators.windows import ALL, interval, window_col
 
 # Fixed value: the reference's (commented) event-time lag.
 DEFAULT_LAG = "5 seconds"
@@ -47,18 +47,23 @@ def hierarchical_stream(parsed: DataFrame, length: str = "10 seconds",
     Aggregate 1 counts per (window, key) and keeps each group's first time;
     aggregate 2 (chained, same window) packs the window's records and takes
     the least first time; the packed list is exploded back to rows. Append
-    mode: a window is emitted once the watermark passes its end.
+    mode: a window is emitted once the watermark passes its end. With
+    ``rows="new"`` the stream's ``timestamp`` is the first time of the new
+    rows (the batch form takes it over the whole sliding window).
     """
     g = (parsed.select(window_col("event_time", length, slide, rows).alias("_w"),
                        "project_name", "class_name", "method_name", "event_time")
          .groupBy("_w", "project_name", "class_name", "method_name")
          .agg(F.count(F.lit(1)).alias("total_count"), F.min("event_time").alias("_first")))
-    packed = (g.groupBy(F.window(F.window_time("_w"), length, slide).alias("_w2")
-                        if slide else F.window(F.window_time("_w"), length).alias("_w2"))
+    # Each first-level window ends on a distinct multiple of the step, so the
+    # tumbling step bucket holding its window_time identifies it exactly
+    # (re-windowing with a sliding spec would put it in several windows).
+    step = slide or length
+    packed = (g.groupBy(F.window(F.window_time("_w"), step).alias("_w2"))
               .agg(F.collect_list(F.struct("project_name", "class_name", "method_name",
                                            "total_count")).alias("_rows"),
                    F.min("_first").alias("timestamp")))
-    return packed.select(F.col("_w2.start").alias("window_start"),
+    return packed.select((F.col("_w2.end") - interval(length)).alias("window_start"),
                          F.col("_w2.end").alias("window_end"),
                          F.inline("_rows"), "timestamp")
 

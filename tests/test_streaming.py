@@ -220,3 +220,53 @@ def test_stream_equals_batch_on_driver_events(spark, scratch):
     expect = {tuple(r) for r in batch.select("window_start", "project_name", "class_name",
                                              "method_name", "total_count", "timestamp").collect()}
     assert stream == expect and len(expect) > 500
+
+
+def _stream_rows(spark, scratch, name, build):
+    src = os.path.join(scratch, "in-" + name)
+    for i, chunk in enumerate([CALL_LOG_D[:3], CALL_LOG_D[3:], [SENTINEL]]):
+        _stage(src, f"b{i}.txt", chunk)
+    parsed = forms.parsed_with_watermark(read_stream(spark, StreamSpec(path=src, max_files_per_trigger=1)))
+    _run(build(parsed).writeStream.outputMode("append").format("memory").queryName(name)
+         .option("checkpointLocation", os.path.join(scratch, "ck-" + name)))
+    return spark.table(name)
+
+
+def _batch_parsed(spark):
+    df = spark.createDataFrame([(v,) for v in CALL_LOG_D], "value string")
+    return cl.parse_call_log(df, time_type="timestamp")
+
+
+def _rows(df, cols):
+    return {tuple(r) for r in df.select(*cols).collect()}
+
+
+def test_window_operators_stream_equal_batch(spark, scratch):
+    """counts_by_name (GROUPING SETS), conditional counts and sliding windows
+    ("all" and "new" rows) give the batch result on a stream; the sentinel's
+    own window is still open and not emitted."""
+    b = _batch_parsed(spark)
+    cols = ["window_start", "window_end", "name", "key", "n"]
+    s = _stream_rows(spark, scratch, "byname_s", lambda p: win.counts_by_name(p, length="10 seconds"))
+    assert _rows(s, cols) == _rows(win.counts_by_name(b, length="10 seconds"), cols)
+    cols = ["window_start", "window_end", "metric", "n", "timestamp"]
+    s = _stream_rows(spark, scratch, "cond_s", lambda p: win.conditional_counts(
+        cl.result_codes(p), length="10 seconds"))
+    assert _rows(s, cols) == _rows(win.conditional_counts(cl.result_codes(b), length="10 seconds"), cols)
+    cols = ["window_start", "window_end", "class_name", "n"]
+    for rows in (win.ALL, win.NEW):
+        name = f"slide_{rows}_s"
+        s = _stream_rows(spark, scratch, name, lambda p: win.window_count(
+            p, ["class_name"], length="10 seconds", slide="5 seconds", rows=rows))
+        expect = _rows(win.window_count(b, ["class_name"], length="10 seconds", slide="5 seconds",
+                                        rows=rows), cols)
+        assert _rows(s, cols) == expect and len(expect) >= 3
+
+
+def test_hierarchical_stream_sliding(spark, scratch):
+    b = _batch_parsed(spark)
+    cols = ["window_start", "window_end", "project_name", "class_name", "method_name", "total_count"]
+    s = _stream_rows(spark, scratch, "hier_slide_s", lambda p: forms.hierarchical_stream(
+        p, "10 seconds", "5 seconds"))
+    expect = _rows(win.hierarchical_count(b, length="10 seconds", slide="5 seconds"), cols)
+    assert _rows(s, cols) == expect and len(expect) > 4
