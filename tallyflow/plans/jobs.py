@@ -30,6 +30,7 @@ from tallyflow.sinks.records import to_records, write_records_stream
 from tallyflow.sinks.snapshot import KeyedSnapshot
 from tallyflow.sources.streams import StreamSpec, read_stream
 from tallyflow.streaming import forms
+from tallyflow.streaming.state import read_state
 
 # The reference jobs' window settings.
 LOG_WINDOW = "10 seconds"       # J-LOG length = slide
@@ -49,7 +50,8 @@ def word_count_stream(spark: SparkSession, spec: StreamSpec, checkpoint: str | N
                       trigger: dict | None = None, foreach_batch=None) -> StreamingQuery:
     """Running word count; ``update`` emits each changed count (K8),
     ``complete`` the whole listing (K7). Output goes to ``foreach_batch``
-    (restartable from the checkpoint) or, when None, to a memory table
+    (restartable from the checkpoint; it must execute the batch, or the
+    state of that batch is not committed) or, when None, to a memory table
     ``query_name`` (for interactive use; not restartable in update mode)."""
     counts = forms.running_word_count(read_stream(spark, spec), "value", wc.WHITESPACE)
     w = (counts.writeStream.outputMode(output_mode)
@@ -142,6 +144,32 @@ def word_lookup(requests: DataFrame, state: DataFrame, on_miss: str = lk.DROP) -
                      reduce=not requests.isStreaming)
 
 
+def word_state_from_stream(spark: SparkSession, state_checkpoint: str) -> DataFrame:
+    """The running word count's committed state (S5) as ``(word, count)``."""
+    st = read_state(spark, state_checkpoint)
+    return st.select(F.col("key.word").alias("word"), F.col("value.count").alias("count"))
+
+
+def word_lookup_stream(spark: SparkSession, requests: DataFrame, state_checkpoint: str,
+                       sink, checkpoint: str | None = None, on_miss: str = lk.DROP,
+                       trigger: dict | None = None) -> StreamingQuery:
+    """Requests answered from the live word-count state.
+
+    Each micro-batch of ``requests`` (``request_id, args``) is joined to the
+    state last committed by the word-count query at ``state_checkpoint``,
+    read through the state reader, with the batch look-up plan (distinct
+    keys first, hot keys salted). ``sink(answers_df, batch_id)`` writes the
+    answers.
+    """
+    def answer(batch: DataFrame, batch_id: int) -> None:
+        state = word_state_from_stream(spark, state_checkpoint)
+        sink(word_lookup(batch, state, on_miss), batch_id)
+
+    w = (requests.writeStream.foreachBatch(answer)
+         .option("checkpointLocation", checkpoint or sub_dir(spark, "ckpt/word_lookup")))
+    return (w.trigger(**trigger) if trigger else w).start()
+
+
 # -- J-KTEST ------------------------------------------------------------------
 
 def sentence_records(lines: DataFrame, text_col: str = "line") -> DataFrame:

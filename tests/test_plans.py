@@ -13,7 +13,6 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from tallyflow.operators import topn
 from tallyflow.plans import queries as Q
 
 SF = "/root/testdata/sf0.01"

@@ -9,7 +9,6 @@ import json
 import os
 import time
 
-from pyspark.sql import functions as F
 
 from tallyflow.operators import calllog as cl
 from tallyflow.operators import lookup as lk
@@ -270,3 +269,24 @@ def test_hierarchical_stream_sliding(spark, scratch):
         p, "10 seconds", "5 seconds"))
     expect = _rows(win.hierarchical_count(b, length="10 seconds", slide="5 seconds"), cols)
     assert _rows(s, cols) == expect and len(expect) > 4
+
+
+def test_word_lookup_against_live_state(spark, scratch):
+    """J-DRPC stream form: the word-count stream keeps its state; a request
+    stream is answered from the state it last committed."""
+    src, ck = os.path.join(scratch, "in"), os.path.join(scratch, "wc-ck")
+    _stage(src, "a.txt", SENTENCES)
+    q = jobs.word_count_stream(spark, StreamSpec(path=src), ck, "update", trigger=AVAILABLE_NOW,
+                               foreach_batch=lambda b, i: b.write.format("noop").mode("overwrite").save())
+    q.awaitTermination()
+    req_dir = os.path.join(scratch, "req")
+    _stage(req_dir, "r.json", [json.dumps({"request_id": 1, "args": "the and apple snow jumped"}),
+                               json.dumps({"request_id": 2, "args": "kafka"})])
+    reqs = spark.readStream.schema("request_id long, args string").json(req_dir)
+    got = []
+    q = jobs.word_lookup_stream(spark, reqs, ck, lambda df, i: got.extend(
+        (r.request_id, r.word, r["count"]) for r in df.collect()),
+        os.path.join(scratch, "req-ck"), trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    assert sorted(got) == sorted([(1, "the", 4), (1, "and", 2), (1, "apple", 1), (1, "snow", 1),
+                                  (1, "jumped", 1)])
