@@ -129,17 +129,17 @@ def json_key_filter(messages: DataFrame, key: str, value_col: str = "value",
 
 
 def json_key_rejects(messages: DataFrame, key: str, value_col: str = "value",
-                     mode: str = STRICT) -> DataFrame:
+                     mode: str = STRICT, keep: tuple[str, ...] = ()) -> DataFrame:
     """malformed text, non-objects, and (strict) non-string values.
 
     Objects without ``key`` are dropped silently, as in the reference, and
     are not rejects.
     """
-    staged = compute_once(messages.select(F.col(value_col).alias("_value")),
+    staged = compute_once(messages.select(*keep, F.col(value_col).alias("_value")),
                           parse_variant("_value").alias("_v"))
     x = variant_field("_v", key)
     not_object = ~variant_type("_v").startswith("OBJECT")
     bad = F.col("_value").isNotNull() & (F.col("_v").isNull() | not_object)
     if mode == STRICT:
         bad = bad | (x.isNotNull() & ~variant_type(x).isin("STRING", "VOID"))
-    return staged.where(bad).select(F.col("_value").alias(value_col))
+    return staged.where(bad).select(*keep, F.col("_value").alias(value_col))

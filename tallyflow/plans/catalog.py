@@ -19,6 +19,7 @@ _ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     # words: J-WC, J-DRPC, J-KTEST
     "word_count_space": (Q.word_count_space, O.WORD_COUNT_SPACE),
     "word_count_ws": (Q.word_count_ws, O.WORD_COUNT_WS),
+    "sentence_records": (Q.sentence_records, O.SENTENCE_RECORDS),
     "topic_records": (Q.topic_records, O.TOPIC_RECORDS),
     "top_words": (Q.top_words, O.TOP_WORDS),
     "lookup_drop": (Q.lookup_drop, O.LOOKUP_DROP),
@@ -29,6 +30,7 @@ _ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     # call logs: J-LOG
     "parse_call_log": (Q.parse_call_log, O.PARSE_CALL_LOG),
     "json_key_filter": (Q.json_key_filter, O.JSON_KEY_FILTER),
+    "json_rejects": (Q.json_rejects, O.JSON_REJECTS),
     "status_route": (Q.status_route, O.STATUS_ROUTE),
     "window_count_by_name": (Q.window_count_by_name, O.WINDOW_COUNT_BY_NAME),
     "sliding_count": (Q.sliding_count, O.SLIDING_COUNT),

@@ -99,6 +99,18 @@ SELECT event_id, props, json_extract_string(props, '$.k') AS k
 FROM events WHERE json_exists(props, '$.k')
 """
 
+JSON_REJECTS = """
+SELECT page_id, html FROM pages
+WHERE html IS NOT NULL
+  AND CASE WHEN json_valid(html) THEN json_type(html) <> 'OBJECT'
+             OR json_type(json_extract(html, '$.projectName')) NOT IN ('VARCHAR', 'NULL')
+           ELSE true END
+"""
+
+SENTENCE_RECORDS = """
+SELECT CAST(NULL AS VARCHAR) AS key, text AS value FROM documents
+"""
+
 STATUS_ROUTE = _CALLLOG + """
 SELECT return_code, status_code, project_name, class_name, method_name, ts_ms,
        event_time, msg_id

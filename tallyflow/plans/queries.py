@@ -19,6 +19,7 @@ from tallyflow.operators import state as st
 from tallyflow.operators import topn
 from tallyflow.operators import windows as win
 from tallyflow.operators import wordcount as wc
+from tallyflow.sinks.records import to_records
 from tallyflow.sources import adapters
 from tallyflow.sources.literal import request_strings
 from tallyflow.sources.tables import spread, table
@@ -77,6 +78,13 @@ def word_count_ws(spark, sf_dir):
     return wc.running_sum(wc.word_weights(_lines(spark, sf_dir), "line", wc.WHITESPACE))
 
 
+def sentence_records(spark, sf_dir):
+    """K4 P10: each text message to a topic record; the rows carry no key
+    field, so the key is null."""
+    # no per-row work, so no spread: the scan feeds the records directly
+    return to_records(adapters.lines(table(spark, sf_dir, "documents")), "key", "line")
+
+
 def topic_records(spark, sf_dir):
     """K4 K5 P10 C14: (word, count) as topic records (key, value text)."""
     return st.store_records(word_count_space(spark, sf_dir), "word", "count")
@@ -131,6 +139,13 @@ def json_key_filter(spark, sf_dir):
     return cl.json_key_filter(ev, "k", value_col="props", mode=cl.COERCE, keep=("event_id",))
 
 
+def json_rejects(spark, sf_dir):
+    """messages that are not JSON objects (raw web pages fed to the
+    projectName filter) come out as rejects, whole."""
+    pages = table(spark, sf_dir, "pages")
+    return cl.json_key_rejects(pages, "projectName", value_col="html", keep=("page_id",))
+
+
 def window_count_by_name(spark, sf_dir):
     """Per-hour counts by project, class and method in one pass."""
     return win.counts_by_name(_parsed(spark, sf_dir), length=HOUR)
