@@ -30,10 +30,16 @@ class KeyedSnapshot:
 
     def __init__(self, spark: SparkSession, path: str, key_cols: tuple[str, ...],
                  value_cols: tuple[str, ...], order_col: str = "updated_at",
-                 ttl_seconds: int | None = None, ttl_scope: str = KEY):
+                 ttl_seconds: int | None = None, ttl_scope: str = KEY,
+                 retain: int | None = None):
+        """``retain``: keep only the newest ``retain`` committed versions
+        (older ones are deleted after each successful upsert); None keeps all.
+        Keep at least 2 so a replay of the latest batch finds its base."""
+        if retain is not None and retain < 2:
+            raise ValueError("retain must be at least 2")
         self.spark, self.path = spark, path.rstrip("/")
         self.key_cols, self.value_cols, self.order_col = tuple(key_cols), tuple(value_cols), order_col
-        self.ttl_seconds, self.ttl_scope = ttl_seconds, ttl_scope
+        self.ttl_seconds, self.ttl_scope, self.retain = ttl_seconds, ttl_scope, retain
 
     # -- versions ---------------------------------------------------------
     def _fs(self):
@@ -88,6 +94,13 @@ class KeyedSnapshot:
         if self.ttl_seconds is not None:
             out = live_state(out, self.order_col, self.ttl_seconds, None, self.ttl_scope)
         out.write.mode("overwrite").parquet(self._version_path(batch_id))
+        if self.retain is not None:
+            self._prune()
+
+    def _prune(self) -> None:
+        fs, jvm = self._fs()
+        for v in self.versions()[:-self.retain]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._version_path(v)), True)
 
     def foreach_batch(self):
         """A ``writeStream.foreachBatch`` function performing ``upsert``."""

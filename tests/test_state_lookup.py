@@ -112,3 +112,12 @@ def test_hot_key_salting_keeps_results_whole(spark, sentences):
         assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
     salted = lk.lookup(toks, state, key_col="word", rows_per_salt=5)
     assert salted.where("word = 'the'").count() == 41
+
+
+def test_snapshot_retention(spark, scratch):
+    snap = KeyedSnapshot(spark, scratch + "/snap", ("k",), ("n",), "updated_at", retain=2)
+    for i in range(4):
+        rows = [("a", i, dt.datetime(2024, 1, 1, 0, 0, i))]
+        snap.upsert(spark.createDataFrame(rows, "k string, n long, updated_at timestamp"), i)
+    assert snap.versions() == [2, 3]
+    assert [(r.k, r.n) for r in snap.read().collect()] == [("a", 3)]
