@@ -40,7 +40,7 @@ def test_rolling_job_with_ttl(call_log):
     assert [(r.projectName, r["count"]) for r in live] == [("p1", 1)]
 
 
-def test_drpc_job(spark, sentences):
+def test_word_lookup_job_miss(spark, sentences):
     state = jobs.word_state_batch(sentences)
     req = request_strings(spark, ["kafka"])
     assert jobs.word_lookup(req, state).count() == 0
@@ -50,12 +50,12 @@ def test_topic_records_and_sink(spark, sentences, scratch):
     # producer: sentences carry no key field, so the key is null (K4)
     recs = jobs.sentence_records(sentences)
     assert recs.where("key IS NULL").count() == 5
-    # FIXTURES.md B: literal (word, count) rows -> key = word, value = count (K5)
+    # literal (word, count) text rows, shaped as FIXTURES.md B -> key = word, value = count (K5)
     rows = literal_rows(spark, "word string, count string",
-                        [("storm", "1"), ("trident", "1"), ("needs", "1"), ("javadoc", "1")])
+                        [("alpha", "1"), ("beta", "1"), ("needs", "1"), ("docs", "1")])
     kv = jobs.word_count_records(rows)
-    assert sorted(map(tuple, kv.collect())) == [("javadoc", "1"), ("needs", "1"),
-                                                ("storm", "1"), ("trident", "1")]
+    assert sorted(map(tuple, kv.collect())) == [("alpha", "1"), ("beta", "1"),
+                                                ("docs", "1"), ("needs", "1")]
     out = os.path.join(scratch, "records")
     write_records(kv, path=out)
     back = spark.read.schema(schemas.TOPIC_RECORD).json(out)
