@@ -50,3 +50,15 @@ STATE = T.StructType([
     T.StructField("n", T.LongType()),
     T.StructField("updated_at", T.TimestampType()),
 ])
+
+
+# Driver tables read by the queries, with their parquet types. Reading with
+# an explicit schema skips the footer-reading schema-inference job and fails
+# fast if a file's types change.
+TABLE_SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+               "value double, props string"),
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "pages": "page_id bigint, url string, html string",
+}

@@ -1,8 +1,9 @@
 """Loading the parquet tables the queries read.
 
-Plain ``spark.read.parquet``: Catalyst prunes to the referenced columns
-(``ReadSchema``) and pushes filters into the scan, so loaders select nothing
-themselves.
+Plain ``spark.read.parquet`` with the explicit schemas of
+``tallyflow.schemas.TABLE_SCHEMAS`` (no inference job): Catalyst prunes to the
+referenced columns (``ReadSchema``) and pushes filters into the scan, so
+loaders select nothing themselves.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyflow.schemas import TABLE_SCHEMAS
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
@@ -19,7 +22,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if name in TABLE_SCHEMAS:
+        return spark.read.schema(TABLE_SCHEMAS[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def spread(df: DataFrame, *key_cols: str) -> DataFrame:
