@@ -29,20 +29,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *key_cols: str) -> DataFrame:
-    """Hash-spread an under-partitioned input over the cluster's cores.
-
-    A scan of one large file with one row group is read by one task; the
-    CPU-heavy per-row work after it (tokenising, JSON) would then run on one
-    core. When the input has fewer partitions than the default parallelism,
-    repartition by ``key_cols`` (hash: deterministic on task retry). On a
-    cluster reading many files the scan already has enough partitions and
-    this returns ``df`` unchanged (no extra shuffle).
+    """Hash-spread an input with fewer files than the cluster has cores.
+
+    A scan of one file with one row group is read by one task, however many
+    byte-range splits Spark makes of it; the CPU-heavy per-row work after it
+    (tokenising, JSON) would then run on one core. When the input has fewer
+    files than the default parallelism, repartition by ``key_cols`` (hash:
+    deterministic on task retry). Inputs at scale span many more files than
+    cores and are returned unchanged, with no extra shuffle. The check reads
+    only the file index (``inputFiles``), no data. A few huge files with many
+    row groups would be spread needlessly: one extra shuffle, same result.
     """
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()   # plans the scan; runs no job
-    except Exception:                      # no RDD access (e.g. Spark Connect)
+        files = len(df.inputFiles())
+    except Exception:                      # e.g. Spark Connect, streaming input
         return df
-    if have >= want:
+    if files >= want:
         return df
     return df.repartition(want, *key_cols)
