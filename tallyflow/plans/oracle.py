@@ -221,6 +221,19 @@ SELECT window_start, window_end, class_name, n, rank FROM (
 WHERE rank <= 2
 """
 
+RANK_LATEST = _CALLLOG + """
+, wc AS (
+  SELECT time_bucket(INTERVAL '1 hour', event_time) + INTERVAL '1 hour' AS window_end,
+         class_name, count(*) AS n
+  FROM calllog GROUP BY ALL)
+, lp AS (
+  SELECT class_name, arg_max(n, window_end) AS n, max(window_end) AS updated_at
+  FROM wc GROUP BY class_name)
+SELECT class_name, n, updated_at, rank FROM (
+  SELECT *, rank() OVER (ORDER BY n DESC) AS rank FROM lp)
+WHERE rank <= 3
+"""
+
 _WINDOW_COUNT_PROJECT = """
 , wcp AS (
   SELECT time_bucket(INTERVAL '1 minute', event_time) AS window_start,

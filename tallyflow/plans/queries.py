@@ -220,6 +220,14 @@ def rolling_top_n(spark, sf_dir):
     return topn.top_n_per_group(counts, TOP_N, order_col="n", key_col="class_name")
 
 
+def rank_latest(spark, sf_dir):
+    """K6 O2 A4: the sorted-set listing: each class's count in its latest
+    hour, ranked by that count (ties share a rank), ranks <= 3."""
+    counts = win.window_count(_parsed(spark, sf_dir), ["class_name"], length=HOUR)
+    latest = st.latest_per_key(counts, "class_name", "n", "window_end")
+    return topn.rank_top(latest, 3, order_col="n", key_col="class_name")
+
+
 # -- J-ROLL: rolling project counts, keyed state, look-up --------------------
 
 def window_count_project(spark, sf_dir):
