@@ -67,9 +67,12 @@ def lookup(req_tokens: DataFrame, state: DataFrame, key_col: str = "key",
     """
     state_key = state_key or key_col
     out_col = out_col or value_col
-    how = {DROP: "inner", ZERO: "left", NULL: "left"}.get(on_miss)
-    if how is None:
+    if on_miss not in (DROP, ZERO, NULL):
         raise ValueError(f"on_miss must be {DROP!r}, {ZERO!r} or {NULL!r}")
+    # Every mode is a left join from the request tokens (drop then filters the
+    # misses): only the answer side can be the broadcast build side, never the
+    # request tokens.
+    how = "left"
     st = state.select(F.col(state_key).alias(key_col), F.col(value_col).alias("_val"))
     req_cols = req_tokens.columns
     if reduce:
