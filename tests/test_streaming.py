@@ -290,3 +290,18 @@ def test_word_lookup_against_live_state(spark, scratch):
     q.awaitTermination()
     assert sorted(got) == sorted([(1, "the", 4), (1, "and", 2), (1, "apple", 1), (1, "snow", 1),
                                   (1, "jumped", 1)])
+
+
+def test_topic_records_stream(spark, scratch):
+    """J-KTEST producer as a stream: each sentence becomes a record with a
+    null key (K4), written exactly once through the file sink log."""
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "records")
+    _stage(src, "a.txt", SENTENCES[:2])
+    _stage(src, "b.txt", SENTENCES[2:])
+    lines = read_stream(spark, StreamSpec(path=src, max_files_per_trigger=1))
+    q = jobs.topic_records_stream(jobs.sentence_records(lines, "value"), spark, out,
+                                  os.path.join(scratch, "ck"), trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    back = spark.read.schema("key string, value string").json(out)
+    assert sorted(r.value for r in back.collect()) == sorted(SENTENCES)
+    assert back.where("key IS NOT NULL").count() == 0
