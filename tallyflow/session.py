@@ -33,14 +33,34 @@ DEFAULT_CONF = {
 }
 
 
+# Partition sizing for 100 TB-class inputs on a large cluster. Shuffles start
+# with many partitions and AQE coalesces them to ~256 MB each, so no reducer
+# holds more than it can spill-free sort or hash; scans split files at 256 MB;
+# a skewed join partition (5x the median and over 1 GB) is split.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "16384",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, app_name: str = "tallyflow",
                 shuffle_partitions: int | None = None,
-                extra_conf: dict[str, str] | None = None) -> SparkSession:
-    """Return the active session or build one with ``DEFAULT_CONF``."""
+                extra_conf: dict[str, str] | None = None,
+                profile: str = "local") -> SparkSession:
+    """Return the active session or build one with ``DEFAULT_CONF``
+    (plus ``CLUSTER_CONF`` when ``profile="cluster"``)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    elif profile != "local":
+        raise ValueError("profile must be 'local' or 'cluster'")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
