@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow.operators import lookup as lk
+from tallyflow.operators import wordcount as wc
 from tallyflow.plans import jobs
 from tallyflow.session import get_session, sub_dir
 from tallyflow.sinks.documents import write_documents
@@ -71,10 +72,13 @@ def word_count(spark: SparkSession, a) -> None:
             # changed counts of each micro-batch (update mode), tagged by batch
             batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
         jobs.word_count_stream(spark, _spec(a), _ckpt(spark, a, "word_count"), "update",
-                               trigger=_trigger(a), foreach_batch=sink).awaitTermination()
+                               trigger=_trigger(a), foreach_batch=sink,
+                               mode=a.split).awaitTermination()
         return
     lines = _read_batch(spark, a).withColumnRenamed("value", "line")
-    jobs.word_count_batch(lines).write.mode("overwrite").parquet(a.output)
+    counts = jobs.word_count_batch(lines) if a.split == wc.WHITESPACE else \
+        jobs.word_state_batch(lines)
+    counts.write.mode("overwrite").parquet(a.output)
 
 
 def log_rollup(spark: SparkSession, a) -> None:
@@ -133,6 +137,8 @@ def parser() -> argparse.ArgumentParser:
     sp = sub.add_parser("word-count")
     common(sp)
     sp.add_argument("--output", required=True)
+    sp.add_argument("--split", default=wc.WHITESPACE, choices=[wc.WHITESPACE, wc.SPACE],
+                    help="whitespace runs (word-count job) or single spaces (look-up state)")
     sp = sub.add_parser("log-rollup")
     common(sp)
     sp.add_argument("--output", required=True)

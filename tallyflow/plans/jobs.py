@@ -47,13 +47,16 @@ def word_count_batch(lines: DataFrame, text_col: str = "line") -> DataFrame:
 
 def word_count_stream(spark: SparkSession, spec: StreamSpec, checkpoint: str | None = None,
                       output_mode: str = "update", query_name: str = "word_count",
-                      trigger: dict | None = None, foreach_batch=None) -> StreamingQuery:
+                      trigger: dict | None = None, foreach_batch=None,
+                      mode: str = wc.WHITESPACE) -> StreamingQuery:
     """Running word count; ``update`` emits each changed count (K8),
     ``complete`` the whole listing (K7). Output goes to ``foreach_batch``
     (restartable from the checkpoint; it must execute the batch, or the
     state of that batch is not committed) or, when None, to a memory table
-    ``query_name`` (for interactive use; not restartable in update mode)."""
-    counts = forms.running_word_count(read_stream(spark, spec), "value", wc.WHITESPACE)
+    ``query_name`` (for interactive use; not restartable in update mode).
+    ``mode``: whitespace-run tokens (J-WC) or single-space tokens (the
+    J-DRPC state that ``word_lookup_stream`` serves)."""
+    counts = forms.running_word_count(read_stream(spark, spec), "value", mode)
     w = (counts.writeStream.outputMode(output_mode)
          .option("checkpointLocation", checkpoint or sub_dir(spark, f"ckpt/{query_name}")))
     w = w.foreachBatch(foreach_batch) if foreach_batch else w.format("memory").queryName(query_name)
@@ -187,5 +190,6 @@ def topic_records_stream(records: DataFrame, spark: SparkSession, path: str | No
                          checkpoint: str | None = None, topic: str | None = None,
                          bootstrap_servers: str | None = None,
                          trigger: dict | None = None) -> StreamingQuery:
+    """Records to a topic (``topic``) or JSON files (``path``), append mode."""
     return write_records_stream(records, checkpoint or sub_dir(spark, "ckpt/records"), path,
                                 topic, bootstrap_servers, "append", trigger)

@@ -277,7 +277,8 @@ def test_word_lookup_against_live_state(spark, scratch):
     src, ck = os.path.join(scratch, "in"), os.path.join(scratch, "wc-ck")
     _stage(src, "a.txt", SENTENCES)
     q = jobs.word_count_stream(spark, StreamSpec(path=src), ck, "update", trigger=AVAILABLE_NOW,
-                               foreach_batch=lambda b, i: b.write.format("noop").mode("overwrite").save())
+                               foreach_batch=lambda b, i: b.write.format("noop").mode("overwrite").save(),
+                               mode="space")
     q.awaitTermination()
     req_dir = os.path.join(scratch, "req")
     _stage(req_dir, "r.json", [json.dumps({"request_id": 1, "args": "the and apple snow jumped"}),
