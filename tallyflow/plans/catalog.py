@@ -33,6 +33,7 @@ _ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "json_rejects": (Q.json_rejects, O.JSON_REJECTS),
     "status_route": (Q.status_route, O.STATUS_ROUTE),
     "window_count_by_name": (Q.window_count_by_name, O.WINDOW_COUNT_BY_NAME),
+    "window_count_class": (Q.window_count_class, O.WINDOW_COUNT_CLASS),
     "sliding_count": (Q.sliding_count, O.SLIDING_COUNT),
     "sliding_count_new": (Q.sliding_count_new, O.SLIDING_COUNT_NEW),
     "hierarchical_count": (Q.hierarchical_count, O.HIERARCHICAL_COUNT),

@@ -167,6 +167,13 @@ SELECT 'logcount-' || strftime(timestamp, '%Y.%m.%d') AS _index, project_name,
 FROM h
 """
 
+WINDOW_COUNT_CLASS = _CALLLOG + """
+SELECT time_bucket(INTERVAL '10 seconds', event_time) AS window_start,
+       time_bucket(INTERVAL '10 seconds', event_time) + INTERVAL '10 seconds' AS window_end,
+       class_name, count(*) AS n
+FROM calllog GROUP BY ALL
+"""
+
 SLIDING_COUNT = _CALLLOG + """
 SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, class_name, count(*) AS n
 FROM (SELECT class_name, b - to_minutes(15 * k) AS window_start

@@ -151,6 +151,13 @@ def window_count_by_name(spark, sf_dir):
     return win.counts_by_name(_parsed(spark, sf_dir), length=HOUR)
 
 
+def window_count_class(spark, sf_dir):
+    """Per-class counts in the reference's 10 s windows (length =
+    slide), the class key taken from the message's clazz."""
+    return win.window_count(_parsed(spark, sf_dir), ["class_name"], length="10 seconds",
+                            slide="10 seconds")
+
+
 def sliding_count(spark, sf_dir):
     """T2 T5 (all rows): 1 h windows sliding by 15 min, per class."""
     return win.window_count(_parsed(spark, sf_dir), ["class_name"], length=HOUR,
