@@ -70,3 +70,17 @@ def test_split_runs_once(spark):
 def test_no_python_udf(spark, name):
     p = _plan(E.queries()[name](spark, SF))
     assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_lookup_final_plan_broadcasts_measured_side(spark):
+    """SURVEY 4: look-ups end as broadcast hash joins. Static broadcast is
+    off, so the broadcasts are AQE's, on measured sizes, plus the bounded
+    hot-key set; the request tokens are never the build side."""
+    df = Q.lookup_zero(spark, SF)
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final
+    for line in final.split("\n"):
+        if "BroadcastHashJoin" in line and "LeftOuter" in line:
+            assert "BuildRight" in line
