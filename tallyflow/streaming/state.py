@@ -72,7 +72,13 @@ class LatestWithTTL(StatefulProcessor):
 def latest_with_ttl_stream(df: DataFrame, key: str, value_col: str = "n",
                            order_col: str = "updated_at",
                            ttl_seconds: int = DEFAULT_TTL_SECONDS) -> DataFrame:
-    """Apply ``LatestWithTTL`` to a stream of ``(key, value, order)`` rows."""
+    """Apply ``LatestWithTTL`` to a stream of ``(key, value, order)`` rows.
+
+    Feed it aggregated rows (e.g. per-window counts, as the rolling job
+    does): the stateful operator receives every row of a key in one task,
+    with no partial aggregation before its shuffle, so raw events of a hot
+    key should be counted by a windowed aggregate first.
+    """
     staged = df.select(df[key].cast("string").alias(key), df[value_col].cast("long").alias(value_col),
                        df[order_col].cast("timestamp").alias(order_col))
     return staged.groupBy(key).transformWithStateInPandas(
