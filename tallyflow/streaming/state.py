@@ -74,10 +74,13 @@ def latest_with_ttl_stream(df: DataFrame, key: str, value_col: str = "n",
                            ttl_seconds: int = DEFAULT_TTL_SECONDS) -> DataFrame:
     """Apply ``LatestWithTTL`` to a stream of ``(key, value, order)`` rows.
 
-    Feed it aggregated rows (e.g. per-window counts, as the rolling job
-    does): the stateful operator receives every row of a key in one task,
-    with no partial aggregation before its shuffle, so raw events of a hot
-    key should be counted by a windowed aggregate first.
+    Feed it aggregated rows (e.g. per-window counts): the stateful operator
+    receives every row of a key in one task, with no partial aggregation
+    before its shuffle, so raw events of a hot key should be counted first.
+    Spark rejects a windowed append-mode count feeding this operator in the
+    same query (global-watermark correctness check), so such counts come
+    from another query's output (files or a topic); the rolling job instead
+    upserts its closed windows into a TTL snapshot.
     """
     staged = df.select(df[key].cast("string").alias(key), df[value_col].cast("long").alias(value_col),
                        df[order_col].cast("timestamp").alias(order_col))
