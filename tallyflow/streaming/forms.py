@@ -76,8 +76,7 @@ def top_n_stream(rows: DataFrame, n: int, key_col: str, time_col: str = "event_t
     Aggregate 1 counts rows per (window, key); aggregate 2 (chained on the
     same window) keeps the sorted list of (-count, key) and slices the first
     ``n``. It holds one entry per key of a window, so use it for bounded key
-    sets; for free-text keys run ``tallyflow.operators.topn.top_n_per_group``
-    inside ``foreachBatch`` on complete windows instead.
+    sets; for free-text keys use ``top_n_closed_windows``.
     """
     g = (rows.groupBy(F.window(time_col, length).alias("_w"), key_col)
          .agg(F.count(F.lit(1)).alias("_n")))
@@ -90,6 +89,23 @@ def top_n_stream(rows: DataFrame, n: int, key_col: str, time_col: str = "event_t
         (-F.col("_e.neg")).alias(count_col), (F.col("_pos") + 1).cast("long").alias(rank_col))
 
 
+def top_n_closed_windows(counts: DataFrame, n: int, key_col: str, sink, checkpoint: str,
+                         count_col: str = "n", trigger: dict | None = None):
+    """O1 on a stream for any number of keys: ``counts`` is an append-mode
+    windowed count (``window_start, window_end, key, count``); append mode
+    emits each closed window's complete counts in one micro-batch, so the
+    batch top-N (map-side WindowGroupLimit, no per-window list in state) runs
+    on each micro-batch and ``sink(top_df, batch_id)`` writes it."""
+    from tallyflow.operators.topn import top_n_per_group
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        sink(top_n_per_group(batch, n, order_col=count_col, key_col=key_col), batch_id)
+
+    w = (counts.writeStream.outputMode("append").foreachBatch(per_batch)
+         .option("checkpointLocation", checkpoint))
+    return (w.trigger(**trigger) if trigger else w).start()
+
+
 def observe_rows(df: DataFrame, name: str) -> DataFrame:
     """A pass-through side channel: row count per batch, reported
     in the query progress (``observedMetrics``) without changing ``df``."""

@@ -306,3 +306,27 @@ def test_topic_records_stream(spark, scratch):
     back = spark.read.schema("key string, value string").json(out)
     assert sorted(r.value for r in back.collect()) == sorted(SENTENCES)
     assert back.where("key IS NOT NULL").count() == 0
+
+
+def test_top_n_closed_windows_for_free_text(spark, scratch):
+    """Top-2 words per 10 s window of a text stream, computed per micro-batch
+    on closed windows (no per-window list of all words in state)."""
+    src = os.path.join(scratch, "in")
+    base = dt.datetime(2024, 1, 1)
+    rows = [(0, "the cow the moon"), (3, "the apple a day"), (12, "snow and the seven"),
+            (14, "seven years seven"), (400, "sentinel")]
+    for i, (sec, text) in enumerate(rows):
+        _stage(src, f"b{i}.json", [json.dumps({"ts": (base + dt.timedelta(seconds=sec)).isoformat() + "Z",
+                                               "line": text})])
+    spec = StreamSpec(path=src, file_format="json", schema="ts timestamp, line string",
+                      max_files_per_trigger=1)
+    from tallyflow.operators import wordcount as wc
+    toks = wc.tokens(read_stream(spark, spec).withWatermark("ts", "5 seconds"), "line",
+                     keep=("ts",))
+    counts = win.window_count(toks, ["word"], time_col="ts", length="10 seconds")
+    got = []
+    q = forms.top_n_closed_windows(counts, 2, "word", lambda df, i: got.extend(
+        (r.window_start.second, r.word, r.n, r.rank) for r in df.collect()),
+        os.path.join(scratch, "ck"), trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    assert sorted(got) == sorted([(0, "the", 3, 1), (0, "a", 1, 2), (10, "seven", 3, 1), (10, "and", 1, 2)])
