@@ -23,14 +23,34 @@ from tallyflow.functions.tokens import last_token
 PARSED_COLS = ("msg_id", "project_name", "class_name", "method_name", "ts_ms",
                "event_time", "output_info")
 
+STRICT = "strict"   # JSON types checked: a non-text value reads as null / a reject
+COERCE = "coerce"   # numbers and objects read as their JSON text
+
+# output column -> message field, for the text fields of a call log
+_TEXT_FIELDS = {"msg_id": "id", "project_name": "projectName", "_clazz": "clazz",
+                "method_name": "method", "output_info": "outputInfo"}
+
 
 def _parse(messages: DataFrame, value_col: str) -> DataFrame:
     staged = messages.select(F.col(value_col).alias("_value"))
     return compute_once(staged, parse_struct("_value", schemas.CALL_LOG_FIELDS).alias("_p"))
 
 
+def _parse_strict(messages: DataFrame, value_col: str) -> DataFrame:
+    """One VARIANT parse; text fields typed-checked, ``date`` integral."""
+    staged = compute_once(messages.select(F.col(value_col).alias("_value")),
+                          parse_variant("_value").alias("_v"))
+    date = variant_field("_v", "date")
+    cols = [F.when(variant_type(variant_field("_v", k)) == "STRING",
+                   variant_field_string("_v", k)).alias(out) for out, k in _TEXT_FIELDS.items()]
+    ok = (variant_type("_v").startswith("OBJECT")
+          & (date.isNull() | (variant_type(date) == "BIGINT")))
+    return staged.select("_value", ok.alias("_ok"), *cols,
+                         F.expr("try_variant_get(_v, '$.date', 'bigint')").alias("_date"))
+
+
 def parse_call_log(messages: DataFrame, value_col: str = "value",
-                   time_type: str = "timestamp_ntz") -> DataFrame:
+                   time_type: str = "timestamp_ntz", mode: str = COERCE) -> DataFrame:
     """Call-log JSON -> ``split_by_name`` rows.
 
     Columns: ``msg_id`` (null when absent), ``project_name``, ``class_name``
@@ -38,7 +58,20 @@ def parse_call_log(messages: DataFrame, value_col: str = "value",
     0 when absent), ``event_time`` (from ``ts_ms``; TIMESTAMP_NTZ for batch,
     TIMESTAMP for streams) and ``output_info`` (JSON text or null).
     Malformed messages are left out; ``call_log_rejects`` returns them.
+
+    ``coerce`` (default): one ``from_json``; a number or object in a text
+    field reads as its JSON text. ``strict``: as the reference's parser, a
+    text field holding another JSON type (or null) reads as null, and a
+    ``date`` that is not an integer makes the message a reject.
     """
+    if mode == STRICT:
+        p = _parse_strict(messages, value_col).where("_ok")
+        ts_ms = F.coalesce(F.col("_date"), F.lit(0).cast("long"))
+        return p.select("msg_id", "project_name", last_token("_clazz").alias("class_name"),
+                        "method_name", ts_ms.alias("ts_ms"),
+                        to_event_time(ts_ms, time_type).alias("event_time"), "output_info")
+    if mode != COERCE:
+        raise ValueError(f"mode must be {STRICT!r} or {COERCE!r}")
     p = _parse(messages, value_col)
     ok = p.where(F.col("_p").isNotNull() & F.col(f"_p.{CORRUPT}").isNull())
     ts_ms = F.coalesce(F.col("_p.date"), F.lit(0).cast("long"))
@@ -53,8 +86,14 @@ def parse_call_log(messages: DataFrame, value_col: str = "value",
     )
 
 
-def call_log_rejects(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """Messages that are not a parsable call-log object."""
+def call_log_rejects(messages: DataFrame, value_col: str = "value",
+                     mode: str = COERCE) -> DataFrame:
+    """Messages that are not a parsable call-log object (in strict
+    mode also those whose ``date`` is not an integer)."""
+    if mode == STRICT:
+        p = _parse_strict(messages, value_col)
+        return p.where(F.col("_value").isNotNull() & ~F.coalesce("_ok", F.lit(False))) \
+            .select(F.col("_value").alias(value_col))
     p = _parse(messages, value_col)
     bad = (F.col("_p").isNull() & F.col("_value").isNotNull()) | F.col(f"_p.{CORRUPT}").isNotNull()
     return p.where(bad).select(F.col("_value").alias(value_col))
@@ -93,10 +132,6 @@ def route(parsed: DataFrame) -> dict[str, DataFrame]:
             "result_code": result_codes(parsed)}
 
 
-STRICT = "strict"
-COERCE = "coerce"
-
-
 def json_key_filter(messages: DataFrame, key: str, value_col: str = "value",
                     out_col: str | None = None, mode: str = STRICT,
                     keep: tuple[str, ...] = (),

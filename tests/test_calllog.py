@@ -76,3 +76,29 @@ def test_json_key_with_extra_fields(spark):
 def test_odd_key_names(spark):
     df = spark.createDataFrame([('{"it\'s":"v"}',)], "value string")
     assert cl.json_key_filter(df, "it's").first()["it's"] == "v"
+
+
+def test_strict_call_log_types(spark):
+    msgs = ['{"id":7,"date":5,"projectName":5,"clazz":"class a.B","method":null}',
+            '{"id":"x","date":1.5,"projectName":"p"}',
+            '{"id":"y","date":null,"projectName":"p"}',
+            '{"id":"z","projectName":"p","clazz":{"k":1}}', '[1]', 'bad']
+    df = spark.createDataFrame([(m,) for m in msgs], "value string")
+    rows = {r.msg_id: r for r in cl.parse_call_log(df, mode=cl.STRICT).collect()}
+    # non-text values read as null (the reference's caught getString error)
+    assert set(rows) == {None, "z"}
+    a = rows[None]
+    assert (a.project_name, a.class_name, a.method_name, a.ts_ms) == (None, "a.B", None, 5)
+    assert rows["z"].class_name is None and rows["z"].ts_ms == 0
+    rej = sorted(r.value for r in cl.call_log_rejects(df, mode=cl.STRICT).collect())
+    assert rej == sorted(['{"id":"x","date":1.5,"projectName":"p"}',
+                          '{"id":"y","date":null,"projectName":"p"}', '[1]', 'bad'])
+    # the default (coerce) reads the same numbers as text
+    co = {r.msg_id for r in cl.parse_call_log(df).collect()}
+    assert "7" in co
+
+
+def test_strict_equals_coerce_on_text_fields(spark, call_log):
+    a = sorted(map(tuple, cl.parse_call_log(call_log).collect()))
+    b = sorted(map(tuple, cl.parse_call_log(call_log, mode=cl.STRICT).collect()))
+    assert a == b
