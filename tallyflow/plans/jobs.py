@@ -75,13 +75,15 @@ def log_rollup_batch(messages: DataFrame, length: str = LOG_WINDOW, slide: str |
 
 def log_rollup_stream(spark: SparkSession, spec: StreamSpec, out_path: str,
                       checkpoint: str | None = None, length: str = LOG_WINDOW,
-                      lag: str = forms.DEFAULT_LAG, trigger: dict | None = None) -> StreamingQuery:
-    """The same on a stream, written to daily-index folders (append)."""
+                      lag: str = forms.DEFAULT_LAG, trigger: dict | None = None,
+                      output_files: int | None = None) -> StreamingQuery:
+    """The same on a stream, written to daily-index folders (append);
+    ``output_files`` bounds the files written per micro-batch and day."""
     parsed = forms.parsed_with_watermark(read_stream(spark, spec), "value", lag)
     rows = forms.hierarchical_stream(parsed, length)
     docs = index_documents(rows, "timestamp")
     return write_documents_stream(docs, out_path, checkpoint or sub_dir(spark, "ckpt/log_rollup"),
-                                  trigger)
+                                  trigger, output_files=output_files)
 
 
 # -- J-ROLL -------------------------------------------------------------------

@@ -37,6 +37,10 @@ DEFAULT_CONF = {
 # with many partitions and AQE coalesces them to ~256 MB each, so no reducer
 # holds more than it can spill-free sort or hash; scans split files at 256 MB;
 # a skewed join partition (5x the median and over 1 GB) is split.
+# Streams are different: a stateful query fixes its state partitions at its
+# first start and AQE does not coalesce them, so start streams with
+# spark.sql.shuffle.partitions sized to the state (a few per core), and bound
+# sink files with the stream writers' ``output_files``.
 CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "16384",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",

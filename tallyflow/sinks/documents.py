@@ -42,8 +42,19 @@ def write_documents(docs: DataFrame, path: str, mode: str = "append",
 
 def write_documents_stream(docs: DataFrame, path: str, checkpoint: str,
                            trigger: dict | None = None, format: str = "json",
-                           options: dict | None = None) -> StreamingQuery:
-    """Stream write (append), exactly-once through the file sink log."""
+                           options: dict | None = None,
+                           output_files: int | None = None) -> StreamingQuery:
+    """Stream write (append), exactly-once through the file sink log.
+
+    A file sink writes one file per task and index day each micro-batch;
+    ``output_files`` coalesces the (small) roll-up output to at most that
+    many tasks first, so a stream with many state partitions does not leave
+    thousands of tiny files per batch. Coalescing is narrow: the final
+    stateful stage then also runs in at most that many tasks, so size it to
+    the roll-up's state, not to the input.
+    """
+    if output_files:
+        docs = docs.coalesce(output_files)
     w = (docs.writeStream.outputMode("append").format(format)
          .option("checkpointLocation", checkpoint).options(**(options or {}))
          .partitionBy("_index"))

@@ -32,9 +32,13 @@ def write_records(records: DataFrame, path: str | None = None, topic: str | None
 def write_records_stream(records: DataFrame, checkpoint: str, path: str | None = None,
                          topic: str | None = None, bootstrap_servers: str | None = None,
                          output_mode: str = "append",
-                         trigger: dict | None = None) -> StreamingQuery:
+                         trigger: dict | None = None,
+                         output_files: int | None = None) -> StreamingQuery:
     """Stream write. ``output_mode="update"`` emits each changed count (K8);
-    file sinks take append only."""
+    file sinks take append only. ``output_files`` coalesces each micro-batch
+    to at most that many files."""
+    if output_files:
+        records = records.coalesce(output_files)
     w = records.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if trigger:
         w = w.trigger(**trigger)

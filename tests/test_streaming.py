@@ -330,3 +330,15 @@ def test_top_n_closed_windows_for_free_text(spark, scratch):
         os.path.join(scratch, "ck"), trigger=AVAILABLE_NOW)
     q.awaitTermination()
     assert sorted(got) == sorted([(0, "the", 3, 1), (0, "a", 1, 2), (10, "seven", 3, 1), (10, "and", 1, 2)])
+
+
+def test_log_rollup_stream_bounded_files(spark, scratch):
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "docs")
+    for i, chunk in enumerate([CALL_LOG_D, [SENTINEL]]):
+        _stage(src, f"b{i}.txt", chunk)
+    q = jobs.log_rollup_stream(spark, StreamSpec(path=src, max_files_per_trigger=1), out,
+                               os.path.join(scratch, "ck"), trigger=AVAILABLE_NOW, output_files=1)
+    q.awaitTermination()
+    day = os.path.join(out, "_index=logcount-2024.01.01")
+    files = [f for f in os.listdir(day) if f.startswith("part-")]
+    assert len(files) == 1 and spark.read.json(out).count() == 4
