@@ -29,7 +29,9 @@ _ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "exclaim_n": (Q.exclaim_n, O.EXCLAIM_N),
     # call logs: J-LOG
     "parse_call_log": (Q.parse_call_log, O.PARSE_CALL_LOG),
+    "parse_call_log_strict": (Q.parse_call_log_strict, O.PARSE_CALL_LOG_STRICT),
     "json_key_filter": (Q.json_key_filter, O.JSON_KEY_FILTER),
+    "json_key_strict": (Q.json_key_strict, O.JSON_KEY_STRICT),
     "json_rejects": (Q.json_rejects, O.JSON_REJECTS),
     "status_route": (Q.status_route, O.STATUS_ROUTE),
     "window_count_by_name": (Q.window_count_by_name, O.WINDOW_COUNT_BY_NAME),

@@ -94,6 +94,12 @@ PARSE_CALL_LOG = _CALLLOG + """
 SELECT msg_id, project_name, class_name, method_name, ts_ms, event_time FROM calllog
 """
 
+PARSE_CALL_LOG_STRICT = PARSE_CALL_LOG
+
+JSON_KEY_STRICT = _CALLLOG + """
+SELECT msg_id, project_name AS projectName FROM calllog
+"""
+
 JSON_KEY_FILTER = """
 SELECT event_id, props, json_extract_string(props, '$.k') AS k
 FROM events WHERE json_exists(props, '$.k')

@@ -133,6 +133,18 @@ def parse_call_log(spark, sf_dir):
     return _parsed(spark, sf_dir).drop("output_info")
 
 
+def parse_call_log_strict(spark, sf_dir):
+    """C4 C5 (strict): the same fields through the type-checked parse."""
+    return cl.parse_call_log(_messages(spark, sf_dir), mode=cl.STRICT).drop("output_info")
+
+
+def json_key_strict(spark, sf_dir):
+    """F2 C5 (strict): call-log messages holding a text projectName."""
+    rows = cl.json_key_filter(_messages(spark, sf_dir), "projectName", mode=cl.STRICT,
+                              fields={"msg_id": ("id", "string")})
+    return rows.select("msg_id", "projectName")
+
+
 def json_key_filter(spark, sf_dir):
     """F2 C5 (coerce): events.props objects holding ``k``, value as text."""
     ev = table(spark, sf_dir, "events")
