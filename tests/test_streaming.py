@@ -342,3 +342,17 @@ def test_log_rollup_stream_bounded_files(spark, scratch):
     day = os.path.join(out, "_index=logcount-2024.01.01")
     files = [f for f in os.listdir(day) if f.startswith("part-")]
     assert len(files) == 1 and spark.read.json(out).count() == 4
+
+
+def test_word_count_complete_listing_equals_batch(spark, scratch):
+    """K7: the complete-mode listing after the last batch is the batch count."""
+    src = os.path.join(scratch, "in")
+    _stage(src, "a.txt", SENTENCES[:2])
+    _stage(src, "b.txt", SENTENCES[2:])
+    q = jobs.word_count_stream(spark, StreamSpec(path=src, max_files_per_trigger=1),
+                               os.path.join(scratch, "ck"), "complete", "wc_complete",
+                               trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    stream = {r.word: r["count"] for r in spark.table("wc_complete").collect()}
+    batch_in = spark.createDataFrame([(s,) for s in SENTENCES], "line string")
+    assert stream == {r.word: r["count"] for r in jobs.word_count_batch(batch_in).collect()}
