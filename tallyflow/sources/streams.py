@@ -8,7 +8,9 @@
            cluster; it is not present on this machine, so this branch is not
            exercised by the tests.
 
-Both return string columns ``key`` (may be null) and ``value``.
+``text`` files and ``kafka`` return string columns ``key`` (may be null) and
+``value``; ``json`` / ``parquet`` files return their schema's columns, with
+``value_col`` (when given) renamed to ``value``.
 """
 
 from __future__ import annotations
