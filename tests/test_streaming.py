@@ -356,3 +356,17 @@ def test_word_count_complete_listing_equals_batch(spark, scratch):
     stream = {r.word: r["count"] for r in spark.table("wc_complete").collect()}
     batch_in = spark.createDataFrame([(s,) for s in SENTENCES], "line string")
     assert stream == {r.word: r["count"] for r in jobs.word_count_batch(batch_in).collect()}
+
+
+def test_rate_limits(spark, scratch):
+    """Files and bytes per trigger bound each micro-batch."""
+    src = os.path.join(scratch, "in")
+    for i in range(4):
+        _stage(src, f"f{i}.txt", ["x" * 1000])
+    for name, spec in (("bytes", StreamSpec(path=src, max_bytes_per_trigger="1500")),
+                       ("files", StreamSpec(path=src, max_files_per_trigger=2)),
+                       ("none", StreamSpec(path=src))):
+        q = _run(read_stream(spark, spec).writeStream.format("noop")
+                 .option("checkpointLocation", os.path.join(scratch, "ck-" + name)))
+        batches = sum(1 for p in q.recentProgress if p["numInputRows"] > 0)
+        assert batches == {"bytes": 4, "files": 2, "none": 1}[name], (name, batches)
