@@ -370,3 +370,15 @@ def test_rate_limits(spark, scratch):
                  .option("checkpointLocation", os.path.join(scratch, "ck-" + name)))
         batches = sum(1 for p in q.recentProgress if p["numInputRows"] > 0)
         assert batches == {"bytes": 4, "files": 2, "none": 1}[name], (name, batches)
+
+
+def test_window_total_and_last_key_stream_equal_batch(spark, scratch):
+    b = _batch_parsed(spark)
+    cols = ["window_start", "window_end", "n"]
+    s = _stream_rows(spark, scratch, "total_s", lambda p: win.window_total(p, length="10 seconds"))
+    assert _rows(s, cols) == _rows(win.window_total(b, length="10 seconds"), cols)
+    cols = ["window_start", "window_end", "project_name", "n"]
+    s = _stream_rows(spark, scratch, "last_s", lambda p: win.window_last_key(
+        p, "project_name", length="10 seconds"))
+    expect = _rows(win.window_last_key(b, "project_name", length="10 seconds"), cols)
+    assert _rows(s, cols) == expect and len(expect) == 2
