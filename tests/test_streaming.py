@@ -382,3 +382,20 @@ def test_window_total_and_last_key_stream_equal_batch(spark, scratch):
         p, "project_name", length="10 seconds"))
     expect = _rows(win.window_last_key(b, "project_name", length="10 seconds"), cols)
     assert _rows(s, cols) == expect and len(expect) == 2
+
+
+def test_log_rollup_restart_exactly_once(spark, scratch):
+    """Stop after the first files, add more, restart from the checkpoint:
+    every closed window's documents are written once (file sink log)."""
+    src, out, ck = (os.path.join(scratch, d) for d in ("in", "docs", "ck"))
+    spec = StreamSpec(path=src, max_files_per_trigger=1)
+    cols = ["project_name", "class_name", "method_name", "total_count"]
+    _stage(src, "b0.txt", CALL_LOG_D[:3])
+    _stage(src, "b1.txt", CALL_LOG_D[3:] + [call_log_json("L9", 20_000, "p9", "class q.Q", "m9")])
+    jobs.log_rollup_stream(spark, spec, out, ck, trigger=AVAILABLE_NOW).awaitTermination()
+    first = sorted(tuple(r) for r in spark.read.json(out).select(*cols).collect())
+    assert first == sorted([("p1", "a.B", "m1", 3), ("p1", "a.B", "m2", 1), ("p2", "c.D", "m1", 1)])
+    _stage(src, "b2.txt", [SENTINEL])
+    jobs.log_rollup_stream(spark, spec, out, ck, trigger=AVAILABLE_NOW).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.json(out).select(*cols).collect())
+    assert got == sorted(first + [("p1", "a.B", "m1", 1), ("p9", "q.Q", "m9", 1)])
