@@ -85,6 +85,11 @@ class KeyedSnapshot:
         cols = [*self.key_cols, *self.value_cols, self.order_col]
         new = batch_df.select(*cols)
         prev = self.read(before=batch_id)
+        if prev is not None:
+            # keep the stored types (e.g. a stream's TIMESTAMP rows into a
+            # snapshot first written by a batch job with TIMESTAMP_NTZ)
+            types = dict(prev.dtypes)
+            new = new.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])
         merged = new if prev is None else prev.select(*cols).unionByName(new)
         latest = merged.groupBy(*self.key_cols).agg(
             F.max_by(F.struct(*self.value_cols), self.order_col).alias("_v"),

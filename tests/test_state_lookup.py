@@ -121,3 +121,16 @@ def test_snapshot_retention(spark, scratch):
         snap.upsert(spark.createDataFrame(rows, "k string, n long, updated_at timestamp"), i)
     assert snap.versions() == [2, 3]
     assert [(r.k, r.n) for r in snap.read().collect()] == [("a", 3)]
+
+
+def test_snapshot_keeps_stored_types(spark, scratch):
+    snap = KeyedSnapshot(spark, scratch + "/snap", ("k",), ("n",), "updated_at")
+    ntz = spark.createDataFrame([("a", 1, dt.datetime(2024, 1, 1, 0, 0, 1))],
+                                "k string, n long, updated_at timestamp_ntz")
+    ltz = spark.createDataFrame([("a", 2, dt.datetime(2024, 1, 1, 0, 0, 2))],
+                                "k string, n int, updated_at timestamp")
+    snap.upsert(ntz, 0)
+    snap.upsert(ltz, 1)
+    out = snap.read()
+    assert dict(out.dtypes) == {"k": "string", "n": "bigint", "updated_at": "timestamp_ntz"}
+    assert [(r.k, r.n) for r in out.collect()] == [("a", 2)]
