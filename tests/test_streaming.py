@@ -399,3 +399,18 @@ def test_log_rollup_restart_exactly_once(spark, scratch):
     jobs.log_rollup_stream(spark, spec, out, ck, trigger=AVAILABLE_NOW).awaitTermination()
     got = sorted(tuple(r) for r in spark.read.json(out).select(*cols).collect())
     assert got == sorted(first + [("p1", "a.B", "m1", 1), ("p9", "q.Q", "m9", 1)])
+
+
+def test_route_stream_writes_named_branches(spark, scratch):
+    """General and status branches from one parse per micro-batch."""
+    src = os.path.join(scratch, "in")
+    _stage(src, "a.txt", CALL_LOG_D[:3])
+    _stage(src, "b.txt", CALL_LOG_D[3:])
+    outs = {n: os.path.join(scratch, n) for n in ("general", "status")}
+    sinks = {n: (lambda p: lambda df, i: df.write.mode("append").parquet(p))(outs[n]) for n in outs}
+    q = forms.route_stream(read_stream(spark, StreamSpec(path=src, max_files_per_trigger=1)), sinks,
+                           os.path.join(scratch, "ck"), trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    assert spark.read.parquet(outs["general"]).count() == 6
+    status = sorted(r.msg_id for r in spark.read.parquet(outs["status"]).collect())
+    assert status == ["L1", "L2", "L6"]
