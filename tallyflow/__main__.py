@@ -84,7 +84,8 @@ def word_count(spark: SparkSession, a) -> None:
 def log_rollup(spark: SparkSession, a) -> None:
     if a.stream:
         jobs.log_rollup_stream(spark, _spec(a), a.output, _ckpt(spark, a, "log_rollup"),
-                               _length(a.window), trigger=_trigger(a)).awaitTermination()
+                               _length(a.window), trigger=_trigger(a),
+                               output_files=a.output_files).awaitTermination()
         return
     write_documents(jobs.log_rollup_batch(_read_batch(spark, a), _length(a.window)), a.output)
 
@@ -143,6 +144,8 @@ def parser() -> argparse.ArgumentParser:
     common(sp)
     sp.add_argument("--output", required=True)
     sp.add_argument("--window", default="10s")
+    sp.add_argument("--output-files", type=int, default=None,
+                    help="stream: at most this many files per micro-batch and day")
     sp = sub.add_parser("rolling")
     common(sp)
     sp.add_argument("--snapshot", required=True)

@@ -31,7 +31,7 @@ def test_log_rollup_batch_and_stream(spark, scratch):
     main(["log-rollup", "--input", src, "--output", os.path.join(scratch, "docs")])
     batch = spark.read.json(os.path.join(scratch, "docs"))
     main(["log-rollup", "--input", src, "--output", os.path.join(scratch, "docs_s"),
-          "--stream", "--once", "--checkpoint", os.path.join(scratch, "ck")])
+          "--stream", "--once", "--checkpoint", os.path.join(scratch, "ck"), "--output-files", "1"])
     stream = spark.read.json(os.path.join(scratch, "docs_s"))
     cols = ["project_name", "class_name", "method_name", "total_count"]
     # the stream leaves the sentinel's window open; the batch emits it
