@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.operators import calllog as cl
 from tallyflow.operators import wordcount as wc
-from tallyflow.operators.windows import ALL, interval, window_col
+from tallyflow.operators.windows import ALL, NEW, interval, window_col
 
 # Fixed value: the reference's (commented) event-time lag.
 DEFAULT_LAG = "5 seconds"
@@ -45,27 +45,37 @@ def hierarchical_stream(parsed: DataFrame, length: str = "10 seconds",
     counts stamped with the window's first time.
 
     Aggregate 1 counts per (window, key) and keeps each group's first time;
-    aggregate 2 (chained, same window) packs the window's records and takes
-    the least first time; the packed list is exploded back to rows. Append
-    mode: a window is emitted once the watermark passes its end. With
-    ``rows="new"`` the stream's ``timestamp`` is the first time of the new
-    rows (the batch form takes it over the whole sliding window).
+    aggregate 2 (chained) packs the window's records and takes the least
+    first time; the packed list is exploded back to rows. Append mode: a
+    window is emitted once the watermark passes its end.
+
+    With ``rows="new"`` aggregate 1 groups by ``slide`` buckets and aggregate
+    2 by the sliding windows: each window packs its buckets' groups tagged
+    with the bucket end, takes the first time over all of them (all rows of
+    the window, as the batch form), and keeps the groups of its last bucket
+    (its new rows).
     """
+    new_rows = rows == NEW and slide is not None and slide != length
     g = (parsed.select(window_col("event_time", length, slide, rows).alias("_w"),
                        "project_name", "class_name", "method_name", "event_time")
          .groupBy("_w", "project_name", "class_name", "method_name")
          .agg(F.count(F.lit(1)).alias("total_count"), F.min("event_time").alias("_first")))
-    # Each first-level window ends on a distinct multiple of the step, so the
-    # tumbling step bucket holding its window_time identifies it exactly
-    # (re-windowing with a sliding spec would put it in several windows).
-    step = slide or length
-    packed = (g.groupBy(F.window(F.window_time("_w"), step).alias("_w2"))
-              .agg(F.collect_list(F.struct("project_name", "class_name", "method_name",
-                                           "total_count")).alias("_rows"),
-                   F.min("_first").alias("timestamp")))
-    return packed.select((F.col("_w2.end") - interval(length)).alias("window_start"),
-                         F.col("_w2.end").alias("window_end"),
-                         F.inline("_rows"), "timestamp")
+    entry = F.struct("project_name", "class_name", "method_name", "total_count",
+                     F.col("_w.end").alias("_bucket_end"))
+    if new_rows:
+        # a bucket ending at e lies in every sliding window with end in [e, e + length)
+        w2 = F.window(F.window_time("_w"), length, slide)
+    else:
+        # each first-level window ends on a distinct multiple of the step, so
+        # the tumbling step bucket holding its window_time identifies it
+        # exactly (a sliding spec would put it in several windows)
+        w2 = F.window(F.window_time("_w"), slide or length)
+    packed = (g.groupBy(w2.alias("_w2"))
+              .agg(F.collect_list(entry).alias("_rows"), F.min("_first").alias("timestamp")))
+    keep = F.filter("_rows", lambda e: e["_bucket_end"] == F.col("_w2.end"))
+    out = packed.select((F.col("_w2.end") - interval(length)).alias("window_start"),
+                        F.col("_w2.end").alias("window_end"), keep.alias("_rows"), "timestamp")
+    return out.select("window_start", "window_end", F.inline("_rows"), "timestamp").drop("_bucket_end")
 
 
 def top_n_stream(rows: DataFrame, n: int, key_col: str, time_col: str = "event_time",

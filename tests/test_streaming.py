@@ -414,3 +414,16 @@ def test_route_stream_writes_named_branches(spark, scratch):
     assert spark.read.parquet(outs["general"]).count() == 6
     status = sorted(r.msg_id for r in spark.read.parquet(outs["status"]).collect())
     assert status == ["L1", "L2", "L6"]
+
+
+def test_hierarchical_stream_new_rows_equals_batch(spark, scratch):
+    """rows="new": counts of each window's last slide, stamped with the first
+    time over the whole sliding window, as in the batch form."""
+    b = _batch_parsed(spark)
+    cols = ["window_start", "window_end", "project_name", "class_name", "method_name",
+            "total_count", "timestamp"]
+    s = _stream_rows(spark, scratch, "hier_new_s", lambda p: forms.hierarchical_stream(
+        p, "10 seconds", "5 seconds", rows=win.NEW))
+    expect = _rows(win.hierarchical_count(b, length="10 seconds", slide="5 seconds",
+                                          rows=win.NEW), cols)
+    assert _rows(s, cols) == expect and len(expect) >= 3
