@@ -157,7 +157,9 @@ def conditional_counts(df: DataFrame, code_col: str = "return_code",
     with no match emits nothing. ``timestamp`` is the window's first time
     over all its rows. A null code matches nothing (Q10).
 
-    Output: ``window_start, window_end, metric, n, timestamp``.
+    Output: ``window_start, window_end, metric, n, timestamp``. Streams
+    take ``rows="all"`` (the ``"new"`` form joins a second aggregate for the
+    whole-window first time, which append mode cannot).
     """
     metrics = metrics or RESULT_CODE_METRICS
     staged = df.select(window_col(time_col, length, slide, rows).alias("_w"),
@@ -166,6 +168,12 @@ def conditional_counts(df: DataFrame, code_col: str = "return_code",
         *[F.count_if(F.col("_code") == F.lit(v)).alias(m) for m, v in metrics.items()],
         F.min("_t").alias("timestamp"))
     wide = agg.select(*window_bounds(length, slide, rows), "timestamp", *metrics)
+    if _new_rows(length, slide, rows):
+        # counts use the new rows; the first time spans the whole sliding window
+        first = (df.select(F.window(time_col, length, slide).alias("_w"), F.col(time_col).alias("_t"))
+                 .groupBy("_w").agg(F.min("_t").alias("timestamp"))
+                 .select(*window_bounds(length, slide), "timestamp"))
+        wide = wide.drop("timestamp").join(first, ["window_start", "window_end"], "left")
     tall = wide.unpivot(["window_start", "window_end", "timestamp"], list(metrics), "metric", "n")
     return (tall.where(F.col("n") != 0)
             .select("window_start", "window_end", "metric", "n", "timestamp"))

@@ -115,3 +115,28 @@ def test_index_documents(call_log):
     rows = docs.collect()
     assert {r._index for r in rows} == {"logcount-2024.01.01"}
     assert {r._type for r in rows} == {"info"} and "@timestamp" in docs.columns
+
+
+def test_conditional_counts_new_rows_first_time(call_log):
+    """rows="new" counts the last slide only, but stamps the window's first
+    time over all its rows (as the reference's window bolts do)."""
+    codes = cl.result_codes(_parsed(call_log))
+    rows = win.conditional_counts(codes, length="10 seconds", slide="5 seconds",
+                                  rows=win.NEW).collect()
+    got = {(r.window_start.second, r.window_end.second, r.metric): (r.n, r.timestamp.second)
+           for r in rows}
+    # window [0,10): new rows are [5,10) -> no 10000/10002 codes there (L5 has none)
+    # window [-5,5): new rows [0,5) -> L1, L3 login, L2 register; first time 0
+    assert got == {(55, 5, "login_success"): (2, 0), (55, 5, "register_success"): (1, 0)}
+    # discriminating case: in window [0,10) only the 7 s row is new, but the
+    # window's first row is at 1 s
+    df = spark_rows_codes(call_log.sparkSession, [(1, "10002"), (7, "10000")])
+    got = {(r.window_start.second, r.metric): (r.n, r.timestamp.second) for r in
+           win.conditional_counts(df, length="10 seconds", slide="5 seconds", rows=win.NEW).collect()}
+    assert got[(0, "login_success")] == (1, 1)
+
+
+def spark_rows_codes(spark, rows):
+    return spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1, 0, 0, s), c) for s, c in rows],
+        "event_time timestamp_ntz, return_code string")
