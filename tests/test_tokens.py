@@ -1,6 +1,5 @@
 """C1-C3, C12-C13, P4-P5, A1/A2 on FIXTURES.md A and C."""
 
-
 from tallyflow.functions import exclaim, last_token, split_spaces, split_whitespace
 from tallyflow.operators import wordcount as wc
 
