@@ -71,6 +71,14 @@ def window_bounds(length: str, slide: str | None = None, rows: str = ALL,
     return [F.col(f"{w}.start").alias("window_start"), F.col(f"{w}.end").alias("window_end")]
 
 
+def _window_first_time(df: DataFrame, time_col: str, length: str, slide: str | None) -> DataFrame:
+    """``window_start, window_end, timestamp``: each (sliding) window's least
+    event time over all its rows; used when counts cover only new rows."""
+    return (df.select(F.window(time_col, length, slide).alias("_w"), F.col(time_col).alias("_t"))
+            .groupBy("_w").agg(F.min("_t").alias("timestamp"))
+            .select(*window_bounds(length, slide), "timestamp"))
+
+
 def window_count(df: DataFrame, keys: list[str] | tuple[str, ...] = (),
                  time_col: str = "event_time", length: str = "10 seconds",
                  slide: str | None = None, rows: str = ALL,
@@ -138,9 +146,7 @@ def hierarchical_count(df: DataFrame, time_col: str = "event_time",
     out = agg.select(*window_bounds(length, slide, rows), *keys, "total_count", "_first")
     if _new_rows(length, slide, rows):
         # the first time of a sliding window spans rows older than its "new" rows
-        first = (df.select(F.window(time_col, length, slide).alias("_w"), F.col(time_col).alias("_t"))
-                 .groupBy("_w").agg(F.min("_t").alias("timestamp"))
-                 .select(*window_bounds(length, slide), "timestamp"))
+        first = _window_first_time(df, time_col, length, slide)
         return (out.join(first, ["window_start", "window_end"], "left")
                 .select("window_start", "window_end", *keys, "total_count", "timestamp"))
     w = Window.partitionBy("window_start", "window_end")
@@ -170,9 +176,7 @@ def conditional_counts(df: DataFrame, code_col: str = "return_code",
     wide = agg.select(*window_bounds(length, slide, rows), "timestamp", *metrics)
     if _new_rows(length, slide, rows):
         # counts use the new rows; the first time spans the whole sliding window
-        first = (df.select(F.window(time_col, length, slide).alias("_w"), F.col(time_col).alias("_t"))
-                 .groupBy("_w").agg(F.min("_t").alias("timestamp"))
-                 .select(*window_bounds(length, slide), "timestamp"))
+        first = _window_first_time(df, time_col, length, slide)
         wide = wide.drop("timestamp").join(first, ["window_start", "window_end"], "left")
     tall = wide.unpivot(["window_start", "window_end", "timestamp"], list(metrics), "metric", "n")
     return (tall.where(F.col("n") != 0)
