@@ -12,7 +12,9 @@ Inputs are folders of messages: ``--format text`` (one message per line,
 the default), ``json`` or ``parquet`` with ``--value-col`` naming the
 message column. Batch runs read the folder once; ``--stream`` watches it
 (``--once`` processes what is there and stops). Outputs are parquet, except
-the daily-index documents and topic records (JSON). Checkpoints go under
+the daily-index documents and topic records (JSON); the word-count stream
+writes each micro-batch's changed counts to ``<output>/batch_id=N``,
+overwritten if the batch is replayed. Checkpoints go under
 ``spark.checkpoint.dir`` unless ``--checkpoint`` is given.
 """
 
@@ -23,7 +25,6 @@ import re
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyflow.operators import lookup as lk
 from tallyflow.operators import wordcount as wc
@@ -69,8 +70,9 @@ def word_count(spark: SparkSession, a) -> None:
         out = a.output
 
         def sink(batch: DataFrame, batch_id: int) -> None:
-            # changed counts of each micro-batch (update mode), tagged by batch
-            batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+            # changed counts of each micro-batch (update mode), one folder per
+            # batch id, overwritten on replay: a retried batch is not doubled
+            batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         jobs.word_count_stream(spark, _spec(a), _ckpt(spark, a, "word_count"), "update",
                                trigger=_trigger(a), foreach_batch=sink,
                                mode=a.split).awaitTermination()

@@ -50,3 +50,13 @@ def test_rolling_then_lookup(spark, scratch):
     got = sorted((r.pos, r.projectName, r["count"])
                  for r in spark.read.parquet(os.path.join(scratch, "ans")).collect())
     assert got == [(0, "p1", "1"), (1, "zz", None), (2, "p2", "1")]
+
+
+def test_word_count_stream_batches_idempotent(spark, scratch):
+    src, out, ck = (os.path.join(scratch, d) for d in ("text", "wc", "ck"))
+    _stage(src, "a.txt", SENTENCES)
+    args = ["word-count", "--input", src, "--output", out, "--stream", "--once", "--checkpoint", ck]
+    main(args)
+    back = spark.read.parquet(out)   # partition column batch_id from the folder names
+    assert back.where("batch_id = 0").count() == 27
+    assert {r.word: r["count"] for r in back.collect()}["the"] == 4
