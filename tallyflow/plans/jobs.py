@@ -164,7 +164,7 @@ def word_lookup_stream(spark: SparkSession, requests: DataFrame, state_checkpoin
     state last committed by the word-count query at ``state_checkpoint``,
     read through the state reader, with the batch look-up plan (distinct
     keys first, hot keys salted). ``sink(answers_df, batch_id)`` writes the
-    answers.
+    answers; make it idempotent per ``batch_id`` (a failed batch is replayed).
     """
     def answer(batch: DataFrame, batch_id: int) -> None:
         state = word_state_from_stream(spark, state_checkpoint)

@@ -105,7 +105,8 @@ def top_n_closed_windows(counts: DataFrame, n: int, key_col: str, sink, checkpoi
     windowed count (``window_start, window_end, key, count``); append mode
     emits each closed window's complete counts in one micro-batch, so the
     batch top-N (map-side WindowGroupLimit, no per-window list in state) runs
-    on each micro-batch and ``sink(top_df, batch_id)`` writes it."""
+    on each micro-batch and ``sink(top_df, batch_id)`` writes it (idempotent
+    per ``batch_id``: a failed batch is replayed)."""
     from tallyflow.operators.topn import top_n_per_group
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -124,7 +125,8 @@ def route_stream(messages: DataFrame, sinks: dict, checkpoint: str,
     One ``foreachBatch`` parses each micro-batch once and persists it while
     every named branch is written, so the source is read once per batch; the
     cache is released after. A lost executor's cached blocks are recomputed
-    from the replayable batch.
+    from the replayable batch. Sinks should be idempotent per ``batch_id``
+    (e.g. overwrite ``<path>/batch_id=N``): a failed batch is replayed.
     """
     from pyspark import StorageLevel
 
