@@ -36,7 +36,9 @@ def write_records_stream(records: DataFrame, checkpoint: str, path: str | None =
                          output_files: int | None = None) -> StreamingQuery:
     """Stream write. ``output_mode="update"`` emits each changed count (K8);
     file sinks take append only. ``output_files`` coalesces each micro-batch
-    to at most that many files."""
+    to at most that many files. The file sink is exactly-once (sink log); the
+    Kafka sink is at-least-once, so a replayed batch may repeat records, as
+    the reference's producer could."""
     if output_files:
         records = records.coalesce(output_files)
     w = records.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
