@@ -2,7 +2,9 @@
 
 Plain parquet has no MERGE, so each upsert writes a complete new version
 ``<path>/batch_id=N`` = latest row per key over (version N-1 + new rows).
-Readers use the greatest committed version (one with ``_SUCCESS``). A
+Readers use the greatest committed version: one holding the ``_COMMITTED``
+marker written after its data (independent of the cluster's output-committer
+settings, which may disable ``_SUCCESS``). A
 replayed ``batch_id`` recomputes from version N-1 and overwrites its own
 folder, so a retried micro-batch leaves the table unchanged (idempotent,
 T8). The written version also cuts lineage between batches.
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from tallyflow.operators.state import KEY, live_state
 
 _VERSION = re.compile(r"^batch_id=(\d+)$")
+_MARKER = "_COMMITTED"
 
 
 class KeyedSnapshot:
@@ -56,7 +59,7 @@ class KeyedSnapshot:
         out = []
         for st in fs.listStatus(root):
             m = _VERSION.match(st.getPath().getName())
-            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), _MARKER)):
                 out.append(int(m.group(1)))
         return sorted(out)
 
@@ -98,7 +101,10 @@ class KeyedSnapshot:
                             self.order_col)
         if self.ttl_seconds is not None:
             out = live_state(out, self.order_col, self.ttl_seconds, None, self.ttl_scope)
-        out.write.mode("overwrite").parquet(self._version_path(batch_id))
+        target = self._version_path(batch_id)
+        out.write.mode("overwrite").parquet(target)
+        fs, jvm = self._fs()
+        fs.create(jvm.org.apache.hadoop.fs.Path(target, _MARKER), True).close()
         if self.retain is not None:
             self._prune()
 
