@@ -1,0 +1,39 @@
+"""C1 / C2 against a plain-Python model of Java's split rules, on generated
+strings (property test; one Spark job per batch of examples)."""
+
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallyflow.functions import split_spaces, split_whitespace
+
+JAVA_WS = "[ \t\n\x0b\f\r]+"   # Java's \s
+
+
+def java_split_ws(s: str) -> list[str]:
+    """String.split("\\s+"): no match -> [s]; trailing empty strings removed."""
+    if not re.search(JAVA_WS, s):
+        return [s]
+    parts = re.split(JAVA_WS, s)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def space_tokens(s: str) -> list[str]:
+    return [t for t in s.split(" ") if t != ""]
+
+
+TEXT = st.text(alphabet=[" ", "\t", "\n", "\x0b", "\f", "\r", "\u00a0", "a", "b", "\u00e9"],
+               max_size=12)   # U+00A0 is not Java whitespace
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=40))
+def test_splits_match_java_rules(spark, lines):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "i int, s string")
+    got = {r.i: (r.ws, r.sp) for r in df.select(
+        "i", split_whitespace("s").alias("ws"), split_spaces("s").alias("sp")).collect()}
+    for i, s in enumerate(lines):
+        assert got[i] == (java_split_ws(s), space_tokens(s)), repr(s)
