@@ -37,3 +37,22 @@ def test_splits_match_java_rules(spark, lines):
         "i", split_whitespace("s").alias("ws"), split_spaces("s").alias("sp")).collect()}
     for i, s in enumerate(lines):
         assert got[i] == (java_split_ws(s), space_tokens(s)), repr(s)
+
+
+def java_last_token(s: str) -> str:
+    """s.split(" ")[last]: trailing empty strings removed first; the
+    reference fails on an all-blank value, where we return '' (Q6)."""
+    parts = s.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts[-1] if parts else ""
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=40))
+def test_last_token_matches_java_rule(spark, values):
+    from tallyflow.functions import last_token
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(values)], "i int, s string")
+    got = {r.i: r.t for r in df.select("i", last_token("s").alias("t")).collect()}
+    for i, s in enumerate(values):
+        assert got[i] == java_last_token(s), repr(s)
