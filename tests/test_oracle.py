@@ -31,3 +31,12 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == E.entry(spark).columns
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_columns_unique_and_stable(spark, name):
+    """The driver compares columns sorted by name: names must be unique, and
+    the schema the same on every construction."""
+    a, b = E.queries()[name](spark, SF), E.queries()[name](spark, SF)
+    assert len(set(a.columns)) == len(a.columns)
+    assert a.schema == b.schema
