@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from tallyflow.plans import catalog
 from oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.01"
@@ -18,10 +19,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     info = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
     assert info["match"], info
@@ -33,7 +34,7 @@ def test_entry_smoke(spark):
     assert df.columns == E.entry(spark).columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_columns_unique_and_stable(spark, name):
     """The driver compares columns sorted by name: names must be unique, and
     the schema the same on every construction."""
