@@ -48,3 +48,23 @@ def ascii_lower(col: Column) -> Column:
 def word_count(col: Column) -> Column:
     """Number of words (``WORD``) of a text; null counts as empty."""
     return F.regexp_count(F.coalesce(col, F.lit("")), F.lit(WORD)).cast("long")
+
+# A group of more than this share of all rows is joined by broadcast: there
+# are at most HEAVY such groups, whatever the table's size.
+HEAVY = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """``rows`` joined with one row per group (inner, on ``keys``).
+
+    ``size`` holds the group's number of rows. Groups of more than one row in
+    ``HEAVY`` are fewer than ``HEAVY``, so their group rows are broadcast and
+    their members stay where they are; the other groups meet by key, none of
+    them larger than that share.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    heavy = F.broadcast(groups.where(F.col(size) > total / HEAVY))
+    light = groups.where(F.col(size) <= total / HEAVY)
+    few = F.broadcast(groups.where(F.col(size) > total / HEAVY).select(*keys))
+    return (rows.join(heavy, keys)
+            .unionByName(rows.join(few, keys, "left_anti").join(light, keys)))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyflow.llm import token_files
+from tallyflow.llm import exact_index, mixing, token_files
 from tallyflow.llm.common import read_table, scratch
 
 
@@ -21,6 +21,16 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+def op6_exact_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_index.dedup(read_table(spark, sf_dir, "documents"))
+
+
+def op10_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.decisions(read_table(spark, sf_dir, "documents"))
+
+
 ENTRIES = {
     "op1_token_files": (op1_token_files, None),
+    "op6_exact_index": (op6_exact_index, exact_index.ORACLE),
+    "op10_budget_mix": (op10_budget_mix, None),
 }
