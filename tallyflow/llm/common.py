@@ -40,6 +40,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Send whole texts to Python in small Arrow batches.
+
+    Batches are counted in rows, and texts can be long: Spark's 10,000 rows of
+    text a batch would cost each Python worker several copies of them.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(col, UPPER, LOWER)

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyflow.llm import exact_index, mixing, token_files
+from tallyflow.llm import exact_index, mixing, quality, token_files, warc
 from tallyflow.llm.common import read_table, scratch
 
 
@@ -21,16 +22,33 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write(read_table(spark, sf_dir, "pages"), path, min_bytes=0)
+    return warc.read(spark, path).where("gap_bytes is null").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_exact_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_index.dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs, weights).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op10_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decisions(read_table(spark, sf_dir, "documents"))
 
 
 ENTRIES = {
     "op1_token_files": (op1_token_files, None),
+    "op5_warc": (op5_warc, warc.ORACLE),
     "op6_exact_index": (op6_exact_index, exact_index.ORACLE),
+    "op9_quality": (op9_quality, None),
     "op10_budget_mix": (op10_budget_mix, None),
 }
