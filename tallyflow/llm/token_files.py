@@ -26,12 +26,15 @@ gives no file and no row. Columns other than doc_id and text play no part.
 from __future__ import annotations
 
 import json
-import re
+import os
 import struct
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyflow.llm.blobfiles import read_files, write_files
-from tallyflow.llm.common import partitions, stage
+from tallyflow.llm.common import partitions, small_batches, stage
 
 # Fixed values of the public zstandard frame and seekable formats.
 SEEK_MAGIC = 0x8F92EAB1
@@ -58,54 +61,105 @@ _DOC = struct.Struct("<?qIQ")           # null id, doc_id, first frame, ids
 TOKEN_BYTES = 4
 FRAME_TOKENS = 1 << 20
 SHARD_BYTES = 8 << 20
-CACHE_PIECES = 150_000
-CACHE_LENGTH = 64
+CACHE_WORDS = 500_000
+JOINED = 200
+SPACE = "\u0120"                        # how a byte-level vocabulary writes a space
 
 
 # -- the tokenizer ------------------------------------------------------------
 
-def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """texts -> their ids as bytes, by the tokenizers library.
+class Encoder:
+    """Texts -> their ids, by the tokenizers library.
 
     A byte-level pre-tokenizer with its usual pattern always ends a piece
-    before a space that a non-space follows, so a text may be encoded piece by
-    piece there, and the ids of pieces that come again are kept (at most
-    ``CACHE_PIECES`` of them, none over ``CACHE_LENGTH`` characters). Other
-    tokenizers encode whole texts.
+    before a space that a non-space follows. Texts are therefore cut there, the
+    distinct words of a batch are encoded joined (their ids told apart by the
+    space each begins with), and a text's ids are put together from its words'.
+    The words last seen are kept, ``CACHE_WORDS`` of them and those of one
+    batch at most. Texts with other spacing are encoded whole, as are all
+    texts with another tokenizer.
     """
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    spec = json.loads(tok.to_str())
-    pre = spec.get("pre_tokenizer") or {}
 
-    def pack(e) -> bytes:
-        return struct.pack(f"<{len(e.ids)}I", *e.ids)
-
-    def whole(texts: list[str]) -> list[bytes]:
-        return [pack(e) for e in tok.encode_batch(texts, add_special_tokens=False)]
-
-    if not (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
-            and not pre.get("add_prefix_space") and spec.get("normalizer") is None):
-        return whole
-
-    cut = re.compile(r" (?=\S)").split
-    known: dict[str, bytes] = {}
-
-    def by_piece(texts: list[str]) -> list[bytes]:
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        cuts, new = [], {}
-        for t in texts:
-            p = cut(t)
-            p[1:] = [" " + x for x in p[1:]]
-            cuts.append(p)
-            new.update((x, None) for x in p if x not in known)
-        found = dict(zip(new, whole(list(new))))
-        known.update((x, b) for x, b in found.items() if len(x) <= CACHE_LENGTH)
-        return [b"".join([known.get(x) or found.get(x, b"") for x in p]) for p in cuts]
-
-    return by_piece
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = True
+        spec = json.loads(self.tok.to_str())
+        pre = spec.get("pre_tokenizer") or {}
+        self.by_word = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
+                        and not pre.get("add_prefix_space") and spec.get("normalizer") is None)
+        self.begins = np.zeros(self.tok.get_vocab_size(with_added_tokens=True), dtype=bool)
+        self.begins[[i for t, i in self.tok.get_vocab().items() if t.startswith(SPACE)]] = True
+        self.words = pa.array([], pa.string())          # kept words, their ids and
+        self.ids = np.zeros(0, dtype="<u4")             # where those begin
+        self.ends = np.zeros(1, dtype=np.int64)
+        self.seen = np.zeros(0, dtype=np.int64)         # the batch that last had the word
+        self.batch = 0
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4")
+                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _places(self, words: pa.StringArray) -> np.ndarray:
+        """Where each distinct word stands among the kept ones; new words are added."""
+        self.batch += 1
+        if len(self.words) > CACHE_WORDS:
+            last = np.sort(self.seen)[-(CACHE_WORDS // 2)]
+            keep = np.flatnonzero(self.seen >= last)
+            self.ids = _gather(self.ids, self.ends, keep)
+            self.ends = np.append(0, np.cumsum(np.diff(self.ends)[keep]))
+            self.words, self.seen = self.words.take(pa.array(keep)), self.seen[keep]
+        place = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(place))
+        if len(new):
+            some = new.to_pylist()
+            joined = self.whole([" " + " ".join(some[k:k + JOINED]) for k in range(0, len(some), JOINED)])
+            ids = np.concatenate(joined)
+            begin = np.flatnonzero(self.begins[ids])
+            if len(begin) != len(some):
+                raise ValueError("the tokenizer does not begin each word with a space")
+            self.ends = np.concatenate([self.ends[:-1], begin + len(self.ids), [len(self.ids) + len(ids)]])
+            self.ids = np.concatenate([self.ids, ids])
+            self.words = pa.concat_arrays([self.words, new])
+            self.seen = np.append(self.seen, np.full(len(some), self.batch))
+            place = pc.index_in(words, value_set=self.words)
+        place = place.to_numpy().astype(np.int64)
+        self.seen[place] = self.batch
+        return place
+
+    def __call__(self, texts: pa.StringArray) -> list[bytes]:
+        if not self.by_word or not len(texts):
+            return [x.tobytes() for x in self.whole(texts.to_pylist())]
+        cut = pc.split_pattern(texts, " ")
+        starts = cut.offsets.to_numpy().astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        words, at = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        # a space before another space or at the end leaves a piece that is
+        # empty or begins with one: such texts are encoded whole
+        first = pc.utf8_slice_codeunits(words, 0, 1)
+        odd = pc.or_(pc.equal(first, ""), pc.utf8_is_space(first)).to_numpy(zero_copy_only=False)
+        whole = np.flatnonzero(np.add.reduceat(odd[at], starts[:-1]) > 0)
+        place = np.zeros(len(words), dtype=np.int64)
+        place[~odd] = self._places(words.filter(pa.array(~odd)))
+        heads = self.whole(words.take(pa.array(at[starts[:-1]])).to_pylist())
+        pool = np.concatenate([self.ids, *heads])
+        ends = np.append(self.ends, len(self.ids) + np.cumsum([len(x) for x in heads]))
+        at = place[at]
+        at[starts[:-1]] = len(self.words) + np.arange(len(texts))
+        out = _gather(pool, ends, at)
+        n = np.append(0, np.cumsum(np.diff(ends)[at]))[starts]
+        result = [out[i:j].tobytes() for i, j in zip(n, n[1:])]
+        for k, x in zip(whole, self.whole(texts.take(pa.array(whole)).to_pylist())):
+            result[k] = x.tobytes()
+        return result
+
+
+def _gather(pool: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The runs ``pool[ends[k]:ends[k + 1]]`` of each k in ``at``, joined."""
+    n = np.diff(ends)[at]
+    stop = np.cumsum(n)
+    return pool[np.repeat(ends[at] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]
 
 
 # -- one file -----------------------------------------------------------------
@@ -197,6 +251,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2,
 
     ``tokenizer``: file of the tokenizers library, on every machine.
     """
+    small_batches(docs.sparkSession, 1000)
     n = partitions(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -204,25 +259,23 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2,
     rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     end = b"" if end_id is None else struct.pack("<I", end_id)
 
-    def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer)
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = Encoder(tokenizer)
         part, shard, out = TaskContext.get().partitionId(), 0, None
+        row = lambda blob: pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["blob"])
         for b in batches:
-            ids = [None if pd.isna(x) else int(x) for x in b["doc_id"]]
-            texts = b["text"].tolist()
-            for at in range(0, len(texts), 256):
-                for i, e in zip(ids[at:at + 256], encode(texts[at:at + 256])):
-                    if out is None:
-                        out = ShardWriter(part, shard, 0, frame_tokens)
-                    out.add(i, e + end)
-                    if len(out.data) >= shard_bytes:
-                        yield pd.DataFrame({"blob": [out.blob()]})
-                        shard += 1
-                        out = ShardWriter(part, shard, out.before + out.ids, frame_tokens)
+            for i, e in zip(b.column("doc_id").to_pylist(), encode(b.column("text"))):
+                if out is None:
+                    out = ShardWriter(part, shard, 0, frame_tokens)
+                out.add(i, e + end)
+                if len(out.data) >= shard_bytes:
+                    yield row(out.blob())
+                    shard += 1
+                    out = ShardWriter(part, shard, out.before + out.ids, frame_tokens)
         if out is not None and out.docs:
-            yield pd.DataFrame({"blob": [out.blob()]})
+            yield row(out.blob())
 
-    write_files(rows.mapInPandas(shards, "blob binary"), path, TAIL)
+    write_files(rows.mapInArrow(shards, "blob binary"), path, TAIL)
 
 
 def documents_of(content: bytes) -> Iterable[tuple]:
