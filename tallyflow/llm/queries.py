@@ -11,10 +11,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import exact_index, mixing, quality, token_files, warc
+from tallyflow.llm import (decontam, exact_index, licenses, line_windows, mixing, pseudonyms, quality,
+                           token_files, warc)
 from tallyflow.llm.common import read_table, scratch
 
 
+# The queries' key; a real one comes from the caller's secret store.
+KEY = b"tallyflow example key"
+
+
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-files")
     token_files.write(read_table(spark, sf_dir, "documents"), path,
@@ -22,6 +27,14 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write(read_table(spark, sf_dir, "pages"), path, min_bytes=0)
@@ -33,6 +46,17 @@ def op6_exact_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_index.dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pseudonyms.pseudonymise(docs, KEY)
+    n = F.aggregate(F.map_values("pii"), F.lit(0), lambda a, b: a + b)
+    return out.select("doc_id", "text", n.alias("n_pii"))
+
+
+def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_windows.dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = quality.train(docs, read_table(spark, sf_dir, "labels"))
@@ -47,8 +71,12 @@ def op10_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ENTRIES = {
     "op1_token_files": (op1_token_files, None),
+    "op3_decontam": (op3_decontam, None),
+    "op4_licenses": (op4_licenses, licenses.ORACLE),
     "op5_warc": (op5_warc, warc.ORACLE),
     "op6_exact_index": (op6_exact_index, exact_index.ORACLE),
+    "op7_pseudonyms": (op7_pseudonyms, None),
+    "op8_line_windows": (op8_line_windows, line_windows.ORACLE),
     "op9_quality": (op9_quality, None),
     "op10_budget_mix": (op10_budget_mix, None),
 }
