@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import (decontam, exact_index, licenses, line_windows, mixing, pseudonyms, quality,
-                           token_files, warc)
+from tallyflow.llm import (decontam, exact_index, licenses, line_windows, mixing, partenum, pseudonyms,
+                           quality, token_files, warc)
 from tallyflow.llm.common import read_table, scratch
 
 
@@ -27,6 +27,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+def op2_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.join(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -71,6 +75,7 @@ def op10_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ENTRIES = {
     "op1_token_files": (op1_token_files, None),
+    "op2_partenum": (op2_partenum, None),
     "op3_decontam": (op3_decontam, None),
     "op4_licenses": (op4_licenses, licenses.ORACLE),
     "op5_warc": (op5_warc, warc.ORACLE),
