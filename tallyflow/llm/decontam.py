@@ -30,12 +30,13 @@ from __future__ import annotations
 import re
 import string
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -221,12 +222,15 @@ def clean(docs: DataFrame, benchmark: DataFrame, theta: float = THETA, overlap:
     spark = docs.sparkSession
     small_batches(spark)
     for index in indexes(benchmark, theta):
-        shared = spark.sparkContext.broadcast(index)
-
-        @F.pandas_udf(T.BooleanType())
-        def leaked(texts: pd.Series, shared=shared) -> pd.Series:
-            found = {h[0] for h in shared.value.search(pa.array(texts, pa.string(), from_pandas=True), overlap)}
-            return pd.Series([k in found for k in range(len(texts))], dtype=bool)
-
+        leaked = _leaked(spark.sparkContext.broadcast(index), overlap)
         docs = docs.where(~leaked(F.col("text")))
     return docs
+
+
+def _leaked(shared: Broadcast, overlap: float) -> Callable:
+    @F.pandas_udf(T.BooleanType())
+    def leaked(texts: pd.Series) -> pd.Series:
+        found = {h[0] for h in shared.value.search(pa.array(texts, pa.string(), from_pandas=True), overlap)}
+        return pd.Series([k in found for k in range(len(texts))], dtype=bool)
+
+    return leaked

@@ -143,16 +143,16 @@ def _long(x: Iterable[np.ndarray]) -> pa.Array:
 # -- passes over the texts ----------------------------------------------------------
 
 def profiles(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (set size), h (class; null without a set)."""
+    """doc_id, th (text hash), n (set size), h (class; null without a set)."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t, words) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "n", "h"])
+                b.column("doc_id"), b.column("th"), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "th", "n", "h"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        of, "doc_id long, n long, h long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").mapInArrow(
+        of, "doc_id long, th long, n long, h long")
 
 
 def signatures(docs: DataFrame, words: int, scheme: Scheme, hot: np.ndarray | None = None) -> DataFrame:
@@ -290,9 +290,10 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> tupl
     return star, stage(verified(more, sets, percent), "rest-links")
 
 
-def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest
-    doc_id that links reach), class_size (documents with the same set)."""
+def classified(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: doc_id, th (text hash), n, size (documents with
+    the same set), root (the component's name), component_id. Without a set,
+    root is null."""
     small_batches(docs.sparkSession)
     keyed = stage(profiles(docs, words), "profiles")
     classes = stage(keyed.where("h is not null").groupBy("h").agg(
@@ -302,9 +303,32 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     named = stage(classes.join(comp.withColumnRenamed("node", "h"), "h", "left").select(
         "h", "rep", "size", F.coalesce("root", "h").alias("root")), "class-roots")
     roots = stage(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("k")), "roots")
-    named = stage(join_groups(named, roots, ["root"], "k").select("h", "size", "component_id"), "class-components")
-    full = join_groups(keyed.where("h is not null"), named, ["h"], "size")
-    none = keyed.where("h is null").select("doc_id", F.lit(0).cast("long").alias("n_shingles"),
-                                           F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"))
-    return full.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                       F.col("size").alias("class_size")).unionByName(none)
+    named = stage(join_groups(named, roots, ["root"], "k").select("h", "size", "root", "component_id"),
+                  "class-components")
+    full = join_groups(keyed.where("h is not null"), named, ["h"], "size").drop("h")
+    none = keyed.where("h is null").select("doc_id", "th", "n", F.lit(1).cast("long").alias("size"),
+                                           F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id"))
+    return full.select(none.columns).unionByName(none)
+
+
+def join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest
+    doc_id that links reach), class_size (documents with the same set)."""
+    return classified(docs, words, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("size").alias("class_size"))
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest
+    doc_id (then text hash; null ids last), and all documents without a set.
+    Rows that repeat doc_id and text count once."""
+    cols = docs.columns
+    rows = stage(classified(docs, words, percent), "classified")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
+    kept = (rows.where("root is not null").groupBy("root").agg(first.alias("one")).select("one.doc_id", "one.th")
+            .unionByName(rows.where("root is null").select("doc_id", "th").distinct()))
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_pe_id")]
+    kept = stage(kept.select(*key, F.col("th").alias("_pe_text")), "kept")
+    out = docs.select("*", *key, F.xxhash64("text").alias("_pe_text")).join(kept, ["_pe_id", "_pe_text"], "left_semi")
+    w = Window.partitionBy("_pe_id", "_pe_text").orderBy("_pe_id")
+    return out.withColumn("_pe_row", F.row_number().over(w)).where("_pe_row = 1").select(*cols)
