@@ -12,19 +12,23 @@ that one. In a band the domain of shingles is hashed into n1 partitions of n2
 cells. With n1 = k // (k2 + 1) + 1 + spare partitions, two linked sets differ
 by at most k2 in 1 + spare of them, so there they agree on some n2 - k2 cells:
 a signature is a partition's choice of that many cells, hashed with the shingles
-in them, and linked sets share at least one. An empty projection says
-little: it is signed only by sets with more than ``spare`` partitions that
-could give one, as any other linked pair shares a projection with content too.
+in them, and linked sets share at least 1 + spare signatures (``need``).
 
 Equal sets form classes, and only one of each task's copies signs. Sets under
-a signature make a bucket. Buckets are never expanded into all pairs:
+a signature make a bucket; a set in fewer buckets than it needs links with
+nothing. Every set also has an odd sketch, one parity bit per hashed shingle:
+two sketches differ in no more bits than the sets differ in shingles, so pairs
+whose sketches differ in more than k bits are left without a look at the sets.
+Buckets are never expanded into all pairs:
 
-1. star: every set of a bucket is compared exactly with the bucket's set that
+1. star: sets are compared exactly with their buckets' centre, the set that
    stands in most buckets (in a group of near copies, the one closest to all);
    links give components;
-2. rest: where a bucket still has several components, a shingle that only one
-   component has cannot be shared across. Pairs of different components whose
-   remaining shingles allow the similarity are compared exactly, all of them.
+2. rest: where a bucket still has several components, all pairs across
+   components that share the signatures they need and pass their sketches are
+   compared exactly. In large buckets, sets go first that cannot link: a
+   shingle that only one component has cannot be shared across, and enough
+   must be shared.
 
 So every link between components is found, and the work is that of the pairs
 that can still matter. Signatures seen very often in a part of the documents
@@ -39,7 +43,7 @@ classes and shingles are known by 64-bit hashes. Extra columns play no part.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import combinations
@@ -48,7 +52,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -58,6 +62,8 @@ from tallyflow.llm.components import components
 SALTS = 64
 HOT_PART = 64            # one document in so many decides which signatures are salted
 HOT_COUNT = 64           # signatures that so many of them have
+LARGE = 500              # members from which a bucket counts as large
+SKETCH = 16              # words of 64 bits of a sketch
 SEEN = 200_000           # classes a task remembers to have signed
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 GOLD = 0x9E3779B97F4A7C15
@@ -70,11 +76,54 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# A word's hash is a polynomial over its bytes, each byte a fixed random number
+# (0 for the space characters, one number for both cases of a letter).
+BASE = 0x9E3779B97F4A7C15
+SLICE = 1 << 20
+BYTE = mix(np.frombuffer(bytes(range(256)).lower(), np.uint8).astype(np.uint64), 3) | np.uint64(1)
+BYTE[[9, 10, 11, 12, 13, 32]] = 0
+_powers = np.ones((2, 1), dtype=np.uint64)
+
+
+def _power(n: int) -> np.ndarray:
+    """Powers of the base and of its inverse, n at least."""
+    global _powers
+    if _powers.shape[1] < n:
+        n = 1 << (n - 1).bit_length()
+        steps = np.full((2, n), [[BASE], [pow(BASE, -1, 1 << 64)]], dtype=np.uint64)
+        steps[:, 0] = 1
+        _powers = np.multiply.accumulate(steps, axis=1)
+    return _powers
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """The hashes of the words of a text, in order. Long texts go slice by
+    slice, cut at a space."""
+    out, at = [], 0
+    while at < len(data):
+        end = len(data)
+        if end - at > SLICE:
+            code = BYTE[np.frombuffer(data, np.uint8, SLICE, at)]
+            spaces = np.flatnonzero(code == 0)
+            while not len(spaces) and end - at > len(code):
+                code = BYTE[np.frombuffer(data, np.uint8, min(2 * len(code), end - at), at)]
+                spaces = np.flatnonzero(code == 0)
+            end = at + int(spaces[-1]) + 1 if len(spaces) else end
+        code = BYTE[np.frombuffer(data, np.uint8, end - at, at)]
+        word = np.concatenate([[False], code != 0, [False]])
+        edge = np.flatnonzero(word[1:] != word[:-1])
+        first, last = edge[::2], edge[1::2]
+        power = _power(len(code))
+        total = np.append(np.uint64(0), np.cumsum(code * power[0, :len(code)], dtype=np.uint64))
+        out.append(mix((total[last] - total[first]) * power[1, first], 2))
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+
+
 def shingles(text: str | None, words: int) -> np.ndarray:
     """The text's set as sorted distinct hashes."""
-    w = (text or "").encode().lower().split()
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, w), dtype=np.uint64, count=len(w))
-    k = min(words, len(w))
+    h = word_hashes((text or "").encode())
+    k = min(words, len(h))
     if not k:
         return h
     out = mix(h[:len(h) - k + 1], k)
@@ -83,6 +132,12 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(out)
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """The parity bits of a set."""
+    bit = (mix(s, 77) >> np.uint64(64 - (SKETCH * 64 - 1).bit_length())).astype(np.int64)
+    return np.packbits((np.bincount(bit, minlength=SKETCH * 64) & 1).astype(np.uint8)).view(np.int64)
+
+
 def set_hash(s: np.ndarray) -> int:
     """The class of a set, as a signed 64-bit number."""
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
@@ -110,9 +165,14 @@ class Scheme:
         if k < 1:
             return 0, 0
         n1 = k // (self.k2 + 1) + 1
-        spare = (n1 >= 8) + (n1 >= 24)
+        spare = n1 // 8
         return n1 + spare, spare
 
+    def need(self, size: int) -> int:
+        """How many signatures a set of this size shares at least with a set
+        that it links with."""
+        return 1 + self.partitions(int(np.searchsorted(self.bands, size, side="right")) - 1)[1]
+
     def sign(self, s: np.ndarray) -> np.ndarray:
         """The signatures of a set."""
         band = int(np.searchsorted(self.bands, len(s), side="right")) - 1
@@ -120,39 +180,41 @@ class Scheme:
         return np.concatenate([self._sign(s, b) for b in range(band, band + 1 + int(more))])
 
     def _sign(self, s: np.ndarray, band: int) -> np.ndarray:
-        n1, spare = self.partitions(band)
+        n1, _ = self.partitions(band)
         if not n1:
             return np.zeros(0, dtype=np.uint64)
         cell = (mix(s, 1000 + band) % np.uint64(n1 * self.n2)).astype(np.int64)
-        sums, count = np.zeros(n1 * self.n2, dtype=np.uint64), np.bincount(cell, minlength=n1 * self.n2)
+        sums = np.zeros(n1 * self.n2, dtype=np.uint64)
         np.add.at(sums, cell, mix(s, 99))
-        sums, count = sums.reshape(n1, self.n2), count.reshape(n1, self.n2)
+        sums = sums.reshape(n1, self.n2)
         picks = [list(c) for c in combinations(range(self.n2), self.n2 - self.k2)]
         total = np.stack([sums[:, c].sum(axis=1, dtype=np.uint64) for c in picks], axis=1)
-        have = np.stack([count[:, c].sum(axis=1) for c in picks], axis=1) > 0
         name = np.arange(total.size, dtype=np.uint64) + np.uint64(band << 40)
-        out = mix(total.ravel() ^ mix(name, 7), 8)
-        return out if (~have.all(axis=1)).sum() > spare else out[have.ravel()]
+        return mix(total.ravel() ^ mix(name, 7), 8)
 
 
-def _long(x: Iterable[np.ndarray]) -> pa.Array:
-    got = list(x)
-    return pa.array(np.concatenate(got).view(np.int64) if got else np.zeros(0, np.int64))
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.append(0, np.cumsum([len(r) for r in rows])).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows).view(np.int64)))
 
 
 # -- passes over the texts ----------------------------------------------------------
 
-def profiles(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, th (text hash), n (set size), h (class; null without a set)."""
+def profiles(docs: DataFrame, words: int, scheme: Scheme) -> DataFrame:
+    """doc_id, th (text hash), n (set size), h (class; null without a set),
+    need (see ``Scheme``), sk (sketch)."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t, words) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), b.column("th"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "th", "n", "h"])
+            if sets:
+                yield pa.RecordBatch.from_arrays([
+                    b.column("doc_id"), b.column("th"), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([scheme.need(max(1, len(s))) for s in sets], pa.int32()),
+                    _lists([sketch(s) for s in sets])], ["doc_id", "th", "n", "h", "need", "sk"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").mapInArrow(
-        of, "doc_id long, th long, n long, h long")
+        of, "doc_id long, th long, n long, h long, need int, sk array<long>")
 
 
 def signatures(docs: DataFrame, words: int, scheme: Scheme, hot: np.ndarray | None = None) -> DataFrame:
@@ -195,51 +257,63 @@ def hot_signatures(docs: DataFrame, words: int, scheme: Scheme) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(h, s) of the classes in ``wanted`` (h): the sets of a fixed-size bit
-    filter's hits, then exactly those wanted, one row each."""
+    """(h, s) of the classes in ``wanted`` (h, rep): a bit filter of fixed size
+    over the representatives' ids picks the texts that are shingled; then
+    exactly the wanted ones are kept, one row each."""
     bits = min(28, max(16, int(wanted.count() * 16).bit_length()))
 
-    def place(h: np.ndarray) -> np.ndarray:
-        return (mix(h.view(np.uint64), 55) >> np.uint64(64 - bits)).astype(np.int64)
+    def place(ids: np.ndarray) -> np.ndarray:
+        return (mix(ids.astype(np.int64).view(np.uint64), 55) >> np.uint64(64 - bits)).astype(np.int64)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         field = np.zeros(1 << bits, dtype=bool)
         for b in batches:
-            field[place(b["h"].to_numpy(np.int64))] = True
+            field[place(b["rep"].to_numpy(np.int64))] = True
         yield pd.DataFrame({"bits": [np.packbits(field).tobytes()]})
 
     field = np.zeros(1 << bits >> 3, dtype=np.uint8)
-    for row in wanted.select("h").coalesce(8).mapInPandas(pack, "bits binary").toLocalIterator():
+    for row in wanted.where("rep is not null").select("rep").coalesce(8).mapInPandas(pack, "bits binary").toLocalIterator():
         field |= np.frombuffer(bytes(row["bits"]), np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
+            k = place(b.column("doc_id").fill_null(0).to_numpy())
+            hit = (shared.value[k >> 3] >> (7 - (k & 7)).astype(np.uint8) & 1).astype(bool)
+            hit |= b.column("doc_id").is_null().to_numpy(zero_copy_only=False)
             hs, sets = [], []
-            for t in b.column("text").to_pylist():
+            for t in b.column("text").filter(pa.array(hit)).to_pylist():
                 s = shingles(t, words)
                 h = set_hash(s)
-                if not len(s) or h in seen:
-                    continue
-                k = int(place(np.array([h], np.int64))[0])
-                if shared.value[k >> 3] >> (7 - (k & 7)) & 1:
+                if len(s) and h not in seen:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(h)
                     hs.append(h)
-                    sets.append(s.view(np.int64))
+                    sets.append(s)
             if hs:
-                ends = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.ListArray.from_arrays(
-                    pa.array(ends), pa.array(np.concatenate(sets)))], ["h", "s"])
+                yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), _lists(sets)], ["h", "s"])
 
-    found = docs.select("text").mapInArrow(of, "h long, s array<long>")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of, "h long, s array<long>")
     return found.join(wanted.select("h"), "h", "left_semi").groupBy("h").agg(F.first("s").alias("s"))
 
 
 # -- the join -------------------------------------------------------------------------
 
+def _apart(p: str, q: str) -> Column:
+    """In how many bits two sketches differ."""
+    bits = [F.bit_count(F.get(p, F.lit(k)).bitwiseXOR(F.get(q, F.lit(k)))) for k in range(SKETCH)]
+    return sum(bits[1:], bits[0])
+
+
+def _can_link(np_: str, nq: str, p: str, q: str, percent: int) -> Column:
+    """What sizes and sketches allow."""
+    n, m = F.col(np_), F.col(nq)
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+            & (_apart(p, q) * (100 + percent) <= (n + m) * (100 - percent)))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link, compared by their whole sets."""
     left = sets.select(F.col("h").alias("a"), F.col("s").alias("sa"))
@@ -250,44 +324,56 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(100 * F.col("i") >= percent * (F.col("n") - F.col("i"))).select("a", "b"))
 
 
-def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links between classes enough for the components, as (star, rest)."""
-    scheme = Scheme(percent)
+def links(docs: DataFrame, classes: DataFrame, words: int, scheme: Scheme) -> tuple[DataFrame, DataFrame]:
+    """Links between classes (h, n, need, sk, rep) enough for the components,
+    as (star, rest)."""
+    percent = scheme.percent
     docs = docs.select("doc_id", "text")
     signed = signatures(docs, words, scheme, hot_signatures(docs, words, scheme))
     w = Window.partitionBy("sig", "salt")
     rows = stage(signed.withColumns({"lo": F.min("h").over(w), "hi": F.max("h").over(w)})
                  .where("salt >= 0 or lo <> hi").select("sig", "salt", "h").distinct(), "buckets")
-    # the set in most buckets is a bucket's centre
-    stats = stage(rows.groupBy("h").agg(F.count("*").alias("deg")).join(classes.select("h", "n"), "h"), "bucket-sets")
+    stats = stage(rows.groupBy("h").agg(F.count("*").alias("deg")).join(classes, "h")
+                  .where("deg >= need"), "bucket-sets")
     sets = stage(sets_of(docs, stats, words), "sets")
-    rows = stage(rows.join(stats, "h").select("sig", "h", "deg", "n"), "buckets-deg")
-    centre = F.max(F.struct("deg", "h"))
-    groups = stage(rows.groupBy("sig").agg(centre["h"].alias("b"), F.max(F.struct("deg", "h", "n"))["n"].alias("nb"),
-                                           F.count("*").alias("size")), "bucket-centres")
-    near = 100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")
-    pairs = join_groups(rows, groups, ["sig"], "size").where("h <> b").where(near)
-    star = stage(verified(pairs.select(F.col("h").alias("a"), "b").distinct(), sets, percent), "star-links")
-    # buckets of several components
-    comp = components(star)
-    rows = rows.join(comp.withColumnRenamed("node", "h"), "h", "left").select(
-        "sig", "h", "n", F.coalesce("root", "h").alias("c"))
-    rows = stage(rows, "buckets-comp")
+    rows = stage(rows.join(stats.select("h", "deg", "n", "need"), "h").drop("salt"), "buckets-deg")
+    # star: the set in most buckets is a bucket's centre
+    groups = stage(rows.groupBy("sig").agg(F.max(F.struct("deg", "h"))["h"].alias("b"), F.count("*").alias("size"))
+                   .where("size > 1"), "bucket-centres")
+    pairs = (join_groups(rows, groups, ["sig"], "size").where("h <> b")
+             .groupBy(F.col("h").alias("a"), "b", "need").agg(F.count("*").alias("c")).where("c >= need"))
+    side = {x: stats.select(F.col("h").alias(x), F.col("n").alias("n" + x), F.col("sk").alias("s" + x)) for x in "ab"}
+    pairs = pairs.join(side["a"], "a").join(side["b"], "b").where(_can_link("na", "nb", "sa", "sb", percent))
+    star = stage(verified(pairs.select("a", "b"), sets, percent), "star-links")
+    # rest: buckets of several components
+    comp = components(star).withColumnRenamed("node", "h")
+    rows = stage(rows.join(comp, "h", "left").select("sig", "h", "n", "need", F.coalesce("root", "h").alias("c")),
+                 "buckets-comp")
     open_ = stage(rows.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("size"))
                   .where("c0 <> c1").select("sig", "size"), "open-buckets")
-    rows = stage(join_groups(rows, open_, ["sig"], "size").drop("size"), "open-sets")
-    # the shingles that more than one component has
-    members = rows.select("h", "n", "c").distinct()
-    each = stage(members.join(sets, "h").select("h", "c", F.explode("s").alias("x")), "open-shingles")
-    common = stage(each.groupBy("x").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("size"))
-                   .where("c0 <> c1").select("x", "size"), "open-common")
-    left = join_groups(each.select("h", "x"), common, ["x"], "size").groupBy("h").agg(F.count("*").alias("m"))
-    rows = stage(rows.join(left, "h").where(100 * F.col("m") >= percent * F.col("n")), "open-left")
+    rows = stage(join_groups(rows, open_, ["sig"], "size"), "open-rows")
+    able = rows.groupBy("h", "need").agg(F.count("*").alias("deg")).where("deg >= need").select("h")
+    rows = stage(rows.join(able, "h", "left_semi").join(stats.select("h", "sk"), "h"), "open-able")
+    rows = _without_unshared(rows, sets, percent)
     p, q = rows.alias("p"), rows.alias("q")
     can = ((F.col("p.sig") == F.col("q.sig")) & (F.col("p.h") < F.col("q.h")) & (F.col("p.c") != F.col("q.c"))
-           & (percent * (F.col("p.n") + F.col("q.n")) <= (100 + percent) * F.least("p.m", "q.m")))
-    more = p.join(q, can).select(F.col("p.h").alias("a"), F.col("q.h").alias("b")).distinct()
-    return star, stage(verified(more, sets, percent), "rest-links")
+           & _can_link("p.n", "q.n", "p.sk", "q.sk", percent))
+    pairs = (p.join(q, can).groupBy(F.col("p.h").alias("a"), F.col("q.h").alias("b"))
+             .agg(F.count("*").alias("c"), F.min(F.least("p.need", "q.need")).alias("need")).where("c >= need"))
+    return star, stage(verified(pairs.select("a", "b"), sets, percent), "rest-links")
+
+
+def _without_unshared(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``rows`` (sig, h, n, c, size, ...) without the sets of large buckets that
+    share too few shingles with other components of such buckets."""
+    large = stage(rows.where(F.col("size") > LARGE).select("h", "n", "c").distinct(), "large-sets")
+    each = stage(large.join(sets, "h").select("h", "c", F.explode("s").alias("x")), "large-shingles")
+    common = stage(each.groupBy("x").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("size"))
+                   .where("c0 <> c1").select("x", "size"), "large-common")
+    left = join_groups(each.select("h", "x"), common, ["x"], "size").groupBy("h").agg(F.count("*").alias("m"))
+    able = large.join(left, "h").where(100 * F.col("m") >= percent * F.col("n")).select("h")
+    few = rows.where(F.col("size") <= LARGE)
+    return stage(few.unionByName(rows.where(F.col("size") > LARGE).join(able, "h", "left_semi")), "open-left")
 
 
 def classified(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -295,10 +381,13 @@ def classified(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     the same set), root (the component's name), component_id. Without a set,
     root is null."""
     small_batches(docs.sparkSession)
-    keyed = stage(profiles(docs, words), "profiles")
+    scheme = Scheme(percent)
+    keyed = stage(profiles(docs, words, scheme), "profiles")
     classes = stage(keyed.where("h is not null").groupBy("h").agg(
-        F.first("n").alias("n"), F.min("doc_id").alias("rep"), F.count("*").alias("size")), "classes")
-    star, rest = links(docs, classes, words, percent)
+        F.min("doc_id").alias("rep"), F.count("*").alias("size"),
+        *(F.first(c).alias(c) for c in ("n", "need", "sk"))), "classes")
+    keyed = keyed.select("doc_id", "th", "n", "h")
+    star, rest = links(docs, classes, words, scheme)
     comp = stage(components(star.unionByName(rest)), "components")
     named = stage(classes.join(comp.withColumnRenamed("node", "h"), "h", "left").select(
         "h", "rep", "size", F.coalesce("root", "h").alias("root")), "class-roots")
