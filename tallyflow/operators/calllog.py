@@ -50,7 +50,7 @@ def _parse_strict(messages: DataFrame, value_col: str) -> DataFrame:
 
 
 def parse_call_log(messages: DataFrame, value_col: str = "value",
-                   time_type: str = "timestamp_ntz", mode: str = COERCE) -> DataFrame:
+                   time_type: str = "timestamp_ntz", mode: str = STRICT) -> DataFrame:
     """Call-log JSON -> ``split_by_name`` rows.
 
     Columns: ``msg_id`` (null when absent), ``project_name``, ``class_name``
@@ -59,10 +59,10 @@ def parse_call_log(messages: DataFrame, value_col: str = "value",
     TIMESTAMP for streams) and ``output_info`` (JSON text or null).
     Malformed messages are left out; ``call_log_rejects`` returns them.
 
-    ``coerce`` (default): one ``from_json``; a number or object in a text
-    field reads as its JSON text. ``strict``: as the reference's parser, a
-    text field holding another JSON type (or null) reads as null, and a
-    ``date`` that is not an integer makes the message a reject.
+    ``strict`` (default): as the reference's parser, a text field holding
+    another JSON type (or null) reads as null, and a ``date`` that is not an
+    integer makes the message a reject. ``coerce``: one ``from_json``; a number
+    or object in a text field reads as its JSON text.
     """
     if mode == STRICT:
         p = _parse_strict(messages, value_col).where("_ok")
@@ -87,7 +87,7 @@ def parse_call_log(messages: DataFrame, value_col: str = "value",
 
 
 def call_log_rejects(messages: DataFrame, value_col: str = "value",
-                     mode: str = COERCE) -> DataFrame:
+                     mode: str = STRICT) -> DataFrame:
     """Messages that are not a parsable call-log object (in strict
     mode also those whose ``date`` is not an integer)."""
     if mode == STRICT:

@@ -4,7 +4,7 @@ F8, C8, C12-C14).
 A request is an argument string; it is split on single spaces (empty tokens
 dropped) and every token, duplicates included, yields one result row.
 
-Plan (``reduce=True``, batch):
+Plan (batch):
 
 1. ``freq``: request tokens per requested key (partial aggregate: a hot key
    costs one row per task before the shuffle).
@@ -12,18 +12,22 @@ Plan (``reduce=True``, batch):
    per key, so there is no skew; AQE broadcasts a side only when its measured
    shuffle output is small, so a state of billions of keys is scanned without
    a shuffle when the requests are few.
-3. Hot keys: the ``hot_keys`` most requested keys with more than
-   ``rows_per_salt`` tokens, at most ``hot_keys`` rows by construction, so
-   broadcasting them is safe. Each hot key gets ``ceil(tokens /
-   rows_per_salt)`` salts; its answer row is copied once per salt and its
-   tokens are spread over the salts by a hash of the token row. Every other
-   key has one salt.
+3. Hot keys: with P shuffle partitions, every key that holds more than one
+   P-th of all request tokens. Fewer than P keys can, so broadcasting them is
+   safe by count, and no key outside is larger than a fair partition. A hot
+   key's answer row is copied once per salt and its tokens are spread over
+   the salts by a hash of the token row; it gets as many salts as it holds
+   P-ths of the tokens. Every other key has one salt.
 4. The tokens join the answers on ``(key, salt)``. A key holding a third of
-   all tokens is split over many tasks; nothing is dropped or capped, and
-   keys outside the hot set take the same join unsalted.
+   all tokens is split over a third of the partitions; nothing is dropped or
+   capped.
 
-Streams (stream-static join) use ``reduce=False``: a plain join to the
-static state.
+``zero`` and ``null`` are left joins from the tokens, so only the answer side
+can be broadcast. ``drop`` is an inner join: AQE builds the side whose measured
+size is small, which may be the tokens when the requests are few.
+
+Streams answer each micro-batch with this plan
+(``tallyflow.streaming.forms.lookup_stream``).
 """
 
 from __future__ import annotations
@@ -48,17 +52,9 @@ def request_tokens(requests: DataFrame, args_col: str = "args",
                   with_position=True)
 
 
-# Defaults of the hot-key salting (tunable per call).
-HOT_KEYS = 1000             # at most this many keys are salted (broadcast bound)
-ROWS_PER_SALT = 1_000_000   # target request tokens per salt of a hot key
-MAX_SALTS = 4096
-
-
 def lookup(req_tokens: DataFrame, state: DataFrame, key_col: str = "key",
            state_key: str | None = None, value_col: str = "count",
-           on_miss: str = DROP, out_col: str | None = None,
-           reduce: bool = True, hot_keys: int = HOT_KEYS,
-           rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+           on_miss: str = DROP, out_col: str | None = None) -> DataFrame:
     """Answer each request token from ``state``.
 
     ``state`` has one row per ``state_key`` (default ``key_col``). Output:
@@ -69,34 +65,26 @@ def lookup(req_tokens: DataFrame, state: DataFrame, key_col: str = "key",
     out_col = out_col or value_col
     if on_miss not in (DROP, ZERO, NULL):
         raise ValueError(f"on_miss must be {DROP!r}, {ZERO!r} or {NULL!r}")
-    # Every mode is a left join from the request tokens (drop then filters the
-    # misses): only the answer side can be the broadcast build side, never the
-    # request tokens.
-    how = "left"
+    if req_tokens.isStreaming:
+        raise ValueError("answer a stream with tallyflow.streaming.forms.lookup_stream")
     st = state.select(F.col(state_key).alias(key_col), F.col(value_col).alias("_val"))
-    req_cols = req_tokens.columns
-    if reduce:
-        joined = _salted_join(req_tokens, st, key_col, how, hot_keys, rows_per_salt)
-    else:
-        joined = req_tokens.join(st, key_col, how)
     if on_miss == DROP:
-        return joined.where(F.col("_val").isNotNull()).select(*req_cols, F.col("_val").alias(out_col))  # F1
-    if on_miss == ZERO:
-        return joined.select(*req_cols, null_to_zero("_val").alias(out_col))                        # C8
-    return joined.select(*req_cols, as_text("_val").alias(out_col))                                 # C14
+        st = st.where(F.col("_val").isNotNull())                                                    # F1
+    joined = _salted_join(req_tokens, st, key_col, "inner" if on_miss == DROP else "left")
+    value = {DROP: F.col("_val"), ZERO: null_to_zero("_val"), NULL: as_text("_val")}[on_miss]      # C8, C14
+    return joined.select(*req_tokens.columns, value.alias(out_col))
 
 
-def _salted_join(req_tokens: DataFrame, st: DataFrame, key_col: str, how: str,
-                 hot_keys: int, rows_per_salt: int) -> DataFrame:
+def _salted_join(req_tokens: DataFrame, st: DataFrame, key_col: str, how: str) -> DataFrame:
     req_cols = req_tokens.columns
+    parts = int(req_tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     freq = (req_tokens.where(F.col(key_col).isNotNull())
             .groupBy(key_col).agg(F.count(F.lit(1)).alias("_cnt")))
     answers = freq.select(key_col).join(st, key_col, "inner")
-    hot = (freq.where(F.col("_cnt") > rows_per_salt)
-           .orderBy(F.desc("_cnt"), F.asc(key_col)).limit(hot_keys)
-           .select(key_col, F.least(F.ceil(F.col("_cnt") / rows_per_salt),
-                                    F.lit(MAX_SALTS)).cast("int").alias("_salts")))
-    hot = F.broadcast(hot)  # at most hot_keys rows
+    total = freq.select(F.sum("_cnt")).scalar()
+    share = F.col("_cnt") * parts / total
+    hot = F.broadcast(freq.where(share > 1).select(      # fewer than ``parts`` rows
+        key_col, F.ceil(share).cast("int").alias("_salts")))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     toks = (req_tokens.join(hot, key_col, "left")
             .select(*req_cols, F.pmod(F.xxhash64(*req_cols), salts).cast("int").alias("_salt")))

@@ -8,7 +8,7 @@ the checkpointed state store (``tallyflow.streaming``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyflow.functions.jsonfields import as_text
@@ -42,30 +42,48 @@ def latest_per_key(df: DataFrame, key: str, value: str = "n",
 
 def live_state(state: DataFrame, updated_col: str = "updated_at",
                ttl_seconds: int = DEFAULT_TTL_SECONDS,
-               as_of: Column | None = None, scope: str = KEY) -> DataFrame:
-    """Drop expired state.
+               as_of: Column | None = None, scope: str = KEY,
+               writes: DataFrame | None = None) -> DataFrame:
+    """Drop state that has expired ``as_of`` (default: now).
 
     ``scope="key"``: a key lives while ``updated_at > as_of - ttl``.
-    ``scope="table"``: the whole table lives while its last write is within
-    the TTL (how a hash store expires a whole hash).
-    ``as_of`` defaults to the state's last write time, computed as a scalar
-    subquery (one partial/final aggregate, no driver round trip).
+    ``scope="table"``: the whole table expires together when nothing is
+    written for longer than the TTL, and every write starts the time again (how
+    a hash store expires a whole hash): the keys written since the last pause
+    longer than the TTL live, if the last write is within the TTL. ``writes``
+    holds the times of all writes in ``updated_col`` (default: ``state``, which
+    knows each key's last write only).
     """
-    if as_of is None:
-        # max over a struct led by updated_col equals max(updated_col); keeping
-        # every column stops pruning from reshaping the subquery, so its
-        # shuffles match the main plan's and are reused, not recomputed
-        as_of = state.select(F.max(F.struct(updated_col, *[c for c in state.columns
-                                                          if c != updated_col]))[updated_col]).scalar()
+    as_of = F.current_timestamp() if as_of is None else as_of
     cutoff = as_of - F.expr(f"INTERVAL '{int(ttl_seconds)}' SECOND")
     if scope == KEY:
         return state.where(F.col(updated_col) > cutoff)
     if scope == TABLE:
-        last = state.select(F.max(updated_col)).scalar()
-        return state.where(last > cutoff)
+        life = _current_life(writes if writes is not None else state, updated_col, ttl_seconds, as_of)
+        return (state.join(F.broadcast(life), (F.col(updated_col) >= F.col("_since")) & (F.col("_last") > cutoff))
+                .select(*state.columns))
     raise ValueError(f"scope must be {KEY!r} or {TABLE!r}")
 
 
+def _current_life(writes: DataFrame, col: str, ttl_seconds: int, as_of: Column) -> DataFrame:
+    """One row: ``_last``, the last write by ``as_of``, and ``_since``, the
+    first write after the last pause longer than the TTL.
+
+    Writes are reduced to their first and last time per TTL-long bucket; no
+    pause within a bucket is longer than the TTL. Only the buckets (at most one
+    per TTL of the covered time) are looked at in order.
+    """
+    t = F.col(col)
+    micros = F.unix_micros(t.cast("timestamp"))
+    buckets = (writes.where(t <= as_of)
+               .groupBy(F.floor(micros / (int(ttl_seconds) * 1_000_000)).alias("_b"))
+               .agg(F.min(t).alias("_first"), F.max(t).alias("_end")))
+    before = F.lag("_end").over(Window.orderBy("_b"))
+    fresh = before.isNull() | (F.col("_first") > before + F.expr(f"INTERVAL '{int(ttl_seconds)}' SECOND"))
+    return (buckets.withColumn("_fresh", F.when(fresh, F.col("_first")))
+            .agg(F.max("_fresh").alias("_since"), F.max("_end").alias("_last")))
+
+
 def store_records(state: DataFrame, key: str, value: str,
                   key_out: str = "key", value_out: str = "value") -> DataFrame:
     """K2 / P10 / C14 mapper: ``(key, value as text)`` hash-store entries."""

@@ -11,16 +11,21 @@ arrived since the previous activation, i.e. ``[end - slide, end)``. With
 ``slide == length`` (the reference's 10 s / 10 s) both are the same.
 
 Functions that end in a plain aggregate also run on streaming DataFrames
-(add ``withWatermark`` upstream); ``hierarchical_count`` uses an analytic
-window for the window-level first time, which streams do not allow, so its
-stream form lives in ``tallyflow.streaming``.
+(add ``withWatermark`` upstream). ``hierarchical_count`` joins the window's
+first time back to its groups; on a stream the groups (``window_groups``) are
+aggregated by the stream and ``with_first_time`` runs on the closed windows of
+each micro-batch (``tallyflow.streaming.forms``).
+
+The slide need not divide the length. Sliding windows start at multiples of the
+slide, so they end at multiples of the slide plus ``length mod slide``; the
+buckets of new rows are shifted by that much, and each ends with its window.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALL = "all"
@@ -36,29 +41,37 @@ RESULT_CODE_METRICS = {
 NAME_LABELS = ("project_name", "class_name", "method_name")
 
 
-def interval(length: str) -> Column:
-    """``'10 seconds'`` / ``'1 hour'`` -> a day-time interval literal."""
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def seconds(length: str) -> int:
+    """``'10 seconds'`` / ``'1 hour'`` -> its number of seconds."""
     m = re.fullmatch(r"\s*(\d+)\s*(second|minute|hour|day)s?\s*", length, re.I)
     if not m:
         raise ValueError(f"unsupported window length {length!r}")
-    return F.expr(f"INTERVAL '{m.group(1)}' {m.group(2).upper()}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
+def interval(length: str) -> Column:
+    """The same as a day-time interval literal."""
+    return F.expr(f"INTERVAL '{seconds(length)}' SECOND")
 
 
 def _new_rows(length: str, slide: str | None, rows: str) -> bool:
     if rows not in (ALL, NEW):
         raise ValueError(f"rows must be {ALL!r} or {NEW!r}")
-    return rows == NEW and slide is not None and slide != length
+    return rows == NEW and slide is not None and seconds(slide) != seconds(length)
 
 
 def window_col(time_col: str, length: str, slide: str | None = None,
                rows: str = ALL) -> Column:
     """The window a row is grouped by: the (sliding) window itself, or for
-    ``rows="new"`` the tumbling ``slide`` bucket holding the window's last
+    ``rows="new"`` the tumbling ``slide`` bucket that is the window's last
     ``slide`` (each row falls in exactly one). Both are real window columns,
     so streams can aggregate them in append mode; ``window_bounds`` turns the
     group into the output window."""
     if _new_rows(length, slide, rows):
-        return F.window(time_col, slide)
+        return F.window(time_col, slide, slide, f"{seconds(length) % seconds(slide)} seconds")
     return F.window(time_col, length, slide) if slide else F.window(time_col, length)
 
 
@@ -71,14 +84,6 @@ def window_bounds(length: str, slide: str | None = None, rows: str = ALL,
     return [F.col(f"{w}.start").alias("window_start"), F.col(f"{w}.end").alias("window_end")]
 
 
-def _window_first_time(df: DataFrame, time_col: str, length: str, slide: str | None) -> DataFrame:
-    """``window_start, window_end, timestamp``: each (sliding) window's least
-    event time over all its rows; used when counts cover only new rows."""
-    return (df.select(F.window(time_col, length, slide).alias("_w"), F.col(time_col).alias("_t"))
-            .groupBy("_w").agg(F.min("_t").alias("timestamp"))
-            .select(*window_bounds(length, slide), "timestamp"))
-
-
 def window_count(df: DataFrame, keys: list[str] | tuple[str, ...] = (),
                  time_col: str = "event_time", length: str = "10 seconds",
                  slide: str | None = None, rows: str = ALL,
@@ -128,30 +133,70 @@ def counts_by_name(df: DataFrame, names: dict[str, str] | None = None,
                       count_col)
 
 
+def _new_in_window(length: str, slide: str | None, rows: str) -> Column:
+    """Whether a row at ``_t`` is new in its sliding window ``_w``."""
+    if _new_rows(length, slide, rows):
+        return F.col("_t") >= F.col("_w.end") - interval(slide)
+    return F.lit(True)
+
+
+def _windowed(df: DataFrame, time_col: str, length: str, slide: str | None,
+              keys: tuple[str, ...]) -> DataFrame:
+    """``_w`` (each window of a row), ``keys`` and the time ``_t``.
+
+    Spark's own sliding window is an Expand, whose exchange is not recognised
+    as the same in two branches of a plan; a batch spells the windows out (an
+    explode of the starts) instead. A stream keeps Spark's, for the watermark.
+    """
+    t = F.col(time_col).alias("_t")
+    if df.isStreaming or slide is None or seconds(slide) == seconds(length):
+        return df.select(window_col(time_col, length, slide).alias("_w"), *keys, t)
+    last = F.col("_s.start")
+    starts = [last - F.expr(f"INTERVAL '{k * seconds(slide)}' SECOND")
+              for k in range(-(-seconds(length) // seconds(slide)))]
+    spans = F.array(*[F.struct(s.alias("start"), (s + interval(length)).alias("end")) for s in starts])
+    return (df.select(F.window(time_col, slide).alias("_s"), *keys, t)
+            .select(F.explode(spans).alias("_w"), *keys, "_t").where(F.col("_t") < F.col("_w.end")))
+
+
+def window_groups(df: DataFrame, time_col: str = "event_time", length: str = "10 seconds",
+                  slide: str | None = None, rows: str = ALL,
+                  keys: tuple[str, ...] = NAME_LABELS) -> DataFrame:
+    """One row per window and key: ``total_count`` and the group's least time
+    ``_first`` over all rows of the window. With ``rows="new"`` the count is
+    that of the new rows (0 for a group without any); the input is read once.
+    Runs on streams (append mode: a window's groups come out together).
+    """
+    staged = _windowed(df, time_col, length, slide, keys)
+    agg = staged.groupBy("_w", *keys).agg(
+        F.count(F.when(_new_in_window(length, slide, rows), F.lit(1))).alias("total_count"),
+        F.min("_t").alias("_first"))
+    return agg.select(*window_bounds(length, slide), *keys, "total_count", "_first")
+
+
+def with_first_time(groups: DataFrame, keys: tuple[str, ...] = NAME_LABELS) -> DataFrame:
+    """Stamp each group of ``window_groups`` with its window's first time
+    and drop the groups without counted rows.
+
+    The first time is a partial and final aggregate over the groups (one row
+    per window), joined back; AQE broadcasts it or splits a large window.
+    """
+    # both branches read total_count and _first (which is never null; min over
+    # a struct led by _first is min(_first)), so their exchange is the same and
+    # is reused: the input is read and parsed once
+    first = groups.groupBy("window_start", "window_end").agg(
+        F.min(F.struct("_first", "total_count"))["_first"].alias("timestamp"))
+    return (groups.where("total_count > 0 AND _first IS NOT NULL").join(first, ["window_start", "window_end"])
+            .select("window_start", "window_end", *keys, "total_count", "timestamp"))
+
+
 def hierarchical_count(df: DataFrame, time_col: str = "event_time",
                        length: str = "10 seconds", slide: str | None = None,
                        rows: str = ALL,
                        keys: tuple[str, str, str] = NAME_LABELS) -> DataFrame:
     """A7 + A8: count per (project, class, method) per window, each row
-    stamped with the window's first message time (Q7: least event time).
-
-    Plan: one aggregate (exchange 1) computes the count and the group's first
-    time; an analytic ``min`` over the window (exchange 2, on the aggregated
-    rows only: one row per key per window) spreads the window's first time.
-    """
-    staged = df.select(window_col(time_col, length, slide, rows).alias("_w"), *keys,
-                       F.col(time_col).alias("_t"))
-    agg = staged.groupBy("_w", *keys).agg(F.count(F.lit(1)).alias("total_count"),
-                                          F.min("_t").alias("_first"))
-    out = agg.select(*window_bounds(length, slide, rows), *keys, "total_count", "_first")
-    if _new_rows(length, slide, rows):
-        # the first time of a sliding window spans rows older than its "new" rows
-        first = _window_first_time(df, time_col, length, slide)
-        return (out.join(first, ["window_start", "window_end"], "left")
-                .select("window_start", "window_end", *keys, "total_count", "timestamp"))
-    w = Window.partitionBy("window_start", "window_end")
-    return out.select("window_start", "window_end", *keys, "total_count",
-                      F.min("_first").over(w).alias("timestamp"))
+    stamped with the window's first message time (Q7: least event time)."""
+    return with_first_time(window_groups(df, time_col, length, slide, rows, keys), keys)
 
 
 def conditional_counts(df: DataFrame, code_col: str = "return_code",
@@ -163,21 +208,17 @@ def conditional_counts(df: DataFrame, code_col: str = "return_code",
     with no match emits nothing. ``timestamp`` is the window's first time
     over all its rows. A null code matches nothing (Q10).
 
-    Output: ``window_start, window_end, metric, n, timestamp``. Streams
-    take ``rows="all"`` (the ``"new"`` form joins a second aggregate for the
-    whole-window first time, which append mode cannot).
+    Output: ``window_start, window_end, metric, n, timestamp``. One
+    aggregate, also on streams, for ``"all"`` and ``"new"`` rows alike.
     """
     metrics = metrics or RESULT_CODE_METRICS
-    staged = df.select(window_col(time_col, length, slide, rows).alias("_w"),
+    staged = df.select(window_col(time_col, length, slide).alias("_w"),
                        F.col(code_col).alias("_code"), F.col(time_col).alias("_t"))
+    new = _new_in_window(length, slide, rows)
     agg = staged.groupBy("_w").agg(
-        *[F.count_if(F.col("_code") == F.lit(v)).alias(m) for m, v in metrics.items()],
+        *[F.count_if(new & (F.col("_code") == F.lit(v))).alias(m) for m, v in metrics.items()],
         F.min("_t").alias("timestamp"))
-    wide = agg.select(*window_bounds(length, slide, rows), "timestamp", *metrics)
-    if _new_rows(length, slide, rows):
-        # counts use the new rows; the first time spans the whole sliding window
-        first = _window_first_time(df, time_col, length, slide)
-        wide = wide.drop("timestamp").join(first, ["window_start", "window_end"], "left")
+    wide = agg.select(*window_bounds(length, slide), "timestamp", *metrics)
     tall = wide.unpivot(["window_start", "window_end", "timestamp"], list(metrics), "metric", "n")
     return (tall.where(F.col("n") != 0)
             .select("window_start", "window_end", "metric", "n", "timestamp"))

@@ -54,6 +54,31 @@ _ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "latest_with_ttl": (Q.latest_with_ttl, O.LATEST_WITH_TTL),
     "hash_store_records": (Q.hash_store_records, O.HASH_STORE_RECORDS),
     "project_lookup_null": (Q.project_lookup_null, O.PROJECT_LOOKUP_NULL),
+    "state_ttl_key": (Q.state_ttl_key, O.STATE_TTL_KEY),
+    "state_ttl_table": (Q.state_ttl_table, O.STATE_TTL_TABLE),
+    "window_count_project_1s": (Q.window_count_project_1s, O.WINDOW_COUNT_PROJECT_1S),
+    "window_last_key_1s": (Q.window_last_key_1s, O.WINDOW_LAST_KEY_1S),
+    # windows whose slide does not divide their length, dispatch, ranking store
+    "hierarchical_new": (Q.hierarchical_new, O.HIERARCHICAL_NEW),
+    "conditional_new": (Q.conditional_new, O.CONDITIONAL_NEW),
+    "general_stream": (Q.general_stream, O.GENERAL_STREAM),
+    "ranking_store": (Q.ranking_store, O.RANKING_STORE),
+    # messages that can fail
+    "mixed_parse_strict": (Q.mixed_parse_strict, O.MIXED_PARSE_STRICT),
+    "mixed_parse_coerce": (Q.mixed_parse_coerce, O.MIXED_PARSE_COERCE),
+    "mixed_rejects_strict": (Q.mixed_rejects_strict, O.MIXED_REJECTS),
+    "mixed_rejects_coerce": (Q.mixed_rejects_coerce, O.MIXED_REJECTS),
+    "mixed_key_strict": (Q.mixed_key_strict, O.MIXED_KEY_STRICT),
+    "mixed_key_coerce": (Q.mixed_key_coerce, O.MIXED_KEY_COERCE),
+    "mixed_identity": (Q.mixed_identity, O.MIXED_IDENTITY),
+    # streams run whole over the tables
+    "stream_word_state": (Q.stream_word_state, O.WORD_COUNT_SPACE),
+    "stream_word_changes": (Q.stream_word_changes, O.WORD_COUNT_SPACE),
+    "stream_log_rollup": (Q.stream_log_rollup, O.STREAM_LOG_ROLLUP),
+    "stream_window_rows": (Q.stream_window_rows, O.STREAM_WINDOW_ROWS),
+    "stream_keyed_store": (Q.stream_keyed_store, O.STREAM_KEYED_STORE),
+    "observed_rows": (Q.observed_rows, O.OBSERVED_ROWS),
+    "write_time_stamp": (Q.write_time_stamp, O.WRITE_TIME_STAMP),
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

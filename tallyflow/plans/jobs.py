@@ -25,7 +25,7 @@ from tallyflow.operators import state as st
 from tallyflow.operators import windows as win
 from tallyflow.operators import wordcount as wc
 from tallyflow.session import sub_dir
-from tallyflow.sinks.documents import index_documents, write_documents_stream
+from tallyflow.sinks.documents import index_documents, write_documents_batch
 from tallyflow.sinks.records import to_records, write_records_stream
 from tallyflow.sinks.snapshot import KeyedSnapshot
 from tallyflow.sources.streams import StreamSpec, read_stream
@@ -52,14 +52,14 @@ def word_count_stream(spark: SparkSession, spec: StreamSpec, checkpoint: str | N
     """Running word count; ``update`` emits each changed count (K8),
     ``complete`` the whole listing (K7). Output goes to ``foreach_batch``
     (restartable from the checkpoint; it must execute the batch, or the
-    state of that batch is not committed) or, when None, to a memory table
-    ``query_name`` (for interactive use; not restartable in update mode).
+    state of that batch is not committed).
     ``mode``: whitespace-run tokens (J-WC) or single-space tokens (the
     J-DRPC state that ``word_lookup_stream`` serves)."""
+    if foreach_batch is None:
+        raise ValueError("word_count_stream needs a foreach_batch sink")
     counts = forms.running_word_count(read_stream(spark, spec), "value", mode)
-    w = (counts.writeStream.outputMode(output_mode)
+    w = (counts.writeStream.outputMode(output_mode).foreachBatch(foreach_batch)
          .option("checkpointLocation", checkpoint or sub_dir(spark, f"ckpt/{query_name}")))
-    w = w.foreachBatch(foreach_batch) if foreach_batch else w.format("memory").queryName(query_name)
     return (w.trigger(**trigger) if trigger else w).start()
 
 
@@ -76,14 +76,19 @@ def log_rollup_batch(messages: DataFrame, length: str = LOG_WINDOW, slide: str |
 def log_rollup_stream(spark: SparkSession, spec: StreamSpec, out_path: str,
                       checkpoint: str | None = None, length: str = LOG_WINDOW,
                       lag: str = forms.DEFAULT_LAG, trigger: dict | None = None,
-                      output_files: int | None = None) -> StreamingQuery:
-    """The same on a stream, written to daily-index folders (append);
-    ``output_files`` bounds the files written per micro-batch and day."""
+                      output_files: int | None = None, slide: str | None = None,
+                      rows: str = win.ALL) -> StreamingQuery:
+    """The same on a stream, written to daily-index folders, each micro-batch
+    in its own (replay-safe); ``output_files`` bounds the files written per
+    micro-batch and day."""
     parsed = forms.parsed_with_watermark(read_stream(spark, spec), "value", lag)
-    rows = forms.hierarchical_stream(parsed, length)
-    docs = index_documents(rows, "timestamp")
-    return write_documents_stream(docs, out_path, checkpoint or sub_dir(spark, "ckpt/log_rollup"),
-                                  trigger, output_files=output_files)
+
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        write_documents_batch(index_documents(rows, "timestamp"), out_path, batch_id,
+                              output_files=output_files)
+
+    return forms.roll_up_closed_windows(forms.hierarchical_groups(parsed, length, slide, rows), sink,
+                                        checkpoint or sub_dir(spark, "ckpt/log_rollup"), trigger)
 
 
 # -- J-ROLL -------------------------------------------------------------------
@@ -95,19 +100,24 @@ def _project_rows(messages: DataFrame, time_type: str) -> DataFrame:
 
 
 def rolling_state_batch(messages: DataFrame, length: str = ROLL_WINDOW,
-                        ttl_seconds: int | None = ROLL_TTL_SECONDS) -> DataFrame:
-    """Per-project window counts -> latest count per project -> live keys."""
+                        ttl_seconds: int | None = ROLL_TTL_SECONDS, as_of=None) -> DataFrame:
+    """Per-project window counts -> latest count per project -> live keys
+    (the whole table expires together, ``as_of`` now by default)."""
     counts = win.window_count(_project_rows(messages, "timestamp_ntz"), ["projectName"],
                               length=length, count_col="num")
     latest = st.latest_per_key(counts, "projectName", "num", "window_end", out_value="count")
-    return latest if ttl_seconds is None else st.live_state(latest, "updated_at", ttl_seconds)
+    if ttl_seconds is None:
+        return latest
+    writes = counts.select(F.col("window_end").alias("updated_at"))
+    return st.live_state(latest, "updated_at", ttl_seconds, as_of, st.TABLE, writes)
 
 
 def rolling_snapshot(spark: SparkSession, path: str | None = None,
                      ttl_seconds: int | None = ROLL_TTL_SECONDS) -> KeyedSnapshot:
-    """The keyed store (K2): projectName -> count, expiring after the TTL."""
+    """The keyed store (K2): projectName -> count; the whole store expires
+    when nothing was written for the TTL."""
     return KeyedSnapshot(spark, path or sub_dir(spark, "snapshots/rolling_state"),
-                         ("projectName",), ("count",), "updated_at", ttl_seconds)
+                         ("projectName",), ("count",), "updated_at", ttl_seconds, st.TABLE)
 
 
 def rolling_stream(spark: SparkSession, spec: StreamSpec, snapshot: KeyedSnapshot,
@@ -131,10 +141,19 @@ def rolling_lookup(requests: DataFrame, state: DataFrame, on_miss: str = lk.NULL
     store = state if on_miss != lk.NULL else st.store_records(state, "projectName", "count",
                                                               "projectName", "count")
     out = lk.lookup(toks, store, key_col="arg", state_key="projectName", value_col="count",
-                    on_miss=on_miss, reduce=not requests.isStreaming)
+                    on_miss=on_miss)
     return out.withColumnRenamed("arg", "projectName")
 
 
+def rolling_lookup_stream(spark: SparkSession, requests: DataFrame, snapshot: KeyedSnapshot, sink,
+                          checkpoint: str | None = None, on_miss: str = lk.NULL,
+                          trigger: dict | None = None) -> StreamingQuery:
+    """A stream of requests answered from the keyed store as it stands at each
+    micro-batch; ``sink(answers_df, batch_id)`` writes the answers."""
+    return forms.lookup_stream(requests, lambda batch: rolling_lookup(batch, snapshot.read(), on_miss), sink,
+                               checkpoint or sub_dir(spark, "ckpt/rolling_lookup"), trigger)
+
+
 # -- J-DRPC -------------------------------------------------------------------
 
 def word_state_batch(lines: DataFrame, text_col: str = "line") -> DataFrame:
@@ -145,8 +164,7 @@ def word_state_batch(lines: DataFrame, text_col: str = "line") -> DataFrame:
 def word_lookup(requests: DataFrame, state: DataFrame, on_miss: str = lk.DROP) -> DataFrame:
     """Request tokens answered from the word state; misses dropped."""
     toks = lk.request_tokens(requests, key_col="word")
-    return lk.lookup(toks, state, key_col="word", value_col="count", on_miss=on_miss,
-                     reduce=not requests.isStreaming)
+    return lk.lookup(toks, state, key_col="word", value_col="count", on_miss=on_miss)
 
 
 def word_state_from_stream(spark: SparkSession, state_checkpoint: str) -> DataFrame:
@@ -166,13 +184,10 @@ def word_lookup_stream(spark: SparkSession, requests: DataFrame, state_checkpoin
     keys first, hot keys salted). ``sink(answers_df, batch_id)`` writes the
     answers; make it idempotent per ``batch_id`` (a failed batch is replayed).
     """
-    def answer(batch: DataFrame, batch_id: int) -> None:
-        state = word_state_from_stream(spark, state_checkpoint)
-        sink(word_lookup(batch, state, on_miss), batch_id)
+    def answer(batch: DataFrame) -> DataFrame:
+        return word_lookup(batch, word_state_from_stream(spark, state_checkpoint), on_miss)
 
-    w = (requests.writeStream.foreachBatch(answer)
-         .option("checkpointLocation", checkpoint or sub_dir(spark, "ckpt/word_lookup")))
-    return (w.trigger(**trigger) if trigger else w).start()
+    return forms.lookup_stream(requests, answer, sink, checkpoint or sub_dir(spark, "ckpt/word_lookup"), trigger)
 
 
 # -- J-KTEST ------------------------------------------------------------------

@@ -168,7 +168,7 @@ HIERARCHICAL_COUNT_10S = _hierarchical("10 seconds")
 PACK_LIST = _hierarchical("1 hour")
 
 INDEX_DOCUMENTS = _CALLLOG + _hierarchical_body("1 hour") + """
-SELECT 'logcount-' || strftime(timestamp, '%Y.%m.%d') AS _index, project_name,
+SELECT 'logcount-' || strftime(timestamp, '%Y.%m.%d') AS _index, 'info' AS _type, project_name,
        class_name, method_name, total_count, timestamp
 FROM h
 """
@@ -256,8 +256,11 @@ _WINDOW_COUNT_PROJECT = """
 , lp AS (
   SELECT projectName, arg_max(num, window_end) AS count, max(window_end) AS updated_at
   FROM wcp GROUP BY projectName)
+, pauses AS (
+  SELECT e, e - lag(e) OVER (ORDER BY e) AS pause FROM (SELECT DISTINCT window_end AS e FROM wcp))
 , live AS (
-  SELECT * FROM lp WHERE updated_at > (SELECT max(updated_at) FROM lp) - INTERVAL '300 seconds')
+  SELECT * FROM lp WHERE updated_at >= (
+    SELECT max(e) FROM pauses WHERE pause IS NULL OR pause > INTERVAL '300 seconds'))
 , hs AS (SELECT projectName, CAST(count AS VARCHAR) AS count FROM live)
 """
 
@@ -277,3 +280,129 @@ SELECT tok.request_id, tok.pos, tok.arg AS projectName, hs.count
 FROM tok LEFT JOIN hs ON tok.arg = hs.projectName
 WHERE tok.arg <> ''
 """
+
+_USER_STATE = """
+WITH uw AS (
+  SELECT date_trunc('second', ts) + INTERVAL '1 second' AS e, user_id, count(*) AS n
+  FROM events GROUP BY ALL)
+, lu AS (SELECT user_id, arg_max(n, e) AS n, max(e) AS updated_at FROM uw GROUP BY user_id)
+, pauses AS (SELECT e, e - lag(e) OVER (ORDER BY e) AS pause FROM (SELECT DISTINCT e FROM uw))
+"""
+
+STATE_TTL_KEY = _USER_STATE + """
+SELECT * FROM lu WHERE updated_at > (SELECT max(e) FROM uw) + INTERVAL '120 seconds' - INTERVAL '6 hours'
+"""
+
+STATE_TTL_TABLE = _USER_STATE + """
+SELECT * FROM lu WHERE updated_at >= (
+  SELECT max(e) FROM pauses WHERE pause IS NULL OR pause > INTERVAL '1200 seconds')
+"""
+
+# 10 min windows that start every 4 min, each with its rows
+_SLIDING_10_4 = """
+, b AS (SELECT min(time_bucket(INTERVAL '4 minutes', event_time)) - INTERVAL '20 minutes' AS lo,
+               max(event_time) AS hi FROM calllog)
+, s AS (SELECT unnest(generate_series(lo, hi, INTERVAL '4 minutes')) AS window_start FROM b)
+, r AS (
+  SELECT s.window_start, s.window_start + INTERVAL '10 minutes' AS window_end, c.*,
+         c.event_time >= s.window_start + INTERVAL '6 minutes' AS is_new
+  FROM calllog c JOIN s ON c.event_time >= s.window_start
+                       AND c.event_time < s.window_start + INTERVAL '10 minutes')
+, f AS (SELECT window_start, min(event_time) AS timestamp FROM r GROUP BY window_start)
+"""
+
+HIERARCHICAL_NEW = _CALLLOG + _SLIDING_10_4 + """
+SELECT r.window_start, r.window_end, project_name, class_name, method_name, count(*) AS total_count, f.timestamp
+FROM r JOIN f ON r.window_start = f.window_start WHERE is_new GROUP BY ALL
+"""
+
+CONDITIONAL_NEW = _CALLLOG + _SLIDING_10_4 + """
+SELECT r.window_start, r.window_end,
+       CASE return_code WHEN '10000' THEN 'login_success' ELSE 'register_success' END AS metric,
+       count(*) AS n, f.timestamp
+FROM r JOIN f ON r.window_start = f.window_start
+WHERE is_new AND return_code IN ('10000', '10002') GROUP BY ALL
+"""
+
+GENERAL_STREAM = _CALLLOG + "SELECT project_name, class_name, method_name, ts_ms, event_time FROM calllog"
+
+_SECONDS = """
+, sec AS (SELECT *, date_trunc('second', event_time) AS window_start,
+                 date_trunc('second', event_time) + INTERVAL '1 second' AS window_end FROM calllog)
+, sp AS (SELECT window_start, window_end, project_name AS projectName, count(*) AS num FROM sec GROUP BY ALL)
+, closed AS (SELECT * FROM sp WHERE window_end <= (SELECT max(event_time) FROM calllog) - INTERVAL '5 seconds')
+"""
+
+WINDOW_COUNT_PROJECT_1S = _CALLLOG + _SECONDS + "SELECT * FROM sp"
+WINDOW_LAST_KEY_1S = _CALLLOG + _SECONDS + """
+SELECT window_start, window_end, arg_max(project_name, (ts_ms, msg_id)) AS project_name, count(*) AS n
+FROM sec GROUP BY window_start, window_end
+"""
+RANKING_STORE = TOP_WORDS
+
+# the mixed-message rule, computed directly
+_MIXED = """
+WITH mixed AS (
+  SELECT CASE WHEN event_id % 7 <> 1 THEN CAST(event_id AS VARCHAR) END AS msg_id,
+         event_id % 7 AS fault, user_id % 5 AS project,
+         CASE WHEN event_id % 7 <> 2 THEN 'com.x.' || event_type END AS class_name,
+         'm' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 AS VARCHAR) AS method_name,
+         CASE WHEN event_id % 7 = 0 THEN 0 ELSE epoch_ms(date_trunc('millisecond', ts)) END AS ts_ms,
+         CASE WHEN event_type = 'error' THEN '1' ELSE '0' END AS code, user_id % 3 AS rc, event_type
+  FROM events)
+, others AS (SELECT props AS value FROM events UNION ALL SELECT html FROM pages
+             UNION ALL SELECT text FROM conversations)
+, objects AS (SELECT value, CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END AS ok
+              FROM others WHERE value IS NOT NULL)
+, told AS (
+  SELECT *, to_json(struct_pack(returnCode := '1000' || CAST(rc AS VARCHAR),
+                                meta := '{"code":"' || code || '"}')) AS info,
+         CASE WHEN fault = 3 THEN CAST(project AS VARCHAR) ELSE '"p' || project || '"' END AS project_json
+  FROM mixed)
+, written AS (
+  SELECT *, '{' || CASE WHEN msg_id IS NULL THEN '' ELSE '"id":"' || msg_id || '",' END
+         || CASE WHEN class_name IS NULL THEN '' ELSE '"clazz":"class ' || class_name || '",' END
+         || '"method":"' || method_name || '","outputInfo":' || to_json(CAST(info AS VARCHAR))
+         || CASE WHEN fault = 0 THEN '' WHEN fault = 4 THEN ',"date":"not a date"' ELSE ',"date":' || ts_ms END
+         || ',"projectName":' || project_json || '}' AS value
+  FROM told)
+"""
+
+
+def _mixed_parse(project: str) -> str:
+    return _MIXED + f"""
+SELECT msg_id, {project} AS project_name, class_name, method_name, ts_ms,
+       make_timestamp(ts_ms * 1000) AS event_time FROM mixed WHERE fault <> 4
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, 0, TIMESTAMP '1970-01-01 00:00:00' FROM objects WHERE ok
+"""
+
+
+MIXED_PARSE_STRICT = _mixed_parse("CASE WHEN fault <> 3 THEN 'p' || CAST(project AS VARCHAR) END")
+MIXED_PARSE_COERCE = _mixed_parse("CASE WHEN fault = 3 THEN CAST(project AS VARCHAR) ELSE 'p' || CAST(project AS VARCHAR) END")
+MIXED_REJECTS = _MIXED + """
+SELECT value FROM written WHERE fault = 4 UNION ALL SELECT value FROM objects WHERE NOT ok
+"""
+MIXED_KEY_STRICT = _MIXED + "SELECT 'p' || CAST(project AS VARCHAR) AS projectName, value FROM written WHERE fault <> 3"
+MIXED_KEY_COERCE = _MIXED + """
+SELECT CASE WHEN fault = 3 THEN CAST(project AS VARCHAR) ELSE 'p' || CAST(project AS VARCHAR) END AS projectName, value
+FROM written
+"""
+MIXED_IDENTITY = _MIXED + """
+SELECT msg_id, 'p' || CAST(project AS VARCHAR) AS project_name, ['p' || CAST(project AS VARCHAR)] AS result
+FROM mixed WHERE fault NOT IN (3, 4)
+"""
+
+STREAM_LOG_ROLLUP = _CALLLOG + _hierarchical_body("10 seconds") + """
+SELECT 'logcount-' || strftime(timestamp, '%Y.%m.%d') AS _index, 'info' AS _type, project_name,
+       class_name, method_name, total_count, timestamp
+FROM h WHERE window_end <= (SELECT max(event_time) FROM calllog) - INTERVAL '5 seconds'
+"""
+STREAM_WINDOW_ROWS = _CALLLOG + _SECONDS + "SELECT * FROM closed"
+STREAM_KEYED_STORE = _CALLLOG + _SECONDS + """
+SELECT projectName, arg_max(num, window_end) AS count, max(window_end) AS updated_at FROM closed GROUP BY projectName
+"""
+OBSERVED_ROWS = "SELECT doc_id, text AS line FROM documents"
+WRITE_TIME_STAMP = _CALLLOG + """
+SELECT 'logcount-' || strftime(event_time, '%Y.%m.%d') AS _index, 'info' AS _type, ts_ms, true AS stamped FROM calllog
+"""

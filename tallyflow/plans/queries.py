@@ -9,24 +9,35 @@ driver tables (events lie minutes apart, so 10 s windows hold about one row);
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.functions.timecols import index_name, millis_to_ntz
+from tallyflow import schemas
+from tallyflow.functions.timecols import millis_to_ntz, write_time
 from tallyflow.operators import calllog as cl
 from tallyflow.operators import lookup as lk
 from tallyflow.operators import state as st
 from tallyflow.operators import topn
 from tallyflow.operators import windows as win
 from tallyflow.operators import wordcount as wc
-from tallyflow.sinks.records import to_records
+from tallyflow.session import sub_dir
+from tallyflow.sinks.documents import index_documents as to_documents
+from tallyflow.sinks.documents import write_documents_batch
+from tallyflow.sinks.records import append_batch, to_records
+from tallyflow.sinks.snapshot import KeyedSnapshot
 from tallyflow.sources import adapters
 from tallyflow.sources.literal import request_strings
+from tallyflow.sources.streams import file_spec, read_stream
 from tallyflow.sources.tables import spread, table
+from tallyflow.streaming import forms
+from tallyflow.streaming.state import read_state
 
 HOUR = "1 hour"
 QUARTER = "15 minutes"
 MINUTE = "1 minute"
+SECOND = "1 second"
 TOP_N = 2
 TOP_WORDS = 20
 EXCLAIM_TIMES = 10
@@ -129,8 +140,8 @@ def exclaim_n(spark, sf_dir):
 # -- J-LOG: call-log roll-up -----------------------------------------------
 
 def parse_call_log(spark, sf_dir):
-    """Parsed call-log fields."""
-    return _parsed(spark, sf_dir).drop("output_info")
+    """Parsed call-log fields, numbers in text fields as text."""
+    return cl.parse_call_log(_messages(spark, sf_dir), mode=cl.COERCE).drop("output_info")
 
 
 def parse_call_log_strict(spark, sf_dir):
@@ -224,8 +235,8 @@ def index_documents(spark, sf_dir):
     """Hierarchical counts as daily-index documents (index day
     from event time; the write-time column is left out of the check)."""
     rows = win.hierarchical_count(_parsed(spark, sf_dir), length=HOUR)
-    return rows.select(index_name("timestamp").alias("_index"), "project_name",
-                       "class_name", "method_name", "total_count", "timestamp")
+    docs = to_documents(rows, "timestamp", stamp_write_time=False)
+    return docs.drop("window_start", "window_end")
 
 
 def status_route(spark, sf_dir):
@@ -262,10 +273,19 @@ def latest_per_key(spark, sf_dir):
                              "num", "window_end", out_value="count")
 
 
+def _soon_after(writes: DataFrame):
+    """The point in time at which the state queries look: two minutes after
+    the last write."""
+    return writes.select(F.max("updated_at")).scalar() + F.expr("INTERVAL '120' SECOND")
+
+
 def latest_with_ttl(spark, sf_dir):
-    """The keyed state alive 300 s after its last write."""
-    return st.live_state(latest_per_key(spark, sf_dir), "updated_at",
-                         st.DEFAULT_TTL_SECONDS)
+    """The keyed state two minutes after the last write: the keys
+    written since the last pause of more than 300 s."""
+    counts = window_count_project(spark, sf_dir)
+    latest = st.latest_per_key(counts, "projectName", "num", "window_end", out_value="count")
+    writes = counts.select(F.col("window_end").alias("updated_at"))
+    return st.live_state(latest, "updated_at", st.DEFAULT_TTL_SECONDS, _soon_after(writes), st.TABLE, writes)
 
 
 def hash_store_records(spark, sf_dir):
@@ -282,3 +302,203 @@ def project_lookup_null(spark, sf_dir):
     out = lk.lookup(req, store, key_col="arg", state_key="projectName",
                     value_col="count", on_miss=lk.NULL)
     return out.select("request_id", "pos", F.col("arg").alias("projectName"), "count")
+
+
+def _user_state(spark, sf_dir):
+    """Per user the number of events in their latest second, and all writes."""
+    counts = win.window_count(table(spark, sf_dir, "events"), ["user_id"], time_col="ts", length=SECOND)
+    writes = counts.select(F.col("window_end").alias("updated_at"))
+    return st.latest_per_key(counts, "user_id", "n", "window_end"), writes
+
+
+def state_ttl_key(spark, sf_dir):
+    """T6, each key by itself: the users written within six hours."""
+    latest, writes = _user_state(spark, sf_dir)
+    return st.live_state(latest, "updated_at", 6 * 3600, _soon_after(writes), st.KEY)
+
+
+def state_ttl_table(spark, sf_dir):
+    """T6, the table as a whole: the users written since the last pause of
+    more than twenty minutes."""
+    latest, writes = _user_state(spark, sf_dir)
+    return st.live_state(latest, "updated_at", 1200, _soon_after(writes), st.TABLE, writes)
+
+
+# -- windows and rankings beyond the first set ---------------------------------
+
+def hierarchical_new(spark, sf_dir):
+    """T5 A7 A8 (new rows): 10 min windows every 4 min, which do not divide."""
+    return win.hierarchical_count(_parsed(spark, sf_dir), length="10 minutes", slide="4 minutes", rows=win.NEW)
+
+
+def conditional_new(spark, sf_dir):
+    """T5 A6 (new rows): code counts of the last 4 min of 10 min windows."""
+    codes = cl.result_codes(_parsed(spark, sf_dir))
+    return win.conditional_counts(codes, "return_code", length="10 minutes", slide="4 minutes", rows=win.NEW)
+
+
+def general_stream(spark, sf_dir):
+    """The dispatch step's rows."""
+    return cl.general_stream(_parsed(spark, sf_dir))
+
+
+def window_count_project_1s(spark, sf_dir):
+    """A11 with the reference's one-second window."""
+    return win.window_count(_project_keyed(spark, sf_dir), ["projectName"], length=SECOND, count_col="num")
+
+
+def window_last_key_1s(spark, sf_dir):
+    """A10 with the reference's one-second window."""
+    return win.window_last_key(_parsed(spark, sf_dir), "project_name", length=SECOND)
+
+
+def ranking_store(spark, sf_dir):
+    """K6: the ranking written as a store and read back."""
+    path = _folder(spark, "ranking")
+    topn.store_ranking(top_words(spark, sf_dir), path, "count", "word")
+    return spark.read.parquet(path)
+
+
+# -- messages that can fail ------------------------------------------------------
+
+def _mixed(spark, sf_dir):
+    return adapters.mixed_messages(*(table(spark, sf_dir, t) for t in ("events", "pages", "conversations")))
+
+
+def mixed_parse_strict(spark, sf_dir):
+    """Messages amid other text; other types read as null."""
+    return cl.parse_call_log(_mixed(spark, sf_dir), mode=cl.STRICT).drop("output_info")
+
+
+def mixed_parse_coerce(spark, sf_dir):
+    """The same; numbers read as text."""
+    return cl.parse_call_log(_mixed(spark, sf_dir), mode=cl.COERCE).drop("output_info")
+
+
+def mixed_rejects_strict(spark, sf_dir):
+    """what the strict parse leaves out."""
+    return cl.call_log_rejects(_mixed(spark, sf_dir), mode=cl.STRICT)
+
+
+def mixed_rejects_coerce(spark, sf_dir):
+    """what the coercing parse leaves out."""
+    return cl.call_log_rejects(_mixed(spark, sf_dir), mode=cl.COERCE)
+
+
+def mixed_key_strict(spark, sf_dir):
+    """Objects with a text projectName, amid objects without one, with
+    a number, and other text."""
+    return cl.json_key_filter(_mixed(spark, sf_dir), "projectName", mode=cl.STRICT).select("projectName", "value")
+
+
+def mixed_key_coerce(spark, sf_dir):
+    """The same; a number reads as text."""
+    return cl.json_key_filter(_mixed(spark, sf_dir), "projectName", mode=cl.COERCE).select("projectName", "value")
+
+
+def mixed_identity(spark, sf_dir):
+    """The identity function over keys of which some are null."""
+    rows = cl.parse_call_log(_mixed(spark, sf_dir)).select("msg_id", "project_name")
+    return lk.lookup_identity(rows, "project_name")
+
+
+# -- streams: whole availableNow runs over the tables ----------------------------
+
+def _folder(spark, name):
+    """A new folder under the shared checkpoint folder."""
+    return sub_dir(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def _stream(spark, sf_dir, name):
+    return read_stream(spark, file_spec(spark, f"{sf_dir}/{name}.parquet", file_format="parquet",
+                                        schema=schemas.TABLE_SCHEMAS[name], max_files_per_trigger=1000))
+
+
+NOW = {"availableNow": True}
+
+
+def stream_word_state(spark, sf_dir):
+    """A running word count over the documents; the state
+    it keeps, read back as a relation."""
+    path = _folder(spark, "stream-words")
+    counts = forms.running_word_count(_stream(spark, sf_dir, "documents"), "text", wc.SPACE)
+    (counts.writeStream.outputMode("update").trigger(**NOW).option("checkpointLocation", path)
+     .foreachBatch(lambda b, i: b.write.format("noop").mode("overwrite").save()).start().awaitTermination())
+    return read_state(spark, path).select(F.col("key.word").alias("word"), F.col("value.count").alias("count"))
+
+
+def stream_word_changes(spark, sf_dir):
+    """The changed counts of every micro-batch, appended; the last one
+    per word."""
+    path = _folder(spark, "stream-changes")
+    counts = forms.running_word_count(_stream(spark, sf_dir, "documents"), "text", wc.SPACE)
+    (counts.writeStream.outputMode("update").trigger(**NOW).option("checkpointLocation", f"{path}/ckpt")
+     .foreachBatch(lambda b, i: append_batch(b, f"{path}/out", i)).start().awaitTermination())
+    rows = spark.read.parquet(f"{path}/out")
+    return rows.groupBy("word").agg(F.max_by("count", "batch_id").alias("count"))
+
+
+def stream_log_rollup(spark, sf_dir):
+    """The roll-up stream into daily-index documents, for the
+    windows that the watermark has closed."""
+    path = _folder(spark, "stream-rollup")
+    parsed = forms.parsed_with_watermark(adapters.call_log_messages(_stream(spark, sf_dir, "events")))
+
+    def sink(rows, batch_id):
+        docs = to_documents(rows, "timestamp", stamp_write_time=False)
+        write_documents_batch(docs.drop("window_start", "window_end"), f"{path}/out", batch_id)
+
+    forms.roll_up_closed_windows(forms.hierarchical_groups(parsed), sink, f"{path}/ckpt", NOW).awaitTermination()
+    docs = spark.read.schema("project_name string, class_name string, method_name string, total_count long, "
+                             "timestamp timestamp, _type string, _index string, batch_id long").json(f"{path}/out")
+    return docs.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).drop("batch_id")
+
+
+def _project_stream(spark, sf_dir):
+    rows = cl.json_key_filter(adapters.call_log_messages(_stream(spark, sf_dir, "events")), "projectName",
+                              fields={"ts_ms": ("date", "bigint")})
+    timed = rows.select("projectName", F.timestamp_millis(F.coalesce("ts_ms", F.lit(0).cast("long"))).alias("event_time"))
+    return win.window_count(timed.withWatermark("event_time", forms.DEFAULT_LAG), ["projectName"], length=SECOND,
+                            count_col="num")
+
+
+def stream_window_rows(spark, sf_dir):
+    """The closed one-second windows of the stream, appended as state."""
+    path = _folder(spark, "stream-windows")
+    (_project_stream(spark, sf_dir).writeStream.outputMode("append").trigger(**NOW)
+     .option("checkpointLocation", f"{path}/ckpt")
+     .foreachBatch(lambda b, i: append_batch(b, f"{path}/out", i)).start().awaitTermination())
+    rows = spark.read.parquet(f"{path}/out")
+    ntz = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    return rows.select(*ntz, "projectName", "num")
+
+
+def stream_keyed_store(spark, sf_dir):
+    """Closed windows upserted into the keyed store, each batch
+    replayable; the store read back."""
+    path = _folder(spark, "stream-store")
+    snap = KeyedSnapshot(spark, f"{path}/store", ("projectName",), ("count",), "updated_at")
+    upd = _project_stream(spark, sf_dir).select("projectName", F.col("num").alias("count"),
+                                                F.col("window_end").alias("updated_at"))
+
+    def twice(batch, batch_id):
+        snap.upsert(batch, batch_id)
+        snap.upsert(batch, batch_id)        # as a replayed batch
+
+    (upd.writeStream.outputMode("append").trigger(**NOW).option("checkpointLocation", f"{path}/ckpt")
+     .foreachBatch(twice).start().awaitTermination())
+    return snap.read().withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
+
+
+def observed_rows(spark, sf_dir):
+    """The side channel that counts rows changes none."""
+    return forms.observe_rows(_lines(spark, sf_dir), "lines_seen")
+
+
+def write_time_stamp(spark, sf_dir):
+    """Documents stamped with the time of writing, which lies between
+    the query's start and its end."""
+    start = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    docs = to_documents(general_stream(spark, sf_dir), "event_time")
+    ok = (F.col("@timestamp") >= F.lit(start)) & (F.col("@timestamp") <= write_time())
+    return docs.select("_index", "_type", "ts_ms", ok.alias("stamped"))

@@ -4,15 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# raw_line: one message of a text topic
-RAW_LINE = T.StructType([T.StructField("line", T.StringType())])
-
-# word_weight: a token with its weight (the constant 1 in the reference)
-WORD_WEIGHT = T.StructType([
-    T.StructField("word", T.StringType()),
-    T.StructField("count", T.LongType()),
-])
-
 # call_log message fields, as read by the parser. ``outputInfo`` is itself
 # JSON text holding ``returnCode`` and ``meta`` (JSON text holding ``code``).
 CALL_LOG_FIELDS = ("id string, date long, projectName string, clazz string, "
@@ -21,17 +12,6 @@ CALL_LOG_FIELDS = ("id string, date long, projectName string, clazz string, "
 OUTPUT_INFO_FIELDS = "returnCode string, meta string"
 META_FIELDS = "code string"
 
-# parsed call log (split_by_name + event time)
-CALL_LOG = T.StructType([
-    T.StructField("msg_id", T.StringType()),
-    T.StructField("project_name", T.StringType()),
-    T.StructField("class_name", T.StringType()),
-    T.StructField("method_name", T.StringType()),
-    T.StructField("ts_ms", T.LongType()),
-    T.StructField("event_time", T.TimestampNTZType()),
-    T.StructField("output_info", T.StringType()),
-])
-
 # a topic record / hash-store entry
 TOPIC_RECORD = T.StructType([
     T.StructField("key", T.StringType()),
@@ -44,14 +24,6 @@ REQUESTS = T.StructType([
     T.StructField("args", T.StringType()),
 ])
 
-# keyed state snapshot row
-STATE = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("n", T.LongType()),
-    T.StructField("updated_at", T.TimestampType()),
-])
-
-
 # Driver tables read by the queries, with their parquet types. Reading with
 # an explicit schema skips the footer-reading schema-inference job and fails
 # fast if a file's types change.

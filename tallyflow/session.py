@@ -9,6 +9,7 @@ does it create a scratch folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -78,11 +79,15 @@ def get_session(master: str | None = None, app_name: str = "tallyflow",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
-    Reads ``spark.checkpoint.dir``; sets a scratch folder only where it is
-    unset (local runs and tests).
+    Reads ``spark.checkpoint.dir``; where it is unset, a local master gets a
+    scratch folder of its own (tests), and a cluster an error: a folder of one
+    machine would not be shared.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not re.match(r"local($|\[)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master {master})")
         d = tempfile.mkdtemp(prefix="tallyflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

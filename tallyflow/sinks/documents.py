@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from tallyflow.functions.timecols import index_name, write_time
 
@@ -33,31 +32,22 @@ def index_documents(rows: DataFrame, day_col: str | None = None,
     return out
 
 
-def write_documents(docs: DataFrame, path: str, mode: str = "append",
+def write_documents(docs: DataFrame, path: str, mode: str = "overwrite",
                     format: str = "json", options: dict | None = None) -> None:
-    """Batch write, one folder per index day."""
-    (docs.write.mode(mode).format(format).options(**(options or {}))
-     .partitionBy("_index").save(path))
-
-
-def write_documents_stream(docs: DataFrame, path: str, checkpoint: str,
-                           trigger: dict | None = None, format: str = "json",
-                           options: dict | None = None,
-                           output_files: int | None = None) -> StreamingQuery:
-    """Stream write (append), exactly-once through the file sink log.
-
-    A file sink writes one file per task and index day each micro-batch;
-    ``output_files`` coalesces the (small) roll-up output to at most that
-    many tasks first, so a stream with many state partitions does not leave
-    thousands of tiny files per batch. Coalescing is narrow: the final
-    stateful stage then also runs in at most that many tasks, so size it to
-    the roll-up's state, not to the input.
-    """
+    """Batch write, one folder per index day. By default the days that
+    ``docs`` holds are replaced and others stay, so a re-run leaves each
+    document once; ``mode="append"`` adds to them."""
+    (docs.write.mode(mode).format(format).option("partitionOverwriteMode", "dynamic")
+     .options(**(options or {})).partitionBy("_index").save(path))
+
+
+def write_documents_batch(docs: DataFrame, path: str, batch_id: int, format: str = "json",
+                          options: dict | None = None, output_files: int | None = None) -> None:
+    """The documents of one micro-batch, under ``_index=<day>/batch_id=<id>``:
+    a replayed batch replaces its own folders. ``output_files`` bounds the
+    files per day."""
     if output_files:
         docs = docs.coalesce(output_files)
-    w = (docs.writeStream.outputMode("append").format(format)
-         .option("checkpointLocation", checkpoint).options(**(options or {}))
-         .partitionBy("_index"))
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start(path)
+    (docs.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").format(format)
+     .option("partitionOverwriteMode", "dynamic").options(**(options or {}))
+     .partitionBy("_index", "batch_id").save(path))

@@ -29,6 +29,13 @@ def write_records(records: DataFrame, path: str | None = None, topic: str | None
         records.write.mode(mode).json(path)
 
 
+def append_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Append one micro-batch's rows as state, in a folder of its own
+    (``batch_id=<id>``): a replayed batch replaces its folder, earlier batches
+    stay. Readers see one table with the column ``batch_id``."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def write_records_stream(records: DataFrame, checkpoint: str, path: str | None = None,
                          topic: str | None = None, bootstrap_servers: str | None = None,
                          output_mode: str = "append",

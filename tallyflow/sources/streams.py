@@ -37,6 +37,15 @@ class StreamSpec:
     options: dict = field(default_factory=dict)
 
 
+def file_spec(spark: SparkSession, path: str, **spec) -> StreamSpec:
+    """The spec of a table kept as a folder of files or as a single file (a
+    stream reads folders, so a file is its folder narrowed to that name)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isFile():
+        return StreamSpec(path=p.getParent().toString(), options={"pathGlobFilter": p.getName()}, **spec)
+    return StreamSpec(path=path, **spec)
+
+
 def read_stream(spark: SparkSession, spec: StreamSpec) -> DataFrame:
     if spec.format == "files":
         r = spark.readStream.format(spec.file_format)

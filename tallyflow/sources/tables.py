@@ -28,23 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+INPUT_PARTITIONS = "spark.tallyflow.inputPartitions"
+
+
 def spread(df: DataFrame, *key_cols: str) -> DataFrame:
-    """Hash-spread an input with fewer files than the cluster has cores.
-
-    A scan of one file with one row group is read by one task, however many
-    byte-range splits Spark makes of it; the CPU-heavy per-row work after it
-    (tokenising, JSON) would then run on one core. When the input has fewer
-    files than the default parallelism, repartition by ``key_cols`` (hash:
-    deterministic on task retry). Inputs at scale span many more files than
-    cores and are returned unchanged, with no extra shuffle. The check reads
-    only the file index (``inputFiles``), no data. A few huge files with many
-    row groups would be spread needlessly: one extra shuffle, same result.
+    """Repartition an input by ``key_cols`` into the number of partitions that
+    the session's ``spark.tallyflow.inputPartitions`` names; unset (the
+    default), the input stays as it is.
+
+    For tables of a few files with one row group each, which one task reads
+    however many splits Spark makes: the setting buys parallel per-row work
+    for one shuffle of the raw rows. Inputs of many files need none.
     """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        files = len(df.inputFiles())
-    except Exception:                      # e.g. Spark Connect, streaming input
-        return df
-    if files >= want:
-        return df
-    return df.repartition(want, *key_cols)
+    n = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(n), *key_cols) if n else df

@@ -3,9 +3,9 @@
 The batch operators are reused wherever Spark allows them on a stream:
 tokenising, parsing, ``window_count``, ``counts_by_name`` (GROUPING SETS),
 ``conditional_counts`` and stream-static look-ups. Where a batch operator
-needs an analytic window (hierarchical first time, top-N), the stream form
-is a chained aggregation instead, which Spark runs in append mode with the
-watermark carried through both aggregates.
+looks at a whole window again (first time, top-N, look-ups), the stream
+aggregates what it can and the batch operator runs on each micro-batch of
+closed windows.
 
 Event time: streams parse ``date`` into a TIMESTAMP (``withWatermark``
 rejects TIMESTAMP_NTZ). A late row is dropped once the watermark of the
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from tallyflow.operators import calllog as cl
 from tallyflow.operators import wordcount as wc
-from tallyflow.operators.windows import ALL, NEW, interval, window_col
+from tallyflow.operators import windows as win
+from tallyflow.operators.windows import ALL
 
 # Fixed value: the reference's (commented) event-time lag.
 DEFAULT_LAG = "5 seconds"
@@ -39,64 +40,39 @@ def parsed_with_watermark(messages: DataFrame, value_col: str = "value",
             .withWatermark("event_time", lag))
 
 
-def hierarchical_stream(parsed: DataFrame, length: str = "10 seconds",
+def hierarchical_groups(parsed: DataFrame, length: str = "10 seconds",
                         slide: str | None = None, rows: str = ALL) -> DataFrame:
-    """A7 + A8 + A13 + P6 on a stream: per-window project/class/method
-    counts stamped with the window's first time.
-
-    Aggregate 1 counts per (window, key) and keeps each group's first time;
-    aggregate 2 (chained) packs the window's records and takes the least
-    first time; the packed list is exploded back to rows. Append mode: a
-    window is emitted once the watermark passes its end.
-
-    With ``rows="new"`` aggregate 1 groups by ``slide`` buckets and aggregate
-    2 by the sliding windows: each window packs its buckets' groups tagged
-    with the bucket end, takes the first time over all of them (all rows of
-    the window, as the batch form), and keeps the groups of its last bucket
-    (its new rows).
-    """
-    new_rows = rows == NEW and slide is not None and slide != length
-    g = (parsed.select(window_col("event_time", length, slide, rows).alias("_w"),
-                       "project_name", "class_name", "method_name", "event_time")
-         .groupBy("_w", "project_name", "class_name", "method_name")
-         .agg(F.count(F.lit(1)).alias("total_count"), F.min("event_time").alias("_first")))
-    entry = F.struct("project_name", "class_name", "method_name", "total_count",
-                     F.col("_w.end").alias("_bucket_end"))
-    if new_rows:
-        # a bucket ending at e lies in every sliding window with end in [e, e + length)
-        w2 = F.window(F.window_time("_w"), length, slide)
-    else:
-        # each first-level window ends on a distinct multiple of the step, so
-        # the tumbling step bucket holding its window_time identifies it
-        # exactly (a sliding spec would put it in several windows)
-        w2 = F.window(F.window_time("_w"), slide or length)
-    packed = (g.groupBy(w2.alias("_w2"))
-              .agg(F.collect_list(entry).alias("_rows"), F.min("_first").alias("timestamp")))
-    keep = F.filter("_rows", lambda e: e["_bucket_end"] == F.col("_w2.end"))
-    out = packed.select((F.col("_w2.end") - interval(length)).alias("window_start"),
-                        F.col("_w2.end").alias("window_end"), keep.alias("_rows"), "timestamp")
-    return out.select("window_start", "window_end", F.inline("_rows"), "timestamp").drop("_bucket_end")
-
-
-def top_n_stream(rows: DataFrame, n: int, key_col: str, time_col: str = "event_time",
-                 length: str = "10 seconds", count_col: str = "n",
-                 rank_col: str = "rank") -> DataFrame:
-    """O1 on a stream: the ``n`` largest keys per window, ties by key.
-
-    Aggregate 1 counts rows per (window, key); aggregate 2 (chained on the
-    same window) keeps the sorted list of (-count, key) and slices the first
-    ``n``. It holds one entry per key of a window, so use it for bounded key
-    sets; for free-text keys use ``top_n_closed_windows``.
-    """
-    g = (rows.groupBy(F.window(time_col, length).alias("_w"), key_col)
-         .agg(F.count(F.lit(1)).alias("_n")))
-    entry = F.struct((-F.col("_n")).alias("neg"), F.col(key_col).alias("key"))
-    top = (g.groupBy(F.window(F.window_time("_w"), length).alias("_w2"))
-           .agg(F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("_top")))
-    return top.select(F.col("_w2.start").alias("window_start"), F.col("_w2.end").alias("window_end"),
-                      F.posexplode("_top").alias("_pos", "_e")).select(
-        "window_start", "window_end", F.col("_e.key").alias(key_col),
-        (-F.col("_e.neg")).alias(count_col), (F.col("_pos") + 1).cast("long").alias(rank_col))
+    """A7 on a stream: per-window project/class/method counts with the group's
+    first time, in append mode: a window's groups come out together, in the
+    micro-batch after the watermark passes its end."""
+    return win.window_groups(parsed, "event_time", length, slide, rows)
+
+
+def _started(writer, trigger: dict | None):
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def roll_up_closed_windows(groups: DataFrame, sink, checkpoint: str, trigger: dict | None = None):
+    """A7 + A8 on a stream: the batch first-time step on each micro-batch's
+    closed windows; ``sink(rows, batch_id)`` writes them (idempotent per
+    ``batch_id``: a failed batch is replayed). State holds one row per window
+    and key, never a window's list."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        sink(win.with_first_time(batch), batch_id)
+
+    return _started(groups.writeStream.outputMode("append").foreachBatch(per_batch)
+                    .option("checkpointLocation", checkpoint), trigger)
+
+
+def lookup_stream(requests: DataFrame, answer, sink, checkpoint: str, trigger: dict | None = None):
+    """J1-J3 on a stream: ``answer(batch)`` is the batch look-up (hot keys
+    salted) of each micro-batch against the state as it then is;
+    ``sink(answers, batch_id)`` writes it (idempotent per ``batch_id``)."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        sink(answer(batch), batch_id)
+
+    return _started(requests.writeStream.foreachBatch(per_batch)
+                    .option("checkpointLocation", checkpoint), trigger)
 
 
 def top_n_closed_windows(counts: DataFrame, n: int, key_col: str, sink, checkpoint: str,
@@ -112,9 +88,8 @@ def top_n_closed_windows(counts: DataFrame, n: int, key_col: str, sink, checkpoi
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         sink(top_n_per_group(batch, n, order_col=count_col, key_col=key_col), batch_id)
 
-    w = (counts.writeStream.outputMode("append").foreachBatch(per_batch)
-         .option("checkpointLocation", checkpoint))
-    return (w.trigger(**trigger) if trigger else w).start()
+    return _started(counts.writeStream.outputMode("append").foreachBatch(per_batch)
+                    .option("checkpointLocation", checkpoint), trigger)
 
 
 def route_stream(messages: DataFrame, sinks: dict, checkpoint: str,
@@ -139,8 +114,8 @@ def route_stream(messages: DataFrame, sinks: dict, checkpoint: str,
         finally:
             parsed.unpersist()
 
-    w = messages.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-    return (w.trigger(**trigger) if trigger else w).start()
+    return _started(messages.writeStream.foreachBatch(per_batch)
+                    .option("checkpointLocation", checkpoint), trigger)
 
 
 def observe_rows(df: DataFrame, name: str) -> DataFrame:

@@ -39,8 +39,11 @@ def latest_output_schema(key: str) -> T.StructType:
 
 class LatestWithTTL(StatefulProcessor):
     """A4 + T6: keep the latest ``n`` per key; expire it ``ttl_seconds``
-    after its last write (processing time). Emits the key's new value
-    whenever it changes (update stream, T11)."""
+    after its last write (processing time). Rows without an order time are
+    left out; a null value is kept as null. A row that is not older than the
+    stored one is a write: it replaces the value and starts the TTL again.
+    Older rows change nothing. The key's value is emitted when a write has
+    changed it (update stream, T11)."""
 
     def __init__(self, key: str, value_col: str = "n", order_col: str = "updated_at",
                  ttl_seconds: int = DEFAULT_TTL_SECONDS):
@@ -51,19 +54,21 @@ class LatestWithTTL(StatefulProcessor):
         self.state = handle.getValueState("latest", LATEST_STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best_n, best_t = None, None
-        if self.state.exists():
-            best_n, best_t = self.state.get()
+        old = self.state.get() if self.state.exists() else None
+        best = old
         for pdf in rows:
+            pdf = pdf[pdf[self.order_col].notna()]
             if pdf.empty:
                 continue
             i = pdf[self.order_col].idxmax()
             n, t = pdf.at[i, self.value_col], pdf.at[i, self.order_col]
-            if best_t is None or t >= best_t:
-                best_n, best_t = n, t
-        if best_t is not None:
-            self.state.update((int(best_n), best_t))
-            yield pd.DataFrame({self.key: [key[0]], "n": [int(best_n)], "updated_at": [best_t]})
+            if best is None or t >= best[1]:
+                best = (None if pd.isna(n) else int(n), t)
+        if best is not old:
+            self.state.update(best)
+            if old is None or tuple(best) != tuple(old):
+                yield pd.DataFrame({self.key: [key[0]], "n": pd.array([best[0]], dtype="Int64"),
+                                    "updated_at": [best[1]]})
 
     def close(self) -> None:
         pass

@@ -49,7 +49,7 @@ CALL_LOG_D = [
     call_log_json("L6", 10000, "p1", "class a.B", "m1", "99999", "0"),
 ]
 
-# FIXTURES.md A: the five sentences
+# Fixed values (FIXTURES.md A): the five sentences of the word-count demo
 SENTENCES = [
     "the cow jumped over the moon",
     "an apple a day keeps the doctor away",

@@ -93,8 +93,9 @@ def test_strict_call_log_types(spark):
     rej = sorted(r.value for r in cl.call_log_rejects(df, mode=cl.STRICT).collect())
     assert rej == sorted(['{"id":"x","date":1.5,"projectName":"p"}',
                           '{"id":"y","date":null,"projectName":"p"}', '[1]', 'bad'])
-    # the default (coerce) reads the same numbers as text
-    co = {r.msg_id for r in cl.parse_call_log(df).collect()}
+    # strict is the default; coerce reads the same numbers as text
+    assert {r.msg_id for r in cl.parse_call_log(df).collect()} == set(rows)
+    co = {r.msg_id for r in cl.parse_call_log(df, mode=cl.COERCE).collect()}
     assert "7" in co
 
 

@@ -14,16 +14,18 @@ ROWS = st.lists(st.tuples(st.integers(0, 59), st.sampled_from("pq"), st.sampled_
 
 
 def model(rows, length, slide):
-    """slide None: tumbling; else rows="new" (counts of the last slide,
-    first time over the whole sliding window)."""
-    counts = Counter()
-    for sec, p, c, m in rows:
-        end = sec - sec % (slide or length) + (slide or length)
-        counts[(end - length, p, c, m)] += 1
-    firsts = {}
-    for start, *_ in counts:
-        firsts[start] = min(sec for sec, *_ in rows if start <= sec < start + length)
-    return {k: (n, firsts[k[0]]) for k, n in counts.items()}
+    """slide None: tumbling; else rows="new": counts of each window's last
+    slide, first time over the whole window. Windows are built one by one."""
+    step = slide or length
+    out = {}
+    for start in range(-length, 120):
+        if start % step:
+            continue
+        inside = [r for r in rows if start <= r[0] < start + length]
+        new = Counter(tuple(r[1:]) for r in inside if r[0] >= start + length - step)
+        for key, n in new.items():
+            out[(start, *key)] = (n, min(r[0] for r in inside))
+    return out
 
 
 @settings(max_examples=8, deadline=None)
@@ -32,7 +34,7 @@ def test_hierarchical_matches_model(spark, rows):
     df = spark.createDataFrame(
         [(BASE + dt.timedelta(seconds=s), p, c, m) for s, p, c, m in rows],
         "event_time timestamp_ntz, project_name string, class_name string, method_name string")
-    for slide in (None, 5):
+    for slide in (None, 5, 4, 8):
         out = win.hierarchical_count(df, length="20 seconds",
                                      slide=f"{slide} seconds" if slide else None,
                                      rows=win.NEW if slide else win.ALL)

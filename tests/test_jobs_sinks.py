@@ -1,8 +1,11 @@
 """Batch forms of the five jobs end to end, and the file sinks (K1, K4, K5,
 P10, S6; FIXTURES.md A, B, D)."""
 
+import datetime as dt
 import os
 
+from pyspark.sql import functions as F
+
 from tallyflow.plans import jobs
 from tallyflow.sinks.documents import index_documents, write_documents
 from tallyflow.sinks.records import to_records, write_records
@@ -20,6 +23,7 @@ def test_log_rollup_job_and_document_sink(spark, call_log, scratch):
     assert {r._index for r in docs.select("_index").collect()} == {"logcount-2024.01.01"}
     out = os.path.join(scratch, "docs")
     write_documents(docs, out)
+    write_documents(docs, out)      # a re-run leaves each document once
     back = spark.read.json(out)
     assert back.count() == 4
     assert os.path.isdir(os.path.join(out, "_index=logcount-2024.01.01"))
@@ -36,7 +40,8 @@ def test_index_day_from_write_time(call_log):
 
 def test_rolling_job_with_ttl(call_log):
     # p1's last window ends at 00:00:20, p2's at 00:00:10: with a 5 s TTL only p1 lives
-    live = jobs.rolling_state_batch(call_log, length="10 seconds", ttl_seconds=5).collect()
+    as_of = F.lit(dt.datetime(2024, 1, 1, 0, 0, 21)).cast("timestamp_ntz")
+    live = jobs.rolling_state_batch(call_log, length="10 seconds", ttl_seconds=5, as_of=as_of).collect()
     assert [(r.projectName, r["count"]) for r in live] == [("p1", 1)]
 
 

@@ -1,4 +1,4 @@
-"""J1 / J2 / J3 with hot-key salting forced on, against a Python model."""
+"""J1 / J2 / J3 with hot-key salting, against a Python model."""
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -37,6 +37,6 @@ def test_salted_lookup_matches_model(spark, requests, state):
     if not state:
         st_df = st_df.where("false")
     for mode in (lk.DROP, lk.ZERO, lk.NULL):
-        got = lk.lookup(req, st_df, key_col="word", on_miss=mode, rows_per_salt=2).collect()
+        got = lk.lookup(req, st_df, key_col="word", on_miss=mode).collect()
         rows = sorted(((r.request_id, r.pos, r.word, r["count"]) for r in got), key=repr)
         assert rows == model(requests, state, mode), mode

@@ -1,9 +1,10 @@
 """Plan shape: the physical plans we want at scale.
 
 * word count: one shuffle on ``word`` with a partial aggregate before it
-* hierarchical roll-up: aggregate exchange + window-level exchange only
+* hierarchical roll-up: the groups' exchange, reused for the first time; no window
 * scans read only the referenced columns
 * top-N: WindowGroupLimit before the exchange (map-side top-N)
+* ranking: no rows, only the top values, meet in one task
 * no Python UDF in any batch query
 * each JSON parse appears once per plan
 """
@@ -13,6 +14,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from tallyflow.plans import catalog
 from tallyflow.plans import queries as Q
 
 SF = "/root/testdata/sf0.01"
@@ -23,8 +25,8 @@ def _plan(df):
 
 
 def _exchanges(plan: str) -> int:
-    # shuffles, not broadcasts; spread() repartitions count separately
-    return len(re.findall(r"Exchange hashpartitioning\((?!doc_id|event_id)", plan)) + \
+    # shuffles, not broadcasts
+    return len(re.findall(r"(?<!Reused)Exchange hashpartitioning\(", plan)) + \
         len(re.findall(r"Exchange SinglePartition", plan))
 
 
@@ -36,9 +38,22 @@ def test_word_count_one_shuffle_with_partial_agg(spark):
            "ReadSchema: struct<text:string>" in p
 
 
-def test_hierarchical_two_shuffles(spark):
+def _final(df):
+    """The plan as run: adaptive, with reused exchanges."""
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    return qe.executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_hierarchical_reuses_the_groups(spark):
+    """No analytic window over the groups; the groups are aggregated once and
+    read again for the window's first time."""
+    for q in (Q.hierarchical_count, Q.hierarchical_new):
+        p = _final(q(spark, SF))
+        assert not re.search(r"^\W*(Window|WindowGroupLimit) ", p, re.M)
+        assert "ReusedExchange" in p or p.count("parseJson") <= 1, p
+        assert "collect_list" not in p
     p = _plan(Q.hierarchical_count(spark, SF))
-    assert _exchanges(p) == 2
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in p
 
 
@@ -50,8 +65,22 @@ def test_counts_by_name_single_aggregate(spark):
 def test_top_n_partial_limit(spark):
     p = _plan(Q.rolling_top_n(spark, SF))
     assert "WindowGroupLimit" in p and "Partial" in p
-    p2 = _plan(Q.top_words(spark, SF))
-    assert "WindowGroupLimit" in p2
+
+
+def test_ranking_has_no_single_partition_of_rows(spark):
+    """Only the top values (TakeOrderedAndProject) reach one task, never the
+    ranked rows."""
+    for q in (Q.top_words, Q.rank_latest):
+        p = _plan(q(spark, SF))
+        assert "TakeOrderedAndProject" in p and "rank(" not in p
+        single = p.count("Exchange SinglePartition")
+        assert single == 0, p
+
+
+def test_no_repartition_by_default(spark):
+    for name in sorted(catalog.QUERIES):
+        if not name.startswith("stream_"):
+            assert "REPARTITION_BY_NUM" not in _plan(catalog.QUERIES[name](spark, SF)), name
 
 
 def test_json_parsed_once(spark):
@@ -66,7 +95,7 @@ def test_split_runs_once(spark):
     assert "size(CASE" not in p  # no inferred filter re-running the split
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(n for n in catalog.QUERIES if not n.startswith("stream_")))
 def test_no_python_udf(spark, name):
     p = _plan(E.queries()[name](spark, SF))
     assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
@@ -74,13 +103,12 @@ def test_no_python_udf(spark, name):
 
 def test_lookup_final_plan_broadcasts_measured_side(spark):
     """SURVEY 4: look-ups end as broadcast hash joins. Static broadcast is
-    off, so the broadcasts are AQE's, on measured sizes, plus the bounded
-    hot-key set; the request tokens are never the build side."""
-    df = Q.lookup_zero(spark, SF)
-    qe = df._jdf.queryExecution()
-    qe.toRdd().count()
-    final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "BroadcastHashJoin" in final
-    for line in final.split("\n"):
-        if "BroadcastHashJoin" in line and "LeftOuter" in line:
-            assert "BuildRight" in line
+    off, so the broadcasts are AQE's, on measured sizes, plus the hot-key set,
+    which is bounded by count. Where misses are kept the join is a left join
+    from the tokens, so the tokens are never the build side; where they are
+    dropped it is an inner join, and AQE may build either measured side."""
+    for q, how in ((Q.lookup_zero, "LeftOuter"), (Q.lookup_null, "LeftOuter"), (Q.lookup_drop, "Inner")):
+        last = next(line for line in _final(q(spark, SF)).split("\n") if "_salt#" in line and "Join" in line)
+        assert how in last, last
+        if how == "LeftOuter" and "Broadcast" in last:
+            assert "BuildRight" in last

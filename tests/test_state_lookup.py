@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyflow.operators import lookup as lk
@@ -24,12 +25,34 @@ def test_ttl_key_and_table_scope(spark):
     df = spark.createDataFrame(rows, "key string, n long, updated_at timestamp")
     as_of = F.lit(dt.datetime(2024, 1, 1, 0, 10, 0)).cast("timestamp")
     assert [r.key for r in st.live_state(df, ttl_seconds=300, as_of=as_of).collect()] == ["p1"]
+    # unless told of a pause, the table lives as a whole
     both = st.live_state(df, ttl_seconds=300, as_of=as_of, scope=st.TABLE).count()
     assert both == 2
     late = F.lit(dt.datetime(2024, 1, 1, 1, 0, 0)).cast("timestamp")
     assert st.live_state(df, ttl_seconds=300, as_of=late, scope=st.TABLE).count() == 0
 
 
+def test_idle_state_expires(spark):
+    """Without as_of the time is now: state last written in 2020 is gone."""
+    df = spark.createDataFrame([("a", 1, dt.datetime(2020, 1, 1))], "key string, n long, updated_at timestamp")
+    for scope in (st.KEY, st.TABLE):
+        assert st.live_state(df, ttl_seconds=300, scope=scope).count() == 0
+
+
+def test_table_scope_starts_anew_after_a_pause(spark):
+    """a and b were written before a pause of more than 300 s, b again after;
+    c's writes bridge what b's alone would not."""
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    writes = [("a", t(0)), ("b", t(200)), ("b", t(900)), ("c", t(1100)), ("d", t(1390)), ("c", t(1600))]
+    w = spark.createDataFrame(writes, "key string, updated_at timestamp")
+    state = w.groupBy("key").agg(F.max("updated_at").alias("updated_at"))
+    as_of = F.lit(t(1700)).cast("timestamp")
+    live = st.live_state(state, ttl_seconds=300, as_of=as_of, scope=st.TABLE, writes=w)
+    assert sorted(r.key for r in live.collect()) == ["b", "c", "d"]
+    assert st.live_state(state, ttl_seconds=300, as_of=F.lit(t(1901)).cast("timestamp"), scope=st.TABLE,
+                         writes=w).count() == 0
+
+
 def _word_state(sentences):
     return wc.word_count(sentences, "line", wc.SPACE)
 
@@ -50,15 +73,6 @@ def test_word_lookup_modes(spark, sentences):
     assert (1, "kafka", None) in null and (0, "the", "4") in null
 
 
-def test_lookup_without_reduce_is_equal(spark, sentences):
-    req = lk.request_tokens(request_strings(spark, ["the the and x"]), key_col="word")
-    state = _word_state(sentences)
-    for mode in (lk.DROP, lk.ZERO, lk.NULL):
-        a = lk.lookup(req, state, key_col="word", on_miss=mode, reduce=True)
-        b = lk.lookup(req, state, key_col="word", on_miss=mode, reduce=False)
-        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-
-
 def test_project_lookup_modes(spark, call_log):
     state = jobs.rolling_state_batch(call_log, length="10 seconds", ttl_seconds=None)
     req = request_strings(spark, ["p1 zz p2"])
@@ -95,10 +109,32 @@ def test_snapshot_upsert_idempotent(spark, scratch):
 
 
 def test_snapshot_ttl(spark, scratch):
-    snap = KeyedSnapshot(spark, scratch + "/snap", ("k",), ("n",), "updated_at", ttl_seconds=300)
-    rows = [("p1", 7, dt.datetime(2024, 1, 1, 0, 5, 1)), ("p2", 3, dt.datetime(2024, 1, 1, 0, 0, 0))]
-    snap.upsert(spark.createDataFrame(rows, "k string, n long, updated_at timestamp"), 0)
-    assert [r.k for r in snap.read().collect()] == ["p1"]
+    """Expiry runs on the time of writing: with "key" each key by itself, with
+    "table" the whole store, which a write keeps alive and an idle time ends."""
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    row = lambda k: spark.createDataFrame([(k, 1, t(0))], "k string, n long, updated_at timestamp")
+    for scope, kept in ((st.KEY, ["b"]), (st.TABLE, ["a", "b"])):
+        snap = KeyedSnapshot(spark, f"{scratch}/snap-{scope}", ("k",), ("n",), "updated_at", 300, scope)
+        snap.upsert(row("a"), 0, now=t(0))
+        snap.upsert(row("b"), 1, now=t(200))
+        assert sorted(r.k for r in snap.read(as_of=t(400)).collect()) == kept
+        assert snap.read(as_of=t(501)).count() == 0 and snap.read().count() == 0
+        snap.upsert(row("c"), 2, now=t(600))          # the idle store starts anew
+        assert [r.k for r in snap.read(as_of=t(601)).collect()] == ["c"]
+
+
+def test_snapshot_ties_and_empty(spark, scratch):
+    """Of equal order values the new row wins, whichever value is larger; a
+    store without a commit reads as empty, typed rows."""
+    snap = KeyedSnapshot(spark, scratch + "/snap", ("k",), ("n",), "updated_at")
+    assert snap.read().count() == 0 and snap.read().columns == ["k", "n", "updated_at"]
+    assert jobs.rolling_lookup(request_strings(spark, ["p1"]), jobs.rolling_snapshot(spark, scratch + "/none").read(),
+                               lk.NULL).first()["count"] is None
+    rows = lambda ns: spark.createDataFrame([(f"k{i}", n, dt.datetime(2024, 1, 1)) for i, n in enumerate(ns)],
+                                            "k string, n long, updated_at timestamp")
+    snap.upsert(rows([1, 9] * 25), 0)
+    snap.upsert(rows([5] * 50), 1)
+    assert {r.n for r in snap.read().collect()} == {5}
 
 
 def test_hot_key_salting_keeps_results_whole(spark, sentences):
@@ -107,11 +143,38 @@ def test_hot_key_salting_keeps_results_whole(spark, sentences):
     toks = lk.request_tokens(req, key_col="word")
     state = _word_state(sentences)
     for mode in (lk.DROP, lk.ZERO, lk.NULL):
-        plain = lk.lookup(toks, state, key_col="word", on_miss=mode, reduce=False)
-        salted = lk.lookup(toks, state, key_col="word", on_miss=mode, rows_per_salt=5)
-        assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
-    salted = lk.lookup(toks, state, key_col="word", rows_per_salt=5)
-    assert salted.where("word = 'the'").count() == 41
+        plain = toks.join(state, "word", "inner" if mode == lk.DROP else "left")
+        salted = lk.lookup(toks, state, key_col="word", on_miss=mode)
+        assert salted.count() == plain.count()
+        assert {r["count"] for r in salted.where("word = 'the'").collect()} == {"4" if mode == lk.NULL else 4}
+    assert lk.lookup(toks, state, key_col="word").where("word = 'the'").count() == 41
+
+
+def test_many_hot_keys(spark):
+    """Every key above its share of the tokens is salted, however many."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3000")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "4")
+    try:
+        words = [f"w{i}" for i in range(1500)]
+        req = spark.createDataFrame([(i, w, r) for r in range(4) for i, w in enumerate(words)]
+                                    + [(9, f"rare{i}", 0) for i in range(1500)], "request_id long, word string, pos int")
+        state = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "word string, count long")
+        got = lk.lookup(req, state, key_col="word", on_miss=lk.ZERO).groupBy("word").agg(
+            F.count("*").alias("n"), F.min("count").alias("a"), F.max("count").alias("b")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    assert len(got) == 3000
+    for r in got:
+        want = (4, int(r.word[1:])) if r.word[0] == "w" else (1, 0)
+        assert (r.n, r.a, r.b) == (*want, want[1])
+
+
+def test_stream_is_refused(spark, scratch):
+    reqs = spark.readStream.schema("request_id long, args string").json(scratch)
+    with pytest.raises(ValueError, match="lookup_stream"):
+        lk.lookup(lk.request_tokens(reqs, key_col="word"), spark.createDataFrame([], "word string, count long"), "word")
 
 
 def test_snapshot_retention(spark, scratch):

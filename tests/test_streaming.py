@@ -47,16 +47,21 @@ def _run(writer):
 SENTINEL = call_log_json("S", 400_000, "px", "class z.Z", "mz")
 
 
+def _roll_up(spark, parsed, ck, length="10 seconds", slide=None, rows=win.ALL):
+    """The rows that the roll-up stream's sink gets."""
+    got = []
+    forms.roll_up_closed_windows(forms.hierarchical_groups(parsed, length, slide, rows),
+                                 lambda df, i: got.extend(df.collect()), ck, AVAILABLE_NOW).awaitTermination()
+    return got
+
+
 def test_hierarchical_stream_equals_batch(spark, scratch):
     src = os.path.join(scratch, "in")
     for i, chunk in enumerate([CALL_LOG_D[:3], CALL_LOG_D[3:], [SENTINEL]]):
         _stage(src, f"b{i}.txt", chunk)
     msgs = read_stream(spark, StreamSpec(path=src, max_files_per_trigger=1))
-    rows = forms.hierarchical_stream(forms.parsed_with_watermark(msgs), "10 seconds")
-    _run(rows.writeStream.outputMode("append").format("memory").queryName("hier_s")
-         .option("checkpointLocation", os.path.join(scratch, "ck")))
     stream = {(r.window_start, r.project_name, r.class_name, r.method_name, r.total_count, r.timestamp)
-              for r in spark.table("hier_s").collect()}
+              for r in _roll_up(spark, forms.parsed_with_watermark(msgs), os.path.join(scratch, "ck"))}
     batch_in = spark.createDataFrame([(v,) for v in CALL_LOG_D], "value string")
     batch = win.hierarchical_count(cl.parse_call_log(batch_in, time_type="timestamp"),
                                    length="10 seconds")
@@ -119,14 +124,14 @@ def test_rolling_stream_snapshot_and_lookup(spark, scratch):
     q.awaitTermination()
     state = {r.projectName: r["count"] for r in snap.read().collect()}
     assert state == {"p1": 1, "p2": 1}
-    # the request stream is answered from the static snapshot (stream-static join)
+    # the request stream is answered from the store, micro-batch by micro-batch
     req_dir = os.path.join(scratch, "req")
     _stage(req_dir, "r.json", [json.dumps({"request_id": 7, "args": "p1 zz p2"})])
     reqs = spark.readStream.schema("request_id long, args string").json(req_dir)
-    ans = jobs.rolling_lookup(reqs, snap.read(), lk.NULL)
-    _run(ans.writeStream.outputMode("append").format("memory").queryName("roll_ans")
-         .option("checkpointLocation", os.path.join(scratch, "ck2")))
-    got = sorted((r.pos, r.projectName, r["count"]) for r in spark.table("roll_ans").collect())
+    ans = []
+    jobs.rolling_lookup_stream(spark, reqs, snap, lambda df, i: ans.extend(df.collect()),
+                               os.path.join(scratch, "ck2"), lk.NULL, AVAILABLE_NOW).awaitTermination()
+    got = sorted((r.pos, r.projectName, r["count"]) for r in ans)
     assert got == [(0, "p1", "1"), (1, "zz", None), (2, "p2", "1")]
 
 
@@ -142,18 +147,6 @@ def test_log_rollup_stream_writes_daily_index(spark, scratch):
     assert docs.count() == 4 and os.path.isdir(os.path.join(out, "_index=logcount-2024.01.01"))
 
 
-def test_top_n_stream(spark, scratch):
-    src = os.path.join(scratch, "in")
-    for i, chunk in enumerate([CALL_LOG_D, [SENTINEL]]):
-        _stage(src, f"b{i}.txt", chunk)
-    parsed = forms.parsed_with_watermark(read_stream(spark, StreamSpec(path=src, max_files_per_trigger=1)))
-    top = forms.top_n_stream(parsed, 1, "project_name", length="10 seconds")
-    _run(top.writeStream.outputMode("append").format("memory").queryName("top_s")
-         .option("checkpointLocation", os.path.join(scratch, "ck")))
-    got = {(r.window_start.second, r.project_name, r.n, r.rank) for r in spark.table("top_s").collect()}
-    assert got == {(0, "p1", 4, 1), (10, "p1", 1, 1)}
-
-
 def test_observe_rows(spark, scratch):
     src = os.path.join(scratch, "in")
     _stage(src, "a.txt", SENTENCES)
@@ -208,12 +201,8 @@ def test_stream_equals_batch_on_driver_events(spark, scratch):
         _stage(src, f"b{i}.txt", [m.value for m in msgs[i * q4:(i + 1) * q4]])
     _stage(src, "b9.txt", [call_log_json("S", 10 ** 11, "px", "class z.Z", "mz")])
     parsed = forms.parsed_with_watermark(read_stream(spark, StreamSpec(path=src, max_files_per_trigger=1)))
-    rows = forms.hierarchical_stream(parsed, "1 hour")
-    _run(rows.writeStream.outputMode("append").format("memory").queryName("hier_ev")
-         .option("checkpointLocation", os.path.join(scratch, "ck")))
-    stream = {tuple(r) for r in spark.table("hier_ev").where("project_name <> 'px'")
-              .select("window_start", "project_name", "class_name", "method_name",
-                      "total_count", "timestamp").collect()}
+    stream = {(r.window_start, r.project_name, r.class_name, r.method_name, r.total_count, r.timestamp)
+              for r in _roll_up(spark, parsed, os.path.join(scratch, "ck"), "1 hour") if r.project_name != "px"}
     batch = win.hierarchical_count(cl.parse_call_log(adapters.call_log_messages(ev), time_type="timestamp"),
                                    length="1 hour")
     expect = {tuple(r) for r in batch.select("window_start", "project_name", "class_name",
@@ -262,13 +251,25 @@ def test_window_operators_stream_equal_batch(spark, scratch):
         assert _rows(s, cols) == expect and len(expect) >= 3
 
 
+def _parsed_stream(spark, scratch, name):
+    src = os.path.join(scratch, "in-" + name)
+    for i, chunk in enumerate([CALL_LOG_D[:3], CALL_LOG_D[3:], [SENTINEL]]):
+        _stage(src, f"b{i}.txt", chunk)
+    return forms.parsed_with_watermark(read_stream(spark, StreamSpec(path=src, max_files_per_trigger=1)))
+
+
 def test_hierarchical_stream_sliding(spark, scratch):
+    """All and new rows, with slides that divide the length and that do not."""
     b = _batch_parsed(spark)
-    cols = ["window_start", "window_end", "project_name", "class_name", "method_name", "total_count"]
-    s = _stream_rows(spark, scratch, "hier_slide_s", lambda p: forms.hierarchical_stream(
-        p, "10 seconds", "5 seconds"))
-    expect = _rows(win.hierarchical_count(b, length="10 seconds", slide="5 seconds"), cols)
-    assert _rows(s, cols) == expect and len(expect) > 4
+    cols = ["window_start", "window_end", "project_name", "class_name", "method_name", "total_count", "timestamp"]
+    for length, slide in (("10 seconds", "5 seconds"), ("10 seconds", "4 seconds"), ("10 seconds", "3 seconds"),
+                          ("1 minute", "25 seconds")):
+        for rows in (win.ALL, win.NEW):
+            name = f"{length}-{slide}-{rows}"
+            got = _roll_up(spark, _parsed_stream(spark, scratch, name), os.path.join(scratch, "ck-" + name),
+                           length, slide, rows)
+            expect = _rows(win.hierarchical_count(b, length=length, slide=slide, rows=rows), cols)
+            assert {tuple(r[c] for c in cols) for r in got} == expect and len(expect) >= 4, name
 
 
 def test_word_lookup_against_live_state(spark, scratch):
@@ -340,8 +341,9 @@ def test_log_rollup_stream_bounded_files(spark, scratch):
                                os.path.join(scratch, "ck"), trigger=AVAILABLE_NOW, output_files=1)
     q.awaitTermination()
     day = os.path.join(out, "_index=logcount-2024.01.01")
-    files = [f for f in os.listdir(day) if f.startswith("part-")]
-    assert len(files) == 1 and spark.read.json(out).count() == 4
+    files = [[f for f in os.listdir(os.path.join(day, b)) if f.startswith("part-")] for b in os.listdir(day)
+             if b.startswith("batch_id=")]
+    assert files and all(len(f) == 1 for f in files) and spark.read.json(out).count() == 4
 
 
 def test_word_count_complete_listing_equals_batch(spark, scratch):
@@ -349,11 +351,12 @@ def test_word_count_complete_listing_equals_batch(spark, scratch):
     src = os.path.join(scratch, "in")
     _stage(src, "a.txt", SENTENCES[:2])
     _stage(src, "b.txt", SENTENCES[2:])
+    listing = []
     q = jobs.word_count_stream(spark, StreamSpec(path=src, max_files_per_trigger=1),
-                               os.path.join(scratch, "ck"), "complete", "wc_complete",
-                               trigger=AVAILABLE_NOW)
+                               os.path.join(scratch, "ck"), "complete", trigger=AVAILABLE_NOW,
+                               foreach_batch=lambda b, i: listing.append(b.collect()))
     q.awaitTermination()
-    stream = {r.word: r["count"] for r in spark.table("wc_complete").collect()}
+    stream = {r.word: r["count"] for r in listing[-1]}
     batch_in = spark.createDataFrame([(s,) for s in SENTENCES], "line string")
     assert stream == {r.word: r["count"] for r in jobs.word_count_batch(batch_in).collect()}
 
@@ -414,16 +417,3 @@ def test_route_stream_writes_named_branches(spark, scratch):
     assert spark.read.parquet(outs["general"]).count() == 6
     status = sorted(r.msg_id for r in spark.read.parquet(outs["status"]).collect())
     assert status == ["L1", "L2", "L6"]
-
-
-def test_hierarchical_stream_new_rows_equals_batch(spark, scratch):
-    """rows="new": counts of each window's last slide, stamped with the first
-    time over the whole sliding window, as in the batch form."""
-    b = _batch_parsed(spark)
-    cols = ["window_start", "window_end", "project_name", "class_name", "method_name",
-            "total_count", "timestamp"]
-    s = _stream_rows(spark, scratch, "hier_new_s", lambda p: forms.hierarchical_stream(
-        p, "10 seconds", "5 seconds", rows=win.NEW))
-    expect = _rows(win.hierarchical_count(b, length="10 seconds", slide="5 seconds",
-                                          rows=win.NEW), cols)
-    assert _rows(s, cols) == expect and len(expect) >= 3
