@@ -7,6 +7,10 @@ sets of a and b bigrams the coefficient is at most 2 min(a, b) / (a + b), so a
 template can reach ``least`` only when a is between least / (2 - least) and
 (2 - least) / least times b; other templates are not compared.
 
+Before any of this, texts and lines go that hold none of the ``anchors``: words
+that together touch so many bigrams of every template that what is left cannot
+reach ``least`` without one of them. The check is a plain search for each word.
+
 The bigrams of the lines and texts inside some template's bounds meet the
 templates' bigrams by a broadcast join (the templates are constants), so only
 matching bigrams are shuffled, and a common licence line is no hot key: rows
@@ -17,9 +21,14 @@ without doc_id are one document. Extra columns play no part.
 
 from __future__ import annotations
 
+import math
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyflow.functions.once import compute_once
 from tallyflow.llm.common import LOWER, UPPER, ascii_lower
 
 LEAST = 0.8
@@ -108,6 +117,32 @@ def bigrams(norm: Column) -> Column:
         lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
+def anchors(templates: dict[str, tuple[str, ...]], least: float) -> list[str]:
+    """Words one of which every text holds that reaches ``least``.
+
+    A text that shares c of a template's b bigrams has c at least, and the
+    coefficient is 2 c / (a + b) <= 2 c / (c + b), so it misses at most
+    b - b least / (2 - least) bigrams. The words are picked greedily, long ones
+    first among equals, until they touch more bigrams than that in each template.
+    """
+    todo = []
+    for t in (t for ts in templates.values() for t in ts):
+        w = re.sub("[^a-z0-9]+", " ", t.translate(str.maketrans(UPPER, LOWER))).split()
+        grams = set(zip(w, w[1:]))
+        todo.append([grams, len(grams) - math.ceil(len(grams) * least / (2 - least) - 1e-9) + 1])
+    words = sorted({w for grams, _ in todo for g in grams for w in g}, key=lambda w: (-len(w), w))
+    picked = []
+    while any(need > 0 for _, need in todo):
+        gain = {w: sum(min(need, sum(w in g for g in grams)) for grams, need in todo if need > 0)
+                for w in words if w not in picked}
+        best = max(gain, key=lambda w: (gain[w] * (len(w) >= 6), gain[w], len(w), w))
+        picked.append(best)
+        for t in todo:
+            hit = {g for g in t[0] if best in g}
+            t[0], t[1] = t[0] - hit, t[1] - len(hit)
+    return picked
+
+
 def _templates(docs: DataFrame, templates: dict[str, tuple[str, ...]], least: float) -> DataFrame:
     rows = [(lic, k, t) for lic, ts in templates.items() for k, t in enumerate(ts)]
     t = docs.sparkSession.createDataFrame(rows, "license string, wording int, template string")
@@ -124,10 +159,15 @@ def scan(docs: DataFrame, least: float = LEAST,
     whole text, and how many different lines or texts reach ``least``."""
     t = _templates(docs, templates, least)
     lo, hi = t.agg(F.min("lo"), F.max("hi")).first()
-    text = F.col("text")
-    units = docs.select("doc_id", F.explode(F.array_append(F.split(text, "\n"), text)).alias("unit"))
-    # a bound on characters first: hi bigrams are hi + 1 words, but words repeat
-    # and vary, so only the number of bigrams itself prunes above
+    words = anchors(templates, least)
+
+    def anchored(rows: DataFrame, col: str) -> DataFrame:
+        low = compute_once(rows, F.lower(col).alias("_low"))       # once, not per word
+        return low.where(reduce(Column.__or__, (F.contains("_low", F.lit(w)) for w in words))).drop("_low")
+
+    units = anchored(docs.select("doc_id", F.col("text").alias("unit")), "unit")
+    units = anchored(units.select("doc_id", F.explode(F.array_append(F.split("unit", "\n"), F.col("unit"))).alias("unit")),
+                     "unit")
     units = units.withColumn("unit", normalise(F.col("unit"))).where(F.length("unit") >= 3)
     units = units.withColumn("grams", bigrams(F.col("unit"))).withColumn("a", F.size("grams"))
     units = units.where(F.col("a").between(lo, hi))
