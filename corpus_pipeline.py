@@ -25,16 +25,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyflow.llm import decontam, mixing, partenum, quality, token_files
 from tallyflow.llm.common import read_table, scratch
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    weights = quality.train(docs, read_table(spark, sf_dir, "labels"))
-    return quality.score(docs, weights, out="_score").where(
-        F.col("_score") >= quality.THRESHOLD).drop("_score")
+    return quality.keep(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

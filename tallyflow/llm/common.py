@@ -36,6 +36,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def wrapped(docs: DataFrame, **named: Column) -> DataFrame:
+    """``docs`` as one column ``_row`` and the ``named`` columns computed from
+    it: whatever the table's own columns are called, they clash with none of
+    an operator's. ``select("_row.*")`` gives the table again."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       *[c.alias(k) for k, c in named.items()])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

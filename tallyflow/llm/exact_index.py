@@ -67,7 +67,7 @@ def dedup(docs: DataFrame, batches: int = 2) -> DataFrame:
     lo, hi = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
     index = DigestIndex(docs.sparkSession)
     place = F.lit(0) if lo is None else F.coalesce(
-        F.least(F.floor((F.lit(hi) - F.col("doc_id")) * batches / (hi - lo + 1)),
+        F.least(F.floor((F.lit(float(hi)) - F.col("doc_id")) / (float(hi) - lo + 1) * batches),
                 F.lit(batches - 1)), F.lit(batches - 1))
     for k in range(batches):
         index.add(rows.where(place == k))

@@ -20,14 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyflow.llm.common import join_groups, stage
+from tallyflow.llm.common import join_groups, stage, wrapped
 
 LINES = 3
 
 
-def _keys(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_lw_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))),
-                             "_lw_text": F.xxhash64("text")})
+def _keys() -> dict[str, Column]:
+    return {"id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "th": F.xxhash64("text")}
 
 
 def windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
@@ -39,10 +38,10 @@ def windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
         return F.struct(i.alias("line"), F.xxhash64(*own).alias("h1"),
                         F.xxhash64(F.lit("second"), *reversed(own)).alias("h2"))
 
-    return (_keys(docs).select("_lw_id", "_lw_text", parts.alias("parts")).where(F.size("parts") >= lines)
-            .select("_lw_id", "_lw_text",
-                    F.explode(F.transform(F.sequence(F.lit(0), F.size("parts") - lines), window)).alias("w"))
-            .select(F.col("_lw_id").alias("id"), F.col("_lw_text").alias("th"), "w.line", "w.h1", "w.h2"))
+    return (docs.select(*[c.alias(k) for k, c in _keys().items()], parts.alias("parts"))
+            .where(F.size("parts") >= lines)
+            .select("id", "th", F.explode(F.transform(F.sequence(F.lit(0), F.size("parts") - lines), window)).alias("w"))
+            .select("id", "th", "w.line", "w.h1", "w.h2"))
 
 
 def covered(docs: DataFrame, lines: int = LINES) -> DataFrame:
@@ -62,23 +61,22 @@ def covered(docs: DataFrame, lines: int = LINES) -> DataFrame:
 
 
 def dedup(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """``docs`` with the repeated lines taken out of ``text`` and the new
-    columns ``n_lines`` (before) and ``n_removed``."""
-    cols = docs.columns
-    runs = covered(docs, lines).select(F.col("id").alias("_lw_id"), F.col("th").alias("_lw_text"),
-                                       F.col("runs").alias("_lw_runs"))
-    out = _keys(docs).join(runs, ["_lw_id", "_lw_text"], "left")
-    out = out.withColumn("_lw_parts", F.split("text", "\n"))
-    n = F.coalesce(F.size("_lw_parts"), F.lit(0))
-    r = F.col("_lw_runs")
+    """``docs`` with the repeated lines taken out of ``text`` and the columns
+    ``n_lines`` (before) and ``n_removed`` (in place of columns of that name)."""
+    out = wrapped(docs, **_keys()).join(covered(docs, lines), ["id", "th"], "left")
+    out = out.withColumns({"old": F.col("_row.text"), "parts": F.split("_row.text", "\n")})
+    n = F.coalesce(F.size("parts"), F.lit(0))
+    r = F.col("runs")
     # between one run's end and the next run's start
     starts = F.concat(F.array(F.lit(0)), F.transform(r, lambda x: x["last"] + 1))
     ends = F.concat(F.transform(r, lambda x: x["first"]), F.array(n))
-    kept = F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(F.col("_lw_parts"), a + 1, b - a)))
+    kept = F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(F.col("parts"), a + 1, b - a)))
     removed = F.aggregate(r, F.lit(0), lambda s, x: s + x["last"] - x["first"] + 1)
-    text = F.when(r.isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return out.withColumns({"text": text, "n_lines": F.when(F.col("text").isNull(), F.lit(0)).otherwise(n),
-                            "n_removed": F.coalesce(removed, F.lit(0))}).select(*cols, "n_lines", "n_removed")
+    text = F.when(r.isNull(), F.col("old")).otherwise(F.array_join(kept, "\n"))
+    same = [F.col(f"_row.`{c}`") if c != "text" else text.alias("text")
+            for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return out.select(*same, F.when(F.col("old").isNull(), F.lit(0)).otherwise(n).alias("n_lines"),
+                      F.coalesce(removed, F.lit(0)).alias("n_removed"))
 
 
 ORACLE = f"""

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyflow.llm.common import join_groups, partitions, stage, word_count
+from tallyflow.llm.common import join_groups, partitions, stage, word_count, wrapped
 
 MOST = 3
 DP_WORDS = 1 << 16
@@ -120,13 +120,13 @@ def targets(sources: DataFrame, most: int = MOST) -> DataFrame:
 
 # -- over the documents -------------------------------------------------------
 
-def _keyed(docs: DataFrame, seed: int) -> DataFrame:
-    """``docs`` with its source key (null last), size and seeded order."""
+def _keys(seed: int) -> dict[str, Column]:
+    """Source key (null last), size and seeded order of a document."""
     text = F.coalesce(F.col("text"), F.lit(""))
     key: Column = F.when(F.col("source").isNull(), F.lit("1")).otherwise(
         F.concat(F.lit("0"), F.col("source")))
-    return docs.withColumns({"_mix_skey": key, "_mix_size": word_count(F.col("text")),
-                             "_mix_order": F.xxhash64(F.lit(seed), "doc_id", text)})
+    return {"_mix_skey": key, "_mix_size": word_count(F.col("text")),
+            "_mix_order": F.xxhash64(F.lit(seed), "doc_id", text)}
 
 
 def plan(keyed: DataFrame, most: int = MOST) -> DataFrame:
@@ -178,8 +178,7 @@ def _decide(keyed: DataFrame, most: int) -> DataFrame:
 
 def decisions(docs: DataFrame, seed: int = 10, most: int = MOST) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
-    narrow = ["doc_id", "_mix_skey", "_mix_size", "_mix_order"]
-    keyed = stage(_keyed(docs.select("doc_id", "source", "text"), seed).select(*narrow), "mix-rows")
+    keyed = stage(docs.select("doc_id", *[c.alias(k) for k, c in _keys(seed).items()]), "mix-rows")
     return _decide(keyed, most).select(
         "doc_id", F.col("_mix_size").alias("size"), F.col("_mix_source_size").alias("source_size"),
         F.col("_mix_target").alias("target"),
@@ -190,9 +189,8 @@ def mix(docs: DataFrame, seed: int = 10, most: int = MOST) -> DataFrame:
     """The mixed documents with the columns of ``docs``: a document taken k
     times comes k times; sizes of 0 go with their source's whole passes, and
     stay where the source has none."""
-    cols = docs.columns
-    out = _decide(_keyed(docs, seed), most)
+    out = _decide(wrapped(docs, **_keys(seed)), most)
     copies = F.when(F.col("_mix_size") == 0, F.greatest(F.col("_mix_passes"), F.lit(1))).otherwise(
         F.col("_mix_copies"))
     return (out.withColumn("_mix_copies", copies).where("_mix_copies > 0")
-            .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*cols))
+            .select("_row", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select("_row.*"))

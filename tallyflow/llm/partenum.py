@@ -56,7 +56,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyflow.llm.common import join_groups, small_batches, stage
+from tallyflow.llm.common import join_groups, small_batches, stage, wrapped
 from tallyflow.llm.components import components
 
 SALTS = 64
@@ -411,13 +411,12 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest
     doc_id (then text hash; null ids last), and all documents without a set.
     Rows that repeat doc_id and text count once."""
-    cols = docs.columns
     rows = stage(classified(docs, words, percent), "classified")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
     kept = (rows.where("root is not null").groupBy("root").agg(first.alias("one")).select("one.doc_id", "one.th")
             .unionByName(rows.where("root is null").select("doc_id", "th").distinct()))
-    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_pe_id")]
-    kept = stage(kept.select(*key, F.col("th").alias("_pe_text")), "kept")
-    out = docs.select("*", *key, F.xxhash64("text").alias("_pe_text")).join(kept, ["_pe_id", "_pe_text"], "left_semi")
-    w = Window.partitionBy("_pe_id", "_pe_text").orderBy("_pe_id")
-    return out.withColumn("_pe_row", F.row_number().over(w)).where("_pe_row = 1").select(*cols)
+    no_null = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    kept = stage(kept.select(no_null.alias("id"), "th"), "kept")
+    out = wrapped(docs, id=no_null, th=F.xxhash64("text")).join(kept, ["id", "th"], "left_semi")
+    w = Window.partitionBy("id", "th").orderBy("id")
+    return out.withColumn("nth", F.row_number().over(w)).where("nth = 1").select("_row.*")

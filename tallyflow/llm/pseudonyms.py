@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import small_batches
+from tallyflow.llm.common import small_batches, wrapped
 
 ROUNDS = 8
 DIGITS = "0123456789"
@@ -229,8 +229,8 @@ def rewrite(text: str | None, cipher: Cipher, kinds: dict = KINDS, back: bool =
 
 
 def pseudonymise(docs: DataFrame, key: bytes, kinds: dict = KINDS) -> DataFrame:
-    """``docs`` with ``text`` rewritten and ``pii``, the number of values
-    replaced by kind (a map)."""
+    """``docs`` with ``text`` rewritten and ``pii`` (in place of a column of
+    that name), the number of values replaced by kind, a map."""
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("text string, pii map<string,int>")
@@ -240,5 +240,6 @@ def pseudonymise(docs: DataFrame, key: bytes, kinds: dict = KINDS) -> DataFrame:
             got = [rewrite(x, cipher, kinds) for x in t]
             yield pd.DataFrame({"text": [x for x, _ in got], "pii": [n for _, n in got]})
 
-    cols = [F.col(c) if c != "text" else F.col("_pii.text").alias("text") for c in docs.columns if c != "pii"]
-    return docs.withColumn("_pii", rewritten(F.col("text"))).select(*cols, F.col("_pii.pii").alias("pii"))
+    cols = [F.col(f"_row.`{c}`") if c != "text" else F.col("got.text").alias("text")
+            for c in docs.columns if c != "pii"]
+    return wrapped(docs, got=rewritten(F.col("text"))).select(*cols, F.col("got.pii").alias("pii"))

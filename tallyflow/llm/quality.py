@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyflow.llm.common import small_batches
+from tallyflow.llm.common import small_batches, wrapped
 
 BITS = 18
 MAX_TRAIN = 12_000
@@ -155,15 +155,20 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int
     return np.frombuffer(bytes(got[0]["w"]), np.float32) if got else np.zeros((1 << bits) + 1, np.float32)
 
 
-def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, out: str = "score") -> DataFrame:
-    """``docs`` with the column ``out``: the probability of label 1."""
+def probability(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> Column:
+    """The probability of label 1 of the texts of ``docs``."""
     small_batches(docs.sparkSession)
     w = docs.sparkSession.sparkContext.broadcast(weights)
 
     @F.pandas_udf(T.DoubleType())
-    def probability(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def of_text(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = Features(bits)
         for t in texts:
             yield pd.Series([_sigmoid(float(w.value[i] @ v)) for i, v in map(of, t)], dtype=float)
 
-    return docs.withColumn(out, probability(F.col("text")))
+    return of_text(F.col("text"))
+
+
+def keep(docs: DataFrame, weights: np.ndarray, least: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the documents that score under ``least``."""
+    return wrapped(docs, score=probability(docs, weights)).where(F.col("score") >= least).select("_row.*")

@@ -64,7 +64,7 @@ def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = quality.train(docs, read_table(spark, sf_dir, "labels"))
-    return quality.score(docs, weights).select(
+    return docs.withColumn("score", quality.probability(docs, weights)).select(
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
