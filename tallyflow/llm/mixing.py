@@ -37,7 +37,8 @@ BROADCAST_ROWS = 200_000
 
 def fit(sizes: list[int], counts: list[int], budget: int, dp_words: int = DP_WORDS) -> list[int]:
     """How many documents of each size to take so that their words come to
-    ``budget`` or as near below it as the programme finds.
+    ``budget`` or as near to it as the programme finds: the nearest sum below,
+    or one more document where that ends nearer above.
 
     The dynamic programme covers ``dp_words`` words at least, whatever the
     budget, so its memory is bounded; the words before that are taken evenly
@@ -46,6 +47,15 @@ def fit(sizes: list[int], counts: list[int], budget: int, dp_words: int = DP_WOR
     total = sum(s * c for s, c in zip(sizes, counts))
     if budget >= total:
         return list(counts)
+    take = _below(sizes, counts, budget, total, dp_words)
+    short = budget - sum(s * n for s, n in zip(sizes, take))
+    spare = [s for s, c, n in zip(sizes, counts, take) if s and n < c]
+    if spare and abs(min(spare) - short) < short:
+        take[sizes.index(min(spare))] += 1
+    return take
+
+
+def _below(sizes: list[int], counts: list[int], budget: int, total: int, dp_words: int) -> list[int]:
     take = [c * budget // total if s else 0 for s, c in zip(sizes, counts)]
     left = budget - sum(s * n for s, n in zip(sizes, take))
     order = sorted((i for i, s in enumerate(sizes) if s > 0), key=lambda i: -sizes[i])

@@ -4,7 +4,7 @@
 A page whose payload another page has too becomes a revisit record that names
 the page with the smallest id; payloads under ``min_bytes`` are always written
 in full. The reader checks every record (gzip CRC and length, version line,
-header lines, Content-Length, block digest, closing blank lines). After a
+header lines and the needed ones, Content-Length, block digest, closing blank lines). After a
 failed check it searches for the next valid gzip member or version line, goes
 on from there, and logs the bytes between as a quarantined gap.
 
@@ -42,6 +42,9 @@ TAIL = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00\x00\x0
 DATE = "2024-01-01T00:00:00Z"
 SHARD_BYTES = 8 << 20
 CRLF = b"\r\n"
+# a header line: a token, a colon, a value without control characters
+HEADER = re.compile(rb"([!#$%&'*+.^_`|~0-9A-Za-z-]+):[ \t]*([^\x00-\x08\x0a-\x1f\x7f]*)")
+NEEDED = {"warc-type", "warc-record-id", "warc-date", "content-length"}
 LIKELY = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
 
@@ -146,10 +149,15 @@ def parse(data: bytes, at: int) -> tuple[Record, int]:
         raise Bad("headers do not end")
     headers = {}
     for line in data[at:end].split(CRLF)[1:]:
-        k, colon, v = line.decode("utf-8", "replace").partition(":")
-        if not colon:
-            raise Bad("a header line without a colon")
-        headers[k.strip().lower()] = v.strip()
+        m = HEADER.fullmatch(line)
+        if not m:
+            raise Bad("a line that is no header")
+        k = m[1].decode().lower()
+        if k in headers and k in NEEDED:
+            raise Bad(f"{k} twice")
+        headers[k] = m[2].decode("utf-8", "replace").strip()
+    if not NEEDED <= headers.keys():
+        raise Bad(f"without {', '.join(sorted(NEEDED - headers.keys()))}")
     length = headers.get("content-length", "")
     if not length.isdigit():
         raise Bad("no Content-Length")

@@ -1,0 +1,25 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Rows with nulls in every column, empty and blank texts, repeated rows
+    and ids, ties, a very long text, and columns named like the operators'."""
+    long_text = " ".join(f"w{i % 977}x{i}" for i in range(60_000))
+    rows = [
+        (1, "a b c d e f g h i j k l m n", "en", "s1", 5), (1, "a b c d e f g h i j k l m n", "en", "s1", 5),
+        (2, "A B C D E F G H I J K L M N", "en", "s2", None), (3, None, None, None, None),
+        (4, "", "en", "s1", 0), (5, " \n\t ", "en", "", 3), (6, "one", "en", "s3", 3), (6, "two words", "en", "s3", 9),
+        (None, "a b c d e f g h i j k l m n", None, "s1", 5), (None, None, None, None, None),
+        (None, "nobody's text stands here alone", None, "s2", 1), (7, long_text, "en", "s2", len(long_text)),
+        (8, "x\ny\nz\nx\ny\nz", "en", "s1", 11), (9, "é ü　ß\x1c!", "fr", "s1", 9),
+        (-5, "minus five has words of its own too", "en", "s9", 1),
+    ]
+    rows = [(*r, 1.5, "a", 7, "q", "clash") for r in rows]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
+                                       "score double, h string, size long, _row string, part string")
+
+
+@pytest.fixture(scope="session")
+def no_docs(odd_docs):
+    return odd_docs.where("false")

@@ -1,0 +1,26 @@
+"""The registered queries with SQL, against DuckDB on whole tables, and the
+entry's guard."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as E
+from oracle_compare import compare, duck
+from tallyflow.llm.queries import ENTRIES
+
+SF = "/root/testdata/sf0.01"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+
+
+def test_every_operator_is_registered():
+    names = [n for n in E.queries() if n.startswith("op")]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert "pipeline" in E.queries()
+
+
+@pytest.mark.parametrize("name", [n for n, (_, sql) in ENTRIES.items() if sql])
+def test_query_matches_sql(spark, name):
+    info = compare(spark, duck(SF), name, *ENTRIES[name], SF)
+    assert info["match"], info
