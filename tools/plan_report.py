@@ -22,9 +22,7 @@ NODE = re.compile(r"^[\s:+\-|]*(\*\(\d+\) )?([A-Za-z]+)")
 
 def summarise(plan: str) -> dict:
     return {
-        "shuffles": len(re.findall(r"Exchange hashpartitioning|Exchange SinglePartition|Exchange rangepartitioning", plan))
-        - len(re.findall(r"REPARTITION_BY_NUM", plan)),
-        "spread": len(re.findall(r"REPARTITION_BY_NUM", plan)),
+        "shuffles": len(re.findall(r"Exchange hashpartitioning|Exchange SinglePartition|Exchange rangepartitioning", plan)),
         "broadcasts": len(re.findall(r"BroadcastExchange", plan)),
         "joins": sorted(set(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)", plan))),
         "map_side_limit": "WindowGroupLimit" in plan and "Partial" in plan,
@@ -47,18 +45,16 @@ def compact(plan: str) -> list[str]:
 
 def main(argv):
     from tallyflow.session import get_session
-    import __spark_entry__ as E
+    from tallyflow.plans import catalog
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", shuffle_partitions=8)
     print(f"# Physical plans (AQE final) at `{sf_dir}`\n")
     print("Produced by `tools/plan_report.py` on local[8], shuffle partitions 8, static broadcast off "
-          "(`tallyflow.session.DEFAULT_CONF`). *shuffles* counts hash/single/range exchanges; "
-          "*spread* counts the input repartitions that `sources.tables.spread` adds only when a scan "
-          "has fewer partitions than cores.\n")
-    print("| query | shuffles | spread | broadcasts | joins | map-side top-N | Python | sec |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
+          "(`tallyflow.session.DEFAULT_CONF`). *shuffles* counts hash/single/range exchanges.\n")
+    print("| query | shuffles | broadcasts | joins | map-side top-N | Python | sec |")
+    print("| --- | --- | --- | --- | --- | --- | --- |")
     details = []
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         df = fn(spark, sf_dir)
         qe = df._jdf.queryExecution()
         t0 = time.perf_counter()
@@ -68,7 +64,7 @@ def main(argv):
         plan = full.split("== Initial Plan ==")[0]
         s = summarise(plan)
         s["scans"] = summarise(full)["scans"]
-        print(f"| `{name}` | {s['shuffles']} | {s['spread']} | {s['broadcasts']} | "
+        print(f"| `{name}` | {s['shuffles']} | {s['broadcasts']} | "
               f"{', '.join(s['joins']) or '-'} | {'yes' if s['map_side_limit'] else '-'} | "
               f"{'yes' if s['python'] else 'no'} | {sec:.2f} |")
         details.append((name, s, compact(plan)))
