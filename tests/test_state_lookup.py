@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,8 +10,10 @@ from tallyflow.operators import lookup as lk
 from tallyflow.operators import state as st
 from tallyflow.operators import wordcount as wc
 from tallyflow.plans import jobs
+from tallyflow.session import checkpoint_dir
 from tallyflow.sinks.snapshot import KeyedSnapshot
 from tallyflow.sources.literal import request_strings
+from tallyflow.streaming.state import LatestWithTTL
 
 
 def test_latest_per_key_from_windows(call_log):
@@ -197,3 +200,52 @@ def test_snapshot_keeps_stored_types(spark, scratch):
     out = snap.read()
     assert dict(out.dtypes) == {"k": "string", "n": "bigint", "updated_at": "timestamp_ntz"}
     assert [(r.k, r.n) for r in out.collect()] == [("a", 2)]
+
+
+class _Value:
+    """A value state of one key, as the processor sees it."""
+
+    def __init__(self):
+        self.v, self.writes = None, 0
+
+    def exists(self):
+        return self.v is not None
+
+    def get(self):
+        return self.v
+
+    def update(self, v):
+        self.v, self.writes = v, self.writes + 1
+
+
+def test_latest_with_ttl_nulls():
+    """Null times are left out, null values kept; only a write that changes
+    the value is emitted, and an older row is no write."""
+    p = LatestWithTTL("k")
+    p.state = _Value()
+    t = lambda s: pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=s)
+
+    def put(*rows):
+        pdf = pd.DataFrame(rows, columns=["n", "updated_at"]).astype({"n": "Int64", "updated_at": "datetime64[ns]"})
+        return [tuple(None if pd.isna(x) else x for x in (d.n[0], d.updated_at[0]))
+                for d in p.handleInputRows(("a",), iter([pdf]), None)]
+
+    assert put((1, None)) == [] and not p.state.exists()
+    assert put((None, t(5)), (7, None)) == [(None, t(5))]
+    assert put((3, t(4))) == [] and p.state.writes == 1
+    assert put((3, t(6)), (2, t(1))) == [(3, t(6))]
+    assert put((3, t(6))) == [] and p.state.writes == 3
+
+
+class _Session:
+    """A session of a cluster, without spark.checkpoint.dir."""
+    class conf:
+        get = staticmethod(lambda key, default: default)
+
+    class sparkContext:
+        master = "spark://host:7077"
+
+
+def test_checkpoint_dir_must_be_shared():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_Session)

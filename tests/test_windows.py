@@ -67,6 +67,25 @@ def test_top1_project(call_log):
         (T0, "p1", 4, 1), (T10, "p1", 1, 1)}
 
 
+def test_rank_top_all_tied_and_large_n(spark):
+    """Any number of rows may tie; n over Spark's group-limit threshold."""
+    tied = spark.range(20_000).selectExpr("cast(id as string) AS key", "1L AS n")
+    got = topn.rank_top(tied.unionByName(spark.createDataFrame([("top", 5), ("none", None)], "key string, n long")), 2)
+    assert got.count() == 20_001 and got.where("rank = 1").count() == 1
+    many = spark.range(3000).selectExpr("cast(id as string) AS key", "id DIV 2 AS n")
+    ranks = {r.key: r.rank for r in topn.rank_top(many, 1501).collect()}
+    assert len(ranks) == 1502 and ranks["2999"] == ranks["2998"] == 1 and ranks["1498"] == ranks["1499"] == 1501
+    nulls = spark.createDataFrame([("a", 1), ("b", None), ("c", None)], "key string, n long")
+    assert {(r.key, r.rank) for r in topn.rank_top(nulls, 3).collect()} == {("a", 1), ("b", 2), ("c", 2)}
+
+
+def test_store_ranking_replaces(spark, scratch):
+    df = spark.createDataFrame([("a", 3), ("b", 2), ("c", 2), ("d", 1)], "key string, n long")
+    for n in (9, 2):
+        topn.store_ranking(topn.rank_top(df, n), scratch + "/rank")
+    assert [tuple(r) for r in spark.read.parquet(scratch + "/rank").collect()] == [(1, "a", 3), (2, "b", 2), (2, "c", 2)]
+
+
 def test_rank_top_shares_ties(spark):
     df = spark.createDataFrame([("a", 5), ("b", 5), ("c", 3), ("d", 1)], "key string, n long")
     got = {(r.key, r.rank) for r in topn.rank_top(df, 2).collect()}
