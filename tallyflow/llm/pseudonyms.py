@@ -106,13 +106,23 @@ def email(m: re.Match, cipher: Cipher, back: bool) -> str | None:
 
 
 def iban(m: re.Match, cipher: Cipher, back: bool) -> str | None:
-    flat = m[0].replace(" ", "")
+    # words in capitals may follow: the longest run of groups that is valid
+    text, rest = m[0], ""
+    while (new := _iban(text.replace(" ", ""), cipher, back)) is None:
+        text, space, word = text.rpartition(" ")
+        if not space:
+            return None
+        rest = space + word + rest
+    return _refill(text, new, DIGITS + UPPER) + rest
+
+
+def _iban(flat: str, cipher: Cipher, back: bool) -> str | None:
     check = lambda country, body: 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
     country, body = flat[:2], flat[4:]
     if not 11 <= len(body) <= 30 or int(flat[2:4]) != check(country, body):
         return None
     body = _mixed(body, _classes(body), cipher, "iban", back)
-    return _refill(m[0], f"{country}{check(country, body):02d}{body}", DIGITS + UPPER)
+    return f"{country}{check(country, body):02d}{body}"
 
 
 def card(m: re.Match, cipher: Cipher, back: bool) -> str | None:
@@ -196,7 +206,7 @@ Kind = Callable[[re.Match, Cipher, bool], "str | None"]
 KINDS: dict[str, tuple[re.Pattern, Kind]] = {
     "email": (re.compile(r"(?<![\w.+-])(?P<name>[A-Za-z0-9][A-Za-z0-9._+-]{0,63})@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"), email),
     "iban": (re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"), iban),
-    "card": (re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])"), card),
+    "card": (re.compile(r"(?<![\w.+-])(?:\d{13,19}|\d{4}(?P<c>[ -])\d{4}(?P=c)\d{4}(?P=c)\d{1,7}|\d{4}(?P<e>[ -])\d{6}(?P=e)\d{5})(?![\w-])"), card),
     "phone": (re.compile(r"(?<![\w+])(?:\+?1[ .-]?)?\(?(?P<area>\d{3})\)?[ .-](?P<office>\d{3})[ .-](?P<line>\d{4})(?![\w-])"), phone),
     "ssn": (re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), ssn),
     "ipv4": (re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"), ipv4),

@@ -64,6 +64,14 @@ def test_validity():
         ipaddress.ip_address(ps.rewrite(f"10.0.{k}.1", C)[0])
 
 
+def test_neighbours_do_not_hide_a_value():
+    for text, kinds in (("4111111111111111 27.65.93.188 x", {"card": 1, "ipv4": 1}), ("4111111111111111 12 34", {"card": 1}),
+                        ("GB82 WEST 1234 5698 7654 32 AND MORE", {"iban": 1}), ("DE89370400440532013000 ABCD", {"iban": 1}),
+                        ("+1 (583) 555-8469, 61.131.143.218.", {"phone": 1, "ipv4": 1})):
+        new, found = ps.rewrite(text, C)
+        assert found == kinds and ps.rewrite(new, C, back=True)[0] == text, text
+
+
 def test_same_number_in_other_notation_stays_linked():
     plain = ps.rewrite("4111111111111111", C)[0]
     assert ps.rewrite("4111 1111 1111 1111", C)[0].replace(" ", "") == plain
