@@ -12,7 +12,10 @@ that one. In a band the domain of shingles is hashed into n1 partitions of n2
 cells. With n1 = k // (k2 + 1) + 1 + spare partitions, two linked sets differ
 by at most k2 in 1 + spare of them, so there they agree on some n2 - k2 cells:
 a signature is a partition's choice of that many cells, hashed with the shingles
-in them, and linked sets share at least 1 + spare signatures (``need``).
+in them, and linked sets share at least 1 + spare. A choice without a shingle says
+nothing and would gather much of a band, so a set signs it only if more than
+``spare`` of its partitions have such a choice. A linked pair then shares 1 + spare
+less the partitions of that kind that either has, 1 at least (``need``).
 
 Equal sets form classes, and only one of each task's copies signs. Sets under
 a signature make a bucket; a set in fewer buckets than it needs links with
@@ -26,10 +29,12 @@ Buckets are never expanded into all pairs:
    links give components;
 2. rest: where a bucket still has several components, all pairs across
    components that share the signatures they need and pass their sketches are
-   compared exactly. In large buckets, sets go first that cannot link: a
+   compared exactly. In huge buckets, sets go first that cannot link: a
    shingle that only one component has cannot be shared across, and enough
    must be shared.
 
+Only the sets of pairs that get as far as the exact comparison are gathered.
+
 So every link between components is found, and the work is that of the pairs
 that can still matter. Signatures seen very often in a part of the documents
 are split over tasks by a salt; that part only decides who is salted, not what
@@ -62,7 +67,9 @@ from tallyflow.llm.components import components
 SALTS = 64
 HOT_PART = 64            # one document in so many decides which signatures are salted
 HOT_COUNT = 64           # signatures that so many of them have
-LARGE = 500              # members from which a bucket counts as large
+LARGE = 50               # members over which a bucket's pairs are made with their sketches
+HUGE = 500               # members over which unshared shingles are looked at first
+SIGNATURE = np.uint64((1 << 48) - 1)      # bits of a signature; chance meetings cost a look only
 SKETCH = 16              # words of 64 bits of a sketch
 SEEN = 200_000           # classes a task remembers to have signed
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -152,10 +159,11 @@ class Scheme:
 
     @cached_property
     def bands(self) -> np.ndarray:
-        """The smallest size of each band."""
+        """The smallest size of each band. Wide bands sign less often for the
+        next one, narrow ones put more shingles into a choice of cells."""
         lows = [1]
         while lows[-1] < 1 << 40:
-            lows.append(max(lows[-1], lows[-1] * 10_000 // self.percent ** 2) + 1)
+            lows.append(max(lows[-1], int(lows[-1] * (100 / self.percent) ** 1.5)) + 1)
         return np.array(lows)
 
     def partitions(self, band: int) -> tuple[int, int]:
@@ -165,32 +173,49 @@ class Scheme:
         if k < 1:
             return 0, 0
         n1 = k // (self.k2 + 1) + 1
-        spare = n1 // 8
+        spare = max(n1 // 6, int(n1 >= 3))
         return n1 + spare, spare
 
-    def need(self, size: int) -> int:
-        """How many signatures a set of this size shares at least with a set
-        that it links with."""
-        return 1 + self.partitions(int(np.searchsorted(self.bands, size, side="right")) - 1)[1]
+    def _bands(self, size: int) -> list[int]:
+        """The bands that a set of this size signs for."""
+        band = int(np.searchsorted(self.bands, size, side="right")) - 1
+        more = size * 100 // self.percent >= self.bands[band + 1]
+        return [b for b in range(band, band + 1 + int(more)) if self.partitions(b)[0]]
+
+    def _choices(self, s: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """The cell of each shingle; which choices of cells have a shingle, per
+        partition; how many partitions lack one for some choice."""
+        n1, _ = self.partitions(band)
+        cell = (mix(s, 1000 + band) % np.uint64(n1 * self.n2)).astype(np.int64)
+        count = np.bincount(cell, minlength=n1 * self.n2).reshape(n1, self.n2)
+        have = np.stack([count[:, c].sum(axis=1) for c in self.picks], axis=1) > 0
+        return cell, have, int((~have.all(axis=1)).sum())
+
+    @cached_property
+    def picks(self) -> list[list[int]]:
+        return [list(c) for c in combinations(range(self.n2), self.n2 - self.k2)]
+
+    def need(self, s: np.ndarray) -> int:
+        """How many signatures a set shares at least with one that it links
+        with and does not equal."""
+        spare = {b: self.partitions(b)[1] for b in self._bands(len(s))}
+        return min((max(1, 1 + n - self._choices(s, b)[2]) for b, n in spare.items()), default=1)
 
     def sign(self, s: np.ndarray) -> np.ndarray:
         """The signatures of a set."""
-        band = int(np.searchsorted(self.bands, len(s), side="right")) - 1
-        more = len(s) * 100 // self.percent >= self.bands[band + 1]
-        return np.concatenate([self._sign(s, b) for b in range(band, band + 1 + int(more))])
+        signed = [self._sign(s, b) for b in self._bands(len(s))]
+        return np.concatenate(signed) if signed else np.zeros(0, dtype=np.uint64)
 
     def _sign(self, s: np.ndarray, band: int) -> np.ndarray:
-        n1, _ = self.partitions(band)
-        if not n1:
-            return np.zeros(0, dtype=np.uint64)
-        cell = (mix(s, 1000 + band) % np.uint64(n1 * self.n2)).astype(np.int64)
+        n1, spare = self.partitions(band)
+        cell, have, weak = self._choices(s, band)
         sums = np.zeros(n1 * self.n2, dtype=np.uint64)
         np.add.at(sums, cell, mix(s, 99))
         sums = sums.reshape(n1, self.n2)
-        picks = [list(c) for c in combinations(range(self.n2), self.n2 - self.k2)]
-        total = np.stack([sums[:, c].sum(axis=1, dtype=np.uint64) for c in picks], axis=1)
+        total = np.stack([sums[:, c].sum(axis=1, dtype=np.uint64) for c in self.picks], axis=1)
         name = np.arange(total.size, dtype=np.uint64) + np.uint64(band << 40)
-        return mix(total.ravel() ^ mix(name, 7), 8)
+        out = mix(total.ravel() ^ mix(name, 7), 8) & SIGNATURE
+        return out if weak > spare else out[have.ravel()]
 
 
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:
@@ -210,7 +235,7 @@ def profiles(docs: DataFrame, words: int, scheme: Scheme) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     b.column("doc_id"), b.column("th"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([scheme.need(max(1, len(s))) for s in sets], pa.int32()),
+                    pa.array([scheme.need(s) for s in sets], pa.int32()),
                     _lists([sketch(s) for s in sets])], ["doc_id", "th", "n", "h", "need", "sk"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").mapInArrow(
@@ -307,26 +332,34 @@ def _apart(p: str, q: str) -> Column:
     return sum(bits[1:], bits[0])
 
 
-def _can_link(np_: str, nq: str, p: str, q: str, percent: int) -> Column:
-    """What sizes and sketches allow."""
-    n, m = F.col(np_), F.col(nq)
-    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
-            & (_apart(p, q) * (100 + percent) <= (n + m) * (100 - percent)))
+def _can_link(p: str, q: str, percent: int) -> Column:
+    """What sizes and sketches of two sides allow."""
+    n, m = F.col(f"{p}.n"), F.col(f"{q}.n")
+    return _sizes(p, q, percent) & (_apart(f"{p}.sk", f"{q}.sk") * (100 + percent) <= (n + m) * (100 - percent))
+
+
+def _sizes(p: str, q: str, percent: int) -> Column:
+    n, m = F.col(f"{p}.n"), F.col(f"{q}.n")
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, compared by their whole sets."""
+def _verified(pairs: DataFrame, docs: DataFrame, stats: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+    """The pairs (a, b) that link: sketches first, then the whole sets."""
+    side = {x: stats.select(F.col("h").alias(x), F.struct("n", "sk").alias("of_" + x)) for x in "ab"}
+    pairs = stage(pairs.select("a", "b").join(side["a"], "a").join(side["b"], "b")
+                  .where(_can_link("of_a", "of_b", percent)).select("a", "b"), f"{name}-pairs")
+    wanted = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
+    sets = stage(sets_of(docs, stage(wanted.join(stats.select("h", "rep"), "h"), f"{name}-wanted"), words), f"{name}-sets")
     left = sets.select(F.col("h").alias("a"), F.col("s").alias("sa"))
     right = sets.select(F.col("h").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(left, "a").join(right, "b")
-            .select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
-            .where(100 * F.col("i") >= percent * (F.col("n") - F.col("i"))).select("a", "b"))
+    return stage(pairs.join(left, "a").join(right, "b")
+                 .select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
+                 .where(100 * F.col("i") >= percent * (F.col("n") - F.col("i"))).select("a", "b"), f"{name}-links")
 
 
-def links(docs: DataFrame, classes: DataFrame, words: int, scheme: Scheme) -> tuple[DataFrame, DataFrame]:
-    """Links between classes (h, n, need, sk, rep) enough for the components,
-    as (star, rest)."""
+def roots_of(docs: DataFrame, classes: DataFrame, words: int, scheme: Scheme) -> DataFrame:
+    """(node, root) of the classes (h, n, need, sk, rep) that link with others."""
     percent = scheme.percent
     docs = docs.select("doc_id", "text")
     signed = signatures(docs, words, scheme, hot_signatures(docs, words, scheme))
@@ -335,45 +368,54 @@ def links(docs: DataFrame, classes: DataFrame, words: int, scheme: Scheme) -> tu
                  .where("salt >= 0 or lo <> hi").select("sig", "salt", "h").distinct(), "buckets")
     stats = stage(rows.groupBy("h").agg(F.count("*").alias("deg")).join(classes, "h")
                   .where("deg >= need"), "bucket-sets")
-    sets = stage(sets_of(docs, stats, words), "sets")
     rows = stage(rows.join(stats.select("h", "deg", "n", "need"), "h").drop("salt"), "buckets-deg")
     # star: the set in most buckets is a bucket's centre
     groups = stage(rows.groupBy("sig").agg(F.max(F.struct("deg", "h"))["h"].alias("b"), F.count("*").alias("size"))
                    .where("size > 1"), "bucket-centres")
     pairs = (join_groups(rows, groups, ["sig"], "size").where("h <> b")
              .groupBy(F.col("h").alias("a"), "b", "need").agg(F.count("*").alias("c")).where("c >= need"))
-    side = {x: stats.select(F.col("h").alias(x), F.col("n").alias("n" + x), F.col("sk").alias("s" + x)) for x in "ab"}
-    pairs = pairs.join(side["a"], "a").join(side["b"], "b").where(_can_link("na", "nb", "sa", "sb", percent))
-    star = stage(verified(pairs.select("a", "b"), sets, percent), "star-links")
+    star = _verified(pairs, docs, stats, words, percent, "star")
+    comp = stage(components(star), "star-components")
     # rest: buckets of several components
-    comp = components(star).withColumnRenamed("node", "h")
-    rows = stage(rows.join(comp, "h", "left").select("sig", "h", "n", "need", F.coalesce("root", "h").alias("c")),
-                 "buckets-comp")
+    rows = stage(rows.join(comp.withColumnRenamed("node", "h"), "h", "left").select(
+        "sig", "h", "n", "need", F.coalesce("root", "h").alias("c")), "buckets-comp")
     open_ = stage(rows.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("size"))
                   .where("c0 <> c1").select("sig", "size"), "open-buckets")
     rows = stage(join_groups(rows, open_, ["sig"], "size"), "open-rows")
     able = rows.groupBy("h", "need").agg(F.count("*").alias("deg")).where("deg >= need").select("h")
-    rows = stage(rows.join(able, "h", "left_semi").join(stats.select("h", "sk"), "h"), "open-able")
-    rows = _without_unshared(rows, sets, percent)
+    rows = stage(rows.join(able, "h", "left_semi"), "open-able")
+    rows = _without_unshared(rows, docs, stats, words, percent)
+    small = rows.where(F.col("size") <= LARGE)
+    large = rows.where(F.col("size") > LARGE).join(stats.select("h", "sk"), "h")
+    pairs = (_across(small, _sizes("p", "q", percent)).unionByName(_across(large, _can_link("p", "q", percent)))
+             .groupBy("a", "b").agg(F.count("*").alias("c"), F.max("need").alias("need")).where("c >= need"))
+    rest = _verified(pairs, docs, stats, words, percent, "rest")
+    return components(star.unionByName(rest)) if rest.head(1) else comp
+
+
+def _across(rows: DataFrame, can: Column) -> DataFrame:
+    """Pairs (a, b) of a bucket's sets in different components that ``can``
+    link, once per bucket, with the signatures they need."""
     p, q = rows.alias("p"), rows.alias("q")
-    can = ((F.col("p.sig") == F.col("q.sig")) & (F.col("p.h") < F.col("q.h")) & (F.col("p.c") != F.col("q.c"))
-           & _can_link("p.n", "q.n", "p.sk", "q.sk", percent))
-    pairs = (p.join(q, can).groupBy(F.col("p.h").alias("a"), F.col("q.h").alias("b"))
-             .agg(F.count("*").alias("c"), F.min(F.least("p.need", "q.need")).alias("need")).where("c >= need"))
-    return star, stage(verified(pairs.select("a", "b"), sets, percent), "rest-links")
+    on = ((F.col("p.sig") == F.col("q.sig")) & (F.col("p.h") < F.col("q.h")) & (F.col("p.c") != F.col("q.c")) & can)
+    return p.join(q, on).select(F.col("p.h").alias("a"), F.col("q.h").alias("b"),
+                                F.greatest("p.need", "q.need").alias("need"))
 
 
-def _without_unshared(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``rows`` (sig, h, n, c, size, ...) without the sets of large buckets that
+def _without_unshared(rows: DataFrame, docs: DataFrame, stats: DataFrame, words: int, percent: int) -> DataFrame:
+    """``rows`` (sig, h, n, c, size, ...) without the sets of huge buckets that
     share too few shingles with other components of such buckets."""
-    large = stage(rows.where(F.col("size") > LARGE).select("h", "n", "c").distinct(), "large-sets")
-    each = stage(large.join(sets, "h").select("h", "c", F.explode("s").alias("x")), "large-shingles")
+    huge = stage(rows.where(F.col("size") > HUGE).select("h", "n", "c").distinct(), "huge-sets")
+    if not huge.head(1):
+        return rows
+    sets = sets_of(docs, stage(huge.select("h").join(stats.select("h", "rep"), "h"), "huge-wanted"), words)
+    each = stage(huge.join(sets, "h").select("h", "c", F.explode("s").alias("x")), "huge-shingles")
     common = stage(each.groupBy("x").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("size"))
-                   .where("c0 <> c1").select("x", "size"), "large-common")
+                   .where("c0 <> c1").select("x", "size"), "huge-common")
     left = join_groups(each.select("h", "x"), common, ["x"], "size").groupBy("h").agg(F.count("*").alias("m"))
-    able = large.join(left, "h").where(100 * F.col("m") >= percent * F.col("n")).select("h")
-    few = rows.where(F.col("size") <= LARGE)
-    return stage(few.unionByName(rows.where(F.col("size") > LARGE).join(able, "h", "left_semi")), "open-left")
+    able = huge.join(left, "h").where(100 * F.col("m") >= percent * F.col("n")).select("h")
+    few = rows.where(F.col("size") <= HUGE)
+    return stage(few.unionByName(rows.where(F.col("size") > HUGE).join(able, "h", "left_semi")), "open-left")
 
 
 def classified(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -387,8 +429,7 @@ def classified(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         F.min("doc_id").alias("rep"), F.count("*").alias("size"),
         *(F.first(c).alias(c) for c in ("n", "need", "sk"))), "classes")
     keyed = keyed.select("doc_id", "th", "n", "h")
-    star, rest = links(docs, classes, words, scheme)
-    comp = stage(components(star.unionByName(rest)), "components")
+    comp = roots_of(docs, classes, words, scheme)
     named = stage(classes.join(comp.withColumnRenamed("node", "h"), "h", "left").select(
         "h", "rep", "size", F.coalesce("root", "h").alias("root")), "class-roots")
     roots = stage(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("k")), "roots")
