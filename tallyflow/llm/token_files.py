@@ -30,6 +30,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -155,6 +156,12 @@ class Encoder:
         return result
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """A worker's encoder, kept from task to task with the words it has seen."""
+    return Encoder(path)
+
+
 def _gather(pool: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The runs ``pool[ends[k]:ends[k + 1]]`` of each k in ``at``, joined."""
     n = np.diff(ends)[at]
@@ -260,7 +267,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2,
     end = b"" if end_id is None else struct.pack("<I", end_id)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         part, shard, out = TaskContext.get().partitionId(), 0, None
         row = lambda blob: pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["blob"])
         for b in batches:
