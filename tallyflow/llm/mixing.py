@@ -29,7 +29,7 @@ from tallyflow.llm.common import join_groups, partitions, stage, word_count, wra
 
 MOST = 3
 DP_WORDS = 1 << 16
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 500
 BROADCAST_ROWS = 200_000
 
 
@@ -149,11 +149,14 @@ def plan(keyed: DataFrame, most: int = MOST) -> DataFrame:
     fitted = stage(hist.join(sources, "skey").groupBy("skey").applyInPandas(
         _fit_source, "skey string, size long, n long, source_size long, target double, "
                      "passes int, take long"), "size-takes")
-    # The take-th smallest order of each (source, size): groups over
-    # BUCKET_ROWS are first cut into buckets by leading bits of the order.
+    # The take-th smallest order of each (source, size): a group of n is first
+    # cut by leading bits of the order into buckets of about sqrt(n) rows,
+    # BUCKET_ROWS at least, so neither a bucket nor the list of a group's
+    # buckets is large.
     some = fitted.where("take > 0 and take < n").select(
         "skey", "size", "n", "take",
-        F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / BUCKET_ROWS))).cast("int").alias("bits"))
+        F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / F.greatest(F.lit(BUCKET_ROWS), F.sqrt("n"))))).cast("int")
+        .alias("bits"))
     bucket = F.expr("if(bits = 0, 0L, shiftright(o, 64 - bits))").alias("bucket")
     member = join_groups(rows, some, ["skey", "size"], "n").select("skey", "size", "take", "o", bucket)
     key = ["skey", "size"]
