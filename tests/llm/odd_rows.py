@@ -1,3 +1,5 @@
+"""The odd table of every operator's tests, as fixtures to import."""
+
 import pytest
 
 

@@ -10,6 +10,7 @@ import pytest
 
 from tallyflow.llm import decontam as dc
 from tallyflow.llm.queries import op3_decontam
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

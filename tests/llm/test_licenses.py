@@ -5,6 +5,7 @@ import random
 import re
 
 from tallyflow.llm import licenses as li
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 
 def _grams(text):

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 
 from tallyflow.llm import mixing as mx
 from tallyflow.llm.queries import op10_budget_mix
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

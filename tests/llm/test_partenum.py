@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from tallyflow.llm import partenum as pe
 from tallyflow.llm.components import components
 from tallyflow.llm.queries import op2_partenum
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

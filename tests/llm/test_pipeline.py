@@ -9,6 +9,7 @@ import corpus_pipeline as cp
 from tallyflow.llm import decontam, quality
 from test_mixing import check
 from test_partenum import brute
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

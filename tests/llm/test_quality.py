@@ -8,6 +8,7 @@ import pytest
 
 from tallyflow.llm import quality as q
 from tallyflow.llm.queries import op9_quality
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.1"
 

@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from tallyflow.llm import token_files as tf
 from tallyflow.llm.queries import op1_token_files
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 BPE = P.path("byte_bpe_50k.json")
 SF = "/root/testdata/sf0.001"
