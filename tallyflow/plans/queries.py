@@ -409,9 +409,16 @@ def _folder(spark, name):
     return sub_dir(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def _stream(spark, sf_dir, name):
+def _stream(spark, sf_dir, name, max_files_per_trigger=1000):
     return read_stream(spark, file_spec(spark, f"{sf_dir}/{name}.parquet", file_format="parquet",
-                                        schema=schemas.TABLE_SCHEMAS[name], max_files_per_trigger=1000))
+                                        schema=schemas.TABLE_SCHEMAS[name], max_files_per_trigger=max_files_per_trigger))
+
+
+def _event_stream(spark, sf_dir):
+    """The call-log messages without a file limit, so that availableNow takes
+    all files in one micro-batch: files come by modification time, and between
+    micro-batches the watermark would drop rows of files out of event order."""
+    return adapters.call_log_messages(_stream(spark, sf_dir, "events", max_files_per_trigger=None))
 
 
 NOW = {"availableNow": True}
@@ -442,7 +449,7 @@ def stream_log_rollup(spark, sf_dir):
     """The roll-up stream into daily-index documents, for the
     windows that the watermark has closed."""
     path = _folder(spark, "stream-rollup")
-    parsed = forms.parsed_with_watermark(adapters.call_log_messages(_stream(spark, sf_dir, "events")))
+    parsed = forms.parsed_with_watermark(_event_stream(spark, sf_dir))
 
     def sink(rows, batch_id):
         docs = to_documents(rows, "timestamp", stamp_write_time=False)
@@ -455,7 +462,7 @@ def stream_log_rollup(spark, sf_dir):
 
 
 def _project_stream(spark, sf_dir):
-    rows = cl.json_key_filter(adapters.call_log_messages(_stream(spark, sf_dir, "events")), "projectName",
+    rows = cl.json_key_filter(_event_stream(spark, sf_dir), "projectName",
                               fields={"ts_ms": ("date", "bigint")})
     timed = rows.select("projectName", F.timestamp_millis(F.coalesce("ts_ms", F.lit(0).cast("long"))).alias("event_time"))
     return win.window_count(timed.withWatermark("event_time", forms.DEFAULT_LAG), ["projectName"], length=SECOND,
