@@ -14,7 +14,9 @@ Kinds (first come, first served where spans overlap): e-mail addresses (the
 name; the domain stays), IBANs (mod-97), payment cards (Luhn), North American
 phone numbers, social security numbers, IPv4 addresses, dates (year-month-day
 and day or month first), access keys and assigned secrets. What fails its
-validation stays. A null text stays null, an empty one empty; rows are
+validation stays, except phone numbers written with +1: the notation tells
+them, so those with an area or office code that is never given out are permuted
+among themselves. A null text stays null, an empty one empty; rows are
 rewritten one by one, so repeated rows and extra columns change nothing.
 """
 
@@ -136,10 +138,18 @@ def card(m: re.Match, cipher: Cipher, back: bool) -> str | None:
 def phone(m: re.Match, cipher: Cipher, back: bool) -> str | None:
     d = m["area"] + m["office"] + m["line"]
     alphabets = [DIGITS[2:], DIGITS, DIGITS, DIGITS[2:], *[DIGITS] * 6]
-    if any(c not in a for c, a in zip(d, alphabets)):
-        return None
+    valid = lambda d: all(c in a for c, a in zip(d, alphabets))
     head = m[0][:m.start("area") - m.start()]
-    return head + _refill(m[0][len(head):], _mixed(d, alphabets, cipher, "phone", back), DIGITS)
+    if valid(d):
+        new = _mixed(d, alphabets, cipher, "phone", back)
+    elif head.startswith("+1"):
+        # written as a number in full: a permutation of the ten digits that are no valid number
+        new = _mixed(d, [DIGITS] * 10, cipher, "phone+1", back)
+        while valid(new):
+            new = _mixed(new, [DIGITS] * 10, cipher, "phone+1", back)
+    else:
+        return None
+    return head + _refill(m[0][len(head):], new, DIGITS)
 
 
 def ssn(m: re.Match, cipher: Cipher, back: bool) -> str | None:

@@ -78,6 +78,19 @@ def test_same_number_in_other_notation_stays_linked():
     assert ps.rewrite("4111 1111 1111 1111", C)[0].replace(" ", "") == plain
 
 
+@pytest.mark.parametrize("value", ["+1 (017) 555-7713", "+1 (132) 555-1352", "+1 (073) 555-8658", "+1 212-055-0199",
+                                   "+1.212.155.0199", "+1 (000) 000-0000"])
+def test_numbers_written_with_plus_one_need_no_valid_codes(value):
+    text = f"call {value}, twice: {value}."
+    new, found = ps.rewrite(text, C)
+    assert found == {"phone": 2} and FORMAT(new) == FORMAT(text)
+    a, b = new[5:].split(", twice: ")
+    assert a == b[:-1] != value
+    digits = re.sub(r"\D", "", a)[1:]
+    assert digits[0] in "01" or digits[3] in "01"       # never the pseudonym of a valid number
+    assert ps.rewrite(new, C, back=True)[0] == text
+
+
 @pytest.mark.parametrize("text", ["4111111111111112", "999.1.1.1", "1.2.3.4.5", "2023-02-30", "000-12-3456", "666-12-3456",
                                   "(123) 555-0199", "12345678901234567890123", "GB00WEST12345698765432", "v1.2.3",
                                   "", "no data at all", "a@b", "13/13/2020", "AKIA123", "token limit is 512"])
