@@ -17,6 +17,11 @@ matching bigrams are shuffled, and a common licence line is no hot key: rows
 meet by document and line. A null text has no lines; units of fewer than two
 words have no bigrams and match nothing. Repeated rows give one result; rows
 without doc_id are one document. Extra columns play no part.
+
+``scan`` (the registered query, fixed by its SQL) sees neither a licence wrapped
+over some of a text's lines nor full licence texts. ``scan_runs`` does: it
+compares every run of consecutive lines, paragraphs and the whole text among
+them, with the notices and with the texts in ``license_texts``.
 """
 
 from __future__ import annotations
@@ -24,8 +29,9 @@ from __future__ import annotations
 import math
 import re
 from functools import reduce
+from importlib import resources
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyflow.functions.once import compute_once
@@ -182,6 +188,101 @@ def scan(docs: DataFrame, least: float = LEAST,
                                               F.countDistinct("unit").alias("units")))
 
 
+def full_templates() -> dict[str, tuple[str, ...]]:
+    """The notices and the texts of ``license_texts`` (``<licence>.txt`` and
+    ``<licence>+<part>.txt``)."""
+    out = dict(TEMPLATES)
+    for f in sorted((resources.files("tallyflow.llm") / "license_texts").iterdir(), key=lambda f: f.name):
+        if f.name.endswith(".txt"):
+            lic = f.name.removesuffix(".txt").split("+")[0]
+            out[lic] = (*out.get(lic, ()), f.read_text(encoding="utf-8"))
+    return out
+
+
+def _occurrences(texts: DataFrame) -> DataFrame:
+    """Per text ``h`` its bigrams in order: the line ``i`` of the first word,
+    ``j`` of the second and ``prev``, the line where the bigram last began. Of
+    those that begin on one line only the first is kept."""
+    lines = F.transform(F.split("text", "\n"), normalise)
+    words = F.filter(F.flatten(F.transform(lines, lambda line, i: F.transform(
+        F.split(line, " "), lambda w: F.struct(w.alias("w"), i.alias("i"))))), lambda x: x.w != "")
+    once = compute_once(texts, words.alias("w"), keep=("h",))
+    n = F.greatest(F.size("w") - 1, F.lit(0))
+    grams = F.zip_with(F.slice("w", 1, n), F.slice("w", 2, n), lambda a, b: F.struct(
+        F.concat(a.w, F.lit(" "), b.w).alias("gram"), a.i.alias("i"), b.i.alias("j")))
+    rows = once.select("h", F.posexplode(grams).alias("pos", "g")).select("h", "pos", "g.*")
+    prev = F.coalesce(F.lag("i").over(Window.partitionBy("h", "gram").orderBy("pos")), F.lit(-1))
+    return rows.withColumn("prev", prev).where(F.col("prev") < F.col("i"))
+
+
+def _best_run() -> Column:
+    """Of ``occs`` (one text and template): the best coefficient of a run of
+    lines, and its first and last line, both negative.
+
+    A bigram counts in a run from line s once: where it begins on s or later and
+    ``prev`` is before s. From each start these are counted on; the coefficient is
+    taken where a line is complete. The best run can start on a line where a
+    shared bigram begins, and more than ``hi`` bigrams are too many for ``least``.
+    """
+    n = F.size("occs")
+    at = lambda k: F.get("occs", k)
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda k: (at(k).hit == 1) & (
+        (k == 0) | (F.coalesce(at(k - 1).i, F.lit(-1)) != at(k).i)))
+
+    def counted(k: Column) -> Column:
+        new = lambda size: F.filter(F.slice("occs", k + 1, size), lambda x: x.prev < at(k).i)
+        span = 4 * (F.col("hi") + 1)
+        # mostly a few times hi is enough to see more than hi different ones
+        near = F.when((F.size(new(span)) > F.col("hi")) | (k + span >= n), new(span)).otherwise(new(n))
+        return F.slice(near, 1, F.col("hi") + 1)
+
+    def closed(acc: Column) -> tuple[Column, Column]:
+        dice = (2 * acc.c / (acc.a + F.col("b"))).cast("double")
+        return F.greatest(dice, acc.best), F.when(dice > acc.best, acc.j).otherwise(acc.end)
+
+    def step(acc: Column, x: Column) -> Column:
+        best, end = closed(acc)
+        return F.struct((acc.a + 1).alias("a"), (acc.c + x.m).alias("c"), x.j.alias("j"),
+                        F.when(x.j != acc.j, best).otherwise(acc.best).alias("best"),
+                        F.when(x.j != acc.j, end).otherwise(acc.end).alias("end"))
+
+    zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("c"), F.lit(-1).alias("j"),
+                    F.lit(0.0).alias("best"), F.lit(-1).alias("end"))
+    return F.array_max(F.transform(starts, lambda k: F.aggregate(counted(k), zero, step, lambda acc: F.struct(
+        closed(acc)[0].alias("dice"), (-at(k).i).alias("first"), (-closed(acc)[1]).alias("last")))))
+
+
+def scan_runs(docs: DataFrame, least: float = LEAST,
+              templates: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """Per document and licence: the best coefficient of its runs of consecutive
+    lines, and the first and last line of that run (the first of equals).
+
+    A run that reaches ``least`` shares at least ``lo`` bigrams with the template,
+    so only texts that hold as many are taken apart.
+    """
+    t = _templates(docs, templates or full_templates(), least)
+    docs = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.sha2("text", 256).alias("h"))
+    post = t.select("license", "wording", F.explode("grams").alias("gram"))
+    key = ["license", "wording"]
+    cand = (docs.select("h", F.explode(bigrams(normalise(F.col("text")))).alias("gram"))
+            .join(F.broadcast(post), "gram").select("h", *key, "gram").distinct()
+            .groupBy("h", *key).agg(F.count("*").alias("c"))
+            .join(F.broadcast(t.select(*key, F.col("b").cast("int").alias("b"), F.col("lo"),
+                                       F.col("hi").cast("int").alias("hi"))), key)
+            .where(F.col("c") >= F.col("lo")).drop("c", "lo"))
+    texts = docs.join(cand.select("h").distinct(), "h", "left_semi").select("h", "text").distinct()
+    occ = (_occurrences(texts).join(cand, "h")
+           .join(F.broadcast(post.withColumn("m", F.lit(1))), [*key, "gram"], "left")
+           .withColumn("m", F.coalesce("m", F.lit(0))))
+    occ = occ.withColumn("hit", F.max("m").over(Window.partitionBy("h", *key, "i")))
+    best = (occ.groupBy("h", *key, "b", "hi")
+            .agg(F.sort_array(F.collect_list(F.struct("pos", "i", "j", "prev", "m", "hit"))).alias("occs"))
+            .select("h", "license", _best_run().alias("run")).where(F.col("run.dice") >= least))
+    return (docs.select("doc_id", "h").join(best, "h").groupBy("doc_id", "license").agg(F.max("run").alias("run"))
+            .select("doc_id", "license", "run.dice", (1 - F.col("run.first")).alias("first_line"),
+                    (1 - F.col("run.last")).alias("last_line")))
+
+
 def _sql_text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 

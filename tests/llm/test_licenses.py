@@ -67,3 +67,58 @@ def test_anchors_touch_all_that_can_reach():
             for b in map(_grams, ts):
                 left = {g for g in b if not set(g) & set(words)}
                 assert 2 * len(left) / (len(left) + len(b)) < least
+
+
+def brute_runs(rows, least, templates):
+    out = {}
+    for i, text in rows:
+        lines = [] if text is None else text.split("\n")
+        for s in range(len(lines)):
+            for e in range(s, len(lines)):
+                a = _grams("\n".join(lines[s:e + 1]))
+                for lic, ts in templates.items():
+                    for b in map(_grams, ts):
+                        d = 2 * len(a & b) / (len(a) + len(b)) if a else 0
+                        if d >= least:
+                            out[i, lic] = max(out.get((i, lic), 0), d)
+    return sorted(((i, lic, round(d, 9)) for (i, lic), d in out.items()), key=repr)
+
+
+def _runs(df, least=li.LEAST, templates=None):
+    return sorted(((r.doc_id, r.license, round(r.dice, 9)) for r in li.scan_runs(df, least, templates).collect()), key=repr)
+
+
+def test_runs_against_brute_force(spark):
+    rnd = random.Random(2)
+    rows = corpus()
+    for k in range(60):     # the words over several lines with comment marks, amid other and repeated lines
+        w = rows[k][1].split()
+        cut = sorted(rnd.sample(range(len(w)), min(len(w) - 1, 4)))
+        lines = [" ".join(w[a:b]) for a, b in zip([0, *cut], [*cut, len(w)])]
+        lines = rnd.choice([["x = 1"], []]) + lines + rnd.choice([["", "the end of the"], lines, []])
+        rows.append((1000 + k, "\n".join("# " + x for x in lines)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for least in (0.8, 0.6):
+        assert _runs(df, least, li.TEMPLATES) == brute_runs(rows, least, li.TEMPLATES)
+
+
+def test_wrapped_licences_are_found(spark):
+    full = li.full_templates()
+    mit = full["MIT"][-1]
+    header = next(t for t in full["Apache-2.0"] if "limitations under" in t and len(t) < 1000)
+    source = "".join(f" * {x}\n" for x in header.strip().split("\n"))
+    rows = [(1, "MIT License\n\nCopyright (c) 2024 Some One\n\n" + mit),
+            (2, "/*\n" + source + " */\npackage a.b;\n" + "int x = 1;\nvoid run() { go(x); }\n" * 50),
+            (3, "Notices of others\n" + "one more line of text\n" * 30 + full["GPL-3.0"][-1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.license): r for r in li.scan_runs(df).collect()}
+    assert {(1, "MIT"), (2, "Apache-2.0"), (3, "GPL-3.0")} <= set(got)
+    assert got[1, "MIT"].dice == got[2, "Apache-2.0"].dice == got[3, "GPL-3.0"].dice == 1.0
+    assert got[2, "Apache-2.0"].first_line == 2 and got[3, "GPL-3.0"].first_line >= 31
+    assert (1, "MIT") not in {(r.doc_id, r.license) for r in li.scan(df).collect()}
+
+
+def test_runs_of_odd_rows(spark, odd_docs, no_docs):
+    assert _runs(odd_docs, templates=li.TEMPLATES) == brute_runs(
+        [(r.doc_id, r.text) for r in odd_docs.collect()], li.LEAST, li.TEMPLATES)
+    assert li.scan_runs(no_docs).count() == 0
