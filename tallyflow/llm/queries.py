@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow.llm import (decontam, exact_index, licenses, line_windows, mixing, partenum, pseudonyms,
-                           quality, token_files, warc)
+                           quality, token_files, url_trie, warc)
 from tallyflow.llm.common import read_table, scratch
 
 
@@ -73,6 +73,11 @@ def op10_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decisions(read_table(spark, sf_dir, "documents"))
 
 
+def op11_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_trie.RULE_ROWS, url_trie.RULES)
+    return url_trie.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
 ENTRIES = {
     "op1_token_files": (op1_token_files, None),
     "op2_partenum": (op2_partenum, None),
@@ -84,4 +89,5 @@ ENTRIES = {
     "op8_line_windows": (op8_line_windows, line_windows.ORACLE),
     "op9_quality": (op9_quality, None),
     "op10_budget_mix": (op10_budget_mix, None),
+    "op11_url_trie": (op11_url_trie, url_trie.ORACLE),
 }
