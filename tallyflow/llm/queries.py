@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import (decontam, exact_index, licenses, line_windows, mixing, partenum, pseudonyms,
-                           quality, token_files, url_trie, warc)
+from tallyflow.llm import (decontam, exact_index, licenses, line_windows, merkle, mixing, partenum,
+                           pseudonyms, quality, token_files, url_trie, warc)
 from tallyflow.llm.common import read_table, scratch
 
 
@@ -78,6 +78,11 @@ def op11_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trie.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return merkle.verify(docs, merkle.tampered(docs))
+
+
 ENTRIES = {
     "op1_token_files": (op1_token_files, None),
     "op2_partenum": (op2_partenum, None),
@@ -90,4 +95,5 @@ ENTRIES = {
     "op9_quality": (op9_quality, None),
     "op10_budget_mix": (op10_budget_mix, None),
     "op11_url_trie": (op11_url_trie, url_trie.ORACLE),
+    "op12_merkle": (op12_merkle, merkle.ORACLE),
 }
