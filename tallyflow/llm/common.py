@@ -68,6 +68,15 @@ def word_count(col: Column) -> Column:
     """Number of words (``WORD``) of a text; null counts as empty."""
     return F.regexp_count(F.coalesce(col, F.lit("")), F.lit(WORD)).cast("long")
 
+
+def crc32_sql(text: str) -> str:
+    """The CRC-32 of a text in DuckDB's SQL, bit by bit: each byte is put in, then shifted out eight times."""
+    byte = f"('0x' || substr(hex(encode({text})), (2 * i + 1)::INTEGER, 2))::BIGINT"
+    steps = f"flatten(list_transform(range(octet_length(encode({text}))), lambda i: [{byte}, {', '.join(['-1'] * 8)}]))"
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) "
+            "WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)")
+
+
 # A group of more than this share of all rows is joined by broadcast: there
 # are at most HEAVY such groups, whatever the table's size.
 HEAVY = 1000

@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyflow.llm.common import ascii_lower, join_groups, partitions, stage
+from tallyflow.llm.common import ascii_lower, crc32_sql, join_groups, partitions, stage
 
 ARITY = 8
 LEVELS = 3
@@ -292,14 +292,6 @@ def _sql_leaf(text: str) -> str:
     return "sha256(" + " || ".join(_sql_field(text if c == "text" else c) for c in FIELDS) + ")"
 
 
-def _sql_crc32(text: str) -> str:
-    """CRC-32 in SQL, bit by bit: each byte is put in, then shifted out eight times."""
-    byte = f"('0x' || substr(hex(encode({text})), (2 * i + 1)::INTEGER, 2))::BIGINT"
-    steps = f"flatten(list_transform(range(octet_length(encode({text}))), lambda i: [{byte}, {', '.join(['-1'] * 8)}]))"
-    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) "
-            "WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)")
-
-
 def _sql_siblings(tree: str) -> str:
     return (f"SELECT a.tree, a.lvl, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l, "
             "coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r "
@@ -322,7 +314,7 @@ _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 ORACLE = f"""
 WITH RECURSIVE f AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce('=' || lang, '') AS tree, {_sql_leaf("text")} AS leaf,
-         CASE WHEN {_sql_crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_sql_leaf(_LOWER)} END AS changed
+         CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 3 = 0 THEN {_sql_leaf(_LOWER)} END AS changed
   FROM documents),
 base AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
                 count(*) OVER (PARTITION BY tree) AS n FROM f),

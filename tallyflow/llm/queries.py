@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow.llm import (decontam, exact_index, licenses, line_windows, merkle, mixing, partenum,
-                           pseudonyms, quality, token_files, url_trie, warc)
+                           pseudonyms, quality, spelling, token_files, url_trie, warc)
 from tallyflow.llm.common import read_table, scratch
 
 
@@ -83,6 +83,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(docs, merkle.tampered(docs))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(spelling.vocabulary(read_table(spark, sf_dir, "documents")))
+
+
 ENTRIES = {
     "op1_token_files": (op1_token_files, None),
     "op2_partenum": (op2_partenum, None),
@@ -96,4 +100,5 @@ ENTRIES = {
     "op10_budget_mix": (op10_budget_mix, None),
     "op11_url_trie": (op11_url_trie, url_trie.ORACLE),
     "op12_merkle": (op12_merkle, merkle.ORACLE),
+    "op13_spelling": (op13_spelling, spelling.ORACLE),
 }
