@@ -8,7 +8,10 @@ the text is put together from the lines outside the runs.
 
 Windows are held by two 64-bit hashes. Their counts are pre-aggregated before
 the shuffle, and a window that much of the corpus shares meets its occurrences
-by broadcast (``join_groups``). Texts of fewer than three lines keep all lines;
+by broadcast (``join_groups``). The runs to remove are a table of their own; a
+bit filter of fixed size over its documents tells which texts meet it, and all
+other texts pass straight through, neither shuffled nor cut into lines. Texts of
+fewer than three lines keep all lines;
 a null text stays null; a text whose lines all go becomes empty. A null doc_id
 counts as the smallest. Rows that repeat both doc_id and text are one document:
 they are treated alike. Other columns are kept.
@@ -60,23 +63,50 @@ def covered(docs: DataFrame, lines: int = LINES) -> DataFrame:
     return runs.groupBy("id", "th").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"))
 
 
+# Bits of the filter of touched documents: at most BITS / 64 rows of one long.
+BITS = 1 << 24
+
+
+def _place() -> Column:
+    return F.pmod(F.xxhash64("id", "th"), F.lit(BITS))
+
+
+def touched(rows: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (id, th) in two: those that may have ``runs`` and those that
+    have none, told apart where they are."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(_place(), F.lit(64)).cast("int"))
+    words = runs.groupBy(F.floor(_place() / 64).alias("at")).agg(F.bit_or(bit).alias("bits"))
+    marked = rows.withColumn("at", F.floor(_place() / 64)).join(F.broadcast(words), "at", "left")
+    hit = F.coalesce(F.getbit("bits", F.pmod(_place(), F.lit(64)).cast("int")) == 1, F.lit(False))
+    return marked.where(hit).drop("at", "bits"), marked.where(~hit).drop("at", "bits")
+
+
 def dedup(docs: DataFrame, lines: int = LINES) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text`` and the columns
     ``n_lines`` (before) and ``n_removed`` (in place of columns of that name)."""
-    out = wrapped(docs, **_keys()).join(covered(docs, lines), ["id", "th"], "left")
-    out = out.withColumns({"old": F.col("_row.text"), "parts": F.split("_row.text", "\n")})
+    runs = stage(covered(docs, lines), "line-runs")
+    some, none = touched(wrapped(docs, **_keys()), runs)
+
+    def result(df: DataFrame, text: Column, n_lines: Column, n_removed: Column) -> DataFrame:
+        same = [F.col(f"_row.`{c}`") if c != "text" else text.alias("text")
+                for c in docs.columns if c not in ("n_lines", "n_removed")]
+        return df.select(*same, n_lines.cast("int").alias("n_lines"), n_removed.cast("int").alias("n_removed"))
+
+    old = F.col("_row.text")
+    ends = F.octet_length(old) - F.octet_length(F.replace(old, F.lit("\n"), F.lit("")))
+    whole = result(none, old, F.coalesce(ends + 1, F.lit(0)), F.lit(0))
+
+    some = some.join(runs, ["id", "th"], "left").withColumn("parts", F.split(old, "\n"))
     n = F.coalesce(F.size("parts"), F.lit(0))
     r = F.col("runs")
     # between one run's end and the next run's start
     starts = F.concat(F.array(F.lit(0)), F.transform(r, lambda x: x["last"] + 1))
-    ends = F.concat(F.transform(r, lambda x: x["first"]), F.array(n))
-    kept = F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(F.col("parts"), a + 1, b - a)))
+    stops = F.concat(F.transform(r, lambda x: x["first"]), F.array(n))
+    kept = F.flatten(F.zip_with(starts, stops, lambda a, b: F.slice(F.col("parts"), a + 1, b - a)))
     removed = F.aggregate(r, F.lit(0), lambda s, x: s + x["last"] - x["first"] + 1)
-    text = F.when(r.isNull(), F.col("old")).otherwise(F.array_join(kept, "\n"))
-    same = [F.col(f"_row.`{c}`") if c != "text" else text.alias("text")
-            for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return out.select(*same, F.when(F.col("old").isNull(), F.lit(0)).otherwise(n).alias("n_lines"),
-                      F.coalesce(removed, F.lit(0)).alias("n_removed"))
+    cut = result(some, F.when(r.isNull(), old).otherwise(F.array_join(kept, "\n")),
+                 F.when(old.isNull(), F.lit(0)).otherwise(n), F.coalesce(removed, F.lit(0)))
+    return whole.unionByName(cut)
 
 
 ORACLE = f"""

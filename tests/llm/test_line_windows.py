@@ -56,3 +56,23 @@ def test_odd_rows(odd_docs, no_docs):
     assert _run(odd_docs) == brute(rows)
     assert lw.dedup(odd_docs).columns == [*odd_docs.columns, "n_lines", "n_removed"]
     assert lw.dedup(no_docs).count() == 0
+
+
+def test_texts_without_repeats_are_not_shuffled(spark):
+    """Only the texts that the bit filter finds reach the join with the runs;
+    the filter loses none that has runs, and full it lets all through."""
+    texts = [f"own {i}\nown too {i}\nown as well {i}" for i in range(300)] + ["p\nq\nr"] * 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = lw.wrapped(docs, **lw._keys())
+    some, none = lw.touched(rows, lw.stage(lw.covered(docs), "runs"))
+    assert {r.id for r in some.collect()} == {301, 302, 303, 304} and none.count() == 301
+    plan = none.select("_row")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert _run(docs) == brute(list(enumerate(texts)))
+
+
+def test_full_filter(spark, monkeypatch):
+    monkeypatch.setattr(lw, "BITS", 64)
+    texts = [f"a {i % 40}\nb {i % 40}\nc {i % 40}\nd {i}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert _run(docs) == brute(list(enumerate(texts)))
