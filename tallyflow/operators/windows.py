@@ -16,6 +16,10 @@ first time back to its groups; on a stream the groups (``window_groups``) are
 aggregated by the stream and ``with_first_time`` runs on the closed windows of
 each micro-batch (``tallyflow.streaming.forms``).
 
+Sliding windows of a batch are made of panes (``tallyflow.operators.panes``):
+rows are counted once per pane, and the counts are summed up per window. Streams
+use Spark's own sliding windows, which state and watermark need.
+
 The slide need not divide the length. Sliding windows start at multiples of the
 slide, so they end at multiples of the slide plus ``length mod slide``; the
 buckets of new rows are shifted by that much, and each ends with its window.
@@ -28,8 +32,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ALL = "all"
-NEW = "new"
+from tallyflow.operators.panes import ALL, NEW, pane, to_windows
 
 # Result codes counted by the conditional roll-up.
 RESULT_CODE_METRICS = {
@@ -63,6 +66,19 @@ def _new_rows(length: str, slide: str | None, rows: str) -> bool:
     return rows == NEW and slide is not None and seconds(slide) != seconds(length)
 
 
+def _slides(df: DataFrame, length: str, slide: str | None) -> bool:
+    """Whether windows of a batch overlap or leave gaps, so that panes serve."""
+    return not df.isStreaming and slide is not None and seconds(slide) != seconds(length)
+
+
+def _pane(time_col: str, length: str, slide: str) -> Column:
+    return pane(time_col, seconds(length), seconds(slide)).alias("_p")
+
+
+def _windows_of(panes: DataFrame, length: str, slide: str) -> DataFrame:
+    return to_windows(panes, seconds(length), seconds(slide))
+
+
 def window_col(time_col: str, length: str, slide: str | None = None,
                rows: str = ALL) -> Column:
     """The window a row is grouped by: the (sliding) window itself, or for
@@ -93,9 +109,13 @@ def window_count(df: DataFrame, keys: list[str] | tuple[str, ...] = (),
     ``keys=()`` gives the window total (A9). Null keys form their own group
     (Q9). Output: ``window_start, window_end, *keys, <count_col>``.
     """
-    staged = df.select(window_col(time_col, length, slide, rows).alias("_w"), *keys)
-    return (staged.groupBy("_w", *keys).agg(F.count(F.lit(1)).alias(count_col))
-            .select(*window_bounds(length, slide, rows), *keys, count_col))
+    if rows == ALL and _slides(df, length, slide):
+        panes = df.groupBy(_pane(time_col, length, slide), *keys).agg(F.count(F.lit(1)).alias("_n"))
+        counted = _windows_of(panes, length, slide).groupBy("_w", *keys).agg(F.sum("_n").alias(count_col))
+    else:
+        staged = df.select(window_col(time_col, length, slide, rows).alias("_w"), *keys)
+        counted = staged.groupBy("_w", *keys).agg(F.count(F.lit(1)).alias(count_col))
+    return counted.select(*window_bounds(length, slide, rows), *keys, count_col)
 
 
 def window_total(df: DataFrame, time_col: str = "event_time",
@@ -118,12 +138,15 @@ def counts_by_name(df: DataFrame, names: dict[str, str] | None = None,
     """
     names = names or {n: n for n in NAME_LABELS}
     labels, cols = list(names), list(names.values())
-    staged = df.select(window_col(time_col, length, slide, rows).alias("_w"),
-                       *[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)])
-    ks = [f"_k{i}" for i in range(len(cols))]
-    agg = staged.groupingSets([["_w", k] for k in ks], "_w", *ks).agg(
-        F.count(F.lit(1)).alias(count_col),
-        *[F.grouping(k).alias(f"_g{i}") for i, k in enumerate(ks)])
+    paned = rows == ALL and _slides(df, length, slide)
+    span = _pane(time_col, length, slide) if paned else window_col(time_col, length, slide, rows).alias("_w")
+    staged = df.select(span, *[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)])
+    ks, gs = [f"_k{i}" for i in range(len(cols))], [f"_g{i}" for i in range(len(cols))]
+    w = "_p" if paned else "_w"
+    agg = staged.groupingSets([[w, k] for k in ks], w, *ks).agg(
+        F.count(F.lit(1)).alias(count_col), *[F.grouping(k).alias(g) for k, g in zip(ks, gs)])
+    if paned:
+        agg = _windows_of(agg, length, slide).groupBy("_w", *ks, *gs).agg(F.sum(count_col).alias(count_col))
     name = F.lit(None).cast("string")
     key = F.lit(None).cast("string")
     for i in reversed(range(len(ks))):
@@ -140,25 +163,6 @@ def _new_in_window(length: str, slide: str | None, rows: str) -> Column:
     return F.lit(True)
 
 
-def _windowed(df: DataFrame, time_col: str, length: str, slide: str | None,
-              keys: tuple[str, ...]) -> DataFrame:
-    """``_w`` (each window of a row), ``keys`` and the time ``_t``.
-
-    Spark's own sliding window is an Expand, whose exchange is not recognised
-    as the same in two branches of a plan; a batch spells the windows out (an
-    explode of the starts) instead. A stream keeps Spark's, for the watermark.
-    """
-    t = F.col(time_col).alias("_t")
-    if df.isStreaming or slide is None or seconds(slide) == seconds(length):
-        return df.select(window_col(time_col, length, slide).alias("_w"), *keys, t)
-    last = F.col("_s.start")
-    starts = [last - F.expr(f"INTERVAL '{k * seconds(slide)}' SECOND")
-              for k in range(-(-seconds(length) // seconds(slide)))]
-    spans = F.array(*[F.struct(s.alias("start"), (s + interval(length)).alias("end")) for s in starts])
-    return (df.select(F.window(time_col, slide).alias("_s"), *keys, t)
-            .select(F.explode(spans).alias("_w"), *keys, "_t").where(F.col("_t") < F.col("_w.end")))
-
-
 def window_groups(df: DataFrame, time_col: str = "event_time", length: str = "10 seconds",
                   slide: str | None = None, rows: str = ALL,
                   keys: tuple[str, ...] = NAME_LABELS) -> DataFrame:
@@ -167,10 +171,17 @@ def window_groups(df: DataFrame, time_col: str = "event_time", length: str = "10
     that of the new rows (0 for a group without any); the input is read once.
     Runs on streams (append mode: a window's groups come out together).
     """
-    staged = _windowed(df, time_col, length, slide, keys)
-    agg = staged.groupBy("_w", *keys).agg(
-        F.count(F.when(_new_in_window(length, slide, rows), F.lit(1))).alias("total_count"),
-        F.min("_t").alias("_first"))
+    if _slides(df, length, slide):
+        panes = df.groupBy(_pane(time_col, length, slide), *keys).agg(
+            F.count(F.lit(1)).alias("_n"), F.min(time_col).alias("_first"))
+        counted = F.when(F.col("_new"), F.col("_n")).otherwise(0) if rows == NEW else F.col("_n")
+        agg = _windows_of(panes, length, slide).groupBy("_w", *keys).agg(
+            F.sum(counted).alias("total_count"), F.min("_first").alias("_first"))
+    else:
+        staged = df.select(window_col(time_col, length, slide).alias("_w"), *keys, F.col(time_col).alias("_t"))
+        agg = staged.groupBy("_w", *keys).agg(
+            F.count(F.when(_new_in_window(length, slide, rows), F.lit(1))).alias("total_count"),
+            F.min("_t").alias("_first"))
     return agg.select(*window_bounds(length, slide), *keys, "total_count", "_first")
 
 
@@ -212,12 +223,21 @@ def conditional_counts(df: DataFrame, code_col: str = "return_code",
     aggregate, also on streams, for ``"all"`` and ``"new"`` rows alike.
     """
     metrics = metrics or RESULT_CODE_METRICS
-    staged = df.select(window_col(time_col, length, slide).alias("_w"),
-                       F.col(code_col).alias("_code"), F.col(time_col).alias("_t"))
-    new = _new_in_window(length, slide, rows)
-    agg = staged.groupBy("_w").agg(
-        *[F.count_if(new & (F.col("_code") == F.lit(v))).alias(m) for m, v in metrics.items()],
-        F.min("_t").alias("timestamp"))
+    if _slides(df, length, slide):
+        panes = df.groupBy(_pane(time_col, length, slide)).agg(
+            *[F.count_if(F.col(code_col) == F.lit(v)).alias(m) for m, v in metrics.items()],
+            F.min(time_col).alias("_first"))
+        counted = F.col("_new") if rows == NEW else F.col("_all")
+        agg = _windows_of(panes, length, slide).groupBy("_w").agg(
+            *[F.sum(F.when(counted, F.col(m)).otherwise(0)).alias(m) for m in metrics],
+            F.min("_first").alias("timestamp"))
+    else:
+        staged = df.select(window_col(time_col, length, slide).alias("_w"),
+                           F.col(code_col).alias("_code"), F.col(time_col).alias("_t"))
+        new = _new_in_window(length, slide, rows)
+        agg = staged.groupBy("_w").agg(
+            *[F.count_if(new & (F.col("_code") == F.lit(v))).alias(m) for m, v in metrics.items()],
+            F.min("_t").alias("timestamp"))
     wide = agg.select(*window_bounds(length, slide), "timestamp", *metrics)
     tall = wide.unpivot(["window_start", "window_end", "timestamp"], list(metrics), "metric", "n")
     return (tall.where(F.col("n") != 0)

@@ -77,6 +77,22 @@ _ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "stream_log_rollup": (Q.stream_log_rollup, O.STREAM_LOG_ROLLUP),
     "stream_window_rows": (Q.stream_window_rows, O.STREAM_WINDOW_ROWS),
     "stream_keyed_store": (Q.stream_keyed_store, O.STREAM_KEYED_STORE),
+    # streams of several micro-batches
+    "stream_kept_windows": (Q.stream_kept_windows, O.STREAM_KEPT_WINDOWS),
+    "stream_late_rows": (Q.stream_late_rows, O.STREAM_LATE_ROWS),
+    "stream_state_changes": (Q.stream_state_changes, O.STREAM_STATE_CHANGES),
+    "stream_rate_limit": (Q.stream_rate_limit, O.STREAM_RATE_LIMIT),
+    "stream_merge_store": (Q.stream_merge_store, O.STREAM_MERGE_STORE),
+    # look-ups that open the requested part of a store, and as of a time
+    "store_lookup_words": (Q.store_lookup_words, O.STORE_LOOKUP_WORDS),
+    "store_lookup_projects": (Q.store_lookup_projects, O.STORE_LOOKUP_PROJECTS),
+    "as_of_lookup": (Q.as_of_lookup, O.AS_OF_LOOKUP),
+    # windows made of panes
+    "sliding_changes": (Q.sliding_changes, O.SLIDING_CHANGES),
+    "sliding_by_name": (Q.sliding_by_name, O.SLIDING_BY_NAME),
+    # documents written or refused
+    "index_written": (Q.index_written, O.INDEX_WRITTEN),
+    "index_refused": (Q.index_refused, O.INDEX_REFUSED),
     "observed_rows": (Q.observed_rows, O.OBSERVED_ROWS),
     "write_time_stamp": (Q.write_time_stamp, O.WRITE_TIME_STAMP),
 }

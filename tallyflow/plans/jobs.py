@@ -26,6 +26,7 @@ from tallyflow.operators import windows as win
 from tallyflow.operators import wordcount as wc
 from tallyflow.session import sub_dir
 from tallyflow.sinks.documents import index_documents, write_documents_batch
+from tallyflow.sinks.keyed_store import KeyedStore
 from tallyflow.sinks.records import to_records, write_records_stream
 from tallyflow.sinks.snapshot import KeyedSnapshot
 from tallyflow.sources.streams import StreamSpec, read_stream
@@ -120,11 +121,19 @@ def rolling_snapshot(spark: SparkSession, path: str | None = None,
                          ("projectName",), ("count",), "updated_at", ttl_seconds, st.TABLE)
 
 
-def rolling_stream(spark: SparkSession, spec: StreamSpec, snapshot: KeyedSnapshot,
+def rolling_store(spark: SparkSession, path: str | None = None, ttl_seconds: int | None = ROLL_TTL_SECONDS,
+                  **layout) -> KeyedStore:
+    """The same store merged on reading, for key sets of any size: a batch
+    writes its own keys, a look-up opens the buckets of its keys."""
+    return KeyedStore(spark, path or sub_dir(spark, "stores/rolling_state"), ("projectName",), ("count",),
+                      "updated_at", ttl_seconds, st.TABLE, **layout)
+
+
+def rolling_stream(spark: SparkSession, spec: StreamSpec, snapshot: KeyedSnapshot | KeyedStore,
                    checkpoint: str | None = None, length: str = ROLL_WINDOW,
                    lag: str = forms.DEFAULT_LAG, trigger: dict | None = None) -> StreamingQuery:
     """Per-project window counts on a stream; every micro-batch of closed
-    windows is upserted into the keyed snapshot (idempotent per batch id)."""
+    windows is upserted into the keyed store (idempotent per batch id)."""
     rows = _project_rows(read_stream(spark, spec), "timestamp").withWatermark("event_time", lag)
     counts = win.window_count(rows, ["projectName"], length=length, count_col="num")
     upd = counts.select("projectName", F.col("num").alias("count"),
@@ -145,13 +154,28 @@ def rolling_lookup(requests: DataFrame, state: DataFrame, on_miss: str = lk.NULL
     return out.withColumnRenamed("arg", "projectName")
 
 
-def rolling_lookup_stream(spark: SparkSession, requests: DataFrame, snapshot: KeyedSnapshot, sink,
+def store_lookup(req_tokens: DataFrame, store: KeyedStore, key_col: str, value_col: str = "count",
+                 on_miss: str = lk.NULL, as_of=None) -> DataFrame:
+    """J1-J3 against a keyed store of one key column, opening only the part
+    that the requested keys hash to."""
+    key = store.key_cols[0]
+    state = store.read_keys(req_tokens.select(F.col(key_col).alias(key)), as_of)
+    return lk.lookup(req_tokens, state, key_col, key, value_col, on_miss)
+
+
+def rolling_lookup_stream(spark: SparkSession, requests: DataFrame, snapshot: KeyedSnapshot | KeyedStore, sink,
                           checkpoint: str | None = None, on_miss: str = lk.NULL,
                           trigger: dict | None = None) -> StreamingQuery:
     """A stream of requests answered from the keyed store as it stands at each
-    micro-batch; ``sink(answers_df, batch_id)`` writes the answers."""
-    return forms.lookup_stream(requests, lambda batch: rolling_lookup(batch, snapshot.read(), on_miss), sink,
-                               checkpoint or sub_dir(spark, "ckpt/rolling_lookup"), trigger)
+    micro-batch; ``sink(answers_df, batch_id)`` writes the answers. Of a
+    ``KeyedStore`` only the requested part is read."""
+    def answer(batch: DataFrame) -> DataFrame:
+        if isinstance(snapshot, KeyedSnapshot):
+            return rolling_lookup(batch, snapshot.read(), on_miss)
+        toks = lk.request_tokens(batch, key_col="arg")
+        return store_lookup(toks, snapshot, "arg", on_miss=on_miss).withColumnRenamed("arg", "projectName")
+
+    return forms.lookup_stream(requests, answer, sink, checkpoint or sub_dir(spark, "ckpt/rolling_lookup"), trigger)
 
 
 # -- J-DRPC -------------------------------------------------------------------

@@ -406,3 +406,91 @@ OBSERVED_ROWS = "SELECT doc_id, text AS line FROM documents"
 WRITE_TIME_STAMP = _CALLLOG + """
 SELECT 'logcount-' || strftime(event_time, '%Y.%m.%d') AS _index, 'info' AS _type, ts_ms, true AS stamped FROM calllog
 """
+
+# the feeds of several micro-batches, and which of their rows are late: those
+# whose window had ended by the watermark of the micro-batch before
+_FEED = """
+, span AS (SELECT min(ts_ms) AS lo, max(ts_ms) AS hi FROM calllog)
+, feed AS (
+  SELECT c.*, time_bucket(INTERVAL '1 minute', event_time) AS window_start,
+         least(5, (ts_ms - lo) * 6 // (hi - lo + 1) + CASE WHEN CAST(msg_id AS BIGINT) % 11 = 0 THEN 1 ELSE 0 END
+                  + CASE WHEN CAST(msg_id AS BIGINT) % 17 = 0 THEN 2 ELSE 0 END) AS slice
+  FROM calllog c, span)
+, marks AS (
+  SELECT slice, max(max(event_time)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
+                - INTERVAL '5 seconds' AS mark
+  FROM feed GROUP BY slice)
+, judged AS (
+  SELECT feed.*, window_start + INTERVAL '1 minute' AS window_end,
+         coalesce(window_start + INTERVAL '1 minute' <= mark, false) AS late
+  FROM feed JOIN marks ON feed.slice = marks.slice)
+"""
+STREAM_KEPT_WINDOWS = _CALLLOG + _FEED + """
+SELECT window_start, window_end, project_name, count(*) AS n FROM judged
+WHERE NOT late AND window_end <= (SELECT max(event_time) FROM calllog) - INTERVAL '5 seconds' GROUP BY ALL
+"""
+STREAM_LATE_ROWS = _CALLLOG + _FEED + """
+SELECT CAST(slice AS BIGINT) AS batch_id, msg_id, project_name, event_time FROM judged WHERE late
+"""
+
+_WORD_SLICES = """
+WITH span AS (SELECT min(doc_id) AS lo, max(doc_id) AS hi FROM documents)
+, slices AS (SELECT CAST((doc_id - lo) * 4 // (hi - lo + 1) AS BIGINT) AS batch_id, text FROM documents, span)
+"""
+STREAM_STATE_CHANGES = _WORD_SLICES + """
+, c AS (SELECT batch_id, word, count(*) AS n
+        FROM (SELECT batch_id, unnest(string_split(text, ' ')) AS word FROM slices) WHERE word <> '' GROUP BY ALL)
+, t AS (SELECT batch_id, word, n, CAST(sum(n) OVER (PARTITION BY word ORDER BY batch_id) AS BIGINT) AS after FROM c)
+SELECT batch_id, word, nullif(after - n, 0) AS before, after FROM t
+"""
+STREAM_RATE_LIMIT = _WORD_SLICES + """
+SELECT batch_id, count(*) AS rows_in, count(*) AS observed FROM slices GROUP BY batch_id
+"""
+STREAM_MERGE_STORE = STREAM_KEYED_STORE
+STORE_LOOKUP_WORDS = LOOKUP_ZERO
+STORE_LOOKUP_PROJECTS = _CALLLOG + _SECONDS + """
+, last AS (SELECT projectName, arg_max(num, window_end) AS count FROM closed GROUP BY projectName)
+, req AS (
+  SELECT CAST(request_id AS BIGINT) AS request_id, args FROM (VALUES
+    (0, 'openstacklog test'), (1, 'test openstacklog test2'), (2, 'p1 zz p2')) t(request_id, args))
+, tok AS (
+  SELECT request_id, unnest(generate_series(0, len(arr) - 1)) AS pos, unnest(arr) AS arg
+  FROM (SELECT request_id, string_split(args, ' ') AS arr FROM req))
+SELECT tok.request_id, tok.pos, tok.arg AS projectName, CAST(last.count AS VARCHAR) AS count
+FROM tok LEFT JOIN last ON tok.arg = last.projectName WHERE tok.arg <> ''
+"""
+
+SLIDING_CHANGES = _CALLLOG + """
+, r AS (SELECT class_name, time_bucket(INTERVAL '15 minutes', event_time) + to_minutes(15 * k) AS e, k
+        FROM calllog, (SELECT unnest([1, 2, 3, 4, 5]) AS k))
+SELECT e - INTERVAL '1 hour' AS window_start, e AS window_end, class_name, count(*) FILTER (k <= 4) AS n_all,
+       count(*) FILTER (k = 1) AS n_new, count(*) FILTER (k = 5) AS n_expired
+FROM r GROUP BY ALL
+"""
+SLIDING_BY_NAME = _CALLLOG + _SLIDING_10_4 + """
+SELECT window_start, window_end, name, key, count(*) AS n
+FROM (SELECT window_start, window_end, 'project_name' AS name, project_name AS key FROM r
+      UNION ALL SELECT window_start, window_end, 'class_name', class_name FROM r
+      UNION ALL SELECT window_start, window_end, 'method_name', method_name FROM r)
+GROUP BY ALL
+"""
+AS_OF_LOOKUP = _CALLLOG + """
+, m AS (SELECT project_name, time_bucket(INTERVAL '1 minute', event_time) + INTERVAL '1 minute' AS e, count(*) AS n
+        FROM calllog GROUP BY ALL)
+SELECT q.msg_id, q.project_name, q.event_time, m.n, m.e AS updated_at
+FROM (SELECT * FROM calllog WHERE class_name = 'com.x.error') q
+ASOF LEFT JOIN m ON q.project_name = m.project_name AND q.event_time >= m.e
+"""
+
+_DOCUMENTS = f"""
+SELECT *, 'info' AS _type, 'logcount-' || strftime(event_time, '%Y.%m.%d') AS _index,
+       CASE WHEN msg_id IS NULL THEN 'no id' WHEN class_name IS NULL THEN 'no class' END AS reason
+FROM ({MIXED_PARSE_STRICT})
+"""
+INDEX_WRITTEN = f"""
+SELECT msg_id, project_name, class_name, method_name, ts_ms, _type, _index FROM ({_DOCUMENTS}) WHERE reason IS NULL
+"""
+INDEX_REFUSED = f"""
+SELECT msg_id, project_name, class_name, _index, reason, CAST(0 AS BIGINT) AS batch_id
+FROM ({_DOCUMENTS}) WHERE reason IS NOT NULL
+"""

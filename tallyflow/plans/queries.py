@@ -15,24 +15,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow import schemas
-from tallyflow.functions.timecols import millis_to_ntz, write_time
+from tallyflow.functions.timecols import millis_to_ntz, ntz_to_millis, write_time
 from tallyflow.operators import calllog as cl
 from tallyflow.operators import lookup as lk
+from tallyflow.operators import panes
 from tallyflow.operators import state as st
 from tallyflow.operators import topn
 from tallyflow.operators import windows as win
 from tallyflow.operators import wordcount as wc
-from tallyflow.session import sub_dir
+from tallyflow.operators.asof import as_of
+from tallyflow.plans import jobs
+from tallyflow.session import sub_dir, with_conf
 from tallyflow.sinks.documents import index_documents as to_documents
-from tallyflow.sinks.documents import write_documents_batch
+from tallyflow.sinks.documents import write_documents_batch, write_or_refuse
+from tallyflow.sinks.keyed_store import KeyedStore
 from tallyflow.sinks.records import append_batch, to_records
 from tallyflow.sinks.snapshot import KeyedSnapshot
 from tallyflow.sources import adapters
 from tallyflow.sources.literal import request_strings
-from tallyflow.sources.streams import file_spec, read_stream
+from tallyflow.sources.streams import file_spec, in_slices, read_stream, write_feed
 from tallyflow.sources.tables import spread, table
 from tallyflow.streaming import forms
-from tallyflow.streaming.state import read_state
+from tallyflow.streaming.state import CHANGE_FEED_CONF, read_changes, read_state
 
 HOUR = "1 hour"
 QUARTER = "15 minutes"
@@ -509,3 +513,167 @@ def write_time_stamp(spark, sf_dir):
     docs = to_documents(general_stream(spark, sf_dir), "event_time")
     ok = (F.col("@timestamp") >= F.lit(start)) & (F.col("@timestamp") <= write_time())
     return docs.select("_index", "_type", "ts_ms", ok.alias("stamped"))
+
+
+# -- streams of several micro-batches: the tables as feeds in a known order --------
+
+SLICES = 6
+WORD_SLICES = 4
+
+
+def _event_feed(spark, sf_dir, path, late=False):
+    """The call-log messages in ``SLICES`` micro-batches by time. With ``late``
+    events come after their time by the rule on event_id: every 11th one slice
+    later, every 17th two (both: three)."""
+    ev = in_slices(table(spark, sf_dir, "events"), ntz_to_millis("ts"), SLICES)
+    if late:
+        delay = F.when(F.col("event_id") % 11 == 0, 1).otherwise(0) + F.when(F.col("event_id") % 17 == 0, 2).otherwise(0)
+        ev = ev.withColumn("_slice", F.least(F.col("_slice") + delay, F.lit(SLICES - 1)))
+    spec = write_feed(ev, f"{path}/feed", SLICES)
+    return adapters.call_log_messages(read_stream(spark, spec))
+
+
+def _word_feed(spark, sf_dir, path):
+    docs = in_slices(table(spark, sf_dir, "documents").select("doc_id", "text"), F.col("doc_id"), WORD_SLICES)
+    return read_stream(spark, write_feed(docs, f"{path}/feed", WORD_SLICES))
+
+
+def _run(writer, path):
+    q = writer.trigger(**NOW).option("checkpointLocation", f"{path}/ckpt").start()
+    q.awaitTermination()
+    return q
+
+
+def stream_kept_windows(spark, sf_dir):
+    """A feed in which some rows are late; the one-minute windows that
+    Spark's watermark closed, without the rows it dropped."""
+    path = _folder(spark, "stream-kept")
+    parsed = forms.parsed_with_watermark(_event_feed(spark, sf_dir, path, late=True))
+    counts = win.window_count(parsed, ["project_name"], length=MINUTE)
+    _run(counts.writeStream.outputMode("append").foreachBatch(lambda b, i: append_batch(b, f"{path}/out", i)), path)
+    ntz = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    return spark.read.parquet(f"{path}/out").select(*ntz, "project_name", "n")
+
+
+def stream_late_rows(spark, sf_dir):
+    """T4: the same feed; the late rows as an output of their own."""
+    path = _folder(spark, "stream-late")
+    parsed = cl.parse_call_log(_event_feed(spark, sf_dir, path, late=True), time_type="timestamp")
+    _run(parsed.select("msg_id", "project_name", "event_time").writeStream
+         .foreachBatch(forms.split_late(f"{path}/out", MINUTE)), path)
+    rows = spark.read.parquet(f"{path}/out/late")
+    return rows.select(F.col("batch_id").cast("long").alias("batch_id"), "msg_id", "project_name", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
+
+
+def stream_state_changes(spark, sf_dir):
+    """What each micro-batch changed in the word count's state, with
+    the count before and after, from the state store's change feed."""
+    path = _folder(spark, "stream-feed")
+    counts = forms.running_word_count(_word_feed(spark, sf_dir, path), "text", wc.SPACE)
+    with with_conf(spark, CHANGE_FEED_CONF):
+        _run(counts.writeStream.outputMode("update")
+             .foreachBatch(lambda b, i: b.write.format("noop").mode("overwrite").save()), path)
+    return read_changes(spark, f"{path}/ckpt").select(
+        F.col("batch_id").cast("long").alias("batch_id"), F.col("key.word").alias("word"),
+        F.col("before.count").alias("before"), F.col("after.count").alias("after"))
+
+
+def stream_rate_limit(spark, sf_dir):
+    """A feed of several files under a file limit; per micro-batch the
+    rows it took and the rows that the side channel observed."""
+    path = _folder(spark, "stream-limit")
+    rows = forms.observe_rows(_word_feed(spark, sf_dir, path), "lines_seen")
+    q = _run(rows.writeStream.foreachBatch(lambda b, i: b.write.format("noop").mode("overwrite").save()), path)
+    seen = [(p["batchId"], p["numInputRows"], p["observedMetrics"]["lines_seen"]["rows"]) for p in q.recentProgress
+            if p["numInputRows"]]
+    return spark.createDataFrame(seen, "batch_id long, rows_in long, observed long")
+
+
+def _rolling_store(spark, sf_dir):
+    """The rolling counts as a store merged on reading, fed by several
+    micro-batches, each delivered twice."""
+    path = _folder(spark, "stream-merge")
+    store = jobs.rolling_store(spark, f"{path}/store", buckets=8, max_deltas=3)
+    rows = cl.json_key_filter(_event_feed(spark, sf_dir, path), "projectName", fields={"ts_ms": ("date", "bigint")})
+    timed = rows.select("projectName", F.timestamp_millis(F.coalesce("ts_ms", F.lit(0).cast("long"))).alias("event_time"))
+    counts = win.window_count(timed.withWatermark("event_time", forms.DEFAULT_LAG), ["projectName"], length=SECOND)
+    upd = counts.select("projectName", F.col("n").alias("count"), F.col("window_end").alias("updated_at"))
+
+    def twice(batch, batch_id):
+        store.upsert(batch, batch_id)
+        store.upsert(batch, batch_id)       # as a replayed batch
+
+    _run(upd.writeStream.outputMode("append").foreachBatch(twice), path)
+    return store
+
+
+def stream_merge_store(spark, sf_dir):
+    """The store read whole."""
+    return _rolling_store(spark, sf_dir).read().withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
+
+
+def store_lookup_projects(spark, sf_dir):
+    """The reference's request strings; only their buckets are opened."""
+    req = lk.request_tokens(request_strings(spark, PROJECT_REQUESTS), key_col="arg")
+    out = jobs.store_lookup(req, _rolling_store(spark, sf_dir), "arg")
+    return out.select("request_id", "pos", F.col("arg").alias("projectName"), "count")
+
+
+def store_lookup_words(spark, sf_dir):
+    """The running word counts of several micro-batches upserted into
+    a store merged on reading, and all request tokens answered from it."""
+    path = _folder(spark, "word-store")
+    store = KeyedStore(spark, f"{path}/store", ("word",), ("count",), "batch", max_deltas=3,
+                       schema="word string, count long, batch long")
+    counts = forms.running_word_count(_word_feed(spark, sf_dir, path), "text", wc.SPACE)
+    _run(counts.writeStream.outputMode("update").foreachBatch(
+        lambda b, i: store.upsert(b.withColumn("batch", F.lit(i).cast("long")), i)), path)
+    return jobs.store_lookup(_request_tokens(spark, sf_dir), store, "word", on_miss=lk.ZERO)
+
+
+# -- windows that move, answers in time, refused documents --------------------------
+
+def sliding_changes(spark, sf_dir):
+    """T5: rows of one-hour windows every 15 min, per class: all, new and
+    expired since the activation before."""
+    return panes.window_changes(_parsed(spark, sf_dir), ["class_name"], length=3600, slide=900)
+
+
+def sliding_by_name(spark, sf_dir):
+    """Counts by project, class and method in sliding windows."""
+    return win.counts_by_name(_parsed(spark, sf_dir), length="10 minutes", slide="4 minutes")
+
+
+def as_of_lookup(spark, sf_dir):
+    """The error messages as timed requests, each answered with its
+    project's count per minute as it stood at that time."""
+    rows = _parsed(spark, sf_dir)
+    counts = win.window_count(rows, ["project_name"], length=MINUTE).select(
+        "project_name", F.col("window_end").alias("event_time"), "n")
+    asked = rows.where(F.col("class_name") == "com.x.error").select("msg_id", "project_name", "event_time")
+    return as_of(asked, counts, "project_name", "event_time", ("n",))
+
+
+def _indexed(spark, sf_dir):
+    """The messages that can fail as documents, written or refused."""
+    path = _folder(spark, "documents")
+    parsed = cl.parse_call_log(_mixed(spark, sf_dir), mode=cl.STRICT).drop("output_info")
+    docs = to_documents(parsed, "event_time", stamp_write_time=False)
+    for _ in range(2):          # the second time as a replayed batch
+        write_or_refuse(docs, f"{path}/out", f"{path}/refused", 0, required={"msg_id": "no id", "class_name": "no class"})
+    return path
+
+
+def index_written(spark, sf_dir):
+    """K1: the documents that were indexed."""
+    docs = spark.read.schema("msg_id string, project_name string, class_name string, method_name string, ts_ms long, "
+                             "_type string, _index string, batch_id long").json(f"{_indexed(spark, sf_dir)}/out")
+    return docs.drop("batch_id")
+
+
+def index_refused(spark, sf_dir):
+    """K1: the documents that were refused, with the reason and the batch."""
+    rows = spark.read.parquet(f"{_indexed(spark, sf_dir)}/refused")
+    field = lambda c: F.get_json_object("document", f"$.{c}").alias(c)
+    return rows.select(field("msg_id"), field("project_name"), field("class_name"), field("_index"), "reason",
+                       F.col("batch_id").cast("long").alias("batch_id"))

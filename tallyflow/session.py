@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,6 +78,19 @@ def get_session(master: str | None = None, app_name: str = "tallyflow",
     return spark
 
 
+@contextmanager
+def with_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for a while; what was set before is set again."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 

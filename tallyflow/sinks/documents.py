@@ -9,7 +9,8 @@ document-store connector can be plugged in through ``format``/``options``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.functions.timecols import index_name, write_time
@@ -51,3 +52,39 @@ def write_documents_batch(docs: DataFrame, path: str, batch_id: int, format: str
     (docs.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").format(format)
      .option("partitionOverwriteMode", "dynamic").options(**(options or {}))
      .partitionBy("_index", "batch_id").save(path))
+
+
+# Reasons for which a document is refused.
+NO_DAY = "no index day"
+TOO_LARGE = "too large"
+
+
+def refusal(docs: DataFrame, max_bytes: int | None = None, required: dict[str, str] | None = None) -> Column:
+    """Why a document cannot be indexed (null: it can): it has no ``_index``,
+    lacks a required field (``required``: field -> reason), or its JSON is larger
+    than ``max_bytes``. The first reason in this order counts."""
+    why = F.when(F.col("_index").isNull(), NO_DAY)
+    for field, reason in (required or {}).items():
+        why = why.when(F.col(f"`{field}`").isNull(), reason)
+    if max_bytes is not None:
+        why = why.when(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))) > max_bytes, TOO_LARGE)
+    return why
+
+
+def write_or_refuse(docs: DataFrame, path: str, dead_path: str, batch_id: int, format: str = "json",
+                    options: dict | None = None, max_bytes: int | None = None,
+                    required: dict[str, str] | None = None) -> None:
+    """K1 with failed documents: those that can be indexed are written as by
+    ``write_documents_batch``; each other one goes to ``dead_path`` with its
+    reason, as the JSON text of the document, and the batch goes on. Both
+    outputs are folders of the batch, so a replay leaves each document once.
+    A replay that refuses nothing empties the batch's folder of refused ones.
+    """
+    marked = docs.withColumn("_refused", refusal(docs, max_bytes, required)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_documents_batch(marked.where("_refused IS NULL").drop("_refused"), path, batch_id, format, options)
+        document = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+        (marked.where("_refused IS NOT NULL").select(document.alias("document"), F.col("_refused").alias("reason"))
+         .write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}"))
+    finally:
+        marked.unpersist()

@@ -46,6 +46,24 @@ def file_spec(spark: SparkSession, path: str, **spec) -> StreamSpec:
     return StreamSpec(path=path, **spec)
 
 
+def in_slices(df: DataFrame, col, n: int, column: str = "_slice") -> DataFrame:
+    """``df`` with the number 0..n-1 of the equal stretch of ``col`` (a whole
+    number) that a row lies in; nulls go first."""
+    lo, hi = df.agg(F.min(col), F.max(col)).first()
+    place = F.lit(0) if lo is None else F.coalesce(F.floor((col - F.lit(lo)) * n / F.lit(hi - lo + 1)), F.lit(0))
+    return df.withColumn(column, place.cast("int"))
+
+
+def write_feed(df: DataFrame, path: str, n: int, files: int = 1, column: str = "_slice") -> StreamSpec:
+    """A feed in a known order: the slices 0..n-1 of ``df`` (in ``column``) are
+    written one after the other, ``files`` files each, and the spec reads
+    ``files`` files a micro-batch (T10), so each slice is a micro-batch of its
+    own, as a file stream takes files by the time of their writing."""
+    for k in range(n):
+        df.where(F.col(column) == k).drop(column).repartition(files).write.mode("append").parquet(path)
+    return StreamSpec(path=path, file_format="parquet", schema=df.drop(column).schema, max_files_per_trigger=files)
+
+
 def read_stream(spark: SparkSession, spec: StreamSpec) -> DataFrame:
     if spec.format == "files":
         r = spark.readStream.format(spec.file_format)

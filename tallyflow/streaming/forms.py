@@ -14,6 +14,8 @@ previous micro-batch has passed its window (T4).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from tallyflow.operators import calllog as cl
 from tallyflow.operators import wordcount as wc
 from tallyflow.operators import windows as win
 from tallyflow.operators.windows import ALL
+from tallyflow.sinks import textfile
+from tallyflow.sinks.records import append_batch
 
 # Fixed value: the reference's (commented) event-time lag.
 DEFAULT_LAG = "5 seconds"
@@ -48,6 +52,45 @@ def hierarchical_groups(parsed: DataFrame, length: str = "10 seconds",
     return win.window_groups(parsed, "event_time", length, slide, rows)
 
 
+WATERMARKS = "_watermarks"
+
+
+def split_late(path: str, length: str, lag: str = DEFAULT_LAG, time_col: str = "event_time"):
+    """T4: a ``foreachBatch`` function that keeps late rows as an output of
+    their own: ``<path>/late`` and ``<path>/kept``, one folder per micro-batch
+    (replay-safe).
+
+    A row is late if the window of ``length`` that holds it had ended by the
+    watermark of the micro-batch before: the greatest event time (in whole
+    milliseconds) of all batches before that one, less ``lag``. So Spark's
+    watermarked windows drop rows: what a batch's own watermark closes it can
+    still add to. The greatest times are kept per batch in ``<path>/_watermarks``,
+    the latest three, so a replayed batch is judged as it was. Rows without a
+    time are kept; they move no watermark.
+    """
+    lag_ms = win.seconds(lag) * 1000
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = {int(k): v for k, v in json.loads(textfile.read_text(spark, path, WATERMARKS) or "{}").items()}
+        earlier = sorted(k for k in seen if k < batch_id)
+        late = F.lit(False)
+        if len(earlier) > 1 and seen[earlier[-2]] is not None:
+            end = F.unix_millis(F.window(time_col, length)["end"])
+            late = F.coalesce(end <= seen[earlier[-2]] - lag_ms, F.lit(False))
+        # a window expression turns null times away, so they go round it
+        timed, untimed = batch.where(F.col(time_col).isNotNull()), batch.where(F.col(time_col).isNull())
+        marked = timed.withColumn("_late", late)
+        append_batch(marked.where("_late").drop("_late"), f"{path}/late", batch_id)
+        append_batch(marked.where("NOT _late").drop("_late").unionByName(untimed), f"{path}/kept", batch_id)
+        newest = timed.agg(F.max(F.unix_millis(time_col))).first()[0]
+        high = [x for x in (newest, *(seen[k] for k in earlier[-1:])) if x is not None]
+        kept = {k: seen[k] for k in earlier[-2:]} | {batch_id: max(high, default=None)}
+        textfile.replace_text(spark, path, WATERMARKS, json.dumps(kept))
+
+    return per_batch
+
+
 def _started(writer, trigger: dict | None):
     return (writer.trigger(**trigger) if trigger else writer).start()
 

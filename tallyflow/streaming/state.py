@@ -5,6 +5,8 @@
   ``transformWithStateInPandas``. Each input batch is reduced per key inside
   the grouped call; only the key's latest row is kept. Needs the RocksDB
   state store provider (set in ``tallyflow.session.DEFAULT_CONF``).
+* ``read_changes``: the changes of a query's state, from the state store's
+  change feed, with the value before and after (T11).
 * ``read_state``: a finished or running query's state as a batch DataFrame
   (S5, the readable state handle).
 """
@@ -16,7 +18,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -109,3 +112,30 @@ def read_state(spark: SparkSession, checkpoint: str, operator_id: int | None = N
     if store_name is not None:
         r = r.option("storeName", store_name)
     return r.load(checkpoint)
+
+
+# A change feed needs the changes of each micro-batch in the checkpoint.
+CHANGE_FEED_CONF = {"spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+def read_changes(spark: SparkSession, checkpoint: str, start: int = 0, end: int | None = None,
+                 operator_id: int = 0) -> DataFrame:
+    """What the micro-batches ``start`` to ``end`` (default: the last)
+    changed in a query's state: batch_id, key, before and after (structs; a key
+    that a batch made has no ``before``, one that it removed no ``after``).
+
+    Start the query under ``CHANGE_FEED_CONF``. A key changes once a micro-batch
+    at most, so the window over a key's changes is as long as the batches asked
+    for; the state before ``start`` is read once if there is one.
+    """
+    r = (spark.read.format("statestore").option("readChangeFeed", True).option("operatorId", operator_id)
+         .option("changeStartBatchId", start))
+    if end is not None:
+        r = r.option("changeEndBatchId", end)
+    rows = r.load(checkpoint).select("batch_id", "key", F.when(F.col("change_type") == "update", F.col("value")).alias("after"))
+    if start > 0:
+        base = (spark.read.format("statestore").option("operatorId", operator_id).option("batchId", start - 1)
+                .load(checkpoint))
+        rows = rows.unionByName(base.select(F.lit(start - 1).cast("long").alias("batch_id"), "key", F.col("value").alias("after")))
+    before = F.lag("after").over(Window.partitionBy("key").orderBy("batch_id"))
+    return rows.select("batch_id", "key", before.alias("before"), "after").where(F.col("batch_id") >= start)

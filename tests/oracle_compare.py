@@ -100,7 +100,10 @@ def main(argv):
             df = fn(spark, sf_dir)
             print({"query": name, "rows_only": df.count()})
             continue
-        info = compare(spark, con, name, fn, sqls[name], sf_dir)
+        try:
+            info = compare(spark, con, name, fn, sqls[name], sf_dir)
+        except Exception as e:      # the others still run
+            info = {"query": name, "match": False, "error": str(e)[:800]}
         bad += not info["match"]
         print(info, flush=True)
     print("MISMATCHES", bad)

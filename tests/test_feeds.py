@@ -1,0 +1,97 @@
+"""T3 / T4 late rows, T11 changes of the state, K1 refused documents: runs of
+several micro-batches."""
+
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from tallyflow.operators import windows as win
+from tallyflow.session import with_conf
+from tallyflow.sinks.documents import TOO_LARGE, write_or_refuse
+from tallyflow.sinks.records import append_batch
+from tallyflow.sources.streams import in_slices, read_stream, write_feed
+from tallyflow.streaming import forms
+from tallyflow.streaming.state import CHANGE_FEED_CONF, read_changes, read_state
+
+BASE = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+
+
+def _feed(spark, path, slices, schema):
+    rows = [(*r, i) for i, s in enumerate(slices) for r in s]
+    df = spark.createDataFrame(rows, f"{schema}, _slice int")
+    return read_stream(spark, write_feed(df, path, len(slices)))
+
+
+def test_kept_and_late_rows_agree(spark, scratch):
+    """Spark's windowed count over a feed and the split of the same feed: the
+    counts are those of the kept rows, and what is late is what Spark dropped."""
+    at = lambda *s: [(BASE + dt.timedelta(seconds=x) if x is not None else None, f"r{x}") for x in s]
+    slices = [at(1, 2, 21), at(3, 12, 50), at(4, 13, 44, 45, None), at(14, 46, 90), at(51, 88, 95, 16), at(52, 89, 200)]
+    rows = _feed(spark, f"{scratch}/feed", slices, "event_time timestamp, id string")
+    counts = win.window_count(rows.withWatermark("event_time", "5 seconds"), [], length="10 seconds")
+    q = (counts.writeStream.outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{scratch}/c1")
+         .foreachBatch(lambda b, i: append_batch(b, f"{scratch}/counts", i)).start())
+    q.awaitTermination()
+    dropped = sum(o["numRowsDroppedByWatermark"] for p in q.recentProgress for o in p["stateOperators"])
+    split = forms.split_late(f"{scratch}/out", "10 seconds")
+
+    def twice(batch, batch_id):
+        split(batch, batch_id)
+        split(batch, batch_id)
+
+    (rows.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{scratch}/c2")
+     .foreachBatch(twice).start().awaitTermination())
+    late, kept = spark.read.parquet(f"{scratch}/out/late"), spark.read.parquet(f"{scratch}/out/kept")
+    assert sorted(r.id for r in late.collect()) == ["r14", "r16", "r4", "r52"]
+    assert late.count() + kept.count() == sum(map(len, slices))
+    assert late.count() == dropped > 0
+    plain = win.window_count(kept, [], length="10 seconds").where(F.col("window_end") <= F.lit(BASE + dt.timedelta(seconds=195)))
+    key = lambda df: sorted((r.window_start, r.n) for r in df.collect())
+    assert key(spark.read.parquet(f"{scratch}/counts")) == key(plain)
+
+
+def test_changes_before_and_after(spark, scratch):
+    slices = [[("a a b",)], [("a c",)], [("b b a",)], [("d",)]]
+    lines = _feed(spark, f"{scratch}/feed", slices, "value string")
+    with with_conf(spark, CHANGE_FEED_CONF):
+        (forms.running_word_count(lines).writeStream.outputMode("update").trigger(availableNow=True)
+         .option("checkpointLocation", f"{scratch}/ckpt").foreachBatch(lambda b, i: b.collect()).start().awaitTermination())
+    want = {(0, "a", None, 2), (0, "b", None, 1), (1, "a", 2, 3), (1, "c", None, 1), (2, "a", 3, 4), (2, "b", 1, 3), (3, "d", None, 1)}
+
+    def got(**more):
+        return {(r.batch_id, r.key.word, r.before and r.before["count"], r.after and r.after["count"])
+                for r in read_changes(spark, f"{scratch}/ckpt", **more).collect()}
+
+    assert got() == want
+    assert got(start=2) == {r for r in want if r[0] >= 2}
+    assert got(start=1, end=2) == {r for r in want if r[0] in (1, 2)}
+    last = {r.key.word: r.value["count"] for r in read_state(spark, f"{scratch}/ckpt").collect()}
+    assert last == {"a": 4, "b": 3, "c": 1, "d": 1}
+
+
+def test_settings_are_put_back(spark):
+    key = next(iter(CHANGE_FEED_CONF))
+    before = spark.conf.get(key, None)
+    with with_conf(spark, {key: "true", "spark.tallyflow.nothing": "x"}):
+        assert spark.conf.get(key) == "true" and spark.conf.get("spark.tallyflow.nothing") == "x"
+    assert spark.conf.get(key, None) == before and spark.conf.get("spark.tallyflow.nothing", None) is None
+
+
+def test_slices(spark):
+    df = spark.createDataFrame([(i,) for i in (0, 1, 5, 9, 10, None)], "n long")
+    got = {r.n: r._slice for r in in_slices(df, F.col("n"), 3).collect()}
+    assert got == {0: 0, 1: 0, 5: 1, 9: 2, 10: 2, None: 0}
+    assert {r._slice for r in in_slices(df.where("n is null"), F.col("n"), 3).collect()} == {0}
+
+
+def test_documents_written_or_refused(spark, scratch):
+    docs = spark.createDataFrame([("a", "logcount-2024.01.01", "x"), ("b", None, "y"), (None, "logcount-2024.01.02", "z"),
+                                  ("c", "logcount-2024.01.02", "z" * 300), (None, None, "both")], "id string, _index string, body string")
+    for _ in range(2):
+        write_or_refuse(docs, f"{scratch}/out", f"{scratch}/dead", 7, max_bytes=200, required={"id": "no id"})
+    write_or_refuse(docs.where("id = 'a'").withColumn("id", F.lit("a2")), f"{scratch}/out", f"{scratch}/dead", 8)
+    assert sorted(r.id for r in spark.read.json(f"{scratch}/out").collect()) == ["a", "a2"]
+    dead = spark.read.parquet(f"{scratch}/dead").collect()
+    assert sorted((json.loads(r.document)["body"][:4], r.reason, r.batch_id) for r in dead) == [
+        ("both", "no index day", 7), ("y", "no index day", 7), ("z", "no id", 7), ("zzzz", TOO_LARGE, 7)]
