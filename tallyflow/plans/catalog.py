@@ -83,6 +83,9 @@ _ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "stream_state_changes": (Q.stream_state_changes, O.STREAM_STATE_CHANGES),
     "stream_rate_limit": (Q.stream_rate_limit, O.STREAM_RATE_LIMIT),
     "stream_merge_store": (Q.stream_merge_store, O.STREAM_MERGE_STORE),
+    # a ranking that batches update
+    "ranking_updates": (Q.ranking_updates, O.RANKING_UPDATES),
+    "ranking_of_requests": (Q.ranking_of_requests, O.RANKING_OF_REQUESTS),
     # look-ups that open the requested part of a store, and as of a time
     "store_lookup_words": (Q.store_lookup_words, O.STORE_LOOKUP_WORDS),
     "store_lookup_projects": (Q.store_lookup_projects, O.STORE_LOOKUP_PROJECTS),

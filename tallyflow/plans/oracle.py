@@ -494,3 +494,9 @@ INDEX_REFUSED = f"""
 SELECT msg_id, project_name, class_name, _index, reason, CAST(0 AS BIGINT) AS batch_id
 FROM ({_DOCUMENTS}) WHERE reason IS NOT NULL
 """
+
+RANKING_UPDATES = TOP_WORDS
+RANKING_OF_REQUESTS = f"""
+SELECT word, count, rank FROM (SELECT word, count, rank() OVER (ORDER BY count DESC) AS rank FROM ({_WC_SPACE}))
+WHERE word IN (SELECT word FROM ({_REQ_TOKENS}))
+"""

@@ -31,6 +31,7 @@ from tallyflow.sinks.documents import write_documents_batch, write_or_refuse
 from tallyflow.sinks.keyed_store import KeyedStore
 from tallyflow.sinks.records import append_batch, to_records
 from tallyflow.sinks.snapshot import KeyedSnapshot
+from tallyflow.sinks.sorted_set import SortedSet
 from tallyflow.sources import adapters
 from tallyflow.sources.literal import request_strings
 from tallyflow.sources.streams import file_spec, in_slices, read_stream, write_feed
@@ -623,7 +624,7 @@ def store_lookup_words(spark, sf_dir):
     """The running word counts of several micro-batches upserted into
     a store merged on reading, and all request tokens answered from it."""
     path = _folder(spark, "word-store")
-    store = KeyedStore(spark, f"{path}/store", ("word",), ("count",), "batch", max_deltas=3,
+    store = KeyedStore(spark, f"{path}/store", ("word",), ("count",), "batch", buckets=16, max_deltas=3,
                        schema="word string, count long, batch long")
     counts = forms.running_word_count(_word_feed(spark, sf_dir, path), "text", wc.SPACE)
     _run(counts.writeStream.outputMode("update").foreachBatch(
@@ -631,6 +632,26 @@ def store_lookup_words(spark, sf_dir):
     return jobs.store_lookup(_request_tokens(spark, sf_dir), store, "word", on_miss=lk.ZERO)
 
 
+def _word_set(spark, sf_dir):
+    """The running word counts of several micro-batches as a sorted set."""
+    path = _folder(spark, "word-set")
+    ranking = SortedSet(spark, f"{path}/set", "word", "count", range_rows=10_000, buckets=8)
+    counts = forms.running_word_count(_word_feed(spark, sf_dir, path), "text", wc.SPACE)
+    _run(counts.writeStream.outputMode("update").foreachBatch(ranking.update), path)
+    return ranking
+
+
+def ranking_updates(spark, sf_dir):
+    """K6 O2: the first page of the set after all updates."""
+    return _word_set(spark, sf_dir).page(1, TOP_WORDS)
+
+
+def ranking_of_requests(spark, sf_dir):
+    """The rank of every word that the requests name."""
+    words = _request_tokens(spark, sf_dir).select("word")
+    return _word_set(spark, sf_dir).ranks(words)
+
+
 # -- windows that move, answers in time, refused documents --------------------------
 
 def sliding_changes(spark, sf_dir):

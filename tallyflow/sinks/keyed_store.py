@@ -111,7 +111,9 @@ class KeyedStore:
             if buckets is not None:
                 df = df.where(F.col(BUCKET).isin(buckets))
             if keys is not None:
-                df = df.where(F.col(self.key_cols[0]).isin(keys))
+                key = F.col(self.key_cols[0])
+                asked = key.isin([k for k in keys if k is not None])
+                df = df.where(asked | key.isNull() if None in keys else asked)
             out = df if out is None else out.unionByName(df)
         return out.drop(BUCKET)
 
@@ -235,12 +237,11 @@ class KeyedStore:
         seen = wanted.groupBy(self._bucket(m).alias("b")).agg(F.count("*").alias("n")).collect()
         keys = None
         if len(self.key_cols) == 1 and sum(r["n"] for r in seen) <= LISTED_KEYS:
-            keys = [r[0] for r in wanted.where(F.col(self.key_cols[0]).isNotNull()).collect()]
+            keys = [r[0] for r in wanted.collect()]
         return self._rows(m, folders, sorted(r["b"] for r in seen), keys)
 
     def read_keys(self, requested: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
-        """``read`` of at least the requested keys (others may come with them;
-        null keys answer nothing)."""
+        """``read`` of at least the requested keys (others may come with them)."""
         m = self.manifest()
         rows = None if self._gone(m, _micros(as_of)) else self.scan(requested, m)
         if rows is None:

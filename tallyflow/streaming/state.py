@@ -63,7 +63,8 @@ class LatestWithTTL(StatefulProcessor):
             pdf = pdf[pdf[self.order_col].notna()]
             if pdf.empty:
                 continue
-            i = pdf[self.order_col].idxmax()
+            # of equal times the greatest value, so no order of arrival matters
+            i = pdf.sort_values([self.order_col, self.value_col], na_position="first").index[-1]
             n, t = pdf.at[i, self.value_col], pdf.at[i, self.order_col]
             if best is None or t >= best[1]:
                 best = (None if pd.isna(n) else int(n), t)
@@ -77,21 +78,54 @@ class LatestWithTTL(StatefulProcessor):
         pass
 
 
+# A task of the first level holds this many keys at most, then hands them on.
+PARTIAL_KEYS = 100_000
+
+
+def partial_latest(df: DataFrame, key: str, value_col: str = "n", order_col: str = "updated_at",
+                   salts: int | None = None) -> DataFrame:
+    """Rows ``(key, value, order)`` with each task's latest row per key only (of
+    equal times the greatest value); rows without an order time are left out.
+
+    Stateless, so it runs before the stateful operator of a stream: of a key with
+    a third of all rows one row per task is shuffled to its state. The rows of a
+    key that lies in one piece of the source (a keyed topic) are first spread
+    over ``salts`` tasks by a hash of the row.
+    """
+    cols, schema = [key, value_col, order_col], df.select(key, value_col, order_col).schema
+    rows = df.select(*cols).where(F.col(order_col).isNotNull())
+    if salts:
+        rows = rows.repartition(salts, key, F.pmod(F.xxhash64(*cols), F.lit(salts)))
+
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for b in batches:
+            b = b if held is None else pd.concat([held, b], ignore_index=True)
+            held = (b.sort_values([order_col, value_col], na_position="first", kind="stable")
+                    .drop_duplicates(key, keep="last"))
+            if len(held) >= PARTIAL_KEYS:
+                yield held
+                held = None
+        if held is not None:
+            yield held
+
+    return rows.mapInPandas(reduce, schema)
+
+
 def latest_with_ttl_stream(df: DataFrame, key: str, value_col: str = "n",
                            order_col: str = "updated_at",
-                           ttl_seconds: int = DEFAULT_TTL_SECONDS) -> DataFrame:
+                           ttl_seconds: int = DEFAULT_TTL_SECONDS, salts: int | None = None) -> DataFrame:
     """Apply ``LatestWithTTL`` to a stream of ``(key, value, order)`` rows.
 
-    Feed it aggregated rows (e.g. per-window counts): the stateful operator
-    receives every row of a key in one task, with no partial aggregation
-    before its shuffle, so raw events of a hot key should be counted first.
-    Spark rejects a windowed append-mode count feeding this operator in the
+    In two levels: ``partial_latest`` (with ``salts``) per task, then the state
+    of each key. Spark rejects a windowed append-mode count feeding this operator in the
     same query (global-watermark correctness check), so such counts come
     from another query's output (files or a topic); the rolling job instead
     upserts its closed windows into a TTL snapshot.
     """
     staged = df.select(df[key].cast("string").alias(key), df[value_col].cast("long").alias(value_col),
                        df[order_col].cast("timestamp").alias(order_col))
+    staged = partial_latest(staged, key, value_col, order_col, salts)
     return staged.groupBy(key).transformWithStateInPandas(
         statefulProcessor=LatestWithTTL(key, value_col, order_col, ttl_seconds),
         outputStructType=latest_output_schema(key),
