@@ -77,16 +77,19 @@ class Encoder:
     distinct words of a batch are encoded joined (their ids told apart by the
     space each begins with), and a text's ids are put together from its words'.
     The words last seen are kept, ``CACHE_WORDS`` of them and those of one
-    batch at most. Texts with other spacing are encoded whole, as are all
-    texts with another tokenizer.
+    batch at most. Texts with other spacing are encoded whole, as are texts
+    that hold one of the tokenizer's added tokens (such as ``<|endoftext|>``) and
+    all texts with another tokenizer. Added tokens in a text become their ids,
+    as the library does it; with ``special_as_text`` they are plain text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = special_as_text
         spec = json.loads(self.tok.to_str())
+        self.added = sorted({t["content"] for t in spec.get("added_tokens") or [] if t["content"]})
         pre = spec.get("pre_tokenizer") or {}
         self.by_word = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                         and not pre.get("add_prefix_space") and spec.get("normalizer") is None)
@@ -137,10 +140,18 @@ class Encoder:
         coded = cut.flatten().dictionary_encode()
         words, at = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
         # a space before another space or at the end leaves a piece that is
-        # empty or begins with one: such texts are encoded whole
+        # empty or begins with one: such texts are encoded whole, as are those
+        # with an added token
         first = pc.utf8_slice_codeunits(words, 0, 1)
-        odd = pc.or_(pc.equal(first, ""), pc.utf8_is_space(first)).to_numpy(zero_copy_only=False)
-        whole = np.flatnonzero(np.add.reduceat(odd[at], starts[:-1]) > 0)
+        odd = pc.or_(pc.equal(first, ""), pc.utf8_is_space(first))
+        spaced = np.zeros(len(texts), dtype=bool)       # texts with an added token that has a space
+        for token in [] if self.tok.encode_special_tokens else self.added:
+            if " " in token:
+                spaced |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+            else:
+                odd = pc.or_(odd, pc.match_substring(words, token))
+        odd = odd.to_numpy(zero_copy_only=False)
+        whole = np.flatnonzero((np.add.reduceat(odd[at], starts[:-1]) > 0) | spaced)
         place = np.zeros(len(words), dtype=np.int64)
         place[~odd] = self._places(words.filter(pa.array(~odd)))
         heads = self.whole(words.take(pa.array(at[starts[:-1]])).to_pylist())

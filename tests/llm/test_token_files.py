@@ -24,9 +24,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def tok():
-    t = Tokenizer.from_file(BPE)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(BPE)
 
 
 PIECES = [*"ab Z9.,'!\n\t\u00e9 \u3000\x1c\x85\u00f1\u4e2d", "'s", "  ", " the", "<|endoftext|>"]
@@ -44,6 +42,17 @@ def test_words_give_the_ids_of_whole_texts(tok, texts):
 ENCODER = tf.Encoder(BPE)
 
 
+def test_added_tokens_become_their_ids_or_text(tok):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "plain a b", "a <|endoftext|>"]
+    own = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(50256 in i for i in own) == 4
+    assert ENCODER(pa.array(texts)) == [struct.pack(f"<{len(i)}I", *i) for i in own]
+    text = Tokenizer.from_file(BPE)
+    text.encode_special_tokens = True
+    assert tf.Encoder(BPE, special_as_text=True)(pa.array(texts)) == [
+        struct.pack(f"<{len(i)}I", *i) for i in (text.encode(t, add_special_tokens=False).ids for t in texts)]
+
+
 def test_other_tokenizers_encode_whole_texts():
     path = P.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
