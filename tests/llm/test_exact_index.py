@@ -19,8 +19,30 @@ def test_index_keeps_what_came_first(spark):
     # the index side of the anti-join is read by bucket, without a shuffle
     plan = batch((5, "z")).join(index.read().hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
-    index.drop()
-    assert index.read() is None
+    index.close()
+
+
+
+def test_two_sessions_on_one_path(spark, scratch):
+    """A second session opens the path, finds the digests and the buckets, and
+    adds; compaction leaves one file a bucket; nothing lies in the warehouse."""
+    rows = lambda s, *r: digests(s.createDataFrame(r, "doc_id long, text string"))
+    first = DigestIndex(spark, f"{scratch}/index", buckets=3)
+    first.add(rows(spark, (1, "a"), (2, "b"), (2, "B")))
+    other = spark.newSession()
+    second = DigestIndex(other, f"{scratch}/index", buckets=9, most_files=3)
+    assert second.buckets == 3 and second.read().count() == 2
+    plan = rows(other, (5, "z")).join(second.read().hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    second.add(rows(other, (9, "A"), (8, "c")))
+    second.add(rows(other, (7, "d"), (6, "C")))             # the third file: compacted
+    assert second.layout["files"] == 1 and second.layout["folder"] == "files-1"
+    third = DigestIndex(spark.newSession(), f"{scratch}/index")
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert {bytes(r.digest).hex(): r.keep_id for r in third.read().collect()} == {sha("a"): 1, sha("b"): 2, sha("c"): 8, sha("d"): 7}
+    assert len(third.read().inputFiles()) <= 3 and all(f"{scratch}/index/" in f for f in third.read().inputFiles())
+    third.compact()
+    assert third.read().count() == 4 and third.layout["before"] == "files-1"
 
 
 def test_odd_rows(odd_docs, no_docs):
