@@ -143,7 +143,7 @@ def plan(keyed: DataFrame, most: int = MOST) -> DataFrame:
     """Per source key and size: n, source_size, target, passes, and ``cut``:
     a document is taken once more when its order is at most the cut."""
     rows = keyed.select(F.col("_mix_skey").alias("skey"), F.col("_mix_size").alias("size"),
-                        F.col("_mix_order").alias("o"))
+                        F.col("_mix_order").alias("o"), F.col("_mix_tie").alias("t"))
     hist = stage(rows.groupBy("skey", "size").agg(F.count("*").alias("n")), "size-counts")
     sources = targets(hist.groupBy("skey").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), most)
     fitted = stage(hist.join(sources, "skey").groupBy("skey").applyInPandas(
@@ -158,18 +158,19 @@ def plan(keyed: DataFrame, most: int = MOST) -> DataFrame:
         F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / F.greatest(F.lit(BUCKET_ROWS), F.sqrt("n"))))).cast("int")
         .alias("bits"))
     bucket = F.expr("if(bits = 0, 0L, shiftright(o, 64 - bits))").alias("bucket")
-    member = join_groups(rows, some, ["skey", "size"], "n").select("skey", "size", "take", "o", bucket)
+    member = join_groups(rows, some, ["skey", "size"], "n").select("skey", "size", "take", "o", "t", bucket)
     key = ["skey", "size"]
     counts = member.groupBy(*key, "bucket", "take").agg(F.count("*").alias("c"))
     w = Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     edge = (counts.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
             .where("before < take and before + c >= take")
             .select(*key, "bucket", F.col("c").alias("rows"), (F.col("take") - F.col("before")).alias("rank")))
-    inside = join_groups(member.select(*key, "bucket", "o"), stage(edge, "size-edges"),
+    inside = join_groups(member.select(*key, "bucket", "o", "t"), stage(edge, "size-edges"),
                          [*key, "bucket"], "rows")
-    nth = F.row_number().over(Window.partitionBy(*key, "bucket").orderBy("o"))
-    cuts = inside.withColumn("nth", nth).where("nth = rank").select(*key, F.col("o").alias("cut"))
-    every = F.when(F.col("take") >= F.col("n"), F.lit((1 << 63) - 1))
+    nth = F.row_number().over(Window.partitionBy(*key, "bucket").orderBy("o", "t"))
+    cuts = inside.withColumn("nth", nth).where("nth = rank").select(*key, F.struct("o", "t").alias("cut"))
+    last = F.lit((1 << 63) - 1)
+    every = F.when(F.col("take") >= F.col("n"), F.struct(last.alias("o"), last.alias("t")))
     return stage(fitted.join(cuts, key, "left").select(
         *key, "n", "source_size", "target", "passes",
         F.when(F.col("take") > 0, F.coalesce("cut", every)).alias("cut")), "mix-plan")
@@ -185,14 +186,21 @@ def _decide(keyed: DataFrame, most: int) -> DataFrame:
         out = keyed.join(F.broadcast(p), keys)
     else:
         out = join_groups(keyed, p, keys, "_mix_n")
-    more = F.coalesce((F.col("_mix_order") <= F.col("_mix_cut")).cast("int"), F.lit(0))
+    at = F.struct(F.col("_mix_order").alias("o"), F.col("_mix_tie").alias("t"))
+    more = F.coalesce((at <= F.col("_mix_cut")).cast("int"), F.lit(0))
     return out.withColumn("_mix_copies", F.col("_mix_passes") + more)
 
 
+def _staged(keyed: DataFrame) -> DataFrame:
+    """Sizes and orders made once, each row with a number of its own: of rows
+    that repeat both doc_id and text the cut can take any part, and which of
+    them makes no difference."""
+    return stage(keyed.withColumn("_mix_tie", F.monotonically_increasing_id()), "mix-rows")
+
+
 def decisions(docs: DataFrame, seed: int = 10, most: int = MOST) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
-    keyed = stage(docs.select("doc_id", *[c.alias(k) for k, c in _keys(seed).items()]), "mix-rows")
-    return _decide(keyed, most).select(
+    return _decide(_staged(docs.select("doc_id", *[c.alias(k) for k, c in _keys(seed).items()])), most).select(
         "doc_id", F.col("_mix_size").alias("size"), F.col("_mix_source_size").alias("source_size"),
         F.col("_mix_target").alias("target"),
         (F.col("_mix_size") * F.col("_mix_copies")).alias("taken"))
@@ -202,7 +210,7 @@ def mix(docs: DataFrame, seed: int = 10, most: int = MOST) -> DataFrame:
     """The mixed documents with the columns of ``docs``: a document taken k
     times comes k times; sizes of 0 go with their source's whole passes, and
     stay where the source has none."""
-    out = _decide(wrapped(docs, **_keys(seed)), most)
+    out = _decide(_staged(wrapped(docs, **_keys(seed))), most)
     copies = F.when(F.col("_mix_size") == 0, F.greatest(F.col("_mix_passes"), F.lit(1))).otherwise(
         F.col("_mix_copies"))
     return (out.withColumn("_mix_copies", copies).where("_mix_copies > 0")

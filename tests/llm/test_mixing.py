@@ -90,6 +90,23 @@ def test_mix_of_made_sources(spark, monkeypatch):
         r.doc_id: r.taken // r.size for r in got if r.taken}
 
 
+def test_repeated_rows_meet_the_target(spark):
+    """A source of equal rows (one with null ids) is taken as near its target as
+    any other; reruns over other partitions take the same."""
+    rows = [(7, "a", "w w w")] * 1000 + [(None, "b", "x y")] * 700 + [(i, "c", "z " * (i % 5 + 1)) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    got = mx.decisions(df).select("doc_id", "size", "source_size", "target", "taken").collect()
+    taken, want = {}, targets({s: sum(len(t.split()) for _, x, t in rows if x == s) for s in "abc"})
+    for r in got:
+        s = "a" if r.doc_id == 7 and r.size == 3 and r.source_size == 3000 else "b" if r.doc_id is None else "c"
+        taken[s] = taken.get(s, 0) + r.taken
+        assert r.taken <= 3 * r.size
+    assert all(abs(taken[s] - want[s]) <= 2 for s in want), (taken, want)
+    again = mx.decisions(df.repartition(3)).select("doc_id", "size", "source_size", "target", "taken").collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    assert mx.mix(df).where("doc_id = 7 and source = 'a'").count() == taken["a"] / 3
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = mx.decisions(odd_docs)
     assert got.count() == odd_docs.count()
