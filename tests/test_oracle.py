@@ -34,7 +34,12 @@ def test_entry_smoke(spark):
     assert df.columns == E.entry(spark).columns
 
 
-@pytest.mark.parametrize("name", sorted(catalog.queries()))
+# Queries that run streams when they are built; their comparison above checks
+# the columns.
+RUNS = ("stream_", "store_", "ranking_updates", "ranking_of_requests", "index_written", "index_refused")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in catalog.queries() if not n.startswith(RUNS)))
 def test_query_columns_unique_and_stable(spark, name):
     """The driver compares columns sorted by name: names must be unique, and
     the schema the same on every construction."""
