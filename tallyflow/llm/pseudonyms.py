@@ -232,13 +232,14 @@ def rewrite(text: str | None, cipher: Cipher, kinds: dict = KINDS, back: bool =
     ``back`` turns pseudonyms into the values again."""
     if not text:
         return text, {}
-    taken, found = [], {}
+    taken, found, used = [], {}, bytearray(len(text))
     for name, (pattern, permute) in kinds.items():
         for m in pattern.finditer(text):
-            if any(s < m.end() and m.start() < e for s, e, _ in taken):
+            if used.find(1, m.start(), m.end()) >= 0:
                 continue
             new = permute(m, cipher, back)
             if new is not None:
+                used[m.start():m.end()] = b"\x01" * (m.end() - m.start())
                 taken.append((m.start(), m.end(), new))
                 found[name] = found.get(name, 0) + 1
     out, at = [], 0

@@ -2,13 +2,16 @@
 
 import datetime as dt
 import ipaddress
+import os
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tallyflow.llm import pseudonyms as ps
+from tallyflow.llm.queries import KEY, op7_pseudonyms
 from odd_rows import no_docs, odd_docs  # noqa: F401
 
 C = ps.Cipher(b"key one")
@@ -109,3 +112,38 @@ def test_table(spark, odd_docs, no_docs):
     a, b = ps.pseudonymise(df, b"k").orderBy("doc_id").collect()
     assert a.pii == {"email": 1} and b.pii == {"email": 2} and "j.doe" not in a.text + b.text
     assert b.text.count(a.text[5:]) == 2
+
+
+def _plain(text, cipher):
+    """The values kind by kind, each held against every span taken before."""
+    spans = []
+    for name, (pattern, permute) in ps.KINDS.items():
+        for m in pattern.finditer(text or ""):
+            new = permute(m, cipher, False)
+            if new is not None and all(m.end() <= s or e <= m.start() for s, e, _ in spans):
+                spans.append((m.start(), m.end(), new))
+    for s, e, new in sorted(spans, reverse=True):
+        text = text[:s] + new + text[e:]
+    return text, len(spans)
+
+
+def test_time_grows_with_the_values_of_a_text():
+    def seconds(n):
+        text = " ".join(f"10.{k % 250}.{k // 250 % 250}.{k % 199 + 1}" for k in range(n))
+        start = time.process_time()
+        assert ps.rewrite(text, C)[1] == {"ipv4": n}
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(16_000) < 30 * seconds(2_000)      # eight times the values; squared it would be 64
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables not present")
+def test_query_against_a_plain_version(spark):
+    sf = "/root/testdata/sf0.001"
+    cipher = ps.Cipher(KEY)
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: (r.text, r.n_pii) for r in op7_pseudonyms(spark, sf).collect()}
+    assert got == {i: _plain(t, cipher) for i, t in docs.items()} and any(n for _, n in got.values())
+    assert all(ps.rewrite(t, cipher, back=True)[0] == docs[i] for i, (t, _) in got.items())
+    assert all(t == docs[i] for i, (t, _) in got.items() if not re.search(r"[\d@]", docs[i] or ""))
