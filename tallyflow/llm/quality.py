@@ -7,12 +7,14 @@ collapse) with a mark for a word that repeats the one before; all are hashed
 into ``2**bits`` weights. A feature counts log(1 + occurrences), each of the two
 groups scaled to length 1.
 
-Labels are learned from a bounded sample (``max_train`` rows, the first in the
-order of a hash of the id), one after the other in that order; the model is a
-vector of fixed length. Every whole text is scored. Null and empty texts have
-only the constant feature. Without labels every score is 0.5. Rows are scored
-one by one, so repeated rows and extra columns change nothing; labels that are
-null are left out, and a doc_id labelled more than once counts with its mean.
+Labels are learned from a bounded sample (``max_train`` ids, the first in the
+order of a hash of the id, and of those the first that have ``max_features``
+features together), one after the other in that order; the model is a vector of
+fixed length. Every whole text is scored. Null and empty texts have only the
+constant feature. Without labels every score is 0.5. Rows are scored one by one.
+An id is learned once, by the smallest of its texts (null counts as empty), so
+repeated rows and extra columns change nothing; labels that are null are left
+out, and a doc_id labelled more than once counts with its mean.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from tallyflow.llm.common import small_batches, wrapped
 
 BITS = 18
 MAX_TRAIN = 12_000
+MAX_FEATURES = 1 << 26
 EPOCHS = 2
 THRESHOLD = 0.3
 CACHE_WORDS = 200_000
@@ -121,16 +124,18 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int = BITS,
-          max_train: int = MAX_TRAIN, epochs: int = EPOCHS) -> np.ndarray:
+          max_train: int = MAX_TRAIN, epochs: int = EPOCHS, max_features: int = MAX_FEATURES) -> np.ndarray:
     """The weights learned from ``labels`` (doc_id, label) outside the held-out
-    fold. Ids of at most ``max_train`` labelled rows are broadcast to find
-    their texts; their features (not texts) meet in one task in hash order."""
+    fold. At most ``max_train`` labelled ids are broadcast to find their texts;
+    their features (not texts), ``max_features`` at most, meet in one task in
+    hash order."""
     small_batches(docs.sparkSession)
     ids = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
            .where(~held_out(F.col("doc_id")))
            .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg(label).alias("y"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
+    texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+             .join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")))
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Features(bits)
@@ -141,12 +146,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int
                                 "v": [v.astype(np.float32).tobytes() for _, v in got]})
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32).astype(float), y)
-                for b in batches for i, v, y in zip(b["i"], b["v"], b["y"])]
+        rows, size = [], 0
+        for b in batches:
+            for i, v, y in zip(b["i"], b["v"], b["y"]):
+                size += len(i) // 4
+                if size <= max_features:
+                    rows.append((np.frombuffer(i, np.int32), np.frombuffer(v, np.float32), y))
         model = FTRL(bits)
         for _ in range(epochs):
-            for row in rows:
-                model.update(*row)
+            for i, v, y in rows:
+                model.update(i, v.astype(float), y)
         yield pd.DataFrame({"w": [model.weights().astype(np.float32).tobytes()]})
 
     rows = (texts.mapInPandas(featurise, "doc_id long, y double, i binary, v binary")

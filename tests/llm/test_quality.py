@@ -1,10 +1,13 @@
 """op9: the learner, the fold, held-out accuracy and the odd cases."""
 
+import math
 import os
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from tallyflow.llm import quality as q
 from tallyflow.llm.queries import op9_quality
@@ -57,6 +60,72 @@ def test_labels_of_the_held_out_fold_are_not_read(spark):
     assert (q.train(df, df) == q.train(df, flipped)).all()
 
 
+def test_repeated_rows_change_nothing(spark):
+    rows = [(i, f"good words number {i}" if i % 2 else f"BAD!! {i} BAD!!", i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    other = spark.createDataFrame([(i, f"later {i}") for i in range(60)], "doc_id long, text string")
+    once = q.train(df, df)
+    assert once.any() and (once == q.train(df.unionByName(df).unionByName(df), df)).all()
+    assert (once[:] == q.train(df.select("doc_id", "text").unionByName(other.withColumn("text", q.F.concat(
+        q.F.lit("zzz "), "text"))), df)).all()
+
+
+def test_bounds_of_the_sample(spark):
+    rows = [(i, "good words " + "x " * i if i % 2 else f"BAD!! {i} BAD!!", i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    assert (q.train(df, df, max_features=10 ** 6) == q.train(df, df)).all()
+    assert not q.train(df, df, max_features=0).any() and not q.train(df, df, max_train=0).any()
+
+
+def _plain_features(text):
+    """{index: value} by plain integers."""
+    def mix(x, seed):
+        x = (x ^ (0x9E3779B97F4A7C15 * seed)) * 0xBF58476D1CE4E5B9 % 2 ** 64
+        x = (x ^ x >> 29) * 0x94D049BB133111EB % 2 ** 64
+        return x ^ x >> 32
+
+    words = (text or "").split()
+    h = [xxhash.xxh3_64_intdigest(w.encode()) for w in words]
+    shapes = [xxhash.xxh3_64_intdigest(q.shape(w).encode()) for w in words]
+    shapes = [mix((2 * s + (k > 0 and h[k] == h[k - 1])) % 2 ** 64, 3) for k, s in enumerate(shapes)]
+    out = [(0, 1.0)]
+    for xs, seed in ((h, 5), (shapes, 7)):
+        grams = [mix(x % 2 ** 64, seed) for x in xs] + [mix((31 * a + b) % 2 ** 64, seed + 10) for a, b in zip(xs, xs[1:])]
+        n = Counter((g & (1 << q.BITS) - 2) + 1 for g in grams)
+        length = math.sqrt(sum(math.log1p(c) ** 2 for c in n.values()))
+        out += [(i, math.log1p(c) / length) for i, c in sorted(n.items())]
+    return out
+
+
+def _plain_scores(docs, labels, alpha=0.3, beta=1.0, l1=0.02, l2=0.5):
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= l1 else (math.copysign(l1, z[i]) - z[i]) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    rows = [(_plain_features(docs[i]), labels[i]) for i in labels if i in docs]
+    score = lambda f: 1 / (1 + math.exp(-sum(weight(i) * v for i, v in f)))
+    for _ in range(2):
+        for f, y in rows:
+            p, old = score(f), [weight(i) for i, _ in f]
+            for (i, v), w in zip(f, old):
+                g = (p - y) * v
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha * w
+                n[i] += g * g
+    return {i: score(_plain_features(t)) for i, t in docs.items()}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_query_against_a_plain_learner(spark):
+    sf = SF.replace("0.1", "0.001")
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = (spark.read.parquet(f"{sf}/labels.parquet").where("quality is not null and crc32(cast(doc_id as string)) % 5 <> 0")
+              .orderBy(q.F.xxhash64(q.F.col("doc_id").cast("long")), "doc_id").collect())
+    want = _plain_scores(docs, {r.doc_id: r.quality for r in labels})
+    got = {r.doc_id: r.score for r in op9_quality(spark, sf).collect()}
+    assert got == pytest.approx(want, abs=2e-3) and len({round(p, 3) for p in want.values()}) > 5
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_held_out_accuracy(spark):
     got = {r.doc_id: r for r in op9_quality(spark, SF).collect()}
