@@ -6,7 +6,12 @@ the page with the smallest id; payloads under ``min_bytes`` are always written
 in full. The reader checks every record (gzip CRC and length, version line,
 header lines and the needed ones, Content-Length, block digest, closing blank lines). After a
 failed check it searches for the next valid gzip member or version line, goes
-on from there, and logs the bytes between as a quarantined gap.
+on from there, and logs the bytes between as a quarantined gap. What inflates of
+a damaged gzip member is searched too: its records that the damage cannot have
+touched are recovered (with the member's offset, and the damage as their reason),
+and the member is logged as a gap. A member that inflates to more than
+``MEMBER_BYTES`` counts as damaged there. One task reads one archive whole, and
+Spark reads files up to 2 GiB.
 
 A null payload counts as empty. Pages without a page_id are always written in
 full and nothing refers to them; rows that repeat the smallest page_id and its
@@ -41,6 +46,8 @@ TAIL = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00\x00\x0
 
 DATE = "2024-01-01T00:00:00Z"
 SHARD_BYTES = 8 << 20
+MEMBER_BYTES = 1 << 30
+CHUNK = 1 << 16
 CRLF = b"\r\n"
 # a header line: a token, a colon, a value without control characters
 HEADER = re.compile(rb"([!#$%&'*+.^_`|~0-9A-Za-z-]+):[ \t]*([^\x00-\x08\x0a-\x1f\x7f]*)")
@@ -127,6 +134,7 @@ class Record(NamedTuple):
     offset: int
     headers: dict[str, str]
     block: bytes
+    damage: str | None = None
 
     @property
     def payload(self) -> bytes:
@@ -172,23 +180,73 @@ def parse(data: bytes, at: int) -> tuple[Record, int]:
 
 
 def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """The content of the gzip member at ``at`` and the offset after it."""
-    z = zlib.decompressobj(31)
-    try:
-        content = z.decompress(memoryview(data)[at:])
-    except zlib.error as e:
-        raise Bad(f"gzip: {e}") from None
-    if not z.eof:
-        raise Bad("gzip: the member is cut off")
-    return content, len(data) - len(z.unused_data)
+    """The content of the gzip member at ``at`` and the offset after it.
+
+    Fed in chunks: zlib copies what follows the member, here a chunk at most."""
+    z, out, view = zlib.decompressobj(31), bytearray(), memoryview(data)
+    while not z.eof:
+        if at >= len(data):
+            raise Bad("gzip: the member is cut off")
+        try:
+            out += z.decompress(view[at:at + CHUNK])
+        except zlib.error as e:
+            raise Bad(f"gzip: {e}") from None
+        if len(out) > MEMBER_BYTES:
+            raise Bad(f"gzip: the member inflates to more than {MEMBER_BYTES} bytes")
+        at = min(at + CHUNK, len(data))
+    return bytes(out), at - len(z.unused_data)
+
+
+def _inflated(data: bytes, at: int) -> tuple[bytes, str]:
+    """What the damaged member at ``at`` gives before the damage shows, and its
+    kind: ``cut`` (the file ends), ``trailer`` (only the length or one byte of
+    the checksum is wrong) or ``inside``."""
+    z, out, view = zlib.decompressobj(31), bytearray(), memoryview(data)
+    while at < len(data) and len(out) <= MEMBER_BYTES:
+        before = z.copy()
+        try:
+            out += z.decompress(view[at:at + CHUNK])
+        except zlib.error:
+            break
+        at += CHUNK
+    else:
+        return bytes(out), "cut" if at >= len(data) else "inside"
+    for k in range(at, min(at + CHUNK, len(data))):
+        try:
+            out += before.decompress(view[k:k + 1])
+        except zlib.error as e:
+            differs = (zlib.crc32(out) ^ int.from_bytes(data[k - 3:k + 1], "little")).to_bytes(4, "little")
+            trailer = "length check" in str(e) or "data check" in str(e) and sum(map(bool, differs)) == 1
+            return bytes(out), "trailer" if trailer else "inside"
+    return bytes(out), "inside"
+
+
+def _recovered(data: bytes, at: int, damage: str) -> list[Record]:
+    """The records of the damaged member at ``at`` that can be trusted.
+
+    With a damaged trailer all do. Else a record needs a block digest that is
+    right. Headers have no digest, and damage spreads to what is inflated after
+    it: with damage inside, only records before one that fails its checks
+    count, and where none fails, the damage may be in any header."""
+    content, kind = _inflated(data, at)
+    good, located = [], False
+    for x in salvage(content):
+        if isinstance(x, Gap):
+            located = True
+            if kind == "inside":
+                break
+        elif kind == "trailer" or x.headers.get("warc-block-digest", "").startswith("sha1:"):
+            good.append(x._replace(offset=at, damage=damage))
+    return good if kind != "inside" or located else []
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
     """The records of an archive, gzip members or plain, and the gaps between."""
     at, bad, reason = 0, None, ""
     while at < len(data):
+        gzip = data.startswith(GZIP, at)
         try:
-            if data.startswith(GZIP, at):
+            if gzip:
                 content, after = _member(data, at)
                 found = list(salvage(content)) if content else []
                 if content and not any(isinstance(x, Record) for x in found):
@@ -200,6 +258,8 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
         except Bad as e:
             if bad is None:
                 bad, reason = at, str(e)
+            if gzip:
+                yield from _recovered(data, at, str(e))
             likely = LIKELY.search(data, at + 1)
             at = likely.start() if likely else len(data)
             continue
@@ -218,7 +278,8 @@ SCHEMA = ("path string, offset long, gap_bytes long, reason string, page_id long
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Records and gaps of the archives under ``path``; ``gap_bytes`` is null
-    for a record, and a gap has no record columns."""
+    for a record, and a gap has no record columns. A record from a damaged
+    member has a ``reason``."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in SCHEMA.split(", ")]
         for b in batches:
@@ -237,7 +298,7 @@ def _row(path: str, x: Record | Gap) -> tuple:
     revisit = h.get("warc-type") == "revisit"
     size = number("warc-payload-length") if revisit else len(x.payload)
     digest = h.get("warc-payload-digest", "").removeprefix("sha1:") if revisit else sha1_base32(x.payload)
-    return (path, x.offset, None, None, number("warc-page-id"), h.get("warc-type"),
+    return (path, x.offset, None, x.damage, number("warc-page-id"), h.get("warc-type"),
             h.get("warc-target-uri"), size, digest, number("warc-refers-to-page-id"))
 
 

@@ -62,6 +62,53 @@ def test_salvage(plain, kind):
         assert gaps == [(start[k], start[k + 1]) for k in (3, 7)]
 
 
+def _one_member(n=20):
+    _, parts = _archive(n, plain=True)
+    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return parts, z.compress(b"".join(parts)) + z.flush()
+
+
+@pytest.mark.parametrize("chunk", [warc.CHUNK, 7])
+def test_records_of_a_damaged_member(monkeypatch, chunk):
+    """All records in one member: a bad checksum loses none, a cut only those it
+    takes, and the member is logged; the next member is read as ever."""
+    monkeypatch.setattr(warc, "CHUNK", chunk)
+    _, member = _one_member()
+    after = warc.record(77, "u", b"x", None)
+    flipped = bytearray(member)
+    flipped[-6] ^= 1                                           # of the CRC
+    assert _found(bytes(flipped) + after) == ([*range(20), 77], [(0, len(member))])
+    got = [r for r in warc.salvage(bytes(flipped) + after) if isinstance(r, warc.Record)]
+    assert [r.damage is not None for r in got] == [True] * 20 + [False] and {r.offset for r in got[:20]} == {0}
+    records, gaps = _found(member[:-60])
+    assert 10 <= len(records) < 20 and records == list(range(len(records))) and gaps == [(0, len(member) - 60)]
+    records, gaps = _found(member[:-60] + after)
+    assert records[-1] == 77 and len(records) > 10 and gaps == [(0, len(member) - 60)]
+    broken = bytearray(member)
+    broken[len(member) // 2] ^= 0xFF
+    records, gaps = _found(bytes(broken) + after)
+    assert records[-1] == 77 and records[:3] == [0, 1, 2] and gaps == [(0, len(member))]
+
+
+def test_a_member_without_bound(monkeypatch):
+    monkeypatch.setattr(warc, "MEMBER_BYTES", 3000)
+    small, large = warc.record(1, "u", b"x", None), warc.record(2, "u", b"0" * 10 ** 6, None)
+    monkeypatch.setattr(warc, "CHUNK", 64)
+    assert _found(small + large + small) == ([1, 1], [(len(small), len(small) + len(large))])
+
+
+def test_records_without_digest_need_a_sound_member():
+    plain = b"".join(_archive(6, plain=True)[1])
+    plain = b"\r\n".join(x for x in plain.split(b"\r\n") if not x.startswith(b"WARC-Block-Digest"))
+    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    member = z.compress(plain) + z.flush()
+    assert _found(member) == (list(range(6)), [])
+    assert _found(member[:-6] + bytes([member[-6] ^ 1]) + member[-5:]) == (list(range(6)), [(0, len(member))])
+    assert _found(member[:-1]) == ([], [(0, len(member) - 1)])
+    broken = member[:-12] + bytes([member[-12] ^ 0xFF]) + member[-11:]
+    assert _found(broken) == ([], [(0, len(member))])
+
+
 def test_broken_headers_are_found():
     good = zlib.decompress(warc.record(1, "u", b"x", None), 31)
     for old, new in ((b"WARC-Type", b"WARC-Typo"), (b"WARC-Date: ", b"WARC-Date "), (b"\r\nWARC-Date", b"\rWARC-Date"),
