@@ -47,6 +47,7 @@ _ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "pack_list": (Q.pack_list, O.PACK_LIST),
     "index_documents": (Q.index_documents, O.INDEX_DOCUMENTS),
     "rolling_top_n": (Q.rolling_top_n, O.ROLLING_TOP_N),
+    "rolling_top_users": (Q.rolling_top_users, O.ROLLING_TOP_USERS),
     "rank_latest": (Q.rank_latest, O.RANK_LATEST),
     # rolling project counts: J-ROLL
     "window_count_project": (Q.window_count_project, O.WINDOW_COUNT_PROJECT),

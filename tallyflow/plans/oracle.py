@@ -234,6 +234,14 @@ SELECT window_start, window_end, class_name, n, rank FROM (
 WHERE rank <= 2
 """
 
+ROLLING_TOP_USERS = """
+SELECT window_start, window_start + INTERVAL '24 hours' AS window_end, user_id, n, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, user_id ASC NULLS FIRST) AS rank
+  FROM (SELECT time_bucket(INTERVAL '6 hours', ts) - to_hours(6 * k) AS window_start, user_id, count(*) AS n
+        FROM events, (SELECT unnest([0, 1, 2, 3]) AS k) WHERE ts IS NOT NULL GROUP BY ALL))
+WHERE rank <= 10
+"""
+
 RANK_LATEST = _CALLLOG + """
 , wc AS (
   SELECT time_bucket(INTERVAL '1 hour', event_time) + INTERVAL '1 hour' AS window_end,

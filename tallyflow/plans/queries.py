@@ -19,6 +19,7 @@ from tallyflow.functions.timecols import millis_to_ntz, ntz_to_millis, write_tim
 from tallyflow.operators import calllog as cl
 from tallyflow.operators import lookup as lk
 from tallyflow.operators import panes
+from tallyflow.operators import rolling
 from tallyflow.operators import state as st
 from tallyflow.operators import topn
 from tallyflow.operators import windows as win
@@ -255,6 +256,13 @@ def rolling_top_n(spark, sf_dir):
     return topn.top_n_per_group(counts, TOP_N, order_col="n", key_col="class_name")
 
 
+def rolling_top_users(spark, sf_dir):
+    """The ten busiest users per day, every six hours (ties by id), by
+    a sketch of fixed size per pane."""
+    events = table(spark, sf_dir, "events").select(F.col("ts").alias("event_time"), "user_id")
+    return rolling.rolling_top_n(events, 10, key_col="user_id", length=86400, slide=21600)
+
+
 def rank_latest(spark, sf_dir):
     """K6 O2 A4: the sorted-set listing: each class's count in its latest
     hour, ranked by that count (ties share a rank), ranks <= 3."""
