@@ -18,10 +18,12 @@ meet by document and line. A null text has no lines; units of fewer than two
 words have no bigrams and match nothing. Repeated rows give one result; rows
 without doc_id are one document. Extra columns play no part.
 
-``scan`` (the registered query, fixed by its SQL) sees neither a licence wrapped
-over some of a text's lines nor full licence texts. ``scan_runs`` does: it
-compares every run of consecutive lines, paragraphs and the whole text among
-them, with the notices and with the texts in ``license_texts``.
+``scan`` sees neither a licence wrapped over some of a text's lines nor full
+licence texts. ``scan_runs`` (the registered query) does: it compares every run
+of consecutive lines, paragraphs and the whole text among them, with the notices
+and with the texts in ``license_texts``. A text is first cut, per template, where
+no run can reach from one side to the other, so what is held at once follows the
+template's size, not the text's.
 """
 
 from __future__ import annotations
@@ -201,8 +203,9 @@ def full_templates() -> dict[str, tuple[str, ...]]:
 
 def _occurrences(texts: DataFrame) -> DataFrame:
     """Per text ``h`` its bigrams in order: the line ``i`` of the first word,
-    ``j`` of the second and ``prev``, the line where the bigram last began. Of
-    those that begin on one line only the first is kept."""
+    ``j`` of the second, ``prev``, the line where the bigram last began, and
+    ``next`` (``pos`` and ``j``) of where it begins again. Of those that begin on
+    one line only the first is kept."""
     lines = F.transform(F.split("text", "\n"), normalise)
     words = F.filter(F.flatten(F.transform(lines, lambda line, i: F.transform(
         F.split(line, " "), lambda w: F.struct(w.alias("w"), i.alias("i"))))), lambda x: x.w != "")
@@ -211,18 +214,51 @@ def _occurrences(texts: DataFrame) -> DataFrame:
     grams = F.zip_with(F.slice("w", 1, n), F.slice("w", 2, n), lambda a, b: F.struct(
         F.concat(a.w, F.lit(" "), b.w).alias("gram"), a.i.alias("i"), b.i.alias("j")))
     rows = once.select("h", F.posexplode(grams).alias("pos", "g")).select("h", "pos", "g.*")
-    prev = F.coalesce(F.lag("i").over(Window.partitionBy("h", "gram").orderBy("pos")), F.lit(-1))
-    return rows.withColumn("prev", prev).where(F.col("prev") < F.col("i"))
+    again = Window.partitionBy("h", "gram").orderBy("pos")
+    prev = F.coalesce(F.lag("i").over(again), F.lit(-1))
+    return (rows.withColumn("prev", prev).where(F.col("prev") < F.col("i"))
+            .withColumn("next", F.lead(F.struct("pos", "j")).over(again)))
+
+
+def _islands(occ: DataFrame, text: list[str]) -> DataFrame:
+    """The occurrences that a run of ``least`` can hold, with the ``island`` they
+    are on; no such run has parts of two islands.
+
+    A run that reaches ``least`` has at most ``hi`` bigrams and lacks at most
+    ``gap`` of the template's. It begins and ends on lines that a shared bigram
+    touches. So a line with more than ``hi`` bigrams is in no run, and where more
+    than ``gap`` different bigrams begin between two touched lines, none of them
+    shared, no run goes across.
+    """
+    along = Window.partitionBy(*text).orderBy("pos")
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    line = Window.partitionBy(*text, "i")
+    ends = (F.lag("j").over(along) == F.col("i")) & (F.lag("m").over(along) == 1)
+    occ = occ.withColumn("ends", F.coalesce(ends, F.lit(False)).cast("int"))
+    occ = (occ.withColumn("hit", F.max("m").over(line))
+           .withColumn("touched", F.max(F.greatest("m", "ends")).over(line) == 1)
+           .withColumn("fits", F.sum((F.col("i") == F.col("j")).cast("int")).over(line) <= F.col("hi")))
+    occ = occ.withColumn("used", F.col("touched") & F.col("fits"))
+    occ = occ.withColumn("at", F.last(F.when(F.col("used"), F.col("i")), ignorenulls=True).over(so_far)).where(F.col("at").isNotNull())
+    other = (F.when(F.col("used"), 0).when(~F.col("fits"), F.col("gap") + 1)
+             .otherwise((F.col("prev") < F.col("at")).cast("int")))
+    after = Window.partitionBy(*text, "at")
+    occ = occ.withColumn("cut", F.sum(other).over(after) > F.col("gap"))
+    first = (F.col("pos") == F.min("pos").over(after)) & F.col("cut")
+    occ = occ.withColumn("first", first.cast("int"))
+    occ = occ.withColumn("island", F.sum("first").over(so_far) - F.col("cut").cast("int"))
+    return occ.where(~F.col("cut") | (F.col("used") & (F.col("i") == F.col("j"))))
 
 
 def _best_run() -> Column:
-    """Of ``occs`` (one text and template): the best coefficient of a run of
-    lines, and its first and last line, both negative.
+    """Of ``occs`` (one island): the best coefficient of a run of lines, the
+    shortest and then first of equals, with its length and first line negative.
 
     A bigram counts in a run from line s once: where it begins on s or later and
     ``prev`` is before s. From each start these are counted on; the coefficient is
-    taken where a line is complete. The best run can start on a line where a
-    shared bigram begins, and more than ``hi`` bigrams are too many for ``least``.
+    taken where a line is complete. The best run starts on a line where a shared
+    bigram begins that does not come again in the run (without that line it would
+    be as good), and more than ``hi`` bigrams are too many for ``least``.
     """
     n = F.size("occs")
     at = lambda k: F.get("occs", k)
@@ -230,10 +266,12 @@ def _best_run() -> Column:
         (k == 0) | (F.coalesce(at(k - 1).i, F.lit(-1)) != at(k).i)))
 
     def counted(k: Column) -> Column:
-        new = lambda size: F.filter(F.slice("occs", k + 1, size), lambda x: x.prev < at(k).i)
-        span = 4 * (F.col("hi") + 1)
+        new = lambda size: F.filter(F.slice("occs", k + 1, size), lambda x: (
+            x.prev < at(k).i) & (x.j < at(k).stop.j))
+        most = F.least(n, at(k).stop.pos - at(k).pos + 1)
+        span = F.least(most, 4 * (F.col("hi") + 1))
         # mostly a few times hi is enough to see more than hi different ones
-        near = F.when((F.size(new(span)) > F.col("hi")) | (k + span >= n), new(span)).otherwise(new(n))
+        near = F.when((span >= most) | (F.size(new(span)) > F.col("hi")), new(span)).otherwise(new(most))
         return F.slice(near, 1, F.col("hi") + 1)
 
     def closed(acc: Column) -> tuple[Column, Column]:
@@ -249,38 +287,46 @@ def _best_run() -> Column:
     zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("c"), F.lit(-1).alias("j"),
                     F.lit(0.0).alias("best"), F.lit(-1).alias("end"))
     return F.array_max(F.transform(starts, lambda k: F.aggregate(counted(k), zero, step, lambda acc: F.struct(
-        closed(acc)[0].alias("dice"), (-at(k).i).alias("first"), (-closed(acc)[1]).alias("last")))))
+        closed(acc)[0].alias("dice"), (at(k).i - closed(acc)[1]).alias("more"), (-at(k).i).alias("first")))))
 
 
 def scan_runs(docs: DataFrame, least: float = LEAST,
               templates: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Per document and licence: the best coefficient of its runs of consecutive
-    lines, and the first and last line of that run (the first of equals).
+    lines, and the first and last line of that run (the shortest and then first
+    of equals).
 
     A run that reaches ``least`` shares at least ``lo`` bigrams with the template,
     so only texts that hold as many are taken apart.
     """
     t = _templates(docs, templates or full_templates(), least)
+    t = t.withColumn("gap", F.floor(F.col("b") * 2 * (1 - least) / least + 1e-9))
     docs = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.sha2("text", 256).alias("h"))
     post = t.select("license", "wording", F.explode("grams").alias("gram"))
     key = ["license", "wording"]
     cand = (docs.select("h", F.explode(bigrams(normalise(F.col("text")))).alias("gram"))
             .join(F.broadcast(post), "gram").select("h", *key, "gram").distinct()
             .groupBy("h", *key).agg(F.count("*").alias("c"))
-            .join(F.broadcast(t.select(*key, F.col("b").cast("int").alias("b"), F.col("lo"),
-                                       F.col("hi").cast("int").alias("hi"))), key)
-            .where(F.col("c") >= F.col("lo")).drop("c", "lo"))
+            .join(F.broadcast(t.select(*key, F.col("b").cast("int").alias("b"), F.col("lo").cast("int").alias("lo"),
+                                       F.col("hi").cast("int").alias("hi"), F.col("gap").cast("int").alias("gap"))), key)
+            .where(F.col("c") >= F.col("lo")).drop("c"))
     texts = docs.join(cand.select("h").distinct(), "h", "left_semi").select("h", "text").distinct()
     occ = (_occurrences(texts).join(cand, "h")
            .join(F.broadcast(post.withColumn("m", F.lit(1))), [*key, "gram"], "left")
            .withColumn("m", F.coalesce("m", F.lit(0))))
-    occ = occ.withColumn("hit", F.max("m").over(Window.partitionBy("h", *key, "i")))
-    best = (occ.groupBy("h", *key, "b", "hi")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "i", "j", "prev", "m", "hit"))).alias("occs"))
+    occ = _islands(occ, ["h", *key])
+    never = F.struct(F.lit(2**30).alias("pos"), F.lit(2**30).alias("j"))
+    again = F.max(F.when(F.col("m") == 1, F.coalesce("next", never))).over(Window.partitionBy("h", *key, "i"))
+    best = (occ.withColumn("stop", F.coalesce(again, never))
+            .groupBy("h", *key, "island", "b", "lo", "hi")
+            .agg(F.sum("m").alias("c"),
+                 F.sort_array(F.collect_list(F.struct("pos", "i", "j", "prev", "m", "hit", "stop"))).alias("occs"))
+            .where(F.col("c") >= F.col("lo"))
             .select("h", "license", _best_run().alias("run")).where(F.col("run.dice") >= least))
+    first = 1 - F.col("run.first")
     return (docs.select("doc_id", "h").join(best, "h").groupBy("doc_id", "license").agg(F.max("run").alias("run"))
-            .select("doc_id", "license", "run.dice", (1 - F.col("run.first")).alias("first_line"),
-                    (1 - F.col("run.last")).alias("last_line")))
+            .select("doc_id", "license", "run.dice", first.alias("first_line"),
+                    (first - F.col("run.more")).alias("last_line")))
 
 
 def _sql_text(s: str) -> str:
@@ -289,21 +335,31 @@ def _sql_text(s: str) -> str:
 
 ORACLE = f"""
 WITH tpl(license, wording, body) AS (VALUES {', '.join(
-    f"({_sql_text(lic)}, {k}, {_sql_text(t)})" for lic, ts in TEMPLATES.items() for k, t in enumerate(ts))}),
-units AS (SELECT doc_id, unnest(list_append(string_split(text, chr(10)), text)) AS body FROM documents),
-alltexts AS (SELECT 'u' AS kind, doc_id, NULL AS license, 0 AS wording, body FROM units
-             UNION ALL SELECT 't', NULL, license, wording, body FROM tpl),
-norm AS (SELECT DISTINCT kind, doc_id, license, wording, trim(regexp_replace(
-             translate(body, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g')) AS body FROM alltexts),
-w AS (SELECT *, string_split(body, ' ') AS w FROM norm),
-g AS (SELECT * EXCLUDE (w), list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w),
-s AS (SELECT *, len(g) AS n FROM g WHERE len(g) > 0),
-ug AS (SELECT doc_id, body, n, unnest(g) AS gram FROM s WHERE kind = 'u'
-       AND n BETWEEN (SELECT min(n) * {LEAST} / (2 - {LEAST}) FROM s WHERE kind = 't')
-                 AND (SELECT max(n) * (2 - {LEAST}) / {LEAST} FROM s WHERE kind = 't')),
-tg AS (SELECT license, wording, n, unnest(g) AS gram FROM s WHERE kind = 't'),
-d AS (SELECT doc_id, ug.body, license, wording, 2.0::DOUBLE * count(*) / (ug.n + tg.n) AS dice
-      FROM ug JOIN tg USING (gram) GROUP BY doc_id, ug.body, license, wording, ug.n, tg.n)
-SELECT doc_id, license, max(dice) AS dice, count(DISTINCT body) AS units
-FROM d WHERE dice >= {LEAST} GROUP BY doc_id, license
+    f"({_sql_text(lic)}, {k}, {_sql_text(t)})" for lic, ts in full_templates().items() for k, t in enumerate(ts))}),
+texts AS (SELECT row_number() OVER () AS h, text FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL)),
+split AS (SELECT h, NULL AS license, 0 AS wording, unnest(string_split(text, chr(10))) AS line,
+              unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM texts
+          UNION ALL SELECT NULL, license, wording, body, 1 FROM tpl),
+norm AS (SELECT * EXCLUDE (line), trim(regexp_replace(translate(line, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g')) AS line FROM split),
+w AS (SELECT * EXCLUDE (line), unnest(string_split(line, ' ')) AS w, unnest(range(len(string_split(line, ' ')))) AS k
+      FROM norm WHERE line <> ''),
+g AS (SELECT h, license, wording, i, lead(i) OVER o AS j, w || ' ' || lead(w) OVER o AS gram
+      FROM w WINDOW o AS (PARTITION BY h, license, wording ORDER BY i, k)),
+tg AS (SELECT DISTINCT license, wording, gram, 1 AS m FROM g WHERE h IS NULL AND gram IS NOT NULL),
+tb AS (SELECT license, wording, count(*) AS b FROM tg GROUP BY license, wording),
+dg AS (SELECT h, gram, i, min(j) AS j FROM g WHERE h IS NOT NULL AND gram IS NOT NULL GROUP BY h, gram, i),
+cand AS (SELECT h, license, wording, b FROM (SELECT DISTINCT h, gram FROM dg) JOIN tg USING (gram) JOIN tb USING (license, wording)
+         GROUP BY h, license, wording, b HAVING count(*) >= b * {LEAST} / (2 - {LEAST}) - 1e-9),
+occ AS (SELECT dg.*, license, wording, b, coalesce(m, 0) AS m
+        FROM dg JOIN cand USING (h) LEFT JOIN tg USING (license, wording, gram)),
+starts AS (SELECT DISTINCT h, license, wording, i AS s FROM occ WHERE m = 1),
+firsts AS (SELECT h, license, wording, s, b, gram, m, min(j) AS j FROM starts JOIN occ USING (h, license, wording)
+           WHERE i >= s GROUP BY h, license, wording, s, b, gram, m),
+runs AS (SELECT h, license, s, j, 2.0::DOUBLE * sum(sum(m)) OVER o / (sum(count(*)) OVER o + b) AS dice
+         FROM firsts GROUP BY h, license, wording, s, b, j
+         WINDOW o AS (PARTITION BY h, license, wording, s, b ORDER BY j)),
+best AS (SELECT doc_id, license, dice, s, j, row_number() OVER (
+             PARTITION BY doc_id, license ORDER BY dice DESC, j - s, s) AS r
+         FROM runs JOIN texts USING (h) JOIN (SELECT DISTINCT doc_id, text FROM documents) USING (text) WHERE dice >= {LEAST})
+SELECT doc_id, license, dice, s AS first_line, j AS last_line FROM best WHERE r = 1
 """

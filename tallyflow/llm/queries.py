@@ -36,7 +36,7 @@ def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(read_table(spark, sf_dir, "documents"))
+    return licenses.scan_runs(read_table(spark, sf_dir, "documents"))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

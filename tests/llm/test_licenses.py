@@ -1,5 +1,6 @@
 """op4: against comparing every line with every template, and the anchors'
-promise. The query's SQL is compared in test_tables."""
+promise; runs of lines against every run. The query's SQL is compared in
+test_tables."""
 
 import random
 import re
@@ -80,12 +81,14 @@ def brute_runs(rows, least, templates):
                     for b in map(_grams, ts):
                         d = 2 * len(a & b) / (len(a) + len(b)) if a else 0
                         if d >= least:
-                            out[i, lic] = max(out.get((i, lic), 0), d)
-    return sorted(((i, lic, round(d, 9)) for (i, lic), d in out.items()), key=repr)
+                            run = (round(d, 9), s - e, -s)
+                            out[i, lic] = max(out.get((i, lic), run), run)
+    return sorted(((i, lic, d, 1 - s, 1 - s - n) for (i, lic), (d, n, s) in out.items()), key=repr)
 
 
 def _runs(df, least=li.LEAST, templates=None):
-    return sorted(((r.doc_id, r.license, round(r.dice, 9)) for r in li.scan_runs(df, least, templates).collect()), key=repr)
+    return sorted(((r.doc_id, r.license, round(r.dice, 9), r.first_line, r.last_line)
+                   for r in li.scan_runs(df, least, templates).collect()), key=repr)
 
 
 def test_runs_against_brute_force(spark):
@@ -102,6 +105,42 @@ def test_runs_against_brute_force(spark):
         assert _runs(df, least, li.TEMPLATES) == brute_runs(rows, least, li.TEMPLATES)
 
 
+def test_runs_across_gaps_long_lines_and_repeats(spark):
+    """Lines that a run may or may not reach across: few or many other bigrams,
+    long lines, repeated lines, bigrams that go from one line to the next."""
+    rnd = random.Random(5)
+    templates = {"A": ("one two three four five six seven eight nine ten",), "B": ("red green blue red black", "two three red green")}
+    vocabulary = sorted({w for ts in templates.values() for t in ts for w in t.split()})
+    rows = []
+    for k in range(300):
+        lines = []
+        for _ in range(rnd.randint(1, 7)):
+            t = rnd.choice([t for ts in templates.values() for t in ts]).split()
+            a = rnd.randrange(len(t))
+            lines.append(" ".join(t[a:a + rnd.randint(1, 6)]))
+            kind = rnd.random()
+            if kind < 0.3:
+                lines.append(" ".join(rnd.choice(["x", "y", "z", *vocabulary]) for _ in range(rnd.choice([1, 2, 3, 9, 30]))))
+            elif kind < 0.5:
+                lines += [lines[-1]] * rnd.randint(1, 3)
+            elif kind < 0.6:
+                lines += ["", "--"]
+        rows.append((k, "\n".join(lines)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for least in (0.8, 0.5):
+        want = brute_runs(rows, least, templates)
+        assert len(want) > 20
+        assert _runs(df, least, templates) == want
+
+
+def test_a_long_text_is_cut_where_no_run_goes_across(spark):
+    notice = "Released under the MIT License."
+    words = " ".join(f"w{k}" for k in range(40))
+    text = "\n".join([notice, words] * 2000 + [notice] * 2000 + [" ".join(f"v{k}" for k in range(100_000))])
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert _runs(df, templates=li.TEMPLATES) == [(1, "MIT", 1.0, 1, 1)]
+
+
 def test_wrapped_licences_are_found(spark):
     full = li.full_templates()
     mit = full["MIT"][-1]
