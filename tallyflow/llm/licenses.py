@@ -118,7 +118,10 @@ def normalise(col: Column) -> Column:
 
 def bigrams(norm: Column) -> Column:
     """The distinct word bigrams of a normalised text."""
-    w = F.split(norm, " ")
+    return _pairs(F.split(norm, " "))
+
+
+def _pairs(w: Column) -> Column:
     n = F.size(w)
     return F.array_distinct(F.zip_with(
         F.slice(w, 1, F.greatest(n - 1, F.lit(0))), F.slice(w, 2, F.greatest(n - 1, F.lit(0))),
@@ -154,7 +157,8 @@ def anchors(templates: dict[str, tuple[str, ...]], least: float) -> list[str]:
 def _templates(docs: DataFrame, templates: dict[str, tuple[str, ...]], least: float) -> DataFrame:
     rows = [(lic, k, t) for lic, ts in templates.items() for k, t in enumerate(ts)]
     t = docs.sparkSession.createDataFrame(rows, "license string, wording int, template string")
-    t = t.withColumn("grams", bigrams(normalise(F.col("template"))))
+    t = compute_once(t, F.split(normalise(F.col("template")), " ").alias("w"), keep=("license", "wording"))
+    t = compute_once(t, _pairs(F.col("w")).alias("grams"), keep=("license", "wording"))
     b = F.size("grams")
     return t.select("license", "wording", b.alias("b"), "grams",
                     F.ceil(b * least / (2 - least) - 1e-9).alias("lo"),
@@ -304,7 +308,8 @@ def scan_runs(docs: DataFrame, least: float = LEAST,
     docs = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.sha2("text", 256).alias("h"))
     post = t.select("license", "wording", F.explode("grams").alias("gram"))
     key = ["license", "wording"]
-    cand = (docs.select("h", F.explode(bigrams(normalise(F.col("text")))).alias("gram"))
+    words = compute_once(docs, F.split(normalise(F.col("text")), " ").alias("w"), keep=("h",))     # once, not per use
+    cand = (words.select("h", F.explode(_pairs(F.col("w"))).alias("gram"))
             .join(F.broadcast(post), "gram").select("h", *key, "gram").distinct()
             .groupBy("h", *key).agg(F.count("*").alias("c"))
             .join(F.broadcast(t.select(*key, F.col("b").cast("int").alias("b"), F.col("lo").cast("int").alias("lo"),
