@@ -37,7 +37,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyflow.functions.once import compute_once
-from tallyflow.llm.common import LOWER, UPPER, ascii_lower
+from tallyflow.llm.common import LOWER, UPPER, ascii_lower, stage
+from tallyflow.llm.line_windows import touched
 
 LEAST = 0.8
 
@@ -305,17 +306,20 @@ def scan_runs(docs: DataFrame, least: float = LEAST,
     """
     t = _templates(docs, templates or full_templates(), least)
     t = t.withColumn("gap", F.floor(F.col("b") * 2 * (1 - least) / least + 1e-9))
-    docs = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.sha2("text", 256).alias("h"))
+    docs = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.unhex(F.sha2("text", 256)).alias("h"))
     post = t.select("license", "wording", F.explode("grams").alias("gram"))
     key = ["license", "wording"]
-    words = compute_once(docs, F.split(normalise(F.col("text")), " ").alias("w"), keep=("h",))     # once, not per use
-    cand = (words.select("h", F.explode(_pairs(F.col("w"))).alias("gram"))
-            .join(F.broadcast(post), "gram").select("h", *key, "gram").distinct()
-            .groupBy("h", *key).agg(F.count("*").alias("c"))
-            .join(F.broadcast(t.select(*key, F.col("b").cast("int").alias("b"), F.col("lo").cast("int").alias("lo"),
-                                       F.col("hi").cast("int").alias("hi"), F.col("gap").cast("int").alias("gap"))), key)
-            .where(F.col("c") >= F.col("lo")).drop("c"))
-    texts = docs.join(cand.select("h").distinct(), "h", "left_semi").select("h", "text").distinct()
+    rows = docs.withColumn("row", F.monotonically_increasing_id())
+    words = compute_once(rows, F.split(normalise(F.col("text")), " ").alias("w"), keep=("h", "row"))    # once, not per use
+    sizes = t.select(*key, *[F.col(c).cast("int").alias(c) for c in ("b", "lo", "hi", "gap")])
+    # a row's bigrams are all in one task, so the counts are whole before the shuffle
+    cand = (words.select("h", "row", F.explode(_pairs(F.col("w"))).alias("gram"))
+            .join(F.broadcast(post), "gram").groupBy("h", "row", *key).agg(F.count("*").alias("c"))
+            .join(F.broadcast(sizes), key).where(F.col("c") >= F.col("lo")).drop("c", "row").distinct())
+    cand = stage(cand, "license-candidates")
+    some, _ = touched(docs.select("text", "h", F.lit(0).alias("id"), F.col("h").alias("th")),
+                      cand.select(F.lit(0).alias("id"), F.col("h").alias("th")))
+    texts = some.join(cand.select("h").distinct(), "h", "left_semi").select("h", "text").dropDuplicates(["h"])
     occ = (_occurrences(texts).join(cand, "h")
            .join(F.broadcast(post.withColumn("m", F.lit(1))), [*key, "gram"], "left")
            .withColumn("m", F.coalesce("m", F.lit(0))))
