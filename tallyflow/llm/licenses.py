@@ -22,8 +22,8 @@ without doc_id are one document. Extra columns play no part.
 licence texts. ``scan_runs`` (the registered query) does: it compares every run
 of consecutive lines, paragraphs and the whole text among them, with the notices
 and with the texts in ``license_texts``. A text is first cut, per template, where
-no run can reach from one side to the other, so what is held at once follows the
-template's size, not the text's.
+no run can reach from one side to the other. Each piece is held as one array;
+lines that repeat a template's words with little between them are not cut.
 """
 
 from __future__ import annotations
