@@ -37,11 +37,21 @@ def replace_text(spark: SparkSession, folder: str, name: str, text: str) -> None
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), conf).rename(new, path, how)
 
 
+def data_files(spark: SparkSession, folder: str, pattern: str) -> dict[str, int]:
+    """The files of a folder that match, with their bytes."""
+    _, _, path, fs = _open(spark, folder, pattern)
+    return {f.getPath().toString(): f.getLen() for f in fs.globStatus(path) or []}
+
+
 def data_bytes(spark: SparkSession, folder: str, name: str) -> int:
     """Bytes of the Parquet files in a folder of bucket folders."""
-    jvm, _, path, fs = _open(spark, folder, name)
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(path, "*/*.parquet")) if fs.exists(path) else []
-    return sum(f.getLen() for f in found or [])
+    return sum(data_files(spark, folder, f"{name}/*/*.parquet").values())
+
+
+def copy(spark: SparkSession, file: str, folder: str, name: str) -> None:
+    jvm, conf, path, fs = _open(spark, folder, name)
+    source = jvm.org.apache.hadoop.fs.Path(file)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, fs, path, False, conf)
 
 
 def delete(spark: SparkSession, folder: str, name: str) -> None:

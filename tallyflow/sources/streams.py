@@ -15,11 +15,14 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyflow.sinks import textfile
+
 
 @dataclass
 class StreamSpec:
@@ -54,14 +57,36 @@ def in_slices(df: DataFrame, col, n: int, column: str = "_slice") -> DataFrame:
     return df.withColumn(column, place.cast("int"))
 
 
-def write_feed(df: DataFrame, path: str, n: int, files: int = 1, column: str = "_slice") -> StreamSpec:
+FEED_FILE_BYTES = 2 << 20       # about the size of a feed's files
+
+
+def write_feed(df: DataFrame, path: str, n: int, files: int | None = None, column: str = "_slice") -> StreamSpec:
     """A feed in a known order: the slices 0..n-1 of ``df`` (in ``column``) are
     written one after the other, ``files`` files each, and the spec reads
     ``files`` files a micro-batch (T10), so each slice is a micro-batch of its
-    own, as a file stream takes files by the time of their writing."""
+    own, as a file stream takes files by the time of their writing.
+
+    ``df`` is evaluated once, into ``<path>-slices``, which is deleted at the
+    end. By default there are so many files that one of the largest slice has
+    about ``FEED_FILE_BYTES``: no task writes or reads a whole slice. A slice with
+    too few rows for that many files is filled up with empty ones."""
+    spark, (folder, name) = df.sparkSession, path.rstrip("/").rsplit("/", 1)
+    staged, schema = f"{name}-slices", df.drop(column).schema
+    df.write.mode("overwrite").partitionBy(column).parquet(f"{folder}/{staged}")
+    if files is None:
+        sizes = [sum(textfile.data_files(spark, folder, f"{staged}/{column}={k}/*.parquet").values()) for k in range(n)]
+        files = max(1, *(math.ceil(b / FEED_FILE_BYTES) for b in sizes))
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{folder}/{staged}/{column}=-1")
+    empty, = textfile.data_files(spark, folder, f"{staged}/{column}=-1/*.parquet")
+    slices = spark.read.schema(df.schema).parquet(f"{folder}/{staged}")
+    there = len(textfile.data_files(spark, folder, f"{name}/*.parquet"))
     for k in range(n):
-        df.where(F.col(column) == k).drop(column).repartition(files).write.mode("append").parquet(path)
-    return StreamSpec(path=path, file_format="parquet", schema=df.drop(column).schema, max_files_per_trigger=files)
+        slices.where(F.col(column) == k).select(*schema.names).repartition(files).write.mode("append").parquet(path)
+        there += files
+        for i in range(len(textfile.data_files(spark, folder, f"{name}/*.parquet")), there):
+            textfile.copy(spark, empty, f"{folder}/{name}", f"empty-{i}.parquet")
+    textfile.delete(spark, folder, staged)
+    return StreamSpec(path=path, file_format="parquet", schema=schema, max_files_per_trigger=files)
 
 
 def read_stream(spark: SparkSession, spec: StreamSpec) -> DataFrame:

@@ -3,6 +3,7 @@ several micro-batches."""
 
 import datetime as dt
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from tallyflow.operators import windows as win
 from tallyflow.session import with_conf
 from tallyflow.sinks.documents import TOO_LARGE, write_or_refuse
 from tallyflow.sinks.records import append_batch
+from tallyflow.sources import streams
 from tallyflow.sources.streams import in_slices, read_stream, write_feed
 from tallyflow.streaming import forms
 from tallyflow.streaming.state import CHANGE_FEED_CONF, read_changes, read_state
@@ -85,6 +87,32 @@ def test_slices(spark):
     assert {r._slice for r in in_slices(df.where("n is null"), F.col("n"), 3).collect()} == {0}
 
 
+def test_a_slice_of_many_files_is_one_micro_batch(spark, scratch, monkeypatch):
+    """Slices larger than a file go to several files, so to several tasks; small
+    and empty slices still are micro-batches of their own, in order."""
+    monkeypatch.setattr(streams, "FEED_FILE_BYTES", 4000)
+    sizes = (3, 4000, 0, 1000, 1)
+    schema, number = "n long, t string, _slice int", iter(range(10_000))
+    rows = spark.createDataFrame([(next(number), f"{hash((k, i))}", k) for k, m in enumerate(sizes) for i in range(m)], schema)
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        evaluated.add(1)
+        return row
+
+    spec = write_feed(spark.createDataFrame(rows.rdd.map(seen), schema), f"{scratch}/feed", len(sizes))
+    assert evaluated.value == rows.count()
+    assert spec.max_files_per_trigger >= 10
+    got = {}
+    (read_stream(spark, spec).writeStream.trigger(availableNow=True).option("checkpointLocation", f"{scratch}/ckpt")
+     .foreachBatch(lambda b, i: got.update({i: sorted(r.n for r in b.collect())})).start().awaitTermination())
+    starts = [sum(sizes[:k]) for k in range(len(sizes))]
+    assert got == {k: list(range(starts[k], starts[k] + m)) for k, m in enumerate(sizes)}
+    most = (spark.read.schema(spec.schema).parquet(spec.path).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0])
+    assert most < 4000 / 5
+    assert os.listdir(scratch).count("feed-slices") == 0
+
+
 def test_documents_written_or_refused(spark, scratch):
     docs = spark.createDataFrame([("a", "logcount-2024.01.01", "x"), ("b", None, "y"), (None, "logcount-2024.01.02", "z"),
                                   ("c", "logcount-2024.01.02", "z" * 300), (None, None, "both")], "id string, _index string, body string")
