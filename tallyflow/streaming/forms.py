@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,12 +79,17 @@ def split_late(path: str, length: str, lag: str = DEFAULT_LAG, time_col: str = "
         if len(earlier) > 1 and seen[earlier[-2]] is not None:
             end = F.unix_millis(F.window(time_col, length)["end"])
             late = F.coalesce(end <= seen[earlier[-2]] - lag_ms, F.lit(False))
-        # a window expression turns null times away, so they go round it
-        timed, untimed = batch.where(F.col(time_col).isNotNull()), batch.where(F.col(time_col).isNull())
-        marked = timed.withColumn("_late", late)
-        append_batch(marked.where("_late").drop("_late"), f"{path}/late", batch_id)
-        append_batch(marked.where("NOT _late").drop("_late").unionByName(untimed), f"{path}/kept", batch_id)
-        newest = timed.agg(F.max(F.unix_millis(time_col))).first()[0]
+        # three jobs read the rows, which are made once
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # a window expression turns null times away, so they go round it
+            timed, untimed = batch.where(F.col(time_col).isNotNull()), batch.where(F.col(time_col).isNull())
+            marked = timed.withColumn("_late", late)
+            append_batch(marked.where("_late").drop("_late"), f"{path}/late", batch_id)
+            append_batch(marked.where("NOT _late").drop("_late").unionByName(untimed), f"{path}/kept", batch_id)
+            newest = timed.agg(F.max(F.unix_millis(time_col))).first()[0]
+        finally:
+            batch.unpersist()
         high = [x for x in (newest, *(seen[k] for k in earlier[-1:])) if x is not None]
         kept = {k: seen[k] for k in earlier[-2:]} | {batch_id: max(high, default=None)}
         textfile.replace_text(spark, path, WATERMARKS, json.dumps(kept))
@@ -146,8 +152,6 @@ def route_stream(messages: DataFrame, sinks: dict, checkpoint: str,
     from the replayable batch. Sinks should be idempotent per ``batch_id``
     (e.g. overwrite ``<path>/batch_id=N``): a failed batch is replayed.
     """
-    from pyspark import StorageLevel
-
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = cl.parse_call_log(batch, value_col).persist(StorageLevel.MEMORY_AND_DISK)
         try:

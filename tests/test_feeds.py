@@ -53,6 +53,21 @@ def test_kept_and_late_rows_agree(spark, scratch):
     assert key(spark.read.parquet(f"{scratch}/counts")) == key(plain)
 
 
+def test_late_rows_are_split_from_one_evaluation(spark, scratch):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        made.add(1)
+        return row
+
+    rows = [(BASE + dt.timedelta(seconds=x), f"r{x}") for x in (1, 30, 200)] + [(None, "none")]
+    schema = "event_time timestamp, id string"
+    batch = spark.createDataFrame(spark.createDataFrame(rows, schema).rdd.map(seen), schema)
+    forms.split_late(f"{scratch}/out", "10 seconds")(batch, 0)
+    assert made.value == len(rows) and not batch.is_cached
+    assert sorted(r.id for r in spark.read.parquet(f"{scratch}/out/kept").collect()) == ["none", "r1", "r200", "r30"]
+
+
 def test_changes_before_and_after(spark, scratch):
     slices = [[("a a b",)], [("a c",)], [("b b a",)], [("d",)]]
     lines = _feed(spark, f"{scratch}/feed", slices, "value string")
