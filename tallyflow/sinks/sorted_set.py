@@ -31,6 +31,7 @@ from tallyflow.sinks.keyed_store import KeyedStore
 
 RANGES = "_ranges"
 LOWEST, NULLS = "lowest", "null"        # the bounds of the first range and of the null scores
+FILE_ROWS = 1_000_000                   # about the rows of a file
 
 
 class SortedSet:
@@ -56,9 +57,13 @@ class SortedSet:
 
     def _place(self, bounds: list) -> Column:
         """The number of a score's range among the bounds (``NULLS``,
-        ``LOWEST``, then numbers, ascending)."""
-        steps = F.array(*[F.lit(b) for b in bounds[2:]]) if len(bounds) > 2 else F.array().cast("array<long>")
-        above = F.size(F.filter(steps, lambda b: b <= F.col(self.score)))
+        ``LOWEST``, then numbers, ascending), by binary search."""
+        lows = bounds[2:]
+        if not lows:
+            return F.when(F.col(self.score).isNull(), F.lit(0)).otherwise(1)
+        steps, jumps = F.array(*[F.lit(b) for b in lows]), [1 << k for k in reversed(range(len(lows).bit_length()))]
+        above = F.aggregate(F.array(*[F.lit(j) for j in jumps]), F.lit(0), lambda at, jump: F.when(
+            F.get(steps, at + jump - 1) <= F.col(self.score), at + jump).otherwise(at))     # past the last one: null
         return F.when(F.col(self.score).isNull(), F.lit(0)).otherwise(above + 1)
 
     def _read(self, ranges: list[dict]) -> DataFrame:
@@ -73,55 +78,72 @@ class SortedSet:
         rows = batch.groupBy(self.member).agg(F.max(self.score).alias(self.score)).select(self.member, self.score)
         types = {f.name: f.dataType for f in self.spark.createDataFrame([], self.schema).schema.fields}
         rows = rows.select(*[F.col(c).cast(types[c]).alias(c) for c in (self.member, self.score)])
+        # several jobs read the rows: a batch, maybe a stream's with its state, is evaluated once
+        stage = f"batch-{batch_id}"
+        rows.write.mode("overwrite").parquet(f"{self.path}/{stage}")
+        rows = self.spark.read.schema(rows.schema).parquet(f"{self.path}/{stage}")
         if batch_id > m["batch"]:
             self._rewrite(m, rows, batch_id)
         # after the ranges: a batch that fails between the two is replayed and
         # comes here again, where the store knows whether it has it
         self.scores.upsert(rows.withColumn("_batch", F.lit(batch_id).cast("long")), batch_id)
+        textfile.delete(self.spark, self.path, stage)
+
+    def _sizes(self, members: DataFrame, place: Column) -> dict:
+        """By range: count, least and greatest score."""
+        values = members.groupBy(self.score).agg(F.count("*").alias("_c"))
+        found = values.groupBy(place.alias("p")).agg(F.sum("_c").alias("n"), F.min(self.score).alias("low"), F.max(self.score).alias("high"))
+        return {r["p"]: r for r in found.collect()}
 
     def _rewrite(self, m: dict, rows: DataFrame, batch_id: int) -> None:
         ranges = m["ranges"] or [{"lo": b, "count": 0, "folder": None} for b in (NULLS, LOWEST)]
         place = self._place([r["lo"] for r in ranges])
         old = self.scores.read_keys(rows.select(self.member))
         old = old.join(rows, old[self.member].eqNullSafe(rows[self.member]), "left_semi").select(self.member, self.score)
-        touched = sorted(r[0] for r in old.unionByName(rows).select(place.alias("p")).distinct().collect())
+        scores = old.unionByName(rows).select(self.score).distinct()
+        touched = sorted(r[0] for r in scores.select(place.alias("p")).distinct().collect())
         kept = self._read([ranges[p] for p in touched]).alias("k")
         kept = kept.join(rows.alias("r"), F.col(f"k.{self.member}").eqNullSafe(F.col(f"r.{self.member}")), "left_anti")
         seq = m["seq"] + 1
         stage = f"{self.path}/update-{seq}"
         kept.unionByName(rows).write.mode("overwrite").parquet(stage)
         members = self.spark.read.schema(rows.schema).parquet(stage)
-        sizes = {r["p"]: r["n"] for r in members.groupBy(place.alias("p")).agg(F.count("*").alias("n")).collect()}
-        bounds, folder = self._bounds(ranges, members, place, sizes), f"ranges-{seq}"
+        bounds, folder = self._bounds(ranges, members, place, self._sizes(members, place)), f"ranges-{seq}"
         finer = self._place(bounds)
-        (members.withColumn("_range", finer).repartition("_range").sortWithinPartitions("_range", F.desc(self.score))
+        counts = {p: r["n"] for p, r in self._sizes(members, finer).items()}
+        # a range of one score may be of any size: about FILE_ROWS rows of a range to a task
+        pieces = F.array(*[F.lit(-(-counts.get(p, 0) // FILE_ROWS) or 1) for p in range(len(bounds))])
+        piece = F.pmod(F.xxhash64(self.member), F.get(pieces, F.col("_range")))
+        (members.withColumn("_range", finer).repartition(F.col("_range"), piece).sortWithinPartitions("_range", F.desc(self.score))
          .write.mode("overwrite").partitionBy("_range").parquet(f"{self.path}/{folder}"))
-        counts = {r["p"]: r["n"] for r in members.groupBy(finer.alias("p")).agg(F.count("*").alias("n")).collect()}
         at = {r["lo"]: (p, r) for p, r in enumerate(ranges)}
         new, parent = [], 0
         for p, lo in enumerate(bounds):
             parent = at[lo][0] if lo in at else parent
             new.append({"lo": lo, "count": counts.get(p, 0), "folder": f"{folder}/_range={p}"} if parent in touched else at[lo][1])
-        outdated, trash = m["trash"], [r["folder"] for r in ranges if r["folder"] and r not in new]
+        kept_folders = {r["folder"] for r in new}
+        outdated, trash = m["trash"], [r["folder"] for r in ranges if r["folder"] and r["folder"] not in kept_folders]
         textfile.replace_text(self.spark, self.path, RANGES, json.dumps(
             {"batch": batch_id, "seq": seq, "ranges": new, "trash": [*trash, f"update-{seq}"]}))
         for name in outdated:       # replaced by the update before this one: its readers have finished
             textfile.delete(self.spark, self.path, name)
 
     def _bounds(self, ranges: list[dict], members: DataFrame, place: Column, sizes: dict) -> list:
-        """The ranges' bounds, with more of them where a range is twice too
-        large. Where exactly is a matter of size only."""
-        large = {p: n for p, n in sizes.items() if p > 0 and n >= 2 * self.range_rows}
-        bounds = [r["lo"] for r in ranges]
-        if not large:
+        """The ranges' bounds, with more of them where a range of several scores
+        is twice too large: one job for all of these. Where exactly is a matter
+        of size only."""
+        bounds, parts = [r["lo"] for r in ranges], {}
+        for p, r in sizes.items():
+            if p > 0 and r["n"] >= 2 * self.range_rows and r["low"] < r["high"]:
+                parts.setdefault(r["n"] // self.range_rows, []).append(p)
+        if not parts:
             return bounds
-        cuts = set()
-        for p, n in large.items():
-            shares = [k / (n // self.range_rows) for k in range(1, n // self.range_rows)]
-            got = members.where(place == p).agg(F.percentile_approx(self.score, shares).alias("c")).first()["c"]
-            low = members.where(place == p).agg(F.min(self.score)).first()[0]
-            cuts |= {c for c in got if c > low}
-        return [*bounds[:2], *sorted({*bounds[2:], *cuts})]
+        large = members.withColumn("_p", place).where(F.col("_p").isin([p for ps in parts.values() for p in ps]))
+        cuts = large.groupBy("_p").agg(*[
+            F.percentile_approx(F.when(F.col("_p").isin(ps), F.col(self.score)), [k / n for k in range(1, n)]).alias(f"c{n}")
+            for n, ps in parts.items()]).collect()
+        found = {c for r in cuts for got in r[1:] for c in got or [] if c > sizes[r["_p"]]["low"]}
+        return [*bounds[:2], *sorted({*bounds[2:], *found})]
 
     # -- queries ------------------------------------------------------------------
     def _ranked(self, ranges: list[dict], chosen: list[int]) -> DataFrame:

@@ -1,10 +1,14 @@
 """K6: the sorted set after several updates against ranking from scratch, and
 what an update and a query touch."""
 
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallyflow.session import with_conf
+from tallyflow.sinks import sorted_set
 from tallyflow.sinks.sorted_set import SortedSet
 
 
@@ -62,6 +66,44 @@ def test_an_update_touches_its_ranges(spark, scratch):
     assert {r.rank for r in s.page(1, 3000).where("score = 7").collect()} == {1994}
 
 
+def test_a_batch_is_evaluated_once(spark, scratch):
+    """A batch that makes the set, one that changes and one that splits it."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        made.add(1)
+        return row
+
+    s = SortedSet(spark, f"{scratch}/set", range_rows=20)
+    for i, n in enumerate((50, 5, 300)):
+        df = spark.range(n).selectExpr("concat('k', id) AS key", f"id * {i + 1} AS score")
+        before = made.value
+        s.update(spark.createDataFrame(df.rdd.map(seen), "key string, score long"), i)
+        assert made.value - before == n
+    assert rows(s.page(1, 2)) == [("k298", 894, 2), ("k299", 897, 1)]
+    assert os.listdir(f"{scratch}/set").count("batch-2") == 0
+
+
+def test_a_range_of_one_score_is_several_files(spark, scratch, monkeypatch):
+    monkeypatch.setattr(sorted_set, "FILE_ROWS", 50)
+    s = SortedSet(spark, f"{scratch}/set", range_rows=20)
+    with with_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        s.update(spark.range(1000).selectExpr("concat('k', id) AS key", "7L AS score"), 0)
+    large, = [r for r in s.ranges()["ranges"] if r["count"]]
+    per_file = spark.read.parquet(f"{scratch}/set/{large['folder']}").groupBy(F.input_file_name()).count().collect()
+    assert large["count"] == 1000 and len(per_file) >= 3
+    assert s.page(1, 1).count() == 1000
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 7, 8, 9, 31])
+def test_place_among_bounds(spark, scratch, n):
+    lows = [3 * k for k in range(n)]
+    s = SortedSet(spark, f"{scratch}/set")
+    scores = spark.createDataFrame([(x,) for x in (None, *range(-2, 3 * n + 3))], "score long")
+    got = {r.score: r.p for r in scores.select("score", s._place(["null", "lowest", *lows]).alias("p")).collect()}
+    assert got == {x: 0 if x is None else 1 + sum(b <= x for b in lows) for x in got}
+
+
 def test_reopened_after_a_failure(spark, scratch):
     """The ranges were replaced, the store of scores was not: the replay
     brings the store up, and a later update finds the old score."""
