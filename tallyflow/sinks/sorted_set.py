@@ -146,23 +146,27 @@ class SortedSet:
         return [*bounds[:2], *sorted({*bounds[2:], *found})]
 
     # -- queries ------------------------------------------------------------------
-    def _ranked(self, ranges: list[dict], chosen: list[int]) -> DataFrame:
-        """The members of some ranges with their rank in the whole set. Only the
+    def _ranked(self, ranges: list[dict], chosen: list[int], asked: DataFrame | None = None) -> DataFrame:
+        """The members of some ranges (of ``asked``: column ``member``) with their
+        rank in the whole set, by one plan for any number of ranges. Only the
         distinct scores of a range are put in order, and they are at most
         twice ``range_rows``, or one."""
-        above, total = {}, 0
+        above, total = [0] * len(ranges), 0
         for p in reversed(range(len(ranges))):
             above[p] = total
             total += ranges[p]["count"]
-        out = None
-        for p in chosen:
-            rows = self._read([ranges[p]])
-            values = rows.groupBy(F.col(self.score).alias("_v")).agg(F.count("*").alias("_c"))
-            before = Window.orderBy(F.desc_nulls_last("_v")).rowsBetween(Window.unboundedPreceding, -1)
-            values = values.select("_v", (F.coalesce(F.sum("_c").over(before), F.lit(0)) + 1 + above[p]).cast("long").alias("rank"))
-            part = rows.join(values, rows[self.score].eqNullSafe(values["_v"])).select(self.member, self.score, "rank")
-            out = part if out is None else out.unionByName(part)
-        return out if out is not None else self.spark.createDataFrame([], f"{self.schema}, rank long")
+        rows = self._read([ranges[p] for p in chosen])
+        if not chosen:
+            return rows.withColumn("rank", F.lit(None).cast("long"))
+        values = rows.groupBy(F.col(self.score)).agg(F.count("*").alias("_c"))
+        values = values.withColumn("_p", self._place([r["lo"] for r in ranges]))
+        before = Window.partitionBy("_p").orderBy(F.desc(self.score)).rowsBetween(Window.unboundedPreceding, -1)
+        start = F.get(F.array(*[F.lit(n).cast("long") for n in above]), F.col("_p"))
+        values = values.select(F.col(self.score).alias("_v"), (F.coalesce(F.sum("_c").over(before), F.lit(0)) + 1 + start).cast("long").alias("rank"))
+        if asked is not None:
+            asked = asked.select(F.col(self.member).alias("_m"))
+            rows = rows.join(asked, F.col(self.member).eqNullSafe(F.col("_m")), "left_semi")
+        return rows.join(values, rows[self.score].eqNullSafe(values["_v"])).select(self.member, self.score, "rank")
 
     def chosen(self, first: int, last: int) -> list[int]:
         """The ranges that hold the ranks ``first`` to ``last``, highest first."""
@@ -189,6 +193,6 @@ class SortedSet:
         found = found.join(members.select(F.col(self.member).alias("_m")).distinct(), F.col(self.member).eqNullSafe(F.col("_m")), "left_semi")
         if not ranges:
             return self._ranked([], [])
-        chosen = [r[0] for r in found.select(self._place([r["lo"] for r in ranges]).alias("p")).distinct().collect()]
-        ranked = self._ranked(ranges, sorted(chosen, reverse=True)).alias("a")
-        return ranked.join(found.alias("f"), F.col(f"a.{self.member}").eqNullSafe(F.col(f"f.{self.member}")), "left_semi")
+        place = self._place([r["lo"] for r in ranges]).alias("p")
+        chosen = [r[0] for r in found.select(self.score).distinct().select(place).distinct().collect()]
+        return self._ranked(ranges, sorted(chosen, reverse=True), found)

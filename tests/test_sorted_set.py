@@ -84,6 +84,19 @@ def test_a_batch_is_evaluated_once(spark, scratch):
     assert os.listdir(f"{scratch}/set").count("batch-2") == 0
 
 
+def test_ranks_of_many_ranges_are_one_plan(spark, scratch):
+    s = SortedSet(spark, f"{scratch}/set", range_rows=20)
+    s.update(spark.range(1000).selectExpr("concat('k', id) AS key", "if(id < 300, 1, id) AS score"), 0)
+    assert len(s.ranges()["ranges"]) > 30
+    asked = spark.range(0, 1010, 7).selectExpr("concat('k', id) AS key")
+    ranked = s.ranks(asked)
+    got = rows(ranked.where("key < 'k3'"))
+    assert got == rows(spark.range(0, 1000, 7).selectExpr("concat('k', id) AS key", "if(id < 300, 1, id) AS score",
+                                                          "if(id < 300, 701, 1000 - id) AS rank").where("key < 'k3'"))
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("FileScan") <= 4 and "Union" not in plan
+
+
 def test_a_range_of_one_score_is_several_files(spark, scratch, monkeypatch):
     monkeypatch.setattr(sorted_set, "FILE_ROWS", 50)
     s = SortedSet(spark, f"{scratch}/set", range_rows=20)
