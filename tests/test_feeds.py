@@ -5,9 +5,11 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyflow.operators import windows as win
+from tallyflow.plans import queries as Q
 from tallyflow.session import with_conf
 from tallyflow.sinks.documents import TOO_LARGE, write_or_refuse
 from tallyflow.sinks.records import append_batch
@@ -128,6 +130,14 @@ def test_a_slice_of_many_files_is_one_micro_batch(spark, scratch, monkeypatch):
     assert os.listdir(scratch).count("feed-slices") == 0
 
 
+@pytest.mark.parametrize("feed, slices", [(Q._word_feed, Q.WORD_SLICES), (Q._event_feed, Q.SLICES)])
+def test_feeds_of_the_queries_are_for_several_tasks(spark, scratch, monkeypatch, feed, slices):
+    monkeypatch.setattr(streams, "FEED_FILE_BYTES", 1000)
+    feed(spark, "/root/testdata/sf0.001", scratch)
+    files = [f for f in os.listdir(f"{scratch}/feed") if f.endswith(".parquet")]
+    assert len(files) >= 4 * slices and len(files) % slices == 0
+
+
 def test_documents_written_or_refused(spark, scratch):
     docs = spark.createDataFrame([("a", "logcount-2024.01.01", "x"), ("b", None, "y"), (None, "logcount-2024.01.02", "z"),
                                   ("c", "logcount-2024.01.02", "z" * 300), (None, None, "both")], "id string, _index string, body string")
