@@ -31,7 +31,7 @@ from tallyflow.sinks.keyed_store import KeyedStore
 
 RANGES = "_ranges"
 LOWEST, NULLS = "lowest", "null"        # the bounds of the first range and of the null scores
-FILE_ROWS = 1_000_000                   # about the rows of a file
+FILE_ROWS = 100_000                     # about the rows of a file
 
 
 class SortedSet:
